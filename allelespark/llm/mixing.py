@@ -54,7 +54,7 @@ def mix(docs: DataFrame, weights: Sequence[float] | Mapping[str, float] = (1, 2,
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = pick(docs, doc_id="long", source="string", text="string").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key"))
-    sized = sized.withColumn("bucket", F.substring("key", 1, 4))
+    sized = sized.withColumn("bucket", F.substring("key", 1, 3))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(max_epochs))).otherwise(0).cast("long")

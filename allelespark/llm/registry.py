@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, urls
+from . import decontaminate, licenses, mixing, near_duplicates, substrings, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_substring_dedup": substrings.op3_substring_dedup,
+    "op4_near_duplicates": near_duplicates.op4_near_duplicates,
     "op6_license_scan": licenses.op6_license_scan,
     "op10_url_filter": urls.op10_url_filter,
 }
-SQL = {"op1_mix_sources": mixing.OP1_SQL, "op2_decontaminate": decontaminate.OP2_SQL}
+SQL = {"op1_mix_sources": mixing.OP1_SQL, "op2_decontaminate": decontaminate.OP2_SQL, "op3_substring_dedup": substrings.OP3_SQL, "op4_near_duplicates": near_duplicates.OP4_SQL}
