@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, near_duplicates, substrings, urls
+from . import decontaminate, language, licenses, mixing, near_duplicates, substrings, tokens, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_substring_dedup": substrings.op3_substring_dedup,
     "op4_near_duplicates": near_duplicates.op4_near_duplicates,
+    "op5_language_id": language.op5_language_id,
     "op6_license_scan": licenses.op6_license_scan,
+    "op9_token_counts": tokens.op9_token_counts,
     "op10_url_filter": urls.op10_url_filter,
 }
 SQL = {"op1_mix_sources": mixing.OP1_SQL, "op2_decontaminate": decontaminate.OP2_SQL, "op3_substring_dedup": substrings.OP3_SQL, "op4_near_duplicates": near_duplicates.OP4_SQL}
