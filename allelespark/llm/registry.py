@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, licenses, mixing, near_duplicates, substrings, tokens, urls
+from . import decontaminate, language, licenses, lines, mixing, near_duplicates, neighbours, substrings, tokens, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,7 +11,9 @@ QUERIES = {
     "op4_near_duplicates": near_duplicates.op4_near_duplicates,
     "op5_language_id": language.op5_language_id,
     "op6_license_scan": licenses.op6_license_scan,
+    "op7_line_dedup": lines.op7_line_dedup,
+    "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_token_counts": tokens.op9_token_counts,
     "op10_url_filter": urls.op10_url_filter,
 }
-SQL = {"op1_mix_sources": mixing.OP1_SQL, "op2_decontaminate": decontaminate.OP2_SQL, "op3_substring_dedup": substrings.OP3_SQL, "op4_near_duplicates": near_duplicates.OP4_SQL}
+SQL = {"op1_mix_sources": mixing.OP1_SQL, "op2_decontaminate": decontaminate.OP2_SQL, "op3_substring_dedup": substrings.OP3_SQL, "op4_near_duplicates": near_duplicates.OP4_SQL, "op7_line_dedup": lines.OP7_SQL}

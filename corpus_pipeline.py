@@ -1,15 +1,53 @@
-"""A training corpus from raw documents, in five stages."""
+"""A training corpus from raw documents, in five stages; each takes and gives documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
-ORACLE_SQL = None
+from allelespark.llm.common import table
+from allelespark.llm.decontaminate import decontaminate
+from allelespark.llm.language import UNKNOWN, held_out, identify
+from allelespark.llm.lines import remove_repeated_lines
+from allelespark.llm.mixing import mix
+from allelespark.llm.near_duplicates import near_duplicates
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or of no language that is likelier than all others together, go."""
+    judged = identify(docs, ~held_out())
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0.5)).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated lines go; a document of which nothing is left goes too."""
+    left = remove_repeated_lines(docs)
+    left = left.where((F.col("n_lines") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest doc_id; rows that repeat, once."""
+    judged = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(judged, F.col("doc_id") == F.col("_kept"), "left_semi")
+    return rows.union(docs.where("doc_id IS NULL")).dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document: the plan of repetitions, not the repeated texts."""
+    return mix(docs)
+
+
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing)]
+ORACLE_SQL = None  # the language models' scores have no SQL; tests hold run() against a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
