@@ -23,7 +23,7 @@ from .words import mix
 CHUNK, BLOCK = 4096, 1024
 TABLES, HASHES, PROBES = 8, 6, 60
 #: The step's width, as a multiple of the usual distance to the k-th nearest row of a chunk.
-WIDTH = 1.35
+WIDTH = 1.5
 
 
 def _perturbations(n: int) -> np.ndarray:
