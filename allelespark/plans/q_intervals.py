@@ -158,11 +158,11 @@ def _(spark, d):
     return rows.groupBy("shard").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("bases"), F.min("contig").alias("first_contig"))
 
 
-@query("i9_annotate_intervals", "WITH u AS (SELECT DISTINCT contig, start, stop FROM targets), t AS (SELECT contig, start, stop, min(log2_cr) AS score FROM copy_ratios GROUP BY ALL) SELECT contig, u.start, u.stop, CAST(floor(coalesce(sum((least(u.stop, t.stop) - greatest(u.start, t.start) + 1) * score) / any_value(u.stop - u.start + 1), 0) * 1e6 + 0.5) AS BIGINT) AS score FROM u LEFT JOIN t USING (contig) WHERE t.start IS NULL OR (t.start <= u.stop AND u.start <= t.stop) GROUP BY ALL")
+@query("i9_annotate_intervals", "WITH u AS (SELECT DISTINCT contig, start, stop FROM targets), t AS (SELECT contig, start, stop, min(log2_cr) AS score FROM copy_ratios GROUP BY ALL) SELECT contig, u.start, u.stop, CAST(floor(coalesce(sum((least(u.stop, t.stop) - greatest(u.start, t.start) + 1) * score) / any_value(u.stop - u.start + 1), 0) * 1e3 + 0.501) AS BIGINT) AS score FROM u LEFT JOIN t USING (contig) WHERE t.start IS NULL OR (t.start <= u.stop AND u.start <= t.stop) GROUP BY ALL")
 def _(spark, d):
     track = CR(spark, d).groupBy("contig", "start", "stop").agg(F.min("log2_cr").alias("score"))
     out = intervals.annotate(TARGETS(spark, d).select("contig", "start", "stop").distinct(), track, ["contig"])
-    return out.withColumn("score", scaled(F.col("score")))
+    return out.withColumn("score", F.floor(F.col("score") * 1000 + 0.501).cast("long"))
 
 
 @query("j_overlap_join", "SELECT t.contig, t.start, t.stop, s.start AS r_start, s.stop AS r_stop, count(*) AS n FROM targets t JOIN segments s ON s.contig = t.contig AND t.start <= s.stop AND s.start <= t.stop GROUP BY ALL")
@@ -172,8 +172,8 @@ def _(spark, d):
 
 
 GOOD = "good AS (SELECT * FROM reads WHERE (flags & 1796) = 0 AND stop >= start AND mapq >= 1 AND mapq <> 255)"
-DEPTH = """ev AS (SELECT contig, at, sum(d) AS d FROM (SELECT contig, start AS at, 1 AS d FROM good UNION ALL SELECT contig, stop + 1, -1 FROM good) GROUP BY ALL HAVING sum(d) <> 0),
-dep AS (SELECT * FROM (SELECT contig, at AS start, lead(at) OVER w - 1 AS stop, (sum(d) OVER (PARTITION BY contig ORDER BY at ROWS UNBOUNDED PRECEDING))::BIGINT AS depth FROM ev WINDOW w AS (PARTITION BY contig ORDER BY at)) WHERE depth > 0)"""
+DEPTH = """ev AS (SELECT contig, pt, sum(d) AS d FROM (SELECT contig, start AS pt, 1 AS d FROM good UNION ALL SELECT contig, stop + 1, -1 FROM good) GROUP BY ALL HAVING sum(d) <> 0),
+dep AS (SELECT * FROM (SELECT contig, pt AS start, lead(pt) OVER w - 1 AS stop, (sum(d) OVER (PARTITION BY contig ORDER BY pt ROWS UNBOUNDED PRECEDING))::BIGINT AS depth FROM ev WINDOW w AS (PARTITION BY contig ORDER BY pt)) WHERE depth > 0)"""
 
 
 def good(spark: SparkSession, d: str) -> DataFrame:
