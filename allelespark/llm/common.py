@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,18 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*(F.col(f"_{names.index(c)}").cast(kind).alias(c) for c, kind in columns.items()))
 
 
+def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(df, back): columns whose names differ from needed ones in case only have other names until back() is called.
+
+    An operator that hands all columns on can then name the needed ones; columns that it adds come after df's.
+    """
+    names = df.columns
+    low = {n.lower() for n in needed}
+    safe = [f"_aside_{i}" if n.lower() in low and n not in needed else n for i, n in enumerate(names)]
+    old = dict(zip(safe, names, strict=True))
+    return df.toDF(*safe), lambda out: out.toDF(*(old.get(c, c) for c in out.columns))
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the cluster's checkpoint folder: cuts the lineage and outlives an executor."""
     spark = df.sparkSession

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import kept, pick, set_aside, table
 from .phrases import automaton, matches, normal
 from .words import NOT_ALNUM, parts, words
 
@@ -100,11 +100,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, **settings: object) -> Data
 
     A document is judged by its text, so rows meet their verdict by a hash of the text, not by doc_id.
     """
-    from .common import kept
-
-    texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("doc_id"), "text")
-    bad = contamination(texts, items, **settings).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(kept(bad), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_bad"), "left_anti")
+    docs, back = set_aside(docs, "text")
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    bad = contamination(docs.select(hashed.alias("doc_id"), "text"), items, **settings).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    return back(docs.join(kept(bad), hashed == F.col("_bad"), "left_anti"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

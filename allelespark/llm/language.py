@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import pick, set_aside, table
 from .trie import VOCABULARY, encoded_counts, forward, pretokens, vocabulary
 from .words import buffer, parts
 
@@ -55,6 +55,7 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
     longest words are cut as in trie.py.  Columns named lang_pred or score are replaced.
     """
     known, _ = vocabulary(path)
+    docs, back = set_aside(docs, "doc_id", "text", "lang", "lang_pred", "score")
     learn = pick(docs.where(training), lang="string", text="string")
     langs, logp = log_probabilities(piece_counts(learn, path), known.size, smoothing)
     docs = docs.drop("lang_pred", "score")
@@ -85,7 +86,7 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return back(docs.mapInArrow(predict, f"{schema}, lang_pred string, score double"))
 
 
 def held_out() -> Column:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept, pick, table
+from .common import kept, pick, set_aside, table
 from .words import _BYTE, NEWLINE, Words, parts, ranged, signed, words
 
 _NO_ID = (1 << 63) - 1  # a null doc_id comes last
@@ -84,6 +84,7 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int =
     wholly are one document and share its result; an empty table gives no rows.  Columns named n_lines or n_removed
     are replaced.
     """
+    docs, back = set_aside(docs, "doc_id", "text", "n_lines", "n_removed")
     docs = docs.drop("n_lines", "n_removed")
     names = docs.columns
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
@@ -121,7 +122,7 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int =
             yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(removed)], names=[*names, "n_lines", "n_removed"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.mapInArrow(rebuild, f"{schema}, n_lines long, n_removed long")
+    return back(rows.mapInArrow(rebuild, f"{schema}, n_lines long, n_removed long"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

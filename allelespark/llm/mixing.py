@@ -28,9 +28,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] | Mapping[str, flo
     else:
         weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
     cap = F.col("source_size") * max_epochs
-    filling = Window.orderBy((F.col("cap") / F.col("weight")).asc_nulls_last(), F.col("source").asc_nulls_last())
+    filling = Window.orderBy(F.try_divide("cap", "weight").asc_nulls_last(), F.col("source").asc_nulls_last())
     clamped = F.col("cap") * F.col("weight_left") <= F.col("weight") * (F.col("total") - F.col("cap_before"))
-    share = F.col("weight") * F.col("left") / F.col("left_weight")
+    share = F.try_divide(F.col("weight") * F.col("left"), F.col("left_weight"))
     return (
         sizes.withColumns({"weight": weight, "cap": cap, "total": F.sum("source_size").over(every)})
         .withColumns({"cap_before": F.coalesce(F.sum("cap").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "weight_left": F.sum("weight").over(filling.rowsBetween(0, Window.unboundedFollowing))})

@@ -87,7 +87,7 @@ def _nearest(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nda
 
 def _search(rows: DataFrame, queries: DataFrame, k: int, seed: int, n: int, n_queries: int, probe: bool) -> DataFrame:
     chunks, blocks = -(-n // CHUNK) or 1, -(-n_queries // BLOCK) or 1
-    spread = lambda df, own, n_own, other, n_other: df.select("dim", F.pmod(F.xxhash64("vec_id", "dim"), F.lit(n_own).cast("long")).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other), "vec_id", "embedding")
+    spread = lambda df, own, n_own, other, n_other: df.select(F.col("dim").alias("dim"), F.pmod(F.xxhash64("vec_id", "dim"), F.lit(n_own).cast("long")).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other), F.col("vec_id").alias("vec_id"), F.col("embedding").alias("embedding"))
     keys = ["dim", "chunk", "block"]
     left, right = spread(rows, "chunk", chunks, "block", blocks), spread(queries, "block", blocks, "chunk", chunks)
 
