@@ -107,7 +107,7 @@ def ngrams(hashes: np.ndarray, n: int, first: np.ndarray) -> tuple[np.ndarray, n
     return start, ranged(hashes, start, start + n)
 
 
-def parts(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def parts(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about `size` bytes of text; a longer text is a piece of its own."""
     for batch in batches:
         if not batch.num_rows:
