@@ -7,10 +7,11 @@ differs in one at most, so the index enumerates each chunk's one-error variants
 out one value): every pair within that distance shares a key.  With 24 values in 8 chunks that distance is 15; at
 similarity 0.8 a pair differs in 4.8 values on average and in more than 15 with probability 8e-7.
 
-No bucket emits all its pairs.  Copies of a text are one node.  In a bucket every node is compared with one pivot;
-links make components, and a bucket within one component is done.  Further rounds take pivots from other
-components.  What is still undone after `rounds` is compared pair by pair across components, in blocks that a task
-holds, after a test of the signatures' distance and the sets' sizes.  No partner or candidate is dropped.
+No bucket emits all its pairs.  Copies of a text are one node.  Nodes within the signatures' distance of a bucket's
+pivot are put together first, then, in buckets that this leaves apart, whatever else is within it; the signatures
+alone thus make families.  Inside a family whole sets are compared, in blocks that a task holds: the first block
+with all others, then what this leaves unlinked with all.  Each step emits only what connects components, at most a
+row for each.  No partner or candidate is dropped.
 """
 
 from __future__ import annotations
@@ -93,44 +94,152 @@ def index_keys(nodes: DataFrame, signs: int) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "node")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
-    one, two = (sets.select(F.col("node").alias(x), F.col("items").alias(f"items_{x}"), F.size("items").cast("long").alias(f"n_{x}")) for x in ("a", "b"))
-    both = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    shared = F.size(F.array_intersect("items_a", "items_b")).cast("long")
-    return both.withColumn("shared", shared).where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of pairs (a, b) of small whole numbers that connect all that the pairs connect, without a circle."""
+    parent = list(range(int(max(a.max(), b.max())) + 1)) if len(a) else []
+    out = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[x] = y
+            out.append(k)
+    return np.array(out, np.int64)
 
 
-def _cross_pairs(open_: DataFrame, distance: int, percent: int) -> DataFrame:
-    """Pairs across components in the same bucket within the signatures' distance; open_: key, node, component, n, signature."""
+def _compared(rows: DataFrame, keys: list[str], near) -> DataFrame:
+    """(a, b): components that near(group, x, y), a mask of pairs of rows, connects; a forest for each group.
+
+    rows has the keys (longs), left, right, node, component.  Pairs are of a left and a right row of one group, of
+    different components.  A task holds one group at a time and emits at most a pair for each of its components.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups, starts in whole_groups(batches, keys):
+            found: list[tuple[bytes, bytes]] = []
+            for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(groups)], strict=True):
+                group = groups.slice(low, high - low)
+                labels, of = np.unique(np.array(group.column("component").to_pylist(), object), return_inverse=True)
+                if len(labels) < 2:
+                    continue
+                left, right = (np.flatnonzero(group.column(c).to_numpy()) for c in ("left", "right"))
+                x, y = near(group, left, right, of)
+                if len(x):
+                    one, two = np.minimum(of[x], of[y]), np.maximum(of[x], of[y])
+                    code = np.unique(one * len(labels) + two)
+                    one, two = code // len(labels), code % len(labels)
+                    some = _forest(one, two)
+                    found += zip(labels[one[some]], labels[two[some]], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.binary()), pa.array([p[1] for p in found], pa.binary())], names=["a", "b"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a binary, b binary").distinct()
+
+
+def _families(open_: DataFrame, distance: int, percent: int) -> DataFrame:
+    """(component, family): components with members in one bucket within the signatures' distance, put together.
+
+    open_: key, node, component, n, signature.  Large buckets are cut into blocks, compared two at a time.
+    """
     counts = open_.groupBy("key").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
     rows = open_.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     # a node of block x goes to the block pairs (x, y) and (y, x), smaller first
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).select("key", F.least("block", "other").cast("long").alias("i"), F.greatest("block", "other").cast("long").alias("j"), (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"), "node", F.xxhash64("component").alias("component"), "n", "signature")
-    keys = ["key", "i", "j"]
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").cast("long").alias("i"), F.greatest("block", "other").cast("long").alias("j"), (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"), "node", "component", "n", "signature")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, starts in whole_groups(batches, keys):
-            left, right, n, of = (group.column(c).to_numpy() for c in ("left", "right", "n", "component"))
-            node = group.column("node").to_pylist()
-            signature = group.column("signature").combine_chunks().flatten().to_numpy().reshape(len(group), -1)
-            found_a, found_b = [], []
-            for low, high in zip(starts, [*starts[1:], len(group)], strict=True):
-                a, b = low + np.flatnonzero(left[low:high]), low + np.flatnonzero(right[low:high])
-                ok = (of[a][:, None] != of[b]) & (100 * np.minimum(n[a][:, None], n[b]) >= percent * np.maximum(n[a][:, None], n[b]))
-                x, y = np.nonzero(ok)
-                near = (signature[a[x]] != signature[b[y]]).sum(1) <= distance
-                found_a += [node[i] for i in a[x[near]]]
-                found_b += [node[i] for i in b[y[near]]]
-            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.binary()), pa.array(found_b, pa.binary())], names=["a", "b"])
-
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
-    pairs = dealt.mapInArrow(compare, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, signs: int = 24, rounds: int = 2) -> DataFrame:
+    def near(group: pa.Table, left: np.ndarray, right: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = group.column("n").to_numpy()
+        signature = group.column("signature").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+        ok = (of[left][:, None] != of[right]) & (100 * np.minimum(n[left][:, None], n[right]) >= percent * np.maximum(n[left][:, None], n[right]))
+        x, y = np.nonzero(ok)
+        x, y = left[x], right[y]
+        close = np.zeros(len(x), bool)
+        for at in range(0, len(x), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            close[part] = (signature[x[part]] != signature[y[part]]).sum(1) <= distance
+        return x[close], y[close]
+
+    return components(_compared(rows, ["key", "i", "j"], near)).select(F.col("component").alias("family"), F.col("node").alias("component"))
+
+
+def _star(members: DataFrame, nodes: DataFrame, distance: int, percent: int) -> DataFrame:
+    """(a, b): nodes and a bucket's pivot within the signatures' distance; two pivots a node at most.
+
+    These are the pivot that most of a node's buckets have and the smallest one.  Others are no loss: they only save
+    work, since _families() looks at all buckets that are not in one component.
+    """
+    often = members.where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("c"))
+    two = often.groupBy("node").agg(F.max(F.struct("c", "pivot")).alias("most"), F.min("pivot").alias("least"))
+    pairs = two.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("most.pivot", "least"))).alias("b"))
+    one, other = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in ("a", "b"))
+    both = pairs.join(one, "a").join(other, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    apart = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x != y), lambda x: x))
+    return both.where(apart <= distance).select("a", "b")
+
+
+def _similar(percent: int):
+    """Which pairs of left and right rows have similar sets, by products of membership tables."""
+
+    def near(group: pa.Table, left: np.ndarray, right: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        items = group.column("items").combine_chunks()
+        size = items.value_lengths().to_numpy().astype(np.int64)
+        values, code = np.unique(items.flatten().to_numpy(), return_inverse=True)
+        owner = np.repeat(np.arange(len(size)), size)
+        order = np.argsort(code, kind="stable")
+        code, owner = code[order], owner[order]
+        shared = np.zeros((len(left), len(right)), np.float32)
+        for low in range(0, len(values), 4096):  # some items at a time
+            some = slice(*np.searchsorted(code, (low, low + 4096)))
+            member = np.zeros((len(size), min(4096, len(values) - low)), np.float32)
+            member[owner[some], code[some] - low] = 1
+            shared += member[left] @ member[right].T
+        union = size[left][:, None] + size[right] - shared
+        x, y = np.nonzero((100 * shared.astype(np.float64) >= percent * union) & (of[left][:, None] != of[right]))
+        return left[x], right[y]
+
+    return near
+
+
+def _with_blocks(members: DataFrame) -> DataFrame:
+    """members with the number of blocks of their family and their own block."""
+    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / _BLOCK), F.lit(1)).cast("int").alias("blocks"))
+    return members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+
+
+def _first_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): nodes that similar sets connect, each family's first block against all of it; members: family, node, items, blocks, block.
+
+    A family of one block is compared whole by this.
+    """
+    first = F.col("block") == 0
+    to = F.when(first, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    rows = members.withColumn("to", F.explode(to)).select(F.xxhash64("family").alias("key"), F.col("to").cast("long").alias("j"), first.alias("left"), (F.col("to") == F.col("block")).alias("right"), "node", F.col("node").alias("component"), "items")
+    return _compared(rows, ["key", "j"], _similar(percent))
+
+
+def _rest_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): components of one family with similar sets; members: family, component, node, items.
+
+    Pairs within the family's largest component need no look, so its nodes only meet those of the others: both are
+    cut into blocks, and a task compares one block of the others with another, or with one of the largest.
+    """
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("family").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
+    blocks = lambda c: F.greatest(F.ceil(c / _BLOCK), F.lit(1)).cast("int")
+    plan = largest.select("family", F.col("top.component").alias("largest"), blocks(F.col("all") - F.col("top.c")).alias("others"), blocks(F.col("top.c")).alias("tops"))
+    rows = members.join(plan, "family").withColumn("is_top", F.col("component") == F.col("largest"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others"))).cast("int"))
+    pair = lambda i, j, left, right: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), left.alias("left"), right.alias("right"))
+    b, yes, no = F.col("block"), F.lit(True), F.lit(False)
+    with_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: pair(F.least(b, o), F.greatest(b, o), b <= o, b >= o))
+    with_tops = F.transform(F.sequence(F.lit(0), F.col("tops") - 1), lambda t: pair(b, F.lit(-1) - t, yes, no))
+    of_top = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: pair(o, F.lit(-1) - b, no, yes))
+    rows = rows.withColumn("p", F.explode(F.when(F.col("is_top"), of_top).otherwise(F.concat(with_others, with_tops))))
+    return _compared(rows.select(F.xxhash64("family").alias("key"), "p.*", "node", "component", "items"), ["key", "i", "j"], _similar(percent))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, signs: int = 24) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text).
 
     Words are runs without ASCII white space, A-Z in lower case; a text with fewer words than a shingle has all of
@@ -142,33 +251,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, signs:
     unless all are null, and is not kept then; an empty table gives no rows; other columns are ignored.
     """
     docs = pick(docs, doc_id="long", text="string")
+    distance = 2 * (signs // 3) - 1
     signed_docs = kept(signatures(docs, shingle, signs))
-    nodes = signed_docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("signature").alias("signature"))
-    nodes = kept(nodes)
+    nodes = kept(signed_docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("signature").alias("signature")))
     keys = index_keys(nodes, signs)
     buckets = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").select("key", "pivot")
     members = kept(keys.join(buckets, "key"))
-    wanted = members.select("node").distinct().join(nodes, "node").select(F.coalesce("doc", F.lit(_NO_ID)).alias("wanted")).distinct()
-    texts = docs.join(kept(wanted), F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("wanted"), "left_semi")
-    sets = kept(shingle_sets(texts, shingle))
-    pairs = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = kept(confirmed(pairs, sets, percent))
+    families = components(_star(members, nodes, distance, percent))
+    placed = members.join(families, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("key")
+    open_ = kept(placed.join(split, "key").select("key", "node", "component").join(nodes.select("node", "n", "signature"), "node"))
+    wider = kept(_families(open_, distance, percent))
+    # a component that no open bucket connects is a family, and a node that only they connect had none
+    families = families.select("node", "component").union(open_.select("node", "component")).distinct().join(wider, "component", "left")
+    families = kept(families.select("node", F.coalesce("family", "component").alias("family")))
+    single = families.groupBy("family").agg(F.count("*").alias("c")).where("c > 1").select("family")
+    families = families.join(single, "family")
+    wanted = kept(families.join(nodes, "node").select(F.coalesce("doc", F.lit(_NO_ID)).alias("wanted")).distinct())
+    texts = docs.join(wanted, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("wanted"), "left_semi")
+    sets = shingle_sets(texts, shingle).join(families, "node").select("family", "node", "items")
+    blocked = kept(_with_blocks(sets))
+    links = kept(_first_links(blocked, percent))
     labels = components(links)
-    for again in range(rounds):
-        placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max(F.struct("component", "node")).alias("next")).where(F.col("least") != F.col("next.component"))
-        open_ = kept(placed.join(split, "key").select("key", "node", "component", "pivot", F.col("next.node").alias("next")))
-        if not open_.limit(1).count():
-            break
-        if again == rounds - 1:
-            pairs = _cross_pairs(open_.select("key", "node", "component").join(nodes.select("node", "n", "signature"), "node"), 2 * (signs // 3) - 1, percent)
-        else:  # the next pivot is of another component than the smallest one
-            of = open_.where("node = next").select("key", F.col("component").alias("of"))
-            pairs = open_.join(of, "key").where((F.col("component") != F.col("of")) & (F.col("node") != F.col("pivot"))).select(F.col("node").alias("a"), F.col("next").alias("b")).distinct()
-        more = kept(confirmed(pairs, sets, percent))
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = components(links)
+    large = blocked.where("blocks > 1")
+    if large.limit(1).count():
+        rest = large.join(labels, "node", "left").select("family", F.coalesce("component", "node").alias("component"), "node", "items")
+        labels = components(links.union(_rest_links(rest, percent)))
     smallest = labels.join(nodes, "node").groupBy("component").agg(F.min("doc").alias("component_id"))
     linked = labels.join(smallest, "component").select("node", "component_id")
     of_node = nodes.join(linked, "node", "left").select("node", F.coalesce("component_id", "doc").alias("component_id"))
