@@ -39,4 +39,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load() -> None:
-    from .plans import q_intervals, q_pileups, q_variants  # noqa: F401
+    from .plans import q_intervals, q_pileups, q_sources, q_variants  # noqa: F401

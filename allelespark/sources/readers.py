@@ -1,13 +1,111 @@
-"""Readers of tab-separated genomic tables."""
+"""Readers of tab-separated genomic tables.  Names and types are positional, whatever a file's own header says."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.vcf import sample_name
+from ..operators.contigs import contig_table
+
+Paths = str | Sequence[str]
+PILEUP = "contig string, position long, ref_count long, alt_count long, other_alt_count long, allele_frequency double"
+CONTAMINATION = "sample string, contamination double, error double"
+SEGMENTS = "contig string, start long, stop long, minor_allele_fraction double"
+MODELED_SEGMENTS = "contig string, start long, stop long, n_probes long, n_hets long, cr10 double, cr50 double, cr90 double, maf10 double, maf50 double, maf90 double, call string"
+PARAMETERS = "PARAMETER_NAME string, POSTERIOR_10 double, POSTERIOR_50 double, POSTERIOR_90 double"
+COPY_RATIOS = "contig string, start long, stop long, log2_cr double"
+INTERVALS = "contig string, start long, stop long"
+VCF = "contig string, position long, id string, ref string, alt string, qual string, filter string, info string, format string"
+ALLELIC_COUNTS = "contig string, position long, ref_count long, alt_count long, ref string, alt string"
+
+
+def read_table(spark: SparkSession, paths: Paths, schema: str, comment: str = "#", header: bool = True, with_path: bool = False) -> DataFrame:
+    """A tab-separated table; lines that begin with the comment character are passed over, and so is a header line.
+
+    Missing files and empty ones give no rows, rows of other widths are filled or cut, what is no number is null;
+    `.gz` is read as such.  with_path adds the file's path, to tell samples apart.
+    """
+    reader = spark.read.schema(schema).option("sep", "\t").option("header", header).option("mode", "PERMISSIVE").option("ignoreMissingFiles", True).option("nullValue", "NA").option("nanValue", "NaN").option("enforceSchema", True)
+    rows = reader.option("comment", comment).csv([paths] if isinstance(paths, str) else list(paths))
+    return rows.withColumn("path", F.col("_metadata.file_path")) if with_path else rows
+
+
+def read_pileup(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Pileups with the sample named in each file's first line."""
+    rows = read_table(spark, paths, PILEUP, with_path=True)
+    return rows.join(header_sample_names(spark, paths), "path", "left").drop("path")
+
+
+def header_sample_names(spark: SparkSession, paths: Paths) -> DataFrame:
+    """path, sample from a line #<METADATA>SAMPLE=x or @RG with SM:x."""
+    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("path"), sample_name(F.col("value")).alias("sample"))
+    return lines.where("sample IS NOT NULL").groupBy("path").agg(F.min("sample").alias("sample"))
+
+
+def read_contamination(spark: SparkSession, paths: Paths, floor: float = 1e-6) -> DataFrame:
+    """The first row of each file, its error not below the floor."""
+    rows = read_table(spark, paths, CONTAMINATION, with_path=True).withColumn("_r", F.monotonically_increasing_id())
+    first = rows.withColumn("_k", F.row_number().over(Window.partitionBy("path").orderBy("_r"))).where("_k = 1")
+    return first.select("sample", "contamination", F.greatest("error", F.lit(floor)).alias("error"))
+
+
+def read_modeled_segments(spark: SparkSession, paths: Paths) -> DataFrame:
+    return read_table(spark, paths, MODELED_SEGMENTS, comment="@")
+
+
+def read_model_parameters(spark: SparkSession, paths: Paths, names: Sequence[str]) -> DataFrame:
+    """path and a column per parameter: its POSTERIOR_50."""
+    rows = read_table(spark, paths, PARAMETERS, comment="@", with_path=True)
+    return model_parameters(rows.withColumnRenamed("path", "sample"), names).withColumnRenamed("sample", "path")
+
 
 def model_parameters(long: DataFrame, names: Sequence[str]) -> DataFrame:
     """sample and a column per parameter from the long table (sample, PARAMETER_NAME, POSTERIOR_50)."""
     return long.groupBy("sample").pivot("PARAMETER_NAME", list(names)).agg(F.first("POSTERIOR_50"))
+
+
+def read_copy_ratios(spark: SparkSession, paths: Paths, schema: str = COPY_RATIOS, comment: str = "@") -> DataFrame:
+    return read_table(spark, paths, schema, comment)
+
+
+def read_vcf(spark: SparkSession, paths: Paths) -> DataFrame:
+    return read_table(spark, paths, VCF, header=False)
+
+
+def read_vcf_contigs(spark: SparkSession, path: str) -> DataFrame:
+    """contig, ord in the header's order; a header is a file's first block, so the order is that of its lines."""
+    lines = spark.read.text(path).select(F.regexp_extract("value", r"^##contig=<ID=([^,>]+)", 1).alias("contig"), F.monotonically_increasing_id().alias("ord"))
+    return lines.where("contig <> ''")
+
+
+def read_dictionary(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """contig, ord, from @SQ lines; without a file the default contigs."""
+    if path is None:
+        return contig_table(spark)
+    lines = spark.read.text(path).select(F.regexp_extract("value", r"^@SQ.*\tSN:([^\t]+)", 1).alias("contig"), F.regexp_extract("value", r"\tLN:(\d+)", 1).try_cast("long").alias("length"), F.monotonically_increasing_id().alias("ord"))
+    return lines.where("contig <> ''")
+
+
+def read_intervals(spark: SparkSession, paths: Paths, comment: str = "@", header: bool = True, bed: bool = False) -> DataFrame:
+    """Closed 1-based intervals; a BED file's starts are one less."""
+    rows = read_table(spark, paths, INTERVALS, comment, header)
+    return rows.withColumn("start", F.col("start") + 1) if bed else rows
+
+
+def read_cast(spark: SparkSession, paths: Paths, types: Mapping[str, str], comment: str = "#") -> DataFrame:
+    """A table by its own header, all text, then each named column cast where its text allows."""
+    rows = spark.read.option("sep", "\t").option("header", True).option("comment", comment).csv([paths] if isinstance(paths, str) else list(paths))
+    return rows.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if c in rows.columns})
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """path: a file of paths, one a line."""
+    return spark.read.text(path).select(F.trim("value").alias("path")).where("path <> ''")
+
+
+def existing_artifacts(spark: SparkSession, paths: Paths) -> DataFrame:
+    """path, length of the files that are not empty; an empty file stands for a missing artifact."""
+    return spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select("path", "length").where("length > 0")
