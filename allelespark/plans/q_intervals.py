@@ -267,3 +267,18 @@ def _(spark, d):
     events = spark.read.parquet(f"{d}/events.parquet")
     st = events.where("event_id % 7 = 0").selectExpr("event_type AS contig", "event_id % 100 * 3 AS position")
     return reads_at_sites(READS(spark, d), st).select("ord")
+
+
+@query("e9_coverage", f"WITH {GOOD}, pn AS ({_PANEL}) SELECT p.contig, p.start, p.stop, count(r.ord) AS count FROM pn p LEFT JOIN (SELECT * FROM good WHERE clip <= 15) r ON r.contig = p.contig AND r.start BETWEEN p.start AND p.stop GROUP BY ALL")
+def _(spark, d):
+    from .pipelines import coverage_of
+
+    return coverage_of(READS(spark, d), panel(spark, d), max_clipped=15)[0]
+
+
+@query("e10_harmonize_cohort", f"WITH pc AS (SELECT *, concat('P', CAST(ord % 2 AS VARCHAR)) AS patient FROM copy_ratios), pts AS (SELECT DISTINCT patient, contig, unnest([start, stop]) AS l FROM pc), gaps AS (SELECT patient, contig, l, lead(l) OVER (PARTITION BY patient, contig ORDER BY l) AS r FROM pts), nb AS (SELECT *, lag(l) OVER o AS pl, lag(r) OVER o AS pr, lead(l) OVER o AS nl, lead(r) OVER o AS nr FROM (SELECT * FROM gaps g WHERE r IS NOT NULL AND EXISTS (SELECT 1 FROM pc c WHERE c.patient = g.patient AND c.contig = g.contig AND c.start <= l AND c.stop > l)) WINDOW o AS (PARTITION BY patient, contig ORDER BY l)), el AS (SELECT * FROM nb WHERE NOT coalesce(r - l <= 1 AND pr = l AND nl = r AND pr - pl > 1 AND nr - nl > 1, false)), lo AS (SELECT e.patient, e.contig, e.l AS start, e.r AS stop, sample, min(log2_cr) AS log2_cr FROM el e JOIN pc c ON c.patient = e.patient AND c.contig = e.contig AND c.start <= e.l AND c.stop > e.l GROUP BY ALL) SELECT * FROM lo SEMI JOIN (SELECT patient, contig, start, stop FROM lo GROUP BY ALL HAVING count(DISTINCT sample) = 4) USING (patient, contig, start, stop)")
+def _(spark, d):
+    from .pipelines import harmonize_cohort
+
+    rows = CR(spark, d).withColumn("patient", F.concat(F.lit("P"), (F.col("ord") % 2).cast("string")))
+    return harmonize_cohort(rows, {"log2_cr": "min"}, spark.createDataFrame([("P0", 4), ("P1", 4)], "patient string, n long"))

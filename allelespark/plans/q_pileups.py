@@ -473,3 +473,11 @@ def _(spark, d):
 @query("a8_harmonize_segments", None)
 def _(spark, d):
     return harmonize_segments(view(spark, d, "segments"))
+
+
+@query("e11_genotype_snp_panel")
+def _(spark, d):
+    from .pipelines import genotype_panel
+
+    out = genotype_panel(RUNS(spark, d), view(spark, d, "variants"), normals=["S0"], sex="XY")
+    return ln99(out.select("contig", "position", *pileups.COUNTS, "genotype", *genotype.GENOTYPES))

@@ -250,3 +250,13 @@ def _(spark, d):
 def _(spark, d):
     rows = V(spark, d).select("ord", "contig", "position")
     return maf.merge(rows.where("ord % 2 = 0"), rows.where("ord % 2 = 1"))
+
+
+_NEW = f"nf AS (SELECT ord, CASE WHEN len(f) = 0 THEN 'PASS' ELSE array_to_string(f, ';') END AS filter FROM (SELECT ord, a || list_filter(b, lambda t: NOT list_contains(a, t)) AS f FROM (SELECT ord, list_filter({_TAGS}, lambda t: t <> 'PASS') AS a, {_FAILED} AS b FROM variants)))"
+
+
+@query("e8_filter_variants", f"WITH {_NEW} SELECT ord, filter, len(list_filter({_TAGS}, lambda t: t NOT IN ('PASS', 'normal_artifact'))) = 0 AS somatic, list_contains({_TAGS}, 'germline') AND len(list_filter({_TAGS}, lambda t: t NOT IN ('germline', 'normal_artifact', 'panel_of_normals'))) = 0 AS germline FROM nf")
+def _(spark, d):
+    from .pipelines import filter_variants
+
+    return filter_variants(V(spark, d)).select("ord", "filter", "somatic", "germline")
