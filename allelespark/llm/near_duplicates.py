@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import kept, pick, table
@@ -29,7 +29,8 @@ from .stream import whole_groups
 from .words import mix, ngrams, parts, ranged, signed, words
 
 _NO_ID = -(1 << 63)
-_BLOCK = 512
+#: Rows, and items of their sets, in a block; a task holds two blocks at a time.
+_BLOCK, _ITEMS = 512, 1 << 18
 
 
 def _seeds(n: int) -> np.ndarray:
@@ -201,9 +202,13 @@ def _similar(percent: int):
     return near
 
 
+def _blocks(rows: Column, items: Column) -> Column:
+    return F.greatest(F.ceil(rows / _BLOCK), F.ceil(items / _ITEMS), F.lit(1)).cast("int")
+
+
 def _with_blocks(members: DataFrame) -> DataFrame:
     """members with the number of blocks of their family and their own block."""
-    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / _BLOCK), F.lit(1)).cast("int").alias("blocks"))
+    sizes = members.groupBy("family").agg(_blocks(F.count("*"), F.sum(F.size("items"))).alias("blocks"))
     return members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
 
 
@@ -224,10 +229,9 @@ def _rest_links(members: DataFrame, percent: int) -> DataFrame:
     Pairs within the family's largest component need no look, so its nodes only meet those of the others: both are
     cut into blocks, and a task compares one block of the others with another, or with one of the largest.
     """
-    sizes = members.groupBy("family", "component").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("family").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
-    blocks = lambda c: F.greatest(F.ceil(c / _BLOCK), F.lit(1)).cast("int")
-    plan = largest.select("family", F.col("top.component").alias("largest"), blocks(F.col("all") - F.col("top.c")).alias("others"), blocks(F.col("top.c")).alias("tops"))
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum(F.size("items")).alias("s"))
+    largest = sizes.groupBy("family").agg(F.max(F.struct("c", "s", "component")).alias("top"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+    plan = largest.select("family", F.col("top.component").alias("largest"), _blocks(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("others"), _blocks(F.col("top.c"), F.col("top.s")).alias("tops"))
     rows = members.join(plan, "family").withColumn("is_top", F.col("component") == F.col("largest"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others"))).cast("int"))
     pair = lambda i, j, left, right: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), left.alias("left"), right.alias("right"))

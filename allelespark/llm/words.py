@@ -16,6 +16,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
+# workers live on between stages: the system's allocator gives freed memory back
+pa.set_memory_pool(pa.system_memory_pool())
+
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: [\x20\x09-\x0D]
 SPACES = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
