@@ -45,6 +45,25 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with this share of all rows is hot, so this many keys are hot at most; its rows go to SALTS groups.
+_HOT, _LEAST, SALTS = 1000, 1024, 64
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, count: str, *by: str) -> DataFrame:
+    """rows joined with groups (a kept() table, one row for each key) by `key`, so that no key fills one task.
+
+    `count` is a group's number of rows.  Hot keys are few by definition and broadcast to mark their rows, which a
+    hash of the columns `by` deals over salts; a hot key's group is copied to each salt.
+    """
+    total = groups.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    is_hot = F.col(count) >= max(-(-total // _HOT), _LEAST)
+    hot = groups.where(is_hot).select(F.col(key).alias("_hot"))
+    salted = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    salted = salted.withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
+    copied = groups.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return salted.join(copied, [key, "_salt"]).drop("_salt")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept, pick, set_aside, table
+from .common import kept, pick, set_aside, spread_join, table
 from .words import _BYTE, NEWLINE, Words, parts, ranged, signed, words
 
 _NO_ID = (1 << 63) - 1  # a null doc_id comes last
@@ -49,8 +49,8 @@ def line_table(docs: DataFrame) -> DataFrame:
 def _intervals(named: DataFrame) -> DataFrame:
     """The suffixes whose name others have too, and their interval's first place."""
     where = F.struct("doc", "text", "place")
-    groups = named.groupBy("name").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1").select(F.col("name").alias("_name"), "first")
-    return named.drop("first").join(groups, F.col("name") == F.col("_name")).drop("_name")
+    groups = kept(named.groupBy("name").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1"))
+    return spread_join(named.drop("first"), groups, "name", "c", "doc", "text", "place").drop("c")
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> DataFrame:
@@ -67,7 +67,7 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> Da
         ahead = min(level, min_lines - level)
         step = Window.partitionBy("doc", "text").orderBy("place").rangeBetween(ahead, ahead)
         named = named.withColumn("next", F.first("name").over(step)).where("next IS NOT NULL")
-        named = _intervals(named.withColumn("name", F.xxhash64("name", "next")).drop("next"))
+        named = _intervals(kept(named.withColumn("name", F.xxhash64("name", "next")).drop("next")))
         level += ahead
     return found if min_lines == 1 and min_words <= 1 else found.union(named.where(later).select("doc", "text", "place", F.lit(min_lines)))
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from allelespark.llm import decontaminate, language, licenses, lines, mixing, near_duplicates, neighbours, substrings, tokens, trie, urls
+from allelespark.llm import common, decontaminate, language, licenses, lines, mixing, near_duplicates, neighbours, substrings, tokens, trie, urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, DOC_ID string, size string, score string"
 
@@ -295,3 +295,21 @@ def test_url_rules(spark):
     assert got[1].verdict == "allow" and got[2].verdict == "block" and got[8].verdict == "allow"
     assert got[9].host == "u.example.com:80" and got[9].path == "/en/" and got[6].host == got[7].path == ""
     assert all(r.verdict in ("allow", "block") for r in got.values())
+
+
+def test_spread_join_gives_the_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "_LEAST", 100)
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 400).alias("name"), F.col("id").alias("place"))
+    groups = common.kept(rows.groupBy("name").agg(F.count("*").alias("c"), F.min("place").alias("first")).where("c > 5"))
+    got = common.spread_join(rows, groups, "name", "c", "place")
+    assert got.columns == ["name", "place", "c", "first"]
+    assert sorted(got.collect()) == sorted(rows.join(groups, "name").collect())
+    assert common.spread_join(rows, common.kept(groups.where("false")), "name", "c", "place").count() == 0
+
+
+def test_hot_lines_and_families(spark, monkeypatch):
+    rows = [(i, "a line that is found in each and every document\n" + f"only here {i} " * (i % 3)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [by_row(f(docs)) for f in (lines.remove_repeated_lines, near_duplicates.near_duplicates)]
+    monkeypatch.setattr(common, "_LEAST", 1)
+    assert [by_row(f(docs)) for f in (lines.remove_repeated_lines, near_duplicates.near_duplicates)] == want
