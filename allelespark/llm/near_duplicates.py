@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept, pick, table
+from .common import kept, pick, spread_join, table
 from .components import components
 from .stream import whole_groups
 from .words import mix, ngrams, parts, ranged, signed, words
@@ -141,10 +141,10 @@ def _compared(rows: DataFrame, keys: list[str], near) -> DataFrame:
 def _families(open_: DataFrame, distance: int, percent: int) -> DataFrame:
     """(component, family): components with members in one bucket within the signatures' distance, put together.
 
-    open_: key, node, component, n, signature.  Large buckets are cut into blocks, compared two at a time.
+    open_: key, node, component, n, signature, and c, the key's number of rows.  Large buckets are cut into blocks,
+    compared two at a time.
     """
-    counts = open_.groupBy("key").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
-    rows = open_.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    rows = open_.withColumn("blocks", F.ceil(F.col("c") / _BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     # a node of block x goes to the block pairs (x, y) and (y, x), smaller first
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").cast("long").alias("i"), F.greatest("block", "other").cast("long").alias("j"), (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"), "node", "component", "n", "signature")
@@ -207,9 +207,10 @@ def _blocks(rows: Column, items: Column) -> Column:
 
 
 def _with_blocks(members: DataFrame) -> DataFrame:
-    """members with the number of blocks of their family and their own block."""
-    sizes = members.groupBy("family").agg(_blocks(F.count("*"), F.sum(F.size("items"))).alias("blocks"))
-    return members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    """family, node, blocks (of the family), block (the node's), for families of two or more; members: family, node, n."""
+    sizes = members.groupBy("family").agg(F.count("*").alias("c"), _blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    members = spread_join(members, kept(sizes.where("c > 1")), "family", "c", "node")
+    return members.select("family", "node", "blocks", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int").alias("block"))
 
 
 def _first_links(members: DataFrame, percent: int) -> DataFrame:
@@ -229,10 +230,12 @@ def _rest_links(members: DataFrame, percent: int) -> DataFrame:
     Pairs within the family's largest component need no look, so its nodes only meet those of the others: both are
     cut into blocks, and a task compares one block of the others with another, or with one of the largest.
     """
-    sizes = members.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum(F.size("items")).alias("s"))
+    small = kept(members.select("family", "component", "node", F.size("items").alias("s")))
+    sizes = small.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum("s").alias("s"))
     largest = sizes.groupBy("family").agg(F.max(F.struct("c", "s", "component")).alias("top"), F.sum("c").alias("c"), F.sum("s").alias("s"))
-    plan = largest.select("family", F.col("top.component").alias("largest"), _blocks(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("others"), _blocks(F.col("top.c"), F.col("top.s")).alias("tops"))
-    rows = members.join(plan, "family").withColumn("is_top", F.col("component") == F.col("largest"))
+    plan = largest.select("family", "c", F.col("top.component").alias("largest"), _blocks(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("others"), _blocks(F.col("top.c"), F.col("top.s")).alias("tops"))
+    placed = spread_join(small, kept(plan), "family", "c", "node").drop("s", "c")
+    rows = placed.join(members.select("node", "items"), "node").withColumn("is_top", F.col("component") == F.col("largest"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others"))).cast("int"))
     pair = lambda i, j, left, right: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), left.alias("left"), right.alias("right"))
     b, yes, no = F.col("block"), F.lit(True), F.lit(False)
@@ -259,22 +262,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, signs:
     signed_docs = kept(signatures(docs, shingle, signs))
     nodes = kept(signed_docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("signature").alias("signature")))
     keys = index_keys(nodes, signs)
-    buckets = keys.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").select("key", "pivot")
-    members = kept(keys.join(buckets, "key"))
+    buckets = kept(keys.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1"))
+    members = kept(spread_join(keys, buckets, "key", "c", "node").drop("c"))
     families = components(_star(members, nodes, distance, percent))
     placed = members.join(families, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("key")
-    open_ = kept(placed.join(split, "key").select("key", "node", "component").join(nodes.select("node", "n", "signature"), "node"))
+    split = placed.groupBy("key").agg(F.count("*").alias("c"), F.min("component").alias("least"), F.max("component").alias("most"))
+    split = kept(split.where("least != most").select("key", "c"))
+    open_ = spread_join(placed.select("key", "node", "component"), split, "key", "c", "node")
+    open_ = kept(open_.join(nodes.select("node", "n", "signature"), "node"))
     wider = kept(_families(open_, distance, percent))
     # a component that no open bucket connects is a family, and a node that only they connect had none
     families = families.select("node", "component").union(open_.select("node", "component")).distinct().join(wider, "component", "left")
-    families = kept(families.select("node", F.coalesce("family", "component").alias("family")))
-    single = families.groupBy("family").agg(F.count("*").alias("c")).where("c > 1").select("family")
-    families = families.join(single, "family")
+    families = kept(families.select("node", F.coalesce("family", "component").alias("family")).join(nodes.select("node", "n"), "node"))
+    families = kept(_with_blocks(families))
     wanted = kept(families.join(nodes, "node").select(F.coalesce("doc", F.lit(_NO_ID)).alias("wanted")).distinct())
     texts = docs.join(wanted, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("wanted"), "left_semi")
-    sets = shingle_sets(texts, shingle).join(families, "node").select("family", "node", "items")
-    blocked = kept(_with_blocks(sets))
+    blocked = kept(shingle_sets(texts, shingle).join(families, "node").dropDuplicates(["node"]).select("family", "node", "items", "blocks", "block"))
     links = kept(_first_links(blocked, percent))
     labels = components(links)
     large = blocked.where("blocks > 1")
