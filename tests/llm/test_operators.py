@@ -122,6 +122,18 @@ def test_contamination_against_brute_force(spark):
     assert clean.count() == sum(not x[-1] for x in want)
 
 
+def test_contamination_by_groups_of_windows(spark):
+    docs = documents(spark)
+    text = documents(spark).collect()[5][1]
+    items = [(1, " ".join(text.split()[10:40])), (2, "TWO words"), (3, None), (10, ""), (4, text), (5, text), (None, "one"), (6, "a b " * 40)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    want = by_row(decontaminate.contamination(docs, items))
+    assert sum(r[2] > 0 for r in want) > 3
+    assert by_row(decontaminate.contamination(docs, items, max_windows=40)) == want  # an error before: refused by its characters
+    assert by_row(decontaminate.contamination(docs, items, max_bytes=3000)) == want
+    assert sorted(r.text or "" for r in decontaminate.decontaminate(docs, items, max_windows=40).collect()) == sorted(r.text or "" for r in decontaminate.decontaminate(docs, items).collect())
+
+
 def test_substrings_against_brute_force(spark):
     docs = documents(spark)
     rows = sorted(set(pairs(spark, docs)), key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or ""))
