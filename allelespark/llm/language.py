@@ -23,7 +23,7 @@ def piece_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             langs = batch.column(0).dictionary_encode()
-            tokens = pretokens(batch.column(1))
+            tokens = pretokens(batch.column(1), None)
             names, of = langs.dictionary.to_pylist(), langs.indices.to_numpy()
             place = np.repeat(of, np.diff(tokens.first)) * len(tokens.start) + tokens.index
             weights = np.bincount(place, minlength=len(names) * len(tokens.start)).reshape(len(names), -1).T
@@ -51,8 +51,8 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
     is the product over its words.  lang_pred is the likeliest language and score its share among the languages.
 
     A text that is null or has no letter gives "und" and score 0, and so does every text if there is nothing to
-    learn from.  Ties go to the smaller name; rows that repeat give a row each; an empty table gives no rows; the
-    longest words are cut as in trie.py.  Columns named lang_pred or score are replaced.
+    learn from.  Ties go to the smaller name; rows that repeat give a row each; an empty table gives no rows; words
+    of any length are scored whole.  Columns named lang_pred or score are replaced.
     """
     known, _ = vocabulary(path)
     docs, back = set_aside(docs, "doc_id", "text", "lang", "lang_pred", "score")
@@ -74,7 +74,7 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
                 some[i] = any(map(str.isalpha, texts[i].as_py()))
             names, score = np.full(n, UNKNOWN, object), np.zeros(n)
             if langs:
-                tokens = pretokens(texts)
+                tokens = pretokens(texts, None)
                 value = np.zeros((len(tokens.index) + 1, len(langs)))
                 np.cumsum(forward(tokens, vocabulary(path)[0], logp)[0][tokens.index], axis=0, out=value[1:])
                 total = value[tokens.first[1:]] - value[tokens.first[:-1]]

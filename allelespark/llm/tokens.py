@@ -21,7 +21,7 @@ def count_tokens(docs: DataFrame, path: str = VOCABULARY, smoothing: float = 0.1
     Piece probabilities over the fixed vocabulary are counted over all of docs.  The distinct pre-tokens of each
     piece of text stand in a trie; n_tokens adds up the terminal counts of their best segmentations (the fewest
     pieces among equally likely ones), best_log_probability their scores, log_probability the scores summed over
-    all segmentations.
+    all segmentations.  A pre-token is a word of any length, scored whole.
 
     Null and empty texts have no tokens and score 0; rows that repeat give a row each; an empty table gives no rows;
     other columns are ignored.
@@ -33,7 +33,7 @@ def count_tokens(docs: DataFrame, path: str = VOCABULARY, smoothing: float = 0.1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            tokens = pretokens(batch.column(1))
+            tokens = pretokens(batch.column(1), None)
             best, number = forward(tokens, vocabulary(path)[0], model.value, best=True)
             every, _ = forward(tokens, vocabulary(path)[0], model.value)
             added = lambda x, tokens=tokens: np.diff(np.concatenate([np.zeros(1, x.dtype), np.cumsum(x[tokens.index])])[tokens.first])

@@ -1,9 +1,11 @@
 """Forward scores of pre-tokens under unigram piece models, computed on a trie of the distinct pre-tokens.
 
-A pre-token is a word (a run without ASCII white space) after a word-start mark; runs of more than LIMIT bytes are
-cut into pre-tokens of LIMIT bytes, only the first with the mark.  The trie is made level by level: nodes of depth t
-are the distinct pairs of a parent and a byte.  A node's score needs its ancestors' scores and the pieces that end
-at it, so each shared prefix is scored once, and a pre-token's score stands at its terminal node.
+A pre-token is a word (a run without ASCII white space) after a word-start mark, however long it is; pretokens()
+can also cut runs of more than `limit` bytes, only the first pre-token with the mark.  The trie is made level by
+level: nodes of depth t are the distinct pairs of a parent and a byte.  A node's score needs its ancestors' scores
+and the pieces that end at it, so each shared prefix is scored once, and a pre-token's score stands at its terminal
+node.  Pre-tokens of more than LIMIT bytes hardly share prefixes: they are scored side by side, in blocks of bytes
+that hand their last scores on.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import sentencepiece
 from .words import _BYTE, mix, powers, ranged, words
 
 LIMIT = 64
+_BLOCK = 1 << 16
 MARK = b" "
 #: Where the environment has public tokenizers' vocabularies.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -78,16 +81,16 @@ class PreTokens(NamedTuple):
         return [data[s : s + n] for s, n in zip(self.start.tolist(), self.length.tolist(), strict=True)]
 
 
-def pretokens(texts: pa.Array) -> PreTokens:
+def pretokens(texts: pa.Array, limit: int | None = LIMIT) -> PreTokens:
     w = words(texts)
     start, end, first, head = w.start, w.end, w.first, np.ones(len(w.start), bool)
-    cuts = -(-(end - start) // LIMIT)
+    cuts = -(-(end - start) // limit) if limit else np.ones(len(start), np.int64)
     if len(cuts) and cuts.max() > 1:
         sums = np.concatenate([[0], np.cumsum(cuts)])
         of = np.repeat(np.arange(len(start)), cuts)
-        offset = (np.arange(sums[-1]) - sums[of]) * LIMIT
+        offset = (np.arange(sums[-1]) - sums[of]) * limit
         start, head, first = start[of] + offset, offset == 0, sums[first]
-        end = np.minimum(start + LIMIT, end[of])
+        end = np.minimum(start + limit, end[of])
     h = ranged(_BYTE[w.data], start, end)
     _, where, index = np.unique(np.where(head, h, mix(h)), return_index=True, return_inverse=True)
     mark = head[where].astype(np.int64)
@@ -115,6 +118,11 @@ def forward(tokens: PreTokens, known: Pieces, logp: np.ndarray, best: bool = Fal
     sums = np.zeros(len(tokens.data) + 1, np.uint64)
     np.cumsum(_BYTE[tokens.data] * powers(len(tokens.data)), out=sums[1:])
     inverse = powers(len(tokens.data) + 1, pow(int(powers(2)[1]), -1, 1 << 64)) if len(tokens.data) else sums
+    many = int(np.searchsorted(-length, -(LIMIT + 1), "left"))  # those of more than LIMIT bytes and the mark
+    if many:
+        scores[order[:many]], counts[order[:many]] = _forward_long(start[:many], length[:many], tokens.data, sums, inverse, known, logp, best)
+        order, start, length = order[many:], start[many:], length[many:]
+        n -= many
     node, level, number = [np.zeros(n, np.int64)], [np.zeros((1, models))], [np.zeros(1, np.int64)]
     for t in range(1, int(length[0]) + 1 if n else 0):
         alive = int(np.searchsorted(-length, -t, "right"))  # the pre-tokens of t bytes or more
@@ -154,6 +162,66 @@ def forward(tokens: PreTokens, known: Pieces, logp: np.ndarray, best: bool = Fal
     return scores, counts
 
 
+def _forward_long(start: np.ndarray, length: np.ndarray, data: np.ndarray, sums: np.ndarray, inverse: np.ndarray, known: Pieces, logp: np.ndarray, best: bool) -> tuple[np.ndarray, np.ndarray]:
+    """forward() of pre-tokens by falling length, without a trie.
+
+    The pieces of a block of bytes (of about _BLOCK, over all pre-tokens that reach it) are found at once; the
+    scores of the last `longest` places before a block are all that its own scores need.
+    """
+    n, models, back = len(start), logp.shape[1], known.longest
+    scores, counts = np.zeros((n, models)), np.zeros(n, np.int64)
+    value, number = np.full((back, n, models), -np.inf), np.zeros((back, n), np.int64)  # of the places up to t0
+    value[-1] = 0
+    t0 = 0
+    while t0 < length[0]:
+        alive = int(np.searchsorted(-length, -t0, "left"))  # the pre-tokens of more than t0 bytes
+        wide = int(min(max(8, _BLOCK // alive), length[0] - t0))
+        value = np.concatenate([value[:, :alive], np.full((wide, alive, models), -np.inf)])
+        number = np.concatenate([number[:, :alive], np.zeros((wide, alive), np.int64)])
+        t, run = np.divmod(np.arange(wide * alive), alive)
+        inside = t + t0 < length[run]
+        t, run = t[inside], run[inside]
+        end = start[run] + t0 + t + 1
+        places, sizes, ids = [], [], []
+        for size in range(1, back + 1):
+            some = np.flatnonzero(t + t0 + 1 >= size)
+            at, found = known.find(mix((sums[end[some]] - sums[end[some] - size]) * inverse[end[some] - size]))
+            at = some[at]
+            if size == 1:  # a byte that is no piece as a character falls back to its own piece
+                rest = np.setdiff1d(np.arange(len(t)), at)
+                at, found = np.append(at, rest), np.append(found, known.single[data[end[rest] - 1]])
+            places.append(at)
+            sizes.append(np.full(len(at), size))
+            ids.append(found)
+        place, size, id_ = np.concatenate(places), np.concatenate(sizes), np.concatenate(ids)
+        by = np.argsort(place, kind="stable")  # by t, then by pre-token
+        place, size, id_ = place[by], size[by], id_[by]
+        first = np.flatnonzero(np.diff(place, prepend=-1))  # each place has its byte's piece at least
+        row, of, source = t[place], run[place], back + t[place] - size
+        low = np.searchsorted(row, np.arange(wide + 1)).tolist()
+        begin = np.searchsorted(first, low).tolist()
+        for k in range(wide):
+            a, b = low[k], low[k + 1]
+            if a == b:
+                break
+            starts = first[begin[k] : begin[k + 1]] - a
+            target = of[a:b][starts]
+            step = value[source[a:b], of[a:b]] + logp[id_[a:b]]
+            top = np.maximum.reduceat(step, starts)
+            each = np.repeat(top, np.diff(starts, append=b - a), axis=0)
+            if best:
+                pieces_ = np.where(step[:, 0] == each[:, 0], number[source[a:b], of[a:b]] + 1, np.iinfo(np.int64).max)
+                number[back + k, target] = np.minimum.reduceat(pieces_, starts)
+            else:
+                top = top + np.log(np.add.reduceat(np.exp(step - each), starts))
+            value[back + k, target] = top
+        done = np.flatnonzero(length[:alive] <= t0 + wide)
+        scores[done], counts[done] = value[back - 1 + length[done] - t0, done], number[back - 1 + length[done] - t0, done]
+        value, number = value[wide:], number[wide:]
+        t0 += wide
+    return scores, counts
+
+
 def encoded_counts(tokens: PreTokens, weights: np.ndarray, path: str) -> np.ndarray:
     """(pieces, models): how often each piece stands in the tokenizer's own encoding; weights is (distinct, models)."""
     known, encoder = vocabulary(path)

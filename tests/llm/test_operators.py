@@ -233,6 +233,48 @@ def test_forward_sums_all_segmentations():
     assert np.diff(made.first).tolist() == [4, 0, 0, 2]
 
 
+def _plain(word, known, ids, logp):
+    """(log of the sum, best score, fewest pieces) over all segmentations, place by place."""
+    total, top, fewest = [0.0], [0.0], [0]
+    for end in range(1, len(word) + 1):
+        ways = [(end - k, ids[word[end - k : end]]) for k in range(1, min(end, known.longest) + 1) if word[end - k : end] in ids]
+        if word[end - 1 : end] not in ids:
+            ways.append((end - 1, known.single[word[end - 1]]))
+        total.append(np.logaddexp.reduce([total[a] + logp[p] for a, p in ways]))
+        top.append(max(top[a] + logp[p] for a, p in ways))
+        fewest.append(min(fewest[a] + 1 for a, p in ways if top[a] + logp[p] == top[-1]))
+    return total[-1], top[-1], fewest[-1]
+
+
+def test_long_runs_are_scored_whole(monkeypatch):
+    strings = [b" a", b"b", b"ab", b"bc", b"c", b" ab", b"abc", "漢字".encode(), "漢".encode(), "字漢".encode(), "漢字漢".encode()]
+    known = trie.pieces(strings, np.arange(11, 267))
+    logp = np.log(np.random.default_rng(0).uniform(0.01, 1, (267, 2)))
+    ids = {s: i for i, s in enumerate(strings)}
+    words_ = ["cab" * 40, "漢字" * 30 + "é", "abc" * 150 + "漢字漢", "ab" * 400, "b" * 63, "b" * 64, "b" * 65, "b" * 66, "ab"]
+    made = trie.pretokens(pa.array([" ".join(words_), None, words_[0]]), None)
+    assert np.diff(made.first).tolist() == [9, 0, 1] and sorted(made.strings()) == sorted(b" " + w.encode() for w in words_)
+    for block in (trie._BLOCK, 7, 100):
+        monkeypatch.setattr(trie, "_BLOCK", block)
+        scores, _ = trie.forward(made, known, logp)
+        best, count = trie.forward(made, known, logp[:, :1], best=True)
+        for i, s in enumerate(made.strings()):
+            want = [_plain(s, known, ids, logp[:, m]) for m in (0, 1)]
+            assert scores[i] == pytest.approx([want[0][0], want[1][0]])
+            assert best[i, 0] == pytest.approx(want[0][1]) and count[i] == want[0][2]
+
+
+def test_token_counts_of_text_without_spaces(spark):
+    _, encoder = trie.vocabulary()
+    text = "我们今天在这里讨论一个没有空格的长句子" * 12 + "https://example.com/" + "path/" * 60
+    docs = spark.createDataFrame([(1, text), (2, "words between spaces")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in tokens.count_tokens(docs).collect()}
+    assert (rows[1].n_pretokens, rows[2].n_pretokens) == (1, 3)
+    counts = {r.piece: r["count"] for r in language.piece_counts(docs.where("doc_id = 1").select(F.lit("all").alias("lang"), "text")).collect()}
+    want = encoder.encode(text)
+    assert counts == {p: want.count(p) for p in set(want)}  # the encoder's own pieces of the whole run
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.op5_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
