@@ -72,8 +72,8 @@ def postfix(expression: str) -> list[str]:
                 break
             out.append(token)
             want_operand = False
-    if want_operand and held and held[-1] != "(":  # an operator without its right side
-        held.pop()
+    while want_operand and held:  # an operator without its right side goes, with the brackets open after it
+        want_operand = held.pop() == "("
     out += [x for x in reversed(held) if x != "("]
     return out
 

@@ -304,6 +304,15 @@ def test_licenses(spark):
     assert licenses.evaluate("MIT OR GPL-2.0")[1] == 1.0 and licenses.evaluate("MIT AND GPL-2.0")[1] == 0.2
 
 
+def test_expressions_that_end_in_a_bracket(spark):
+    for cut in ("MIT OR (", "MIT AND ((", "MIT OR ()", "(MIT OR (", "MIT AND (OR GPL-2.0)"):
+        assert licenses.postfix(cut) == ["MIT"] and licenses.evaluate(cut) == ({"mit"}, 1.0)
+    assert licenses.postfix("(a) OR (b AND (") == ["a", "b", "OR"] and licenses.postfix("a OR b WITH (") == ["a", "b", "OR"]
+    assert licenses.postfix("(") == licenses.postfix("((") == []
+    row = licenses.scan_licenses(spark.createDataFrame([(1, "SPDX-License-Identifier: MIT OR (\n  GPL-2.0)")], "doc_id long, text string")).first()
+    assert row.labels == "mit" and row.expressions == ["MIT OR ("]
+
+
 def test_lines(spark):
     eight = "one two three four five six seven eight"
     rows = [(1, f"{eight}\nx\ny\n{eight}\nend"), (2, f"x\ny\nz\n\n{eight}"), (3, None), (4, ""), (5, "y\nx"), (None, f"q\n{eight}\r\n{eight}"), (1, f"{eight}\nx\ny\n{eight}\nend")]
