@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,35 +33,72 @@ def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFra
     return df.toDF(*safe), lambda out: out.toDF(*(old.get(c, c) for c in out.columns))
 
 
+def positional(df: DataFrame, *without: str) -> tuple[DataFrame, list[str]]:
+    """df with its columns named c0, c1, ..., and their names; columns called as one of `without` are left out.
+
+    Names that an operator adds then clash with none of df's, whatever they are.
+    """
+    names = df.columns
+    plain = df.toDF(*(f"c{i}" for i in range(len(names))))
+    stay = [i for i, name in enumerate(names) if name not in without]
+    return plain.select(*(F.col(f"c{i}").alias(f"c{k}") for k, i in enumerate(stay))), [names[i] for i in stay]
+
+
+def schema_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def kept(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the cluster's checkpoint folder: cuts the lineage and outlives an executor."""
+    """The rows as a Parquet table in the cluster's checkpoint folder: cuts the lineage and outlives an executor.
+
+    Only a local session, where driver and tasks share a disk, may do without spark.checkpoint.dir.
+    """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove kept() tables that nothing reads any more."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.kept_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: A key with this share of all rows is hot, so this many keys are hot at most; its rows go to SALTS groups.
 _HOT, _LEAST, SALTS = 1000, 1024, 64
 
 
-def spread_join(rows: DataFrame, groups: DataFrame, key: str, count: str, *by: str) -> DataFrame:
+def spread_join(rows: DataFrame, groups: DataFrame, key: str | Sequence[str], count: str, *by: str) -> DataFrame:
     """rows joined with groups (a kept() table, one row for each key) by `key`, so that no key fills one task.
 
     `count` is a group's number of rows.  Hot keys are few by definition and broadcast to mark their rows, which a
     hash of the columns `by` deals over salts; a hot key's group is copied to each salt.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     total = groups.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
-    is_hot = F.col(count) >= max(-(-total // _HOT), _LEAST)
-    hot = groups.where(is_hot).select(F.col(key).alias("_hot"))
-    salted = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-    salted = salted.withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
+    least = max(-(-total // _HOT), _LEAST)
+    is_hot = F.col(count) >= least
+    if total < least or groups.where(is_hot).isEmpty():
+        return rows.join(groups, keys)
+    hot = groups.where(is_hot).select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
+    match = F.lit(True)
+    for k in keys:
+        match &= F.col(k) == F.col(f"_hot_{k}")
+    salted = rows.join(F.broadcast(hot), match, "left")
+    salted = salted.withColumn("_salt", F.when(F.col(f"_hot_{keys[0]}").isNotNull(), F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).otherwise(0)).drop(*hot.columns)
     copied = groups.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    return salted.join(copied, [key, "_salt"]).drop("_salt")
+    return salted.join(copied, [*keys, "_salt"]).drop("_salt")
 
 
 def partitions(spark: SparkSession) -> int:

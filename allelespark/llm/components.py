@@ -2,27 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import SALTS, forget, kept
+
+#: A key with this share of all rows, and so many at least, is hot; there are few such keys.
+_HOT, _LEAST = 1000, 1024
+
+
+def _hot(rows: DataFrame, key: str, total: int) -> DataFrame | None:
+    """The keys of very many rows, a thousand at most; None without any."""
+    if total < _LEAST:
+        return None
+    hot = kept(rows.groupBy(F.col(key).alias("hot")).count().where(F.col("count") >= max(total // _HOT, _LEAST)).select("hot"))
+    return None if hot.isEmpty() else hot
+
+
+def _spread(rows: DataFrame, key: str, one: DataFrame, its: str, hot: DataFrame | None, by: Column) -> DataFrame:
+    """rows joined with one (a row for each key) on key == its; a hot key's rows are dealt over salts by `by`."""
+    if hot is None:
+        return rows.join(one, rows[key] == one[its])
+    salt = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)
+    rows = rows.join(F.broadcast(hot), F.col(key) == F.col("hot"), "left").withColumn("salt", salt).drop("hot")
+    copies = F.explode(F.when(F.col("hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    one = one.join(F.broadcast(hot), F.col(its) == F.col("hot"), "left").withColumn("salt_", copies).drop("hot")
+    return rows.join(one, (F.col(key) == F.col(its)) & (F.col("salt") == F.col("salt_"))).drop("salt", "salt_")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of edges (a, b): the smallest node that can be reached.
 
     Each round takes the smallest label among the neighbours and then that label's own label, so a path of n
-    edges takes about log n rounds.  Each round's labels are a table in the shared folder.
+    edges takes about log n rounds.  Each round's labels are a table in the shared folder.  Nodes with very many
+    neighbours, and labels of very many nodes, are spread over salts.
     """
     both = kept(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    hubs = _hot(both, "b", both.count())
     labels = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    n = labels.count()
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
+        near = _spread(both, "b", labels, "node", hubs, F.col("a")).groupBy("a").agg(F.min("component").alias("near"))
         better = labels.join(near, labels["node"] == near["a"]).select("node", F.least("component", "near").alias("component"), F.col("component").alias("was"))
+        large = _hot(labels, "component", n)
         jump = labels.select(F.col("node").alias("_node"), F.col("component").alias("_next"))
-        better = better.join(jump, better["component"] == jump["_node"]).select("node", F.least("component", "_next").alias("component"), "was")
+        better = _spread(better, "component", jump, "_node", large, F.col("node")).select("node", F.least("component", "_next").alias("component"), "was")
         better = kept(better)
-        changed = better.where(F.col("component") != F.col("was")).limit(1).count()
+        changed = not better.where(F.col("component") != F.col("was")).isEmpty()
+        forget(labels)
         labels = better.select("node", "component")
+        labels.kept_path = better.kept_path
         if not changed:
+            forget(both)
             return labels

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import kept, pick, spread_join, table
 from .components import components
 from .stream import whole_groups
-from .words import mix, ngrams, parts, ranged, signed, words
+from .words import mix, ngrams, parts, signed, words
 
 _NO_ID = -(1 << 63)
 #: Rows, and items of their sets, in a block; a task holds two blocks at a time.
@@ -38,16 +38,15 @@ def _seeds(n: int) -> np.ndarray:
 
 
 def _sets(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Node ids as (n, 16) bytes, whether a text has words, and each text's set in order."""
+    """Node ids (digests of the words) as (n, 16) bytes, whether a text has words, and each text's set in order."""
     w = words(batch.column(1), lower=True)
-    h = w.hashes()
-    start, grams = ngrams(h, shingle, w.first)
+    one, two = w.hashes()
+    start, grams = ngrams(one, shingle, w.first)
     low = np.searchsorted(start, w.first)
-    whole = [ranged(h, w.first[:-1], w.first[1:]), ranged(mix(h ^ np.uint64(0xA5A5A5A5)), w.first[:-1], w.first[1:])]
-    node = np.stack(whole, 1).astype(">u8").view(np.uint8).reshape(-1, 16) if len(w.first) > 1 else np.zeros((0, 16), np.uint8)
+    whole = w.whole(one, two)
     some = w.first[1:] > w.first[:-1]
-    sets = [np.unique(grams[low[i] : low[i + 1]]) if low[i + 1] > low[i] else whole[0][i : i + 1] if some[i] else grams[:0] for i in range(batch.num_rows)]
-    return node, some, sets
+    sets = [np.unique(grams[low[i] : low[i + 1]]) if low[i + 1] > low[i] else whole[i, :1] if some[i] else grams[:0] for i in range(batch.num_rows)]
+    return whole.astype(">u8").view(np.uint8).reshape(-1, 16), some, sets
 
 
 def _binary(node: np.ndarray, some: np.ndarray) -> pa.Array:
@@ -55,7 +54,7 @@ def _binary(node: np.ndarray, some: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, shingle: int, signs: int) -> DataFrame:
-    """doc_id, n (size of the set), node (128 bits of the words; null without words), signature."""
+    """doc_id, n (size of the set), node (a digest of 128 bits of the words; null without words), signature."""
     seeds = _seeds(2 * signs)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,10 +64,10 @@ def signatures(docs: DataFrame, shingle: int, signs: int) -> DataFrame:
             starts = np.concatenate([[0], np.cumsum(sizes)])
             every = np.concatenate(sets)
             out = np.zeros((batch.num_rows, signs), np.uint32)
-            for k in range(signs if len(every) else 0):
+            filled = np.flatnonzero(sizes)
+            for k in range(signs if len(filled) else 0):
                 value = (every ^ seeds[2 * k]) * (seeds[2 * k + 1] | np.uint64(1))
-                low = np.minimum.reduceat(value, np.minimum(starts[:-1], len(every) - 1))
-                out[:, k] = mix(low) >> np.uint64(32)
+                out[filled, k] = mix(np.minimum.reduceat(value, starts[filled])) >> np.uint64(32)
             values = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * signs), pa.array(out.reshape(-1).view(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), _binary(node, some), values], names=["doc_id", "n", "node", "signature"])
 

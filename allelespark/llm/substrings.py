@@ -4,7 +4,7 @@ The suffixes of all texts are split by their first words: a prefix of 1 word is
 heavy (over 1 / GROUPS of all suffixes), then its continuations of 2, 4, 8, 16 words are, each only while heavy.
 Groups thus have about equal, bounded sizes, and a group's suffixes form one subtree.  Only nodes at depth n (the
 window) and deeper matter, so a subtree is built truncated there and path-compressed: the path from the prefix to
-depth n is its 128-bit fingerprint, suffixes sorted by it stand in tree order, and equal neighbours hang below one
+depth n is its 128-bit fingerprint over the words' digests, suffixes sorted by it stand in tree order, and equal neighbours hang below one
 deep internal node.  Each deep node's earliest suffix stays; all others are repeats.  Runs of repeated windows are
 the maximal repeats.
 
@@ -28,22 +28,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept, partitions, pick, table
+from .common import forget, kept, partitions, pick, spread_join, table
 from .stream import changes
 from .words import Words, mix, ngrams, parts, ranged, signed, words
 
 ANCHOR = 8
 DEPTHS = (1, 2, 4, 8, 16)
 GROUPS = 2048
-_NO_ID = (1 << 63) - 1  # a null doc_id comes last
-
-
-def _text_hash(w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return ranged(h, w.first[:-1], w.first[1:]), ranged(_second(h), w.first[:-1], w.first[1:])
-
-
-def _second(h: np.ndarray) -> np.ndarray:
-    return mix(h ^ np.uint64(0xC2B2AE3D27D4EB4F))
+#: What known texts have: whether doc_id is null, doc_id (or a hash of the text), text, copied, many.
+_LAST, _DOC, _TEXT, _COPIED, _MANY, _MORE = range(6)
 
 
 def _anchors(w: Words, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,118 +57,126 @@ def _anchors(w: Words, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, n
     return start, start + offset.astype(np.int64), grams
 
 
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column(_LAST).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(_DOC).to_numpy()
+
+
 def _surveys(n: int, groups: int):
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Depth 0: hashes of each text that has a window.  Else: prefixes that are heavy in this piece.  -1: suffixes."""
-        for batch in parts(batches):
-            w = words(batch.column(1))
-            h = w.hashes()
-            one, two = _text_hash(w, h)
+        for batch in parts(batches, "text"):
+            w = words(batch.column(_TEXT))
+            h, h2 = w.hashes()
+            one, two = w.whole(h, h2).T
             long = np.flatnonzero(np.diff(w.first) >= n)
-            ids = batch.column(0).to_numpy()
-            rows = [(np.zeros(len(long), np.int64), signed(one[long]), signed(two[long]), ids[long])]
+            last, ids = _keys(batch)
+            rows = [(np.zeros(len(long), np.int64), signed(one[long]), signed(two[long]), last[long], ids[long])]
             for depth in DEPTHS:
                 _, grams = ngrams(h, depth, w.first)
                 some, count = np.unique(grams, return_counts=True)
                 heavy = count * groups > len(h)
-                rows.append((np.full(heavy.sum(), depth), signed(some[heavy]), count[heavy], np.zeros(heavy.sum(), np.int64)))
-            rows.append((np.array([-1]), np.array([0]), np.array([len(h)]), np.array([0])))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows, strict=True)], names=["depth", "one", "two", "doc"])
+                none = np.zeros(heavy.sum(), np.int64)
+                rows.append((np.full(heavy.sum(), depth), signed(some[heavy]), count[heavy], none, none))
+            rows.append((np.array([-1]), np.array([0]), np.array([len(h)]), np.array([0]), np.array([0])))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows, strict=True)], names=["depth", "one", "two", "last", "doc"])
 
     return survey
 
 
 def _sent_anchors(n: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(route, doc, anchor): an anchor found once in the piece goes by its hash; one found again is known to repeat: it goes by its hash once, and by chance for each of its documents."""
-        for batch in parts(batches):
-            w = words(batch.column(1))
-            h = w.hashes()
-            skip = _copies(batch, w, h)
+        """(route, last, doc, anchor): an anchor found once in the piece goes by its hash; one found again is known to repeat: it goes by its hash once, and by chance for each of its documents."""
+        for batch in parts(batches, "text"):
+            w = words(batch.column(_TEXT))
+            h, h2 = w.hashes()
+            skip = _copies(batch, w, h, h2)
             _, place, grams = _anchors(w, h, n)
             place = np.unique(place)
             text = np.searchsorted(w.first, place, "right") - 1
             place, text = place[~skip[text]], text[~skip[text]]
-            anchor, doc = grams[place], batch.column(0).to_numpy()[text]
-            some, index, count = np.unique(anchor, return_inverse=True, return_counts=True)
-            first = np.full(len(some), 0, np.int64)
-            first[index[::-1]] = doc[::-1]
+            last, doc = _keys(batch)
+            anchor, last, doc = grams[place], last[text], doc[text]
+            some, at, index, count = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
             again = count[index] > 1
-            known, of = anchor[again], doc[again]
-            order = np.lexsort((of, known))
-            order = order[changes([known[order], of[order]])]
-            known, of = known[order], of[order]
+            known, late, of = anchor[again], last[again], doc[again]
+            order = np.lexsort((of, late, known))
+            order = order[changes([known[order], late[order], of[order]])]
+            known, late, of = known[order], late[order], of[order]
             route = np.concatenate([some, mix(mix(known) ^ of.view(np.uint64))])
-            yield pa.RecordBatch.from_arrays([pa.array(signed(route)), pa.array(np.concatenate([first, of])), pa.array(signed(np.concatenate([some, known])))], names=["route", "doc", "anchor"])
+            columns = (signed(route), np.concatenate([last[at], late]), np.concatenate([doc[at], of]), signed(np.concatenate([some, known])))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["route", "last", "doc", "anchor"])
 
     return send
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, anchor) of the anchors that are known to repeat or have a neighbour with the same route; sorted by route."""
+    """(last, doc, anchor) of the anchors that are known to repeat or have a neighbour with the same route; sorted by route."""
+    names = ["last", "doc", "anchor"]
     held = None  # the last row, whose next neighbour is not known yet
     before = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        route, doc, anchor = (c.to_numpy() for c in batch.columns)
+        columns = [c.to_numpy() for c in batch.columns]
         if held is not None:
-            route, doc, anchor = np.append(held[0], route), np.append(held[1], doc), np.append(held[2], anchor)
+            columns = [np.append(x, c) for x, c in zip(held, columns, strict=True)]
+        route, *rest = columns
         same = ~changes([route])
         if before is not None and len(same):
             same[0] = route[0] == before
         keep = same.copy()
         keep[:-1] |= same[1:]
-        keep |= route != anchor
-        yield pa.RecordBatch.from_arrays([pa.array(doc[:-1][keep[:-1]]), pa.array(anchor[:-1][keep[:-1]])], names=["doc", "anchor"])
+        keep |= route != rest[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][keep[:-1]]) for c in rest], names=names)
         if len(route) > 1:
             before = route[-2]
-        held = (route[-1:], doc[-1:], anchor[-1:])
-    if held is not None and (held[0][0] != held[2][0] or held[0][0] == before):
-        yield pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[2])], names=["doc", "anchor"])
+        held = [c[-1:] for c in columns]
+    if held is not None and (held[0][0] != held[-1][0] or held[0][0] == before):
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[1:]], names=names)
 
 
-def _copies(batch: pa.RecordBatch, w: Words, h: np.ndarray) -> np.ndarray:
-    """Whether a text equals one with a smaller doc_id; column 2 has the hashes of the copies among a doc_id's texts."""
+def _copies(batch: pa.RecordBatch, w: Words, h: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Whether a text equals one with a smaller doc_id; `copied` has the digests of the copies among a doc_id's texts."""
     out = np.zeros(batch.num_rows, bool)
-    some = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False))
+    some = np.flatnonzero(batch.column(_COPIED).is_valid().to_numpy(zero_copy_only=False))
     if len(some):
-        one = signed(ranged(h, w.first[:-1], w.first[1:]))
+        one = signed(w.whole(h, h2)[:, 0].copy())
         for i in some.tolist():
-            out[i] = int(one[i]) in set(batch.column(2)[i].as_py())
+            out[i] = int(one[i]) in set(batch.column(_COPIED)[i].as_py())
     return out
 
 
-def _which(batch: pa.RecordBatch, w: Words, h: np.ndarray) -> np.ndarray:
-    """0, or bits of the text's hash if its doc_id stands for several texts; the order's second key."""
-    many = batch.column(3).fill_null(False).to_numpy(zero_copy_only=False)
+def _which(batch: pa.RecordBatch, w: Words, h: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """0, or bits of the text's digest if its doc_id stands for several texts; the order's second key."""
+    many = batch.column(_MANY).fill_null(False).to_numpy(zero_copy_only=False)
     if not many.any():
         return np.zeros(batch.num_rows, np.int64)
-    return np.where(many, (ranged(h, w.first[:-1], w.first[1:]) >> np.uint64(33)).astype(np.int64), 0)
+    return np.where(many, (w.whole(h, h2)[:, 0] >> np.uint64(33)).astype(np.int64), 0)
 
 
 def _sent_suffixes(n: int, heavy: dict[int, np.ndarray]):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(prefix, one, two, doc, place, done): the suffixes around repeated anchors; done holds places that repeat within the piece."""
-        for batch in parts(batches):
-            w = words(batch.column(1))
-            h = w.hashes()
-            skip = _copies(batch, w, h)
-            doc, which = batch.column(0).to_numpy(), _which(batch, w, h)
+        """(prefix, one, two, last, doc, place, done): the suffixes around repeated anchors; done holds places that repeat within the piece."""
+        for batch in parts(batches, "text"):
+            w = words(batch.column(_TEXT))
+            h, h2 = w.hashes()
+            skip = _copies(batch, w, h, h2)
+            (last, doc), which = _keys(batch), _which(batch, w, h, h2)
             start, place, grams = _anchors(w, h, n)
             text = np.searchsorted(w.first, start, "right") - 1
-            lists = batch.column(4)
+            lists = batch.column(_MORE)
             sizes = lists.value_lengths().fill_null(0).to_numpy()
             owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), sizes)
             wanted = mix(lists.flatten().to_numpy().view(np.uint64) ^ mix(owner))
             ok = np.isin(mix(grams[place] ^ mix(text.astype(np.uint64))), wanted) & ~skip[text]
             start, text = start[ok], text[ok]
-            one, two = ranged(h, start, start + n), ranged(_second(h), start, start + n)
+            one, two = ranged(h, start, start + n), ranged(h2, start, start + n)
             at = (which[text] << 32) | (start - w.first[text])
-            order = np.lexsort((at, doc[text], two, one))
+            last, doc = last[text], doc[text]
+            order = np.lexsort((at, doc, last, two, one))
             fresh = changes([one[order], two[order]])
             top = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]  # the earliest of the same node
-            later = order[(doc[text[order]] != doc[text[top]]) | (at[order] != at[top])]
+            later = order[(last[order] != last[top]) | (doc[order] != doc[top]) | (at[order] != at[top])]
             sent = order[fresh]
             prefix = np.zeros(len(sent), np.uint64)
             open_ = np.ones(len(sent), bool)
@@ -186,59 +187,58 @@ def _sent_suffixes(n: int, heavy: dict[int, np.ndarray]):
             prefix[open_] = one[sent[open_]]
             later = later[np.lexsort((at[later], text[later]))]
             borders = np.flatnonzero(changes([text[later]])) if len(later) else np.zeros(0, np.int64)
+            of, none = later[borders], np.zeros(len(borders), np.int64)
+            docs, lasts = np.concatenate([doc[sent], doc[of]]), np.concatenate([last[sent], last[of]])
+            route = np.concatenate([signed(prefix), signed(mix(doc[of].view(np.uint64)))])
             done = pa.ListArray.from_arrays(pa.array(np.concatenate([np.zeros(len(sent), np.int32), borders, [len(later)]]).astype(np.int32)), pa.array(at[later]))
-            docs = np.concatenate([doc[text[sent]], doc[text[later[borders]]]])
-            none = np.zeros(len(borders), np.int64)
-            route = np.concatenate([signed(prefix), signed(mix(docs[len(sent) :].view(np.uint64)))])
-            done = pa.ListArray.from_arrays(done.offsets, done.values)
-            mask = pa.array(np.arange(len(docs)) < len(sent))
-            done = pc.if_else(mask, pa.scalar(None, done.type), done)
-            yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(np.concatenate([signed(one[sent]), none])), pa.array(np.concatenate([signed(two[sent]), none])), pa.array(docs), pa.array(np.concatenate([at[sent], none])), done], names=["prefix", "one", "two", "doc", "place", "done"])
+            done = pc.if_else(pa.array(np.arange(len(docs)) < len(sent)), pa.scalar(None, done.type), done)
+            columns = (route, np.concatenate([signed(one[sent]), none]), np.concatenate([signed(two[sent]), none]), lasts, docs, np.concatenate([at[sent], none]))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), done], names=["prefix", "one", "two", "last", "doc", "place", "done"])
 
     return send
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, places): what hangs below a deep node, but for its earliest suffix; sorted by prefix, path, doc, place."""
+    """(last, doc, places): what hangs below a deep node, but for its earliest suffix; sorted by prefix, path, last, doc, place."""
+    names = ["last", "doc", "places"]
     node = first = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        done = batch.filter(batch.column(5).is_valid())
+        done = batch.filter(batch.column("done").is_valid())
         if done.num_rows:
-            yield pa.RecordBatch.from_arrays([done.column(3), done.column(5)], names=["doc", "places"])
-        batch = batch.filter(batch.column(5).is_null())
+            yield pa.RecordBatch.from_arrays([done.column("last"), done.column("doc"), done.column("done")], names=names)
+        batch = batch.filter(batch.column("done").is_null())
         if not batch.num_rows:
             continue
-        prefix, one, two, doc, place = (batch.column(i).to_numpy() for i in range(5))
+        prefix, one, two, *own = (batch.column(i).to_numpy() for i in range(6))
         fresh = changes([prefix, one, two])
         fresh[0] = node != (prefix[0], one[0], two[0])
-        top = np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), -1))
+        top = np.maximum.accumulate(np.where(fresh, np.arange(len(one)), -1))
         old = top < 0  # the node began in an earlier batch
-        top_doc, top_place = doc[np.maximum(top, 0)], place[np.maximum(top, 0)]
-        if old.any():
-            top_doc, top_place = np.where(old, first[0], top_doc), np.where(old, first[1], top_place)
-        node, first = (prefix[-1], one[-1], two[-1]), (top_doc[-1], top_place[-1])
-        later = np.flatnonzero((doc != top_doc) | (place != top_place))
+        tops = [np.where(old, first[k] if first else 0, c[np.maximum(top, 0)]) for k, c in enumerate(own)]
+        node, first = (prefix[-1], one[-1], two[-1]), [c[-1] for c in tops]
+        last, doc, place = own
+        later = np.flatnonzero((last != tops[0]) | (doc != tops[1]) | (place != tops[2]))
         if len(later):
-            later = later[np.lexsort((place[later], doc[later]))]
-            borders = np.flatnonzero(changes([doc[later]]))
+            later = later[np.lexsort((place[later], doc[later], last[later]))]
+            borders = np.flatnonzero(changes([last[later], doc[later]]))
             places = pa.ListArray.from_arrays(pa.array(np.append(borders, len(later)).astype(np.int32)), pa.array(place[later]))
-            yield pa.RecordBatch.from_arrays([pa.array(doc[later[borders]]), places], names=["doc", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array(last[later[borders]]), pa.array(doc[later[borders]]), places], names=names)
 
 
 def _finish(n: int):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
-            w = words(batch.column(1))
-            h = w.hashes()
-            skip, which = _copies(batch, w, h), _which(batch, w, h)
+        for batch in parts(batches, "text"):
+            w = words(batch.column(_TEXT))
+            h, h2 = w.hashes()
+            skip, which = _copies(batch, w, h, h2), _which(batch, w, h, h2)
             total = np.diff(w.first)
-            places = batch.column(4)
+            places = batch.column(_MORE)
             some = places.is_valid().to_numpy(zero_copy_only=False)
             removed, texts, spans = [], [], []
             for i in range(batch.num_rows):
-                mine = w.data[w.offsets[i] : w.offsets[i + 1]].tobytes()
+                mine = w.bytes_of(i)
                 if skip[i]:
                     out, runs = b"", [(0, int(total[i]))]
                 elif not some[i]:
@@ -259,8 +259,7 @@ def _finish(n: int):
                 removed.append(sum(b - a for a, b in runs))
                 texts.append(out.decode("utf-8", "surrogatepass"))
                 spans.append([{"first_word": a, "end_word": b} for a, b in runs])
-            ids = batch.column(0)
-            ids = pc.if_else(pc.equal(ids, _NO_ID), pa.scalar(None, ids.type), ids)
+            ids = pc.if_else(batch.column(_LAST), pa.scalar(None, pa.int64()), batch.column(_DOC))
             kind = pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32())]))
             yield pa.RecordBatch.from_arrays([ids, pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, kind)], names=["doc_id", "n_words", "n_removed", "kept_text", "repeats"])
 
@@ -279,27 +278,32 @@ def remove_repeats(docs: DataFrame, n: int = 20) -> DataFrame:
     others; several texts under one doc_id are several documents in the order of a hash; rows that repeat wholly
     are one document and each have its result; an empty table gives no rows; other columns are ignored.
     """
-    docs = pick(docs, doc_id="long", text="string").select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "text")
-    survey = kept(docs.mapInArrow(_surveys(n, GROUPS), "depth long, one long, two long, doc long"))
+    docs = pick(docs, doc_id="long", text="string")
+    docs = docs.select(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "text")
+    survey = kept(docs.mapInArrow(_surveys(n, GROUPS), "depth long, one long, two long, last long, doc long"))
     total = survey.where("depth = -1").agg(F.coalesce(F.sum("two"), F.lit(0)).alias("n")).first()["n"]
     # at most 2 * GROUPS prefixes of a depth have more than 1 / (2 * GROUPS) of all suffixes
     common = survey.where("depth > 0").groupBy("depth", "one").agg(F.sum("two").alias("count")).where(F.col("count") * 2 * GROUPS > total).collect()
     heavy = {d: np.array([r["one"] for r in common if r["depth"] == d], np.int64).view(np.uint64) for d in DEPTHS}
-    texts = survey.where("depth = 0").select("one", "two", "doc").distinct()
-    firsts = texts.groupBy("one", "two").agg(F.min("doc").alias("first"), F.count("*").alias("c")).where("c > 1").select(F.col("one").alias("_one"), F.col("two").alias("_two"), "first")
-    copies = texts.join(firsts, (F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")) & (F.col("doc") > F.col("first"))).groupBy("doc").agg(F.collect_set("one").alias("copied"))
-    many = texts.groupBy("doc").agg(F.count("*").alias("c")).where("c > 1").select("doc", F.lit(True).alias("many"))
-    facts = kept(copies.join(many, "doc", "full"))
+    texts = survey.where("depth = 0").select("one", "two", F.struct("last", "doc").alias("key")).distinct()
+    firsts = kept(texts.groupBy("one", "two").agg(F.min("key").alias("first"), F.count("*").alias("c")).where("c > 1"))
+    copies = spread_join(texts, firsts, ["one", "two"], "c", "key").where("key > first").groupBy("key").agg(F.collect_set("one").alias("copied"))
+    many = texts.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key", F.lit(True).alias("many"))
+    facts = kept(copies.join(many, "key", "full").select((F.col("key.last") == 1).alias("_last"), F.col("key.doc").alias("_doc"), "copied", "many"))
+    forget(survey, firsts)
 
     spark = docs.sparkSession
-    known = docs.repartition(partitions(spark), "doc_id").join(facts.withColumnRenamed("doc", "_doc"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "copied", "many")
-    dealt = known.mapInArrow(_sent_anchors(n), "route long, doc long, anchor long").repartition(partitions(spark), "route").sortWithinPartitions("route")
-    anchors = dealt.mapInArrow(_repeated, "doc long, anchor long").groupBy(F.col("doc").alias("_d")).agg(F.collect_list("anchor").alias("anchors"))
-    near = known.join(anchors, F.col("doc_id") == F.col("_d")).select("doc_id", "text", "copied", "many", "anchors")
-    suffixes = near.mapInArrow(_sent_suffixes(n, heavy), "prefix long, one long, two long, doc long, place long, done array<long>")
-    trees = suffixes.repartition(partitions(spark), "prefix").sortWithinPartitions("prefix", "one", "two", "doc", "place")
-    later = trees.mapInArrow(_later, "doc long, places array<long>").groupBy(F.col("doc").alias("_d")).agg(F.collect_list("places").alias("places"))
-    out = known.join(later, F.col("doc_id") == F.col("_d"), "left").select("doc_id", "text", "copied", "many", "places")
+    of = (F.col("last") == F.col("_last")) & (F.col("doc") == F.col("_doc"))
+    columns = ["last", "doc", "text", "copied", "many"]
+    known = docs.repartition(partitions(spark), "last", "doc").join(facts, of, "left").select(*columns)
+    dealt = known.mapInArrow(_sent_anchors(n), "route long, last long, doc long, anchor long").repartition(partitions(spark), "route").sortWithinPartitions("route")
+    by_doc = [(F.col("last") == 1).alias("_last"), F.col("doc").alias("_doc")]
+    anchors = dealt.mapInArrow(_repeated, "last long, doc long, anchor long").groupBy(*by_doc).agg(F.collect_list("anchor").alias("anchors"))
+    near = known.join(anchors, of).select(*columns, "anchors")
+    suffixes = near.mapInArrow(_sent_suffixes(n, heavy), "prefix long, one long, two long, last long, doc long, place long, done array<long>")
+    trees = suffixes.repartition(partitions(spark), "prefix").sortWithinPartitions("prefix", "one", "two", "last", "doc", "place")
+    later = trees.mapInArrow(_later, "last long, doc long, places array<long>").groupBy(*by_doc).agg(F.collect_list("places").alias("places"))
+    out = known.join(later, of, "left").select(*columns, "places")
     return out.mapInArrow(_finish(n), "doc_id long, n_words long, n_removed long, kept_text string, repeats array<struct<first_word:int,end_word:int>>")
 
 

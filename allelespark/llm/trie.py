@@ -1,8 +1,7 @@
 """Forward scores of pre-tokens under unigram piece models, computed on a trie of the distinct pre-tokens.
 
-A pre-token is a word (a run without ASCII white space) after a word-start mark, however long it is; pretokens()
-can also cut runs of more than `limit` bytes, only the first pre-token with the mark.  The trie is made level by
-level: nodes of depth t are the distinct pairs of a parent and a byte.  A node's score needs its ancestors' scores
+A pre-token is a word (a run without ASCII white space) after a word-start mark, however long it is.  The trie is made
+level by level: nodes of depth t are the distinct pairs of a parent and a byte.  A node's score needs its ancestors' scores
 and the pieces that end at it, so each shared prefix is scored once, and a pre-token's score stands at its terminal
 node.  Pre-tokens of more than LIMIT bytes hardly share prefixes: they are scored side by side, in blocks of bytes
 that hand their last scores on.
@@ -81,27 +80,19 @@ class PreTokens(NamedTuple):
         return [data[s : s + n] for s, n in zip(self.start.tolist(), self.length.tolist(), strict=True)]
 
 
-def pretokens(texts: pa.Array, limit: int | None = LIMIT) -> PreTokens:
+def pretokens(texts: pa.Array) -> PreTokens:
+    """The pre-tokens of texts; equal ones are found byte by byte."""
     w = words(texts)
-    start, end, first, head = w.start, w.end, w.first, np.ones(len(w.start), bool)
-    cuts = -(-(end - start) // limit) if limit else np.ones(len(start), np.int64)
-    if len(cuts) and cuts.max() > 1:
-        sums = np.concatenate([[0], np.cumsum(cuts)])
-        of = np.repeat(np.arange(len(start)), cuts)
-        offset = (np.arange(sums[-1]) - sums[of]) * limit
-        start, head, first = start[of] + offset, offset == 0, sums[first]
-        end = np.minimum(start + limit, end[of])
-    h = ranged(_BYTE[w.data], start, end)
-    _, where, index = np.unique(np.where(head, h, mix(h)), return_index=True, return_inverse=True)
-    mark = head[where].astype(np.int64)
-    length = end[where] - start[where] + mark
-    begin = np.concatenate([[0], np.cumsum(length)])
-    data = np.full(begin[-1], MARK[0], np.uint8)
-    fill = begin[:-1] + mark
-    n = length - mark
-    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    data[np.repeat(fill, n) + within] = w.data[np.repeat(start[where], n) + within]
-    return PreTokens(data, begin[:-1], length, index, first)
+    coded = w.column().dictionary_encode()
+    _, offsets, plain = coded.dictionary.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(coded.dictionary) + 1) if len(coded.dictionary) else np.zeros(1, np.int64)
+    plain = np.frombuffer(plain, np.uint8, int(offsets[-1])) if plain is not None else np.zeros(0, np.uint8)
+    start = offsets[:-1] + np.arange(len(offsets) - 1)  # a mark before each
+    data = np.full(len(plain) + len(start), MARK[0], np.uint8)
+    is_mark = np.zeros(len(data), bool)
+    is_mark[start] = True
+    data[~is_mark] = plain
+    return PreTokens(data, start, np.diff(offsets) + 1, coded.indices.to_numpy().astype(np.int64), w.first)
 
 
 def forward(tokens: PreTokens, known: Pieces, logp: np.ndarray, best: bool = False) -> tuple[np.ndarray, np.ndarray]:

@@ -4,13 +4,17 @@ A column of texts is one byte buffer with offsets.  Words are found on that buff
 separator or not, a word starts after a separator or at the start of a text.  UTF-8 keeps bytes below 0x80 for
 ASCII alone, so every ASCII separator class can be tested byte by byte.
 
-A word's hash is a polynomial over its bytes modulo 2**64, taken from prefix sums; n-grams are hashed the same
-way over the words' hashes.  Both end with a bijective mixing step.  Null texts count as empty.
+A word's (or a line's) hash is its BLAKE2b digest of 128 bits, in two halves; equal words of a piece are found byte
+by byte, by Arrow's dictionary encoding, and digested once.  Whole sequences of words are digests of their words'
+digests.  Runs of a bounded number of words are polynomials over the digests' halves modulo 2**64, taken from prefix
+sums, one for each half; polynomials never stand for sequences whose length a text decides, for which pairs of
+sequences with one value can be made (two that swap two symbols in Thue-Morse order).  Null texts count as empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -53,13 +57,18 @@ def powers(n: int, base: int = int(_BASE)) -> np.ndarray:
 
 
 def ranged(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The polynomial hash of values[start:end] for each pair, whatever its place."""
+    """The polynomial hash of values[start:end] for each pair, whatever its place; for runs of bounded length."""
     inverse = pow(int(_BASE), -1, 1 << 64)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * powers(len(values)), out=sums[1:])
     return mix((sums[end] - sums[start]) * powers(len(values) + 1, inverse)[start])
 
 
+def digests(values: Iterable[bytes]) -> np.ndarray:
+    """(values, 2): BLAKE2b of 128 bits, in halves."""
+    return np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in values), np.uint64).reshape(-1, 2)
+
+
 class Words(NamedTuple):
     data: np.ndarray  # the bytes, in lower case if asked for
     offsets: np.ndarray  # text i is data[offsets[i]:offsets[i + 1]]
@@ -67,8 +76,27 @@ class Words(NamedTuple):
     end: np.ndarray
     first: np.ndarray  # the words of text i are first[i]:first[i + 1]
 
-    def hashes(self) -> np.ndarray:
-        return ranged(_BYTE[self.data], self.start, self.end)
+    def column(self) -> pa.LargeBinaryArray:
+        """The words as an Arrow column."""
+        n = len(self.start)
+        offsets = np.zeros(n + 1, np.int64)
+        np.cumsum(self.end - self.start, out=offsets[1:])
+        step = np.zeros(len(self.data) + 1, np.int8)
+        step[self.start] += 1
+        step[self.end] -= 1
+        inside = np.cumsum(step[:-1], dtype=np.int8).view(bool)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(self.data[inside])])
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The halves of each word's digest."""
+        coded = self.column().dictionary_encode()
+        halves = digests(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
+
+    def whole(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """(texts, 2): the halves of a digest of each text's sequence of words; one, two: hashes()."""
+        both = np.stack([one, two], 1)
+        return digests(both[a:b].tobytes() for a, b in zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True))
 
     def bytes_of(self, text: int) -> bytes:
         return self.data[self.offsets[text] : self.offsets[text + 1]].tobytes()
