@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept, pick, set_aside, table
+from .common import kept, pick, positional, table
 from .phrases import automaton, matches, normal
 from .words import NOT_ALNUM, parts, words
 
@@ -50,6 +50,11 @@ def _runs(batch: pa.RecordBatch, phrases: list[bytes], owner: list[list[str]], n
     return out
 
 
+def _in_order(items: Iterable[str | None]) -> list[str | None]:
+    """Sorted, an item without an id last."""
+    return sorted(items, key=lambda x: (x is None, x or ""))
+
+
 def _add(runs: list[tuple[int, int]], a: int, b: int) -> None:
     """One more stretch, none of which starts before the last; stretches that touch are one."""
     if runs and a <= runs[-1][1]:
@@ -66,10 +71,11 @@ def _verdicts(batch: pa.RecordBatch, by_text: list[dict[str, list[tuple[int, int
     for i, by_item in enumerate(by_text):
         raw = w.bytes_of(i)
         n_hit = _merged([run for runs in by_item.values() for run in runs])
-        names, at = sorted(by_item), int(w.first[i])
+        names, at = _in_order(by_item), int(w.first[i])
+        ids = [x for x in names if x is not None]
         place = lambda k, to, i=i, at=at, raw=raw: _char(raw, int((w.end if to else w.start)[at + k] - w.offsets[i]))
         spans = [{"item_id": x, "first_word": a, "end_word": b, "first_char": place(a, False), "end_char": place(b - 1, True)} for x in names for a, b in by_item[x]]
-        out.append((int(total[i]), n_hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n_hit > 0 and n_hit >= share * total[i] - 1e-9, names, spans))
+        out.append((int(total[i]), n_hit, len(names), hashlib.sha256(",".join(ids).encode()).hexdigest(), n_hit > 0 and n_hit >= share * total[i] - 1e-9, ids, spans))
     columns = list(zip(*out, strict=True))
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.struct([("item_id", pa.string()), *((x, pa.int32()) for x in ("first_word", "end_word", "first_char", "end_char"))]))]
     return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[f.split()[0] for f in RESULT.split(", ")])
@@ -77,10 +83,10 @@ def _verdicts(batch: pa.RecordBatch, by_text: list[dict[str, list[tuple[int, int
 
 def _owned(rows: Iterable[tuple[str, bytes]]) -> tuple[list[bytes], list[list[str]]]:
     """The distinct windows of rows (item, window), and the items of each."""
-    owners: dict[bytes, set[str]] = defaultdict(set)
+    owners: dict[bytes, set[str | None]] = defaultdict(set)
     for item, window in rows:
         owners[bytes(window)].add(item)
-    return list(owners), [sorted(x) for x in owners.values()]
+    return list(owners), [_in_order(x) for x in owners.values()]
 
 
 def _of_groups(docs: DataFrame, items: DataFrame, n: int, share: float, max_windows: int, max_bytes: int) -> DataFrame:
@@ -145,10 +151,12 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: float =
     of docs, and the rows are the same.
 
     Null and empty texts have no words and are clean; items without words never match; items with equal windows
-    each count; repeated rows give a row each; empty tables work; other columns are ignored.
+    each count.  Windows of items whose item_id is null hit like all others; such items count as one item together,
+    item_ids and their digest leave it out, and spans has it with a null item_id.  Repeated rows give a row each;
+    empty tables work; other columns are ignored.
     """
     docs = pick(docs, doc_id="long", text="string")
-    items = pick(items, item_id="string", text="string").dropna(subset=["item_id"])
+    items = pick(items, item_id="string", text="string")
     count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     # a window starts at a word, and a word and a space take two bytes or more
     if size // 2 + count > max_windows or n * (size + count) > max_bytes:
@@ -165,12 +173,15 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: float =
 def decontaminate(docs: DataFrame, items: DataFrame, **settings: object) -> DataFrame:
     """The rows of docs, all their columns, whose text is not contaminated; the same settings and rules.
 
-    A document is judged by its text, so rows meet their verdict by a hash of the text, not by doc_id.
+    A document is judged by its text, so rows meet their verdict by a hash of the text, not by doc_id.  Null and empty
+    texts stay; rows that repeat stay or go together; an empty table gives no rows; columns may have any names.
     """
-    docs, back = set_aside(docs, "text")
-    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
-    bad = contamination(docs.select(hashed.alias("doc_id"), "text"), items, **settings).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return back(docs.join(kept(bad), hashed == F.col("_bad"), "left_anti"))
+    docs, names = positional(docs)
+    keyed = docs.withColumn("key", F.sha2(F.coalesce(F.col(f"c{names.index('text')}").cast("string"), F.lit("")), 256))
+    number = F.xxhash64("key")
+    bad = contamination(keyed.select(number.alias("doc_id"), F.col(f"c{names.index('text')}").alias("text")), items, **settings)
+    bad = kept(bad.where("contaminated").select(F.col("doc_id").alias("bad")).distinct())
+    return keyed.join(bad, number == F.col("bad"), "left_anti").select(*docs.columns).toDF(*names)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

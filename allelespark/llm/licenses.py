@@ -27,17 +27,31 @@ _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
 RESULT = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, expressions array<string>, notices array<struct<label:string,first_word:int,first_char:int,end_char:int>>"
 
 
-def family(identifier: str) -> tuple[str, float]:
+#: What may follow a family in an identifier of the public list, besides version numbers.
+QUALIFIERS = ("only", "or", "later", "clause", "nc", "nd", "sa", "patent", "clear", "attribution")
+_TAIL = re.compile(rf"(-([0-9]+(\.[0-9]+)*|{'|'.join(QUALIFIERS)}))*\+?")
+_OWN = "licenseref-"
+
+
+def family(identifier: str) -> tuple[str, float] | None:
+    """Its family's label and how freely that allows reuse; None if it is no identifier.
+
+    Identifiers are a family and versions or qualifiers (GPL-2.0-or-later, BSD-3-Clause), or a name of one's own
+    after LicenseRef-, which is its own family and allows nothing that is known.
+    """
     low = identifier.lower()
+    if low.startswith(_OWN) and low != _OWN:
+        return low, 0.0
     for name, value in FAMILIES.items():
-        if low == name.lower() or low.startswith(f"{name.lower()}-") or low.startswith(f"{name.lower()}+"):
+        if low.startswith(name.lower()) and _TAIL.fullmatch(low, len(name)):
             return value
-    return low, 0.0
+    return None
 
 
-def _labels(identifier: str) -> set[str]:
-    """Its family, and itself if it says more."""
-    return {family(identifier)[0], identifier.lower()}
+def _operand(identifier: str) -> tuple[set[str], float | None]:
+    """Its family, and itself if it says more; nothing if it is no identifier."""
+    known = family(identifier)
+    return ({known[0], identifier.lower()}, known[1]) if known else (set(), None)
 
 
 def postfix(expression: str) -> list[str]:
@@ -79,16 +93,21 @@ def postfix(expression: str) -> list[str]:
 
 
 def evaluate(expression: str) -> tuple[set[str], float] | None:
-    """The labels an expression names, and how freely it allows reuse: the least of AND's sides, the best of OR's."""
-    stack: list[tuple[set[str], float]] = []
+    """The labels an expression names, and how freely it allows reuse: the least of AND's sides, the best of OR's.
+
+    Words that are no identifiers name nothing, and the other side of their operator stands alone; None if the
+    expression has no identifier.
+    """
+    stack: list[tuple[set[str], float | None]] = []
     for token in postfix(expression):
         if token in _OPERATORS:
             (b, y), (a, x) = stack.pop(), stack.pop()
+            known = [v for v in (x, y) if v is not None]
             # an exception names no licence of its own and only adds to what its licence allows
-            stack.append((a, x) if token == "WITH" else (a | b, min(x, y) if token == "AND" else max(x, y)))
+            stack.append((a, x) if token == "WITH" else (a | b, (min if token == "AND" else max)(known, default=None)))
         else:
-            stack.append((_labels(token), family(token)[1]))
-    return stack[-1] if stack else None
+            stack.append(_operand(token))
+    return stack[-1] if stack and stack[-1][0] else None
 
 
 def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, identifiers: Mapping[str, str] = IDENTIFIERS, tag: str = TAG) -> DataFrame:
@@ -96,8 +115,7 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, identif
 
     n_base counts the places of notice phrases, first_word and last_word are the smallest and largest word they
     start at (words from 0; null if there is none), notices has each with its character offsets in the original
-    text.  labels adds to base_labels what expressions after the
-    identifier tag name and what phrases that stand for an identifier do.  score says how freely the
+    text.  labels adds to base_labels what expressions after the name and what phrases that stand for an identifier do (see family()).  score says how freely the
     licences found allow reuse: the least over expressions and phrases, 0 if nothing is found.
 
     Null and empty texts have no words and no labels (empty strings); overlapping phrases each count; an

@@ -1,110 +1,131 @@
-"""Line dedup: repeated runs of lines by prefix doubling over line ids; later copies are deleted.
-
-Line ids are hashes.  A suffix is a place in a document's sequence of lines; at level k it is named by its first k
-lines.  Doubling names level 2k by the pair of level-k names at a place and k lines on, over all suffixes at once,
-so suffixes sorted by (level 1, level 2, level 4, ...) are a suffix array in the order of the hashes, and suffixes
-of one name at level k are an interval whose longest common prefix has k lines or more.  Suffixes alone in their
-interval leave at each level.  An interval's smallest place stays; the others are later copies, and runs of later
-copies are the maximal repeated runs.
+"""Line dedup: repeated runs of lines by a suffix array over line ids; later copies are deleted.
+
+A line's id is its digest of 128 bits.  A suffix is a place in a document's sequence of lines.  The suffix array is made
+by prefix doubling: ids are ranked by a distributed sort; then a suffix's rank by its first 2k lines is that of the
+pair of the rank-k numbers at its place and k lines on, pairs again ranked by a sort over all of them.  Suffixes that
+have their rank to themselves are settled and leave; a suffix whose second half is settled or beyond the text's end is
+settled too, so doubling ends after log2 of the longest repeat's lines.  Suffixes of one rank at level k are an interval
+of the suffix array whose longest common prefix has k lines or more.  The smallest place of an interval stays; the
+others are later copies of those k lines, and runs of lines that later copies cover are the maximal repeated runs.
+
+Ranks are dealt to distinct pairs, not to suffixes, so a very common pair is one row of the sort; suffixes meet their
+pair's rank in a join that spreads common pairs over salts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept, pick, set_aside, spread_join, table
-from .words import _BYTE, NEWLINE, Words, parts, ranged, signed, words
+from .common import forget, kept, pick, positional, schema_of, spread_join, table
+from .words import NEWLINE, Words, parts, signed, words
 
-_NO_ID = (1 << 63) - 1  # a null doc_id comes last
+_PLACE = ("last", "doc", "text", "place")
 
 
-def _lines(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines that are not blank, their numbers of words, their hashes, and a hash of each text by its lines."""
+def _lines(texts: pa.Array) -> tuple[Words, np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Lines that are not blank, their numbers of words, their digests' halves, and a digest of each text by its lines."""
     w, lines = words(texts), words(texts, NEWLINE)
     n = np.searchsorted(w.start, lines.end) - np.searchsorted(w.start, lines.start)
     ok = n > 0
     lines = Words(lines.data, lines.offsets, lines.start[ok], lines.end[ok], np.concatenate([[0], np.cumsum(ok)])[lines.first])
-    h = ranged(_BYTE[lines.data], lines.start, lines.end)
-    return lines, n[ok], h, ranged(h, lines.first[:-1], lines.first[1:])
+    one, two = lines.hashes()
+    return lines, n[ok], (one, two), lines.whole(one, two)[:, 0].copy()
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """doc, text (a hash of it), place, line (its hash), n (its words) for each line that is not blank."""
+    """last, doc, text (a digest of it), place, one and two (the line's digest), n (its words) for each line that is not blank.
+
+    docs has last (whether doc_id is null), doc (doc_id, or a hash of the text), text.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            lines, n, h, one = _lines(batch.column(1))
+            lines, n, (one, two), whole = _lines(batch.column(2))
             of = np.repeat(np.arange(batch.num_rows), np.diff(lines.first))
-            doc = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(doc[of]), pa.array(signed(one)[of]), pa.array(np.arange(len(h)) - lines.first[of]), pa.array(signed(h)), pa.array(n)], names=["doc", "text", "place", "line", "n"])
+            of_ = pa.array(of)
+            columns = (signed(whole)[of], np.arange(len(one)) - lines.first[of], signed(one), signed(two), n)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of_), batch.column(1).take(of_), *map(pa.array, columns)], names=[*_PLACE, "one", "two", "n"])
 
-    return docs.mapInArrow(make, "doc long, text long, place long, line long, n long")
+    return docs.mapInArrow(make, "last boolean, doc long, text long, place long, one long, two long, n long")
 
 
-def _intervals(named: DataFrame) -> DataFrame:
-    """The suffixes whose name others have too, and their interval's first place."""
-    where = F.struct("doc", "text", "place")
-    groups = kept(named.groupBy("name").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1"))
-    return spread_join(named.drop("first"), groups, "name", "c", "doc", "text", "place").drop("c")
+def _ranked(suffixes: DataFrame, *by: str) -> DataFrame | None:
+    """The suffixes that share `by` with others, with its rank in sorted order and the first place that has it."""
+    shared = suffixes.groupBy(*by).agg(F.count("*").alias("c"), F.min(F.struct(*_PLACE)).alias("first")).where("c > 1")
+    # numbers by partition and row rise along a sort
+    ranks = kept(shared.orderBy(*by).withColumn("rank_", F.monotonically_increasing_id()))
+    if ranks.isEmpty():
+        forget(ranks)
+        return None
+    out = kept(spread_join(suffixes, ranks, by, "c", *_PLACE).drop("c", *by).withColumnRenamed("rank_", "rank"))
+    forget(ranks)
+    return out
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> DataFrame:
-    """doc, text, place, lines: windows of lines that are later copies, for docs (doc_id without nulls, text).
+    """last, doc, text, place, lines: runs of lines that are later copies, for docs as in line_table().
 
-    A window is min_lines consecutive lines of a document, or one line of min_words words or more; blank lines are
-    passed over.
+    A run counts from min_lines consecutive lines of a document on, or as one line of min_words words or more; blank
+    lines are passed over.  Each suffix gives a row at each level of the doubling at which it is a later copy.
     """
-    named = kept(_intervals(line_table(docs).withColumnRenamed("line", "name")))
-    later = F.struct("doc", "text", "place") > F.col("first")
-    found = named.where(later & (F.col("n") >= min_words)).select("doc", "text", "place", F.lit(1).alias("lines"))
-    level = 1
-    while level < min_lines:
-        ahead = min(level, min_lines - level)
-        step = Window.partitionBy("doc", "text").orderBy("place").rangeBetween(ahead, ahead)
-        named = named.withColumn("next", F.first("name").over(step)).where("next IS NOT NULL")
-        named = _intervals(kept(named.withColumn("name", F.xxhash64("name", "next")).drop("next")))
-        level += ahead
-    return found if min_lines == 1 and min_words <= 1 else found.union(named.where(later).select("doc", "text", "place", F.lit(min_lines)))
+    later = F.struct(*_PLACE) > F.col("first")
+    active = _ranked(line_table(docs), "one", "two")
+    found, level = [], 1
+    while active is not None:
+        of = active.where(later) if level >= min_lines else active.where(later & (F.col("n") >= min_words)) if level == 1 else None
+        if of is not None:
+            found.append(kept(of.select(*_PLACE, F.lit(level).alias("lines"))))
+        ahead = min(level, min_lines - level) if level < min_lines else level
+        step = Window.partitionBy("last", "doc", "text").orderBy("place").rangeBetween(ahead, ahead)
+        pairs = active.withColumn("next", F.first("rank").over(step)).where("next IS NOT NULL").drop("first")
+        longer = _ranked(pairs, "rank", "next")
+        forget(active)
+        active, level = longer, level + ahead
+    if not found:
+        return docs.sparkSession.createDataFrame([], "last boolean, doc long, text long, place long, lines int")
+    return reduce(DataFrame.union, found)
 
 
 def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> DataFrame:
     """All columns of docs (doc_id, text, ...) with the later copies' lines deleted from text, and n_lines, n_removed.
 
-    A line is deleted if a window covers it (see repeated_runs) whose lines also start earlier: at a smaller doc_id,
-    or earlier in the same document.  A deleted line takes its line end with it.  Lines are compared byte by byte;
-    n_lines counts those that are not blank.
+    A line is deleted if a run covers it (see repeated_runs) whose lines also start earlier: at a smaller doc_id,
+    or earlier in the same document.  A deleted line takes its line end with it.  Lines are equal if their digests of
+    128 bits are; n_lines counts those that are not blank.
 
     Null texts stay null and have no lines; a text that loses all its lines is empty or blank; a null doc_id comes
-    after all others; several texts under one doc_id are several documents in the order of a hash; rows that repeat
-    wholly are one document and share its result; an empty table gives no rows.  Columns named n_lines or n_removed
-    are replaced.
+    after all others, in the order of a hash of the text; several texts under one doc_id are several documents in the
+    order of a hash; rows that repeat wholly are one document and share its result; an empty table gives no rows.
+    Columns named n_lines or n_removed are replaced; other columns may have any names.
     """
-    docs, back = set_aside(docs, "doc_id", "text", "n_lines", "n_removed")
-    docs = docs.drop("n_lines", "n_removed")
-    names = docs.columns
-    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    runs = repeated_runs(pick(docs, doc_id="long", text="string").select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "text"), min_lines, min_words)
-    gone = runs.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("text").alias("_text"), F.collect_list("place").alias("_place"), F.collect_list("lines").alias("_lines"))
-    rows = docs.withColumn("_id", id_).join(gone, F.col("_id") == F.col("_doc"), "left").select(*names, "_text", "_place", "_lines")
+    docs, names = positional(docs, "n_lines", "n_removed")
     at = names.index("text")
+    text, id_ = F.col(f"c{at}").cast("string"), F.col(f"c{names.index('doc_id')}").cast("long")
+    key = [id_.isNull().alias("last"), F.coalesce(id_, F.xxhash64(text)).alias("doc")]
+    runs = repeated_runs(docs.select(*key, text.alias("text")), min_lines, min_words)
+    gone = runs.groupBy(F.col("last").alias("last_"), F.col("doc").alias("doc_")).agg(F.collect_list(F.struct("text", "place", "lines")).alias("runs"))
+    keyed = docs.select(*docs.columns, *key)
+    rows = keyed.join(gone, (F.col("last") == F.col("last_")) & (F.col("doc") == F.col("doc_")), "left").select(*docs.columns, "runs")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
-            texts = batch.column(at)
-            lines, _, _, one = _lines(texts)
-            one, total = signed(one), np.diff(lines.first)
+        for batch in parts(batches, f"c{at}"):
+            texts, runs = batch.column(at), batch.column(len(names))
+            lines, _, _, whole = _lines(texts)
+            whole, total = signed(whole), np.diff(lines.first)
             removed = np.zeros(batch.num_rows, np.int64)
             new: dict[int, str] = {}
-            for i in np.flatnonzero(batch.column(len(names)).is_valid().to_numpy(zero_copy_only=False)).tolist():
-                of, place, n = (np.asarray(batch.column(len(names) + j)[i].as_py(), np.int64) for j in range(3))
+            for i in np.flatnonzero(runs.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                mine = runs[i].values
+                of, place, n = (mine.field(j).to_numpy().astype(np.int64) for j in range(3))
                 steps = np.zeros(total[i] + 1, np.int64)
-                np.add.at(steps, place[of == one[i]], 1)
-                np.add.at(steps, (place + n)[of == one[i]], -1)
+                np.add.at(steps, place[of == whole[i]], 1)
+                np.add.at(steps, (place + n)[of == whole[i]], -1)
                 dropped = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
                 removed[i] = len(dropped)
                 if not len(dropped):
@@ -119,10 +140,9 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int =
             if new:
                 texts = pa.array([new.get(i, x) for i, x in enumerate(texts.to_pylist())], pa.string())
             columns = [texts if j == at else batch.column(j) for j in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(removed)], names=[*names, "n_lines", "n_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(removed)], names=[*batch.schema.names[: len(names)], "n_lines", "n_removed"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return back(rows.mapInArrow(rebuild, f"{schema}, n_lines long, n_removed long"))
+    return rows.mapInArrow(rebuild, f"{schema_of(docs)}, n_lines long, n_removed long").toDF(*names, "n_lines", "n_removed")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

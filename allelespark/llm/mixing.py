@@ -33,7 +33,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] | Mapping[str, flo
     share = F.try_divide(F.col("weight") * F.col("left"), F.col("left_weight"))
     return (
         sizes.withColumns({"weight": weight, "cap": cap, "total": F.sum("source_size").over(every)})
-        .withColumns({"cap_before": F.coalesce(F.sum("cap").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "weight_left": F.sum("weight").over(filling.rowsBetween(0, Window.unboundedFollowing))})
+        .withColumns({"cap_before": F.coalesce(F.sum("cap").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "weight_left": F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
         .withColumn("clamped", clamped & (F.col("weight") > 0))
         .withColumns({"left": F.col("total") - F.coalesce(F.sum(F.when(F.col("clamped"), F.col("cap"))).over(every), F.lit(0)), "left_weight": F.sum(F.when(~F.col("clamped"), F.col("weight"))).over(every)})
         .select("source", "source_size", F.when(F.col("clamped"), F.col("cap").cast("double")).when(F.col("weight") > 0, share.cast("double")).otherwise(0.0).alias("target"))
@@ -49,10 +49,10 @@ def mix(docs: DataFrame, weights: Sequence[float] | Mapping[str, float] = (1, 2,
     The order is found in buckets of the hash: sums per bucket first, then inside each bucket, so that no task
     sorts a whole source.
 
-    Null text has size 0 and is never taken, a null source is a source, a null doc_id hashes as empty; rows that
-    repeat count each; an empty table gives no rows; other columns are ignored.
+    Null text has size 0 and is never taken, a null source is a source, a null doc_id hashes as the digest of
+    its text; rows that repeat count each; an empty table gives no rows; other columns are ignored.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))))
     sized = pick(docs, doc_id="long", source="string", text="string").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key"))
     sized = sized.withColumn("bucket", F.substring("key", 1, 3))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -79,7 +79,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('17:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+         md5('17:' || coalesce(doc_id::VARCHAR, md5(text), '')) AS key FROM documents),
 per_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (
   SELECT *, ((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight, 3 * source_size AS cap,

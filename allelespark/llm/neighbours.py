@@ -1,15 +1,22 @@
 """Approximate nearest neighbours by multi-probe p-stable hashing.
 
-Rows are dealt into chunks of about CHUNK and queries into blocks of BLOCK; each chunk is indexed on its own and
-searched for each block, so a task holds bounded numbers of both whatever their total.  In a chunk every row gets a
-bucket in each of TABLES tables: HASHES random projections, cut into steps of a width.  A query visits its own bucket
-and then perturbed ones, in the order of their estimated success (the squared distances to the steps' borders that
-they cross, smallest first), PROBES of them in each table.  The tables' candidates are merged and ranked by their
-exact distance.  A query that finds too few rows is searched again without buckets.
+Every distinct vector has one bucket in each of TABLES tables: HASHES random projections, cut into steps of a width.
+A query visits its own bucket of a table and then perturbed ones, in the order of their estimated success (the squared
+distances to the steps' borders that they cross, smallest first), PROBES of them in each table.  Rows and probes meet in
+a join on (table, bucket); a bucket's rows are ranked by their exact distance to the queries that visit it and only
+each query's nearest leave it, then the tables' candidates are merged.  So distances are only computed to rows of
+visited buckets, and no pair of a query and a row is ever a row of a table unless it may be an answer.
+
+Equal vectors are one node, of which only the ids that can be answers are looked at, so a vector that very many rows
+have is no large bucket.  Large buckets are cut into blocks of CHUNK rows, and the queries that visit one into blocks of
+BLOCK; a task holds one block of each.  A query that finds too few nodes is searched again without buckets.
+
+The step's width is fitted on a sample of SAMPLE nodes, the index holds all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -17,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept, pick, table
+from .common import forget, kept, pick, spread_join, table
 from .words import mix
 
-CHUNK, BLOCK = 4096, 1024
-TABLES, HASHES, PROBES = 8, 6, 60
-#: The step's width, as a multiple of the usual distance to the k-th nearest row of a chunk.
-WIDTH = 1.5
+CHUNK, BLOCK, SAMPLE = 4096, 1024, 4096
+TABLES, HASHES, PROBES = 8, 12, 60
+#: The step's width, as a multiple of the usual distance to the k-th nearest node.
+WIDTH = 3.0
 
 
 def _perturbations(n: int) -> np.ndarray:
@@ -41,43 +48,74 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     key = np.zeros(h.shape[:-1], np.uint64)
     for j in range(h.shape[-1]):
         key = mix(key ^ (h[..., j].astype(np.int64).view(np.uint64) + np.uint64(j + 1)))
-    return key
-
-
-def _candidates(rows: np.ndarray, queries: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """(queries, rows): whether a query visits the bucket of a row in some table."""
-    found = np.zeros((len(queries), len(rows)), bool)
-    some = queries[:: max(1, len(queries) // 64)]
-    near = np.sort(np.maximum((some**2).sum(1)[:, None] + (rows**2).sum(1) - 2 * some @ rows.T, 0), axis=1)
-    width = WIDTH * max(np.sqrt(np.median(near[:, min(k, near.shape[1] - 1)])), 1e-3 * np.sqrt(np.median(near)), 1e-12)
-    rng = np.random.default_rng(seed)
-    steps = _perturbations(HASHES)
-    up, down = steps == 1, steps == -1
-    for _ in range(TABLES):
-        lines, shift = rng.normal(size=(rows.shape[1], HASHES)), rng.uniform(size=HASHES)
-        at = queries @ lines / width + shift
-        own = np.floor(at)
-        over = at - own  # the distance to the lower border; to the upper one it is 1 - over
-        success = (over**2) @ down.T + ((1 - over) ** 2) @ up.T
-        visit = np.argsort(success, axis=1, kind="stable")[:, :PROBES]
-        probes = _bucket(own.astype(np.int64)[:, None, :] + steps[visit])
-        buckets = _bucket(np.floor(rows @ lines / width + shift).astype(np.int64))
-        order = np.argsort(buckets)
-        low, high = (np.searchsorted(buckets[order], probes, side) for side in ("left", "right"))
-        q, p = np.nonzero(high > low)
-        n = (high - low)[q, p]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        found[np.repeat(q, n), order[np.repeat(low[q, p], n) + within]] = True
-    return found
-
-
-def _nearest(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, seed: int, probe: bool) -> list[tuple[np.ndarray, ...]]:
-    ok = _candidates(rows, queries, k, seed) if probe else np.ones((len(queries), len(rows)), bool)
-    ok &= own[:, None] != ids
-    rough = np.where(ok, np.maximum((queries**2).sum(1)[:, None] + (rows**2).sum(1) - 2 * queries @ rows.T, 0), np.inf)
+    return key.view(np.int64)
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    """A list column of equal lengths as a matrix."""
+    flat = column.flatten()
+    return np.asarray(flat, np.float64).reshape(len(column), -1)
+
+
+def _projections(dim: int, seed: int, t: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng([seed, dim, t])
+    return rng.normal(size=(dim, HASHES)), rng.uniform(size=HASHES)
+
+
+def _of_one_dimension(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for batch in batches:
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            yield dim, batch.filter(pa.array(dims == dim))
+
+
+def row_buckets(nodes: DataFrame, widths: dict[int, float], seed: int) -> DataFrame:
+    """dim, t, bucket, node, embedding: each node's bucket in each table."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, some in _of_one_dimension(batches):
+            x = _vectors(some.column("embedding"))
+            for t in range(TABLES):
+                lines, shift = _projections(dim, seed, t)
+                bucket = _bucket(np.floor(x @ lines / widths[dim] + shift))
+                yield pa.RecordBatch.from_arrays([some.column("dim"), pa.array(np.full(len(x), t, np.int32)), pa.array(bucket), some.column("node"), some.column("embedding")], names=["dim", "t", "bucket", "node", "embedding"])
+
+    return nodes.mapInArrow(make, "dim int, t int, bucket long, node long, embedding array<double>")
+
+
+def query_probes(queries: DataFrame, widths: dict[int, float], seed: int) -> DataFrame:
+    """dim, t, bucket, node, embedding: the buckets that each query visits in each table."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = _perturbations(HASHES)
+        up, down = steps == 1, steps == -1
+        for dim, every in _of_one_dimension(batches):
+            for at in range(0, every.num_rows, 256):
+                some = every.slice(at, 256)
+                x = _vectors(some.column("embedding"))
+                for t in range(TABLES):
+                    lines, shift = _projections(dim, seed, t)
+                    where = x @ lines / widths[dim] + shift
+                    own = np.floor(where)
+                    over = where - own  # the distance to the lower border; to the upper one it is 1 - over
+                    success = (over**2) @ down.T + ((1 - over) ** 2) @ up.T
+                    visit = np.argsort(success, axis=1, kind="stable")[:, :PROBES]
+                    bucket = _bucket(own.astype(np.int64)[:, None, :] + steps[visit])
+                    of = pa.array(np.repeat(np.arange(len(x)), bucket.shape[1]))
+                    one = some.take(of)
+                    yield pa.RecordBatch.from_arrays([one.column("dim"), pa.array(np.full(len(of), t, np.int32)), pa.array(bucket.reshape(-1)), one.column("node"), one.column("embedding")], names=["dim", "t", "bucket", "node", "embedding"])
+
+    return queries.mapInArrow(make, "dim int, t int, bucket long, node long, embedding array<double>")
+
+
+def _best(ids: np.ndarray, rows: np.ndarray, own: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query, node, score) of each query's k nearest rows, ties to the smaller id."""
+    order = np.argsort(ids, kind="stable")
+    ids, rows = ids[order], rows[order]
+    rough = np.maximum((queries**2).sum(1)[:, None] + (rows**2).sum(1) - 2 * queries @ rows.T, 0)
     slack = 1e-9 * ((queries**2).sum(1) + (rows**2).sum(1).max())
     limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if rough.shape[1] > k else np.full(len(queries), np.inf)
-    q, r = np.nonzero(ok & (rough <= (limit + slack)[:, None]))
+    q, r = np.nonzero(rough <= (limit + slack)[:, None])
     score = np.sqrt(((rows[r] - queries[q]) ** 2).sum(1))
     order = np.lexsort((ids[r], score, q))
     q, r, score = q[order], r[order], score[order]
@@ -85,23 +123,52 @@ def _nearest(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nda
     return own[q[rank < k]], ids[r[rank < k]], score[rank < k]
 
 
-def _search(rows: DataFrame, queries: DataFrame, k: int, seed: int, n: int, n_queries: int, probe: bool) -> DataFrame:
-    chunks, blocks = -(-n // CHUNK) or 1, -(-n_queries // BLOCK) or 1
-    spread = lambda df, own, n_own, other, n_other: df.select(F.col("dim").alias("dim"), F.pmod(F.xxhash64("vec_id", "dim"), F.lit(n_own).cast("long")).alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other), F.col("vec_id").alias("vec_id"), F.col("embedding").alias("embedding"))
-    keys = ["dim", "chunk", "block"]
-    left, right = spread(rows, "chunk", chunks, "block", blocks), spread(queries, "block", blocks, "chunk", chunks)
+def _compared(rows: DataFrame, probes: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """query, node, score: the k nearest rows of each group for its probes, in blocks, then of all groups.
 
-    def search(group: pa.Table, asked: pa.Table) -> pa.Table:
+    rows and probes have the keys, node, embedding; groups without a probe are left out.
+    """
+    asked = probes.groupBy(*keys).agg(F.count("*").alias("q"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    held = rows.groupBy(*keys).agg(F.count("*").alias("c"), F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    sizes = kept(held.join(asked, keys))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    names = [*keys, "chunk", "block"]
+    left = spread_join(rows, sizes, keys, "c", "node").withColumn("chunk", deal("chunks")).withColumn("block", every("blocks")).select(*names, "node", "embedding")
+    right = spread_join(probes, sizes, keys, "q", "node").withColumn("block", deal("blocks")).withColumn("chunk", every("chunks")).select(*names, "node", "embedding")
+
+    def search(group: pa.Table, asking: pa.Table) -> pa.Table:
         out = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        if group.num_rows and asked.num_rows:
-            (ids, vectors), (own, wanted) = ((t["vec_id"].to_numpy(), np.asarray(t["embedding"].combine_chunks().flatten(), np.float64).reshape(t.num_rows, -1)) for t in (group, asked))
-            order = np.argsort(ids, kind="stable")
-            out = _nearest(vectors[order], ids[order], wanted, own, k, seed, probe)
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2])})
+        if group.num_rows and asking.num_rows:
+            (ids, x), (own, q) = ((t["node"].to_numpy(), _vectors(t["embedding"].combine_chunks())) for t in (group, asking))
+            out = _best(ids, x, own, q, k)
+        return pa.table({"query": pa.array(out[0], pa.int64()), "node": pa.array(out[1], pa.int64()), "score": pa.array(out[2])})
+
+    found = left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(search, "query long, node long, score double")
+    # a node found in several tables has one score
+    found = found.groupBy("query", "node").agg(F.min("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy("score", "node"))
+    return found.withColumn("rank", place).where(F.col("rank") <= k).drop("rank")
+
 
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+def _widths(nodes: DataFrame, n: dict[int, int], k: int) -> dict[int, float]:
+    """For each dimension the step: WIDTH times the usual distance to the k-th nearest of n nodes.
+
+    It is the k / n quantile of the distances between 256 and all of the SAMPLE nodes with the smallest hashes; if n is
+    so large that the sample has none so small, its smallest distance.
+    """
+    out = {}
+    for dim, count in n.items():
+        rows = nodes.where(F.col("dim") == dim).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").collect()
+        x = np.array([r[0] for r in rows], np.float64)
+        some = x[:256]
+        d = np.maximum((some**2).sum(1)[:, None] + (x**2).sum(1) - 2 * some @ x.T, 0)
+        d[np.arange(len(some)), np.arange(len(some))] = np.inf
+        d = np.sort(d[np.isfinite(d)])
+        near = np.sqrt(d[min(len(d) - 1, int(len(d) * min(1.0, k / count)))]) if len(d) else 1.0
+        usual = np.sqrt(np.median(d)) if len(d) else 1.0
+        out[dim] = float(WIDTH * max(near, 1e-3 * usual, 1e-12))
+    return out
 
 
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10, seed: int = 5) -> DataFrame:
@@ -109,22 +176,44 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, seed: int = 5) ->
     vec_id `every` divides, by Euclidean distance in double precision; nearest first, ties to the smaller vec_id.
 
     Rows take part if vec_id is not null and the embedding is neither null, empty nor zero and holds no null, NaN or
-    infinite component; vectors of different dimensions never meet.  A query does not find rows of its own vec_id;
-    rows that repeat are found, and asked, each (but share their ranks).  A query with k candidates or more always
-    gets k, with fewer all; an empty table gives no rows; other columns are ignored.
+    infinite component; vectors of different dimensions never meet.  A query does not find rows of its own vec_id.
+    Rows that repeat wholly are one candidate and one query; a vec_id with several vectors is several candidates, and
+    as a query it is the smallest of them.  A query with k candidates or more always gets k, with fewer
+    all; an empty table gives no rows; other columns are ignored.
     """
     rows = pick(vectors, vec_id="long", embedding="array<double>").where("vec_id IS NOT NULL AND size(embedding) > 0")
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = rows.where(~bad & F.exists("embedding", lambda x: x != 0)).withColumn("dim", F.size("embedding").cast("long"))
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    n, n_queries = rows.count(), queries.count()
-    found = kept(_search(rows, queries, k, seed, n, n_queries, probe=True))
-    full = found.where(F.col("rank") == k).select("query_id")
-    short = queries.join(full, F.col("vec_id") == F.col("query_id"), "left_anti")
-    n_short = short.count()
-    if not n_short:
-        return found
-    return found.join(full, "query_id", "left_semi").select("query_id", "rank", "vec_id", "score").union(_search(rows, short, k, seed, n, n_short, probe=False))
+    rows = rows.where(~bad & F.exists("embedding", lambda x: x != 0)).withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
+    # at most k + 1 ids of a vector can be answers to one query, whose own id may be among them
+    order = F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    few = rows.withColumn("r", order).where(F.col("r") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
+    # a vec_id with several vectors is in several nodes, so a node has a number of its own
+    nodes = kept(few.select(F.monotonically_increasing_id().alias("node"), F.size("embedding").alias("dim"), "embedding", "ids"))
+    counts = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    wanted = kept(queries.groupBy("embedding").agg(F.count("*").alias("c")).join(nodes.select("node", "embedding"), "embedding"))
+    queries = spread_join(queries, wanted, "embedding", "c", "vec_id").select("vec_id", "node")
+    asked = kept(nodes.join(wanted.select("node"), "node", "left_semi").select("node", "dim", "embedding"))
+    widths = _widths(nodes, counts, k)
+    placed = kept(row_buckets(nodes.select("node", "dim", "embedding"), widths, seed))
+    probes = kept(query_probes(asked, widths, seed))
+    found = kept(_compared(placed, probes, ["dim", "t", "bucket"], k + 1))
+    forget(placed, probes)
+    # k + 1 nodes have k ids besides a query's own; a query may also have seen all nodes there are
+    seen = found.groupBy(F.col("query").alias("node")).agg(F.count("*").alias("c"))
+    most = F.lit(0)
+    for dim, n in counts.items():
+        most = F.when(F.col("dim") == dim, min(n, k + 1)).otherwise(most)
+    short = kept(asked.join(seen, "node", "left").where(F.coalesce("c", F.lit(0)) < most).select("dim", "node", "embedding"))
+    if not short.isEmpty():
+        full = found.join(short.select(F.col("node").alias("query")), "query", "left_anti")
+        found = full.unionByName(_compared(nodes.select("dim", "node", "embedding"), short, ["dim"], k + 1))
+    answers = found.join(nodes.select("node", F.explode("ids").alias("vec_id")), "node")
+    lists = answers.groupBy(F.col("query").alias("node")).agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("near"))
+    mine = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    lists = kept(lists.join(wanted.select("node", "c"), "node"))
+    out = spread_join(queries.withColumnRenamed("vec_id", "query_id"), lists, "node", "c", "query_id").select("query_id", F.posexplode(mine).alias("i", "x"))
+    return out.select("query_id", (F.col("i") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import kept, pick, spread_join, table
 
 #: The contract's rules.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+#: Suffixes (a short text and three numbers each) that are broadcast at most.
+MAX_BROADCAST = 100_000
 _ASCII = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -75,20 +77,23 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: Da
         return df.withColumns(lexical_features(url, F.col("host"), F.col("path")))
 
     rows = described(pick(pages, page_id="long", url="string"))
-    stats = rows.groupBy("suffix").agg(F.log1p(F.count("*")).alias("f_suffix_pages"), F.avg("f_depth").alias("f_suffix_depth"))
+    stats = kept(rows.groupBy("suffix").agg(F.count("*").alias("pages"), F.log1p(F.count("*")).alias("f_suffix_pages"), F.avg("f_depth").alias("f_suffix_depth")))
+    few = stats.count() <= MAX_BROADCAST
     known = described(pick(labels, url="string", verdict="string")).withColumn("known", F.col("verdict")) if labels is not None else rows.withColumn("known", F.col("fit.verdict"))
     known = known.where(F.col("known").isin("allow", "block"))
     # whether a label says block or allow must not come from the rule's own words only, so hosts' names are no feature
     inputs = [*(c for c in rows.columns if c.startswith("f_")), "f_suffix_pages", "f_suffix_depth"]
-    join = lambda df: df.join(stats, "suffix", "left").na.fill(0.0, inputs)
-    learn = join(known.withColumn("h", F.xxhash64("url", F.lit(seed))).orderBy("h", "url").limit(max_training)).select(*inputs, (F.col("known") == "block").cast("double").alias("label"))
+    some = known.withColumn("h", F.xxhash64("url", F.lit(seed))).orderBy("h", "url").limit(max_training)
+    learn = some.join(F.broadcast(stats) if few else stats, "suffix", "left").na.fill(0.0, inputs).select(*inputs, (F.col("known") == "block").cast("double").alias("label"))
     vectors = VectorAssembler(inputCols=inputs, outputCol="features")
     learn = vectors.transform(learn).select("features", "label").persist()
     classes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
     if len(classes) == 2:
         model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.3).fit(learn)
         model.setRawPredictionCol("raw").setProbabilityCol("probability").setPredictionCol("predicted")
-        judged = model.transform(vectors.transform(join(rows))).withColumn("block_probability", vector_to_array("probability")[1])
+        # every row's suffix is counted; a suffix can have most of the rows, so they are not dealt by it
+        counted = rows.join(F.broadcast(stats), "suffix") if few else spread_join(rows, stats, "suffix", "pages", "url", "page_id")
+        judged = model.transform(vectors.transform(counted)).withColumn("block_probability", vector_to_array("probability")[1])
     else:
         judged = rows.withColumn("block_probability", F.lit(float(next(iter(classes), 0.0))))
     learn.unpersist()

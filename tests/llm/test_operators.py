@@ -102,9 +102,8 @@ def test_contamination_against_brute_force(spark):
     windows = {}
     for r in items.collect():
         w = alnum(r.text)
-        if r.item_id is not None:
-            for i in range(max(1, len(w) - 12) if w else 0):
-                windows.setdefault(tuple(w[i : i + 13]), set()).add(str(r.item_id))
+        for i in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[i : i + 13]), set()).add(r.item_id)
     want = []
     for i, text in texts:
         w, hit, ids = alnum(text), set(), set()
@@ -113,7 +112,7 @@ def test_contamination_against_brute_force(spark):
                 if (k := tuple(w[a : a + n])) in windows:
                     hit |= set(range(a, a + n))
                     ids |= windows[k]
-        want.append((i, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+        want.append((i, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(str(x) for x in ids if x is not None)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
     out = decontaminate.contamination(docs, items)
     assert by_row(out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) == sorted(want, key=str)
     row = out.where("doc_id = 4").first()
@@ -376,3 +375,272 @@ def test_hot_lines_and_families(spark, monkeypatch):
     want = [by_row(f(docs)) for f in (lines.remove_repeated_lines, near_duplicates.near_duplicates)]
     monkeypatch.setattr(common, "_LEAST", 1)
     assert [by_row(f(docs)) for f in (lines.remove_repeated_lines, near_duplicates.near_duplicates)] == want
+
+
+def _swapped(n):
+    """Two sequences of n symbols that swap a and b in Thue-Morse order: any polynomial modulo 2**64 gives both one value from n = 1024 on."""
+    one = [bin(i).count("1") % 2 for i in range(n)]
+    return one, [1 - x for x in one]
+
+
+def test_texts_of_equal_polynomials_are_no_copies(spark):
+    one, two = ([("alpha", "beta")[x] for x in s] for s in _swapped(2048))
+    docs = spark.createDataFrame([(1, " ".join(f"{w}{i % 7}" for i, w in enumerate(one))), (2, " ".join(f"{w}{i % 7}" for i, w in enumerate(two)))], "doc_id long, text string")
+    got = {r.doc_id: r for r in near_duplicates.near_duplicates(docs, shingle=500).collect()}
+    sets = [{tuple(w[i : i + 500]) for i in range(1549)} for w in (r.text.split() for r in docs.orderBy("doc_id").collect())]
+    linked = 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1])
+    assert not linked and got[2].component_id == 2 and got[2].kept
+    seen, want = set(), {}
+    for r in docs.orderBy("doc_id").collect():
+        w, gone = r.text.split(), set()
+        for a in range(len(w) - 39):
+            key = tuple(w[a : a + 40])
+            gone |= set(range(a, a + 40)) if key in seen else set()
+            seen.add(key)
+        want[r.doc_id] = len(gone)
+    assert {r.doc_id: r.n_removed for r in substrings.remove_repeats(docs, 40).collect()} == want
+
+
+def test_words_and_lines_of_equal_polynomials_differ(spark):
+    one, two = ("".join("ab"[x] for x in s) for s in _swapped(2048))
+    tail = " two three four five six seven eight"
+    docs = spark.createDataFrame([(1, one + tail), (2, two + tail)], "doc_id long, text string")
+    assert [r.n_removed for r in lines.remove_repeated_lines(docs).collect()] == [0, 0]
+    assert [r.kept for r in near_duplicates.near_duplicates(docs, shingle=8).collect()] == [True, True]
+    made = trie.pretokens(pa.array([one, two]))
+    assert len(made.start) == 2 and set(made.strings()) == {b" " + one.encode(), b" " + two.encode()}
+
+
+def _deleted(rows, min_lines, min_words):
+    """doc_id, lines left, by windows of lines in the order of rows."""
+    seen, out = set(), []
+    for i, text in rows:
+        every = text.split("\n")
+        some = [k for k, x in enumerate(every) if x.split()]
+        gone = set()
+        for a in range(len(some)):
+            for n in {1, min_lines}:
+                at = some[a : a + n]
+                if len(at) < n or (n < min_lines and len(every[at[0]].split()) < min_words):
+                    continue
+                key = tuple(every[k] for k in at)
+                if key in seen:
+                    gone |= set(at)
+                seen.add(key)
+        left = [x + ("\n" if k < len(every) - 1 else "") for k, x in enumerate(every) if k not in gone]
+        out.append((i, "".join(left), len(some), len(gone)))
+    return out
+
+
+@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
+def test_lines_against_brute_force(spark, min_lines):
+    rng = random.Random(min_lines)
+    pool = [" ".join(rng.choice("pqrst") for _ in range(rng.choice([1, 2, 9]))) for _ in range(14)]
+    rows = []
+    for i in range(60):
+        text = [rng.choice([*pool, ""]) for _ in range(rng.randint(0, 25))]
+        if rows and rng.random() < 0.4:  # a long run of an earlier document
+            text += rng.choice(rows)[1].split("\n")
+        rows.append((i, "\n".join(text)))
+    rows.append((60, "\n".join(f"line {i % 40} of a long run" for i in range(400))))
+    got = lines.remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), min_lines)
+    assert by_row(got.select("doc_id", "text", "n_lines", "n_removed")) == sorted(_deleted(rows, min_lines, 8), key=str)
+
+
+def test_doubling_follows_the_longest_repeat(spark):
+    run = "\n".join(f"line {i}" for i in range(37))
+    docs = spark.createDataFrame([(False, 1, f"{run}\nx"), (False, 2, f"y\n{run}\nz")], "last boolean, doc long, text string")
+    rows = lines.repeated_runs(docs).collect()
+    assert max(r.lines for r in rows) == 32 and {r.doc for r in rows} == {2}
+    assert {r.place + k for r in rows for k in range(r.lines)} == set(range(1, 38))
+
+
+CLASHES = ["_doc", "_id", "_text", "_place", "_lines", "_bad", "_kept", "_r", "key", "bad", "last", "doc", "runs", "c0", "node", "size", "score", "TEXT", "Doc_Id"]
+
+
+def test_clashing_names(spark):
+    eight = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, f"{eight}\nx"), (2, eight), (3, None)], "doc_id long, text string")
+    docs = docs.toDF("a", "b").select(F.col("a"), F.col("b"), *(F.lit(f"v{i}") for i in range(len(CLASHES)))).toDF("doc_id", "text", *CLASHES)
+    items = spark.createDataFrame([("i", eight)], "item_id string, text string")
+    plain = lambda df: sorted(tuple(r) for r in df.collect())
+    left = lines.remove_repeated_lines(docs)
+    assert left.columns == [*docs.columns, "n_lines", "n_removed"]
+    values = tuple(f"v{i}" for i in range(len(CLASHES)))
+    assert sorted((tuple(r) for r in left.collect()), key=lambda r: r[0]) == [(1, f"{eight}\nx", *values, 2, 0), (2, "", *values, 1, 1), (3, None, *values, 0, 0)]
+    clean = decontaminate.decontaminate(docs, items)
+    assert clean.columns == docs.columns and plain(clean) == [(3, None, *values)]
+    for run in (mixing.mix, substrings.remove_repeats, near_duplicates.near_duplicates, licenses.scan_licenses, tokens.count_tokens):
+        assert run(docs).count() == 3
+
+
+def test_documents_without_ids(spark):
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(4)) for _ in range(12)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (7, texts[0]), (None, None), (None, None), (7, "other words under one id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.remove_repeated_lines(docs).collect()
+    assert sorted(r.n_removed for r in got) == [0] * (len(rows) - 2) + [4, 4]  # both rows of the copied text without an id
+    got = substrings.remove_repeats(docs).collect()
+    assert sorted(r.n_removed for r in got)[-2:] == [36, 36] and sum(r.n_removed > 0 for r in got) == 2
+    taken = mixing.mix(docs.withColumn("source", F.lit("s")), max_epochs=1).collect()
+    assert sum(r.taken for r in taken) == sum(len(t.split()) for _, t in rows if t)
+
+
+def test_mixing_of_many_sources(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), "id").alias("source"), F.lit("two words").alias("text"))
+    rows = mixing.mix(docs).collect()
+    assert abs(sum(r.taken for r in rows) - 10_000) <= len(rows) and all(r.taken <= 3 * r.size for r in rows)
+
+
+def _licences(text):
+    """The base columns by going through the words one by one."""
+    w = alnum(text)
+    places = [(k, label) for phrase, label in licenses.NOTICES.items() for k in range(len(w)) if w[k : k + len(phrase.split())] == phrase.split()]
+    at = [k for k, _ in places]
+    return len(w), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def _free(tree):
+    """(labels, freedom) of an expression tree."""
+    if isinstance(tree, str):
+        known = licenses.family(tree)
+        return ({known[0], tree.lower()}, known[1]) if known else (set(), None)
+    op, a, b = tree
+    (x, y), (u, v) = _free(a), _free(b)
+    if op == "WITH":
+        return x, y
+    known = [f for f in (y, v) if f is not None]
+    return x | u, (min(known, default=None) if op == "AND" else max(known, default=None))
+
+
+def _written(tree, rng):
+    if isinstance(tree, str):
+        return tree
+    return f"({_written(tree[1], rng)} {rng.choice([tree[0], tree[0].lower()])} {_written(tree[2], rng)})"
+
+
+def _tree(rng, depth):
+    if not depth or rng.random() < 0.3:
+        return rng.choice(["MIT", "GPL-2.0-only", "Apache-2.0", "BSD-3-Clause", "see", "LicenseRef-Own", "CC-BY-NC-4.0"])
+    return (rng.choice(["AND", "OR", "WITH"]), _tree(rng, depth - 1), _tree(rng, depth - 1))
+
+
+def test_expressions_against_their_trees():
+    rng = random.Random(8)
+    for _ in range(400):
+        tree = _tree(rng, 4)
+        want = _free(tree)
+        assert licenses.evaluate(_written(tree, rng)) == (want if want[0] else None)
+    for _ in range(3000):  # nothing crashes
+        value = licenses.evaluate(" ".join(rng.choice(["(", ")", "AND", "or", "WITH", "MIT", "see", "()", "GPL-2.0"]) for _ in range(rng.randint(0, 9))))
+        assert value is None or (value[0] and 0 <= value[1] <= 1)
+    assert licenses.evaluate("MIT OR ()")[0] == licenses.evaluate("MIT WITH (")[0] == {"mit"}
+    assert licenses.evaluate("see the readme") is None and licenses.family("mit-see-readme") is None and licenses.family("LicenseRef-") is None
+
+
+def test_license_scan_against_brute_force(spark):
+    rng = random.Random(3)
+    bits = ["GNU General Public License", "apache  license", "CC-BY", "cc by", "MIT\nLicense", "mit", "license", "word", "é", "gnu general", "SPDX-License-Identifier: see the readme\n", "SPDX-License-Identifier: MIT OR (\n", "SPDX-License-Identifier: BSD-3-Clause\n"]
+    rows = [(i, " ".join(rng.choice(bits) for _ in range(rng.randint(0, 30)))) for i in range(200)] + [(200, None), (201, "MIT license " * 5000)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for i, text in rows:
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == _licences(text)
+        free = [licenses.family(n.label)[1] for n in r.notices]
+        labels = set(filter(None, r.base_labels.split(",")))
+        for found in re.findall(r"(?i)spdx-license-identifier: ([^\n]*)", text or ""):
+            if value := licenses.evaluate(found):
+                labels |= value[0]
+                free.append(value[1])
+        assert r.labels == ",".join(sorted(labels)) and r.score == min(free, default=0.0)
+
+
+def test_token_counts_against_brute_force(spark):
+    rows = [(1, "the cat sat on the mat " * 3), (2, "我们今天在这里" * 12), (3, "x" * 70 + " " + "ab" * 700), (4, None), (5, ""), (1, "the cat sat on the mat " * 3), (None, "the mat")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known, encoder = trie.vocabulary()
+    counts = np.full(known.size, 0.1)
+    for _, text in rows:
+        for p in (q for word in words(text) for q in encoder.encode(word)):
+            counts[p] += 1
+    logp = np.log(counts / counts.sum())
+    ids = {s: i for i in range(encoder.get_piece_size()) if not (encoder.is_byte(i) or encoder.is_control(i) or encoder.is_unknown(i)) and (s := encoder.id_to_piece(i).replace("▁", " ").encode())}
+    want = []
+    for i, text in rows:
+        parts_ = [_plain(b" " + w.encode(), known, ids, logp) for w in words(text)]
+        want.append((i, len(parts_), sum(p[2] for p in parts_), sum(p[0] for p in parts_), sum(p[1] for p in parts_)))
+    got = [tuple(r) for r in tokens.count_tokens(docs).collect()]
+    for a, b in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9)
+
+
+def test_url_model_on_held_out_labels(spark):
+    rng = random.Random(1)
+    good = lambda i: f"https://site{rng.randint(0, 50)}.org/{rng.choice(['news', 'blog', 'docs'])}/{rng.choice(['a', 'b'])}"
+    bad = lambda i: f"http://{rng.randint(10**6, 10**8)}.info/x/y/z/{rng.randint(10**8, 10**9)}?a={i}&b={i}&c={i}&d=1"
+    rows = [(i, (bad if i % 2 else good)(i), "block" if i % 2 else "allow") for i in range(400)]
+    labels = spark.createDataFrame([(u, v) for _, u, v in rows[:200]], "url string, verdict string")
+    pages = spark.createDataFrame(rows[200:] + [(900, None, ""), (901, rows[0][1], "")], "page_id long, url string, verdict string")
+    got = {r.page_id: r for r in urls.judge(pages, labels=labels).collect()}
+    assert len(got) == 202 and sum(got[i].verdict == v for i, _, v in rows[200:]) >= 196
+    assert all(0 <= r.block_probability <= 1 for r in got.values())
+    one = urls.judge(pages, labels=labels.where("verdict = 'block'")).collect()  # one class
+    assert {r.verdict for r in one} == {"block"}
+    twice = labels.union(labels.withColumn("verdict", F.when(F.col("verdict") == "block", "allow").otherwise("block")))  # ties
+    assert urls.judge(pages, labels=twice).count() == 202
+
+
+def test_url_suffixes_beyond_a_broadcast(spark, monkeypatch):
+    rows = [(i, f"http://h{i}.{'com' if i % 3 else f's{i % 7}'}/{'en/' * (i % 4)}{i}") for i in range(90)] + [(91, "https://a.net/es/1"), (92, "https://b.net/fr/2")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    want = by_row(urls.judge(pages))
+    monkeypatch.setattr(urls, "MAX_BROADCAST", 0)
+    monkeypatch.setattr(common, "_LEAST", 10)
+    assert by_row(urls.judge(pages)) == want
+
+
+def test_nearest_in_small_blocks_and_of_equal_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = np.round(rng.normal(size=(40, 6)), 3)
+    rows = [(i, base[int(rng.integers(0, 40)) if i % 3 else 0].tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    x = np.array([v for _, v in rows])
+    want = []
+    for q in range(0, 900, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        order = [int(i) for i in np.lexsort((np.arange(900), d)) if i != q][:10]
+        want += [(q, k + 1, i, pytest.approx(d[i], abs=1e-12)) for k, i in enumerate(order)]
+    assert sorted(map(tuple, neighbours.nearest(df).collect())) == want
+    monkeypatch.setattr(neighbours, "CHUNK", 3)
+    monkeypatch.setattr(neighbours, "BLOCK", 1)
+    monkeypatch.setattr(common, "_LEAST", 2)
+    assert sorted(map(tuple, neighbours.nearest(df).collect())) == want
+
+
+def test_signatures_before_empty_texts(spark):
+    rows = [(1, "a b c d e f g h"), (2, None), (3, "")]
+    one = near_duplicates.signatures(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 4, 24).where("doc_id = 1").first()
+    alone = near_duplicates.signatures(spark.createDataFrame(rows[:1], "doc_id long, text string"), 4, 24).first()
+    assert one.signature == alone.signature
+
+
+def test_components_of_hubs(spark, monkeypatch):
+    from allelespark.llm import components
+
+    monkeypatch.setattr(components, "_LEAST", 3)
+    monkeypatch.setattr(components, "_HOT", 5)
+    rng = random.Random(2)
+    edges = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(50, 70)] + [(rng.randint(80, 110), rng.randint(80, 110)) for _ in range(20)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    got = components.components(spark.createDataFrame(edges, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == sorted((i, find(i)) for i in root)
