@@ -455,7 +455,7 @@ def test_doubling_follows_the_longest_repeat(spark):
     assert {r.place + k for r in rows for k in range(r.lines)} == set(range(1, 38))
 
 
-CLASHES = ["_doc", "_id", "_text", "_place", "_lines", "_bad", "_kept", "_r", "key", "bad", "last", "doc", "runs", "c0", "node", "size", "score", "TEXT", "Doc_Id"]
+CLASHES = ["_doc", "_id", "_text", "_place", "_lines", "_bad", "_kept", "_r", "key", "bad", "last", "doc", "runs", "c0", "node", "size", "score", "TEXT", "Doc_Id", "source", "lang"]
 
 
 def test_clashing_names(spark):
