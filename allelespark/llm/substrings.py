@@ -231,8 +231,13 @@ def _finish(n: int):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text"):
             w = words(batch.column(_TEXT))
-            h, h2 = w.hashes()
-            skip, which = _copies(batch, w, h, h2), _which(batch, w, h, h2)
+            skip, which = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, np.int64)
+            known = np.flatnonzero(batch.column(_COPIED).is_valid().to_numpy(zero_copy_only=False) | batch.column(_MANY).is_valid().to_numpy(zero_copy_only=False))
+            if len(known):  # only these texts need their digests
+                few = batch.take(pa.array(known))
+                v = words(few.column(_TEXT))
+                h, h2 = v.hashes()
+                skip[known], which[known] = _copies(few, v, h, h2), _which(few, v, h, h2)
             total = np.diff(w.first)
             places = batch.column(_MORE)
             some = places.is_valid().to_numpy(zero_copy_only=False)
