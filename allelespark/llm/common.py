@@ -86,10 +86,10 @@ def spread_join(rows: DataFrame, groups: DataFrame, key: str | Sequence[str], co
     hash of the columns `by` deals over salts; a hot key's group is copied to each salt.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    total = groups.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    total, most = groups.agg(F.coalesce(F.sum(count), F.lit(0)), F.coalesce(F.max(count), F.lit(0))).first()
     least = max(-(-total // _HOT), _LEAST)
     is_hot = F.col(count) >= least
-    if total < least or groups.where(is_hot).isEmpty():
+    if most < least:
         return rows.join(groups, keys)
     hot = groups.where(is_hot).select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
     match = F.lit(True)

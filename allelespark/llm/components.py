@@ -2,21 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SALTS, forget, kept
 
-#: A key with this share of all rows, and so many at least, is hot; there are few such keys.
-_HOT, _LEAST = 1000, 1024
+#: Nodes of so many neighbours at least are hubs; the largest HUBS of them are spread.
+LEAST, HUBS = 1024, 1000
+#: Edges that a task joins up by itself, about.
+TOGETHER = 250_000
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): each node of these edges, and the smallest node that they connect it with."""
+    rows = pa.Table.from_batches([*batches] or [pa.RecordBatch.from_pydict({"a": [], "b": []})])
+    if not rows.num_rows:
+        return
+    ends = pa.concat_arrays([rows.column(c).combine_chunks() for c in ("a", "b")])
+    labels = ends.unique()
+    labels = labels.take(pc.array_sort_indices(labels))
+    code = pc.index_in(ends, value_set=labels).to_pylist()
+    parent = list(range(len(labels)))
+    for x, y in zip(code[: rows.num_rows], code[rows.num_rows :], strict=True):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        parent[max(x, y)] = min(x, y)
+    for x in range(len(parent)):  # a parent is never larger, so it is settled before
+        parent[x] = parent[parent[x]]
+    yield pa.RecordBatch.from_arrays([labels, labels.take(pa.array(parent))], names=["a", "b"])
 
 
-def _hot(rows: DataFrame, key: str, total: int) -> DataFrame | None:
-    """The keys of very many rows, a thousand at most; None without any."""
-    if total < _LEAST:
-        return None
-    hot = kept(rows.groupBy(F.col(key).alias("hot")).count().where(F.col("count") >= max(total // _HOT, _LEAST)).select("hot"))
-    return None if hot.isEmpty() else hot
+def _hubs(both: DataFrame) -> DataFrame | None:
+    """The nodes of very many neighbours, HUBS at most; None without any."""
+    rows = both.groupBy(F.col("b").alias("hot")).count().where(F.col("count") >= LEAST).orderBy(F.col("count").desc(), "hot").limit(HUBS).select("hot")
+    found = rows.collect()
+    return both.sparkSession.createDataFrame(found, rows.schema) if found else None
 
 
 def _spread(rows: DataFrame, key: str, one: DataFrame, its: str, hot: DataFrame | None, by: Column) -> DataFrame:
@@ -34,21 +60,23 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of edges (a, b): the smallest node that can be reached.
 
     Each round takes the smallest label among the neighbours and then that label's own label, so a path of n
-    edges takes about log n rounds.  Each round's labels are a table in the shared folder.  Nodes with very many
-    neighbours, and labels of very many nodes, are spread over salts.
+    edges takes about log n rounds.  Before, tasks turn TOGETHER edges each, whichever they have, into stars; that leaves
+    short paths, and none if a task has all.  Each round's labels are a table in the shared folder.  The rows of hubs are dealt
+    over salts; a label that very many nodes have makes a skewed join, which Spark splits.
     """
-    both = kept(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    hubs = _hot(both, "b", both.count())
+    edges = kept(edges.select("a", "b"))
+    stars = edges.coalesce(max(1, -(-edges.count() // TOGETHER))).mapInArrow(_stars, edges.schema)
+    both = kept(stars.union(stars.select("b", "a")).distinct())
+    forget(edges)
+    hubs = _hubs(both)
     labels = kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
-    n = labels.count()
     while True:
         near = _spread(both, "b", labels, "node", hubs, F.col("a")).groupBy("a").agg(F.min("component").alias("near"))
         better = labels.join(near, labels["node"] == near["a"]).select("node", F.least("component", "near").alias("component"), F.col("component").alias("was"))
-        large = _hot(labels, "component", n)
         jump = labels.select(F.col("node").alias("_node"), F.col("component").alias("_next"))
-        better = _spread(better, "component", jump, "_node", large, F.col("node")).select("node", F.least("component", "_next").alias("component"), "was")
+        better = better.join(jump, better["component"] == jump["_node"]).select("node", F.least("component", "_next").alias("component"), "was")
         better = kept(better)
-        changed = not better.where(F.col("component") != F.col("was")).isEmpty()
+        changed = better.where(F.col("component") != F.col("was")).limit(1).count()
         forget(labels)
         labels = better.select("node", "component")
         labels.kept_path = better.kept_path

@@ -60,7 +60,7 @@ def _ranked(suffixes: DataFrame, *by: str) -> DataFrame | None:
     shared = suffixes.groupBy(*by).agg(F.count("*").alias("c"), F.min(F.struct(*_PLACE)).alias("first")).where("c > 1")
     # numbers by partition and row rise along a sort
     ranks = kept(shared.orderBy(*by).withColumn("rank_", F.monotonically_increasing_id()))
-    if ranks.isEmpty():
+    if not ranks.limit(1).count():
         forget(ranks)
         return None
     out = kept(spread_join(suffixes, ranks, by, "c", *_PLACE).drop("c", *by).withColumnRenamed("rank_", "rank"))

@@ -267,13 +267,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, signs:
     placed = members.join(families, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.count("*").alias("c"), F.min("component").alias("least"), F.max("component").alias("most"))
     split = kept(split.where("least != most").select("key", "c"))
-    open_ = spread_join(placed.select("key", "node", "component"), split, "key", "c", "node")
-    open_ = kept(open_.join(nodes.select("node", "n", "signature"), "node"))
-    wider = kept(_families(open_, distance, percent))
-    # a component that no open bucket connects is a family, and a node that only they connect had none
-    families = families.select("node", "component").union(open_.select("node", "component")).distinct().join(wider, "component", "left")
-    families = kept(families.select("node", F.coalesce("family", "component").alias("family")).join(nodes.select("node", "n"), "node"))
-    families = kept(_with_blocks(families))
+    families = families.select("node", "component")
+    if split.limit(1).count():
+        open_ = spread_join(placed.select("key", "node", "component"), split, "key", "c", "node")
+        open_ = kept(open_.join(nodes.select("node", "n", "signature"), "node"))
+        wider = _families(open_, distance, percent)
+        # a component that no open bucket connects is a family, and a node that only they connect had none
+        families = families.union(open_.select("node", "component")).distinct().join(wider, "component", "left")
+        families = families.select("node", F.coalesce("family", "component").alias("component"))
+    families = families.join(nodes.select("node", "n"), "node").select("node", F.col("component").alias("family"), "n")
+    families = kept(_with_blocks(kept(families)))
     wanted = kept(families.join(nodes, "node").select(F.coalesce("doc", F.lit(_NO_ID)).alias("wanted")).distinct())
     texts = docs.join(wanted, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("wanted"), "left_semi")
     blocked = kept(shingle_sets(texts, shingle).join(families, "node").dropDuplicates(["node"]).select("family", "node", "items", "blocks", "block"))

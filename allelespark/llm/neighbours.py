@@ -205,7 +205,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, seed: int = 5) ->
     for dim, n in counts.items():
         most = F.when(F.col("dim") == dim, min(n, k + 1)).otherwise(most)
     short = kept(asked.join(seen, "node", "left").where(F.coalesce("c", F.lit(0)) < most).select("dim", "node", "embedding"))
-    if not short.isEmpty():
+    if short.limit(1).count():
         full = found.join(short.select(F.col("node").alias("query")), "query", "left_anti")
         found = full.unionByName(_compared(nodes.select("dim", "node", "embedding"), short, ["dim"], k + 1))
     answers = found.join(nodes.select("node", F.explode("ids").alias("vec_id")), "node")

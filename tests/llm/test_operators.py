@@ -625,11 +625,12 @@ def test_signatures_before_empty_texts(spark):
     assert one.signature == alone.signature
 
 
-def test_components_of_hubs(spark, monkeypatch):
+@pytest.mark.parametrize("together", [5, 1000])
+def test_components_of_hubs(spark, monkeypatch, together):
     from allelespark.llm import components
 
-    monkeypatch.setattr(components, "_LEAST", 3)
-    monkeypatch.setattr(components, "_HOT", 5)
+    monkeypatch.setattr(components, "LEAST", 3)
+    monkeypatch.setattr(components, "TOGETHER", together)
     rng = random.Random(2)
     edges = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(50, 70)] + [(rng.randint(80, 110), rng.randint(80, 110)) for _ in range(20)]
     root = {}
@@ -642,5 +643,6 @@ def test_components_of_hubs(spark, monkeypatch):
     for a, b in edges:
         a, b = sorted((find(a), find(b)))
         root[b] = a
-    got = components.components(spark.createDataFrame(edges, "a long, b long"))
+    got = components.components(spark.createDataFrame(edges, "a long, b long").repartition(9))
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
     assert sorted(map(tuple, got.collect())) == sorted((i, find(i)) for i in root)
