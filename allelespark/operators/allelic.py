@@ -20,15 +20,21 @@ def relocate_to_free_slots(mapped: DataFrame, keys: Sequence[str], order: Sequen
 
     Positions from stop - 1 down to start + 1 that no site inside holds are free; outside sites take them in the
     given order.  mapped has start, stop, distance (nearest_interval()).
+
+    The r-th free position is stop - r, less one for each position held above it; the j-th held one from the top, with f
+    free ones above it, counts from r = f + 1 on.  So held positions and outside sites are sorted by that number
+    together, and no row is made for a position.
     """
     group = [*keys, "start", "stop"]
     inside = mapped.where("distance = 0")
-    outside = mapped.where("distance > 0").withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    taken = inside.groupBy(*group).agg(F.collect_set("position").alias("_taken"))
-    room = F.when(F.col("stop") - 1 > F.col("start"), F.sequence(F.col("stop") - 1, F.col("start") + 1, F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    free = F.array_except(room, F.coalesce("_taken", F.array().cast("array<bigint>")))
-    moved = outside.join(taken, group, "left").withColumn("position", F.try_element_at(free, F.col("_r"))).where("position IS NOT NULL").drop("_r", "_taken")
-    return inside.unionByName(moved)
+    outside = mapped.where("distance > 0").withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long"))
+    held = inside.where("position > start AND position < stop").select(*group, "position").distinct()
+    above = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("position").desc()))
+    held = held.select(*group, (F.col("stop") - F.col("position") - above + 1).cast("long").alias("_r"), F.lit(1).alias("_held"))
+    both = outside.withColumn("_held", F.lit(0)).unionByName(held, allowMissingColumns=True)
+    passed = F.sum("_held").over(Window.partitionBy(*group).orderBy("_r", F.col("_held").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    moved = both.withColumn("_passed", passed).where("_held = 0").withColumn("position", F.col("stop") - F.col("_r") - F.col("_passed"))
+    return inside.unionByName(moved.where("position > start").select(*mapped.columns))
 
 
 def aggregate_hets(mapped: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -42,7 +42,7 @@ def in_all_samples(loci: DataFrame, values: Sequence[str], n_samples: DataFrame,
     for v in values:
         ok &= F.col(v).isNotNull()
     full = loci.where(ok).groupBy(*by).agg(F.count_distinct("sample").alias("_n"))
-    full = full.join(F.broadcast(n_samples), full["_n"] == n_samples["n"]).select(*by)
+    full = full.join(n_samples, full["_n"] == n_samples["n"]).select(*by)
     return loci.join(full, by, "left_semi")
 
 
@@ -83,11 +83,13 @@ def harmonize(ratios: DataFrame, how: Mapping[str, str], samples: Sequence[str],
     values = [v for v in how if v != "call"]
     if normal is not None:
         loci = drop_germline(loci, normal, keys=keys)
-    wide = pivot_samples(loci, values, samples, keys)
-    cells = [f"{v}_{s}" for v in values for s in samples]
-    merged = min_length(merge_abutting(wide, keys, cells, distance, tolerance), minimum)
-    per_sample = F.array(*(F.struct(F.lit(s).alias("sample"), *(F.col(f"{v}_{s}").alias(v) for v in values)) for s in samples))
-    long = merged.select(*keys, "start", "stop", F.explode(per_sample).alias("c")).select(*keys, "start", "stop", "c.*")
+    # a locus has one array of numbers, sample by sample, so the plan does not grow with the samples
+    per_locus = loci.groupBy(*keys, "start", "stop").agg(F.map_from_entries(F.collect_list(F.struct("sample", F.array(*(F.col(v).cast("double") for v in values))))).alias("_m"))
+    nothing = F.array(*(F.lit(None).cast("double") for _ in values))
+    cells = F.flatten(F.transform(F.array(*map(F.lit, samples)), lambda s: F.coalesce(F.try_element_at("_m", s), nothing)))
+    merged = min_length(merge_abutting(per_locus.select(*keys, "start", "stop", cells.alias("_cells")), keys, "_cells", distance, tolerance), minimum)
+    one = lambda i: F.struct(F.element_at(F.array(*map(F.lit, samples)), i + 1).alias("sample"), *(F.element_at("_cells", i * len(values) + (k + 1)).alias(v) for k, v in enumerate(values)))
+    long = merged.select(*keys, "start", "stop", F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(samples) - 1)), one)).alias("c")).select(*keys, "start", "stop", "c.*")
     some = F.lit(False)
     for v in values:
         some |= F.col(v).isNotNull()

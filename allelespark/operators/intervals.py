@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ def elementary_intervals(intervals: DataFrame, keys: Sequence[str], drop_slivers
     """
     keys = list(keys)
     order = Window.partitionBy(*keys).orderBy("start")
-    points = intervals.select(*keys, F.explode(F.array("start", "stop")).alias("start")).distinct()
-    cut = points.withColumn("stop", F.lead("start").over(order)).where("stop IS NOT NULL")
-    cut = range_join(cut, intervals, keys, position="start", how="left_semi", closed=False)
+    ends = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("stop").alias("at"), F.lit(-1).alias("d"))))
+    points = intervals.select(*keys, ends.alias("e")).groupBy(*keys, F.col("e.at").alias("start")).agg(F.sum("e.d").alias("_d"))
+    open_ = F.sum("_d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cut = points.select(*keys, "start", F.lead("start").over(order).alias("stop"), open_.alias("_open")).where("stop IS NOT NULL AND _open > 0").drop("_open")
     if drop_slivers:
         length = lambda c: c("stop") - c("start")
         before, after = (lambda c: F.lag(c).over(order)), (lambda c: F.lead(c).over(order))
@@ -36,45 +38,99 @@ def disjoin(intervals: DataFrame, keys: Sequence[str], drop_slivers: bool = True
     return range_join(pieces, named, keys, position="_at", start="_start", stop="_stop", closed=False).drop("_at", "_start", "_stop")
 
 
-def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[str], distance: int = 1, tolerance: float = 1e-3) -> DataFrame:
+def _run_ends(values: np.ndarray, island: np.ndarray, tolerance: float) -> np.ndarray:
+    """The last rows of runs: within an island (a slice of equal numbers) a run goes on while all values are within
+    tolerance of its first row's."""
+    n = len(island)
+    borders = np.flatnonzero(np.diff(island)) + 1
+    starts, stops = np.concatenate([[0], borders]), np.concatenate([borders, [n]])
+    last = np.zeros(n, bool)
+    last[stops - 1] = True
+    for low, high in zip(starts[stops - starts > 1].tolist(), stops[stops - starts > 1].tolist(), strict=True):
+        while low < high - 1:
+            step, at = 32, low + 1
+            while at < high:  # look ahead in growing steps for the first row that is too far away
+                far = ~(np.abs(values[at : min(at + step, high)] - values[low]) < tolerance).all(1)
+                if far.any():
+                    at += int(far.argmax())
+                    break
+                at, step = at + step, 2 * step
+            if at >= high:
+                break
+            last[at - 1] = True
+            low = at
+    return last
+
+
+def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[str] | str, distance: int = 1, tolerance: float = 1e-3) -> DataFrame:
     """Sequential merge, per group in the order of (start, stop): an interval joins the run before it if it starts
     within `distance` of its end and all values are within `tolerance` of the run's first interval; the run keeps
     those values.  Otherwise, if the run ends where the interval starts, it ends one earlier.  Nulls differ from all.
+    `values` are names of columns, or the name of one column of arrays of equal lengths.
 
-    Comparing with the run's first values needs the rows in turn.  Neighbours that equal each other exactly are
-    merged by a window first; the rest is read in sorted order with one open run, so no group has to fit in memory.
+    A run surely breaks at a gap, and where neighbours differ by 2 * tolerance or more, since both would have to be within
+    tolerance of one value.  A window finds these islands; only inside an island must rows be compared with their
+    run's first one, by NumPy on sorted batches, and islands, not contigs, are dealt over tasks.
     """
-    keys, values = list(keys), list(values)
+    keys = list(keys)
+    as_array = isinstance(values, str)
+    names = [values] if as_array else list(values)
     order = Window.partitionBy(*keys).orderBy("start", "stop")
-    near = F.abs(F.col("start") - F.lag("stop").over(order)) <= distance
-    for v in values:
-        near &= F.col(v) == F.lag(v).over(order)
-    islands = intervals.select(*keys, "start", "stop", *values).withColumn("_new", (~F.coalesce(near, F.lit(False))).cast("long"))
-    islands = islands.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rows = islands.groupBy(*keys, "_island", *values).agg(F.min("start").alias("start"), F.max_by("stop", F.struct("start", "stop")).alias("stop")).select(*keys, "start", "stop", *values)
-    schema = rows.schema
+    rows = intervals.select(*keys, "start", "stop", *names).withColumn("_v", F.col(values) if as_array else F.array(*names).cast("array<double>") if names else F.array(F.lit(None).cast("double")))
+    rows = rows.withColumns({"_before": F.lag("_v").over(order), "_end": F.lag("stop").over(order), "_next": F.lead("start").over(order)})
+    differ = F.exists(F.zip_with("_v", "_before", lambda a, b: F.coalesce(F.abs(a - b) >= 2 * tolerance, F.lit(True))), lambda x: x)
+    new = ~F.coalesce((F.abs(F.col("start") - F.col("_end")) <= distance) & ~differ, F.lit(False))
+    rows = rows.withColumn("_new", new.cast("long"))
+    rows = rows.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).select(*keys, "start", "stop", *names, "_v", "_next", "_island")
+    out_schema = rows.select(*keys, "start", "stop", *names).schema
     n = len(keys)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = None
-        for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if run is not None and run[:n] == list(row[:n]):
-                    close = abs(row[n] - run[n + 1]) <= distance and bool(values)
-                    if close and all(a is not None and b is not None and abs(a - b) < tolerance for a, b in zip(run[n + 2 :], row[n + 2 :], strict=True)):
-                        run[n + 1] = row[n + 1]
-                        continue
-                    if run[n + 1] == row[n]:
-                        run[n + 1] -= 1
-                if run is not None:
-                    out.append(run)
-                run = list(row)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), batch.schema, strict=True)] if out else [pa.array([], f.type) for f in batch.schema], names=batch.schema.names)
-        if run is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(run, batch.schema, strict=True)], names=batch.schema.names)
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "start", "stop").mapInArrow(fold, schema)
+        held: pa.Table | None = None
+        for batch in _ending(batches):
+            if batch is not None:
+                held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+                island = _numbers(held, n)
+                done = int(np.searchsorted(island, island[-1]))  # the last island may go on
+            else:
+                if held is None or not held.num_rows:
+                    return
+                island, done = _numbers(held, n), held.num_rows
+            if done:
+                yield from _merged(held.slice(0, done), island[:done], n, len(names), tolerance)
+                held = held.slice(done)
+
+    return rows.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", "start", "stop").mapInArrow(fold, out_schema)
+
+
+def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    """The batches that have rows, then None."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch
+    yield None
+
+
+def _numbers(rows: pa.Table, n: int) -> np.ndarray:
+    """A rising number for each island: rows with the same n keys and the same _island."""
+    change = np.zeros(rows.num_rows, np.int64)
+    for column in (*(rows.column(i) for i in range(n)), rows.column("_island")):
+        code = column.combine_chunks().dictionary_encode()
+        code = code.indices.fill_null(-1).to_numpy() if isinstance(code, pa.Array) else code.combine_chunks().indices.fill_null(-1).to_numpy()
+        change[1:] |= code[1:] != code[:-1]
+    return np.cumsum(change)
+
+
+def _merged(rows: pa.Table, island: np.ndarray, n: int, n_values: int, tolerance: float) -> Iterator[pa.RecordBatch]:
+    v = rows.column("_v").combine_chunks()
+    flat = v.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(v), -1) if len(v) else np.zeros((0, 1))
+    last = _run_ends(flat, island, tolerance)
+    first = np.concatenate([[True], last[:-1]])
+    stop, after = rows.column(n + 1).to_numpy().copy(), rows.column("_next").fill_null(np.iinfo(np.int64).min).to_numpy()
+    stop -= stop == after  # the interval after starts a run of its own
+    heads = rows.filter(pa.array(first))
+    columns = [heads.column(i) for i in range(n + 1)] + [pa.chunked_array([pa.array(stop[last])])] + [heads.column(n + 2 + k) for k in range(n_values)]
+    yield from pa.table(dict(zip(rows.column_names[: n + 2 + n_values], columns, strict=True))).to_batches()
 
 
 def merge_overlapping(intervals: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:

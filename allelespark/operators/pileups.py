@@ -70,11 +70,11 @@ def locus_intersection(pileups: DataFrame, n_samples: int) -> DataFrame:
 
 
 def subset_loci(pileups: DataFrame, variants: DataFrame) -> DataFrame:
-    """Rows at variant loci; all of them if there is no variant."""
-    loci = variants.select("contig", "position").distinct()
-    if variants.limit(1).count() == 0:
-        return pileups
-    return pileups.join(loci, ["contig", "position"], "left_semi")
+    """Rows at variant loci; all of them if there is no variant, which a table of one row tells."""
+    loci = variants.select("contig", "position", F.lit(True).alias("_at_variant")).distinct()
+    none = variants.select(F.lit(1)).limit(1).agg((F.count("*") == 0).alias("_no_variant"))
+    marked = pileups.join(loci, ["contig", "position"], "left").crossJoin(F.broadcast(none))
+    return marked.where("_no_variant OR _at_variant").select(*pileups.columns)
 
 
 def allele_frequency_conflicts(pileups: DataFrame) -> DataFrame:

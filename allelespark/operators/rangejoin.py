@@ -31,14 +31,19 @@ def _bins(df: DataFrame, start: Column, stop: Column, widths: list[int]) -> Data
 def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], position: str = "position", start: str = "start", stop: str = "stop", how: str = "inner", closed: bool = True, pad: int = 0, bin_: int = 1024, levels: int = 4) -> DataFrame:
     """points with the intervals that hold their position: start <= position <= stop (< stop if not closed).
 
-    The intervals, padded on both sides, are matched with the distinct (keys, position), then joined back to all
-    points by `how` ("inner", "left", "left_semi", "left_anti"), so rows that repeat keep their number.
+    An inner join looks up every point's bins at once.  For the other kinds ("left", "left_semi", "left_anti") the
+    intervals, padded on both sides, are matched with the distinct (keys, position), then joined back to all points, so
+    rows that repeat keep their number.
     """
     keys = list(keys)
     widths = _widths(bin_, levels)
     low, high = F.col(start) - pad, F.col(stop) + pad
     held = _bins(intervals.where(low <= high), low, high, widths)
     look = F.explode(F.array(*(F.struct(F.lit(k).alias("_level"), F.floor(F.col("_p") / w).alias("_bin")) for k, w in enumerate(widths))))
+    if how == "inner":
+        asked = points.withColumn("_p", F.col(position)).withColumn("_look", look).select(*points.columns, "_p", "_look.*")
+        inside = (F.col("_p") >= low) & ((F.col("_p") <= high) if closed else (F.col("_p") < high))
+        return asked.join(held, [*keys, "_level", "_bin"]).where(inside).drop("_level", "_bin", "_p")
     asked = points.select(*keys, F.col(position).alias("_p")).distinct().withColumn("_look", look).select(*keys, "_p", "_look.*")
     inside = (F.col("_p") >= low) & ((F.col("_p") <= high) if closed else (F.col("_p") < high))
     match = asked.join(held, [*keys, "_level", "_bin"]).where(inside).drop("_level", "_bin")
@@ -52,37 +57,59 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], pos
     return out if how in ("left_semi", "left_anti") else out.drop("_p", *(f"_{k}" for k in keys))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop", bin_: int = 1024) -> DataFrame:
+def _cover(df: DataFrame, start: str, stop: str, widths: list[int], name: str) -> DataFrame:
+    """df with its level, and _level and _bin: the bins it touches on its own level and on each wider one."""
+    own = F.lit(len(widths) - 1)
+    for k in reversed(range(len(widths) - 1)):
+        own = F.when(F.col(stop) - F.col(start) <= FAN * widths[k], k).otherwise(own)
+    df = df.withColumn(name, own)
+    bins = [F.when(F.col(name) <= k, F.transform(F.sequence(F.floor(F.col(start) / w), F.floor(F.col(stop) / w)), lambda b, k=k: F.struct(F.lit(k).alias("level"), b.alias("bin")))).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>")) for k, w in enumerate(widths)]
+    return df.withColumn("_at", F.explode(F.concat(*bins))).withColumns({"_level": F.col("_at.level"), "_bin": F.col("_at.bin")}).drop("_at")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop", bin_: int = 1024, levels: int = 4) -> DataFrame:
     """Pairs of overlapping closed intervals; right's columns but the keys get the prefix "r_".
 
-    Both sides are cut into bins; a pair meets in each bin they share and counts in the first of them.
+    Both sides are put in bins of the first level that fits their length and of all wider ones, so an interval has a
+    bounded number of rows whatever its length.  A pair meets on the wider of its levels, and counts in the first bin
+    that it shares there.
     """
     keys = list(keys)
-    cut = lambda df, a, b: df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(a) / bin_), F.floor(F.col(b) / bin_))))
+    widths = _widths(bin_, levels)
     right = right.select(*keys, *(F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys))
-    pairs = cut(left, start, stop).join(cut(right, f"r_{start}", f"r_{stop}"), [*keys, "_bin"])
-    first = F.floor(F.greatest(F.col(start), F.col(f"r_{start}")) / bin_)
-    return pairs.where((F.col(start) <= F.col(f"r_{stop}")) & (F.col(f"r_{start}") <= F.col(stop)) & (F.col("_bin") == first)).drop("_bin")
+    left, right = left.where(F.col(start) <= F.col(stop)), right.where(F.col(f"r_{start}") <= F.col(f"r_{stop}"))
+    pairs = _cover(left, start, stop, widths, "_own").join(_cover(right, f"r_{start}", f"r_{stop}", widths, "_other"), [*keys, "_level", "_bin"])
+    width = F.element_at(F.array(*(F.lit(w).cast("long") for w in widths)), F.col("_level") + 1)
+    first = F.floor(F.greatest(F.col(start), F.col(f"r_{start}")) / width)
+    overlap = (F.col(start) <= F.col(f"r_{stop}")) & (F.col(f"r_{start}") <= F.col(stop))
+    return pairs.where(overlap & (F.col("_level") == F.greatest("_own", "_other")) & (F.col("_bin") == first)).drop("_level", "_bin", "_own", "_other")
 
 
-def nearest_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], max_distance: int, position: str = "position") -> DataFrame:
+def nearest_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], max_distance: int, position: str = "position", block: int = 1 << 20) -> DataFrame:
     """points with start, stop of the nearest interval and the distance to it, where that is max_distance or less.
 
     The interval before is the last one that starts at the position or earlier, the one after the first that starts
-    there or later; the one after is taken only if it is nearer.  One sort of both tables, no pairs.
+    there or later; the one after is taken only if it is nearer.  No pairs are made: both tables are sorted in blocks of
+    positions, so a contig is many tasks; what a block lacks comes from a table of the first and last interval of each.
     """
     keys = list(keys)
-    points = points.withColumn("_is_point", F.lit(True))
-    marks = intervals.select(*keys, F.col("start").alias(position), F.struct("start", "stop").alias("_interval"), F.lit(False).alias("_is_point"))
+    in_block = lambda c: F.floor(F.col(c) / block)
+    points = points.withColumns({"_is_point": F.lit(True), "_block": in_block(position)})
+    marks = intervals.select(*keys, F.col("start").alias(position), F.struct("start", "stop").alias("_interval"), F.lit(False).alias("_is_point"), in_block("start").alias("_block"))
     both = points.unionByName(marks, allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy(position)
+    up = Window.partitionBy(*keys, "_block").orderBy(position).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*keys, "_block").orderBy(F.col(position).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     # RANGE frames take in all rows of an equal position
-    pre = F.max("_interval").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    post = F.min("_interval").over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    both = both.withColumns({"_pre": pre, "_post": post}).where("_is_point")
+    both = both.withColumns({"_pre": F.max("_interval").over(up), "_post": F.min("_interval").over(down)}).where("_is_point")
+    ends = marks.groupBy(*keys, "_block").agg(F.min("_interval").alias("_first"), F.max("_interval").alias("_last"))
+    asked = points.select(*keys, "_block").distinct().join(ends, [*keys, "_block"], "full")
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = asked.select(*keys, "_block", F.max("_last").over(before).alias("_earlier"), F.min("_first").over(after).alias("_later"))
+    both = both.join(carried, [*keys, "_block"]).withColumns({"_pre": F.coalesce("_pre", "_earlier"), "_post": F.coalesce("_post", "_later")})
     p = F.col(position)
     both = both.withColumns({"_to_pre": F.when(F.col("_pre").isNotNull(), F.greatest(p - F.col("_pre.stop"), F.lit(0))), "_to_post": F.col("_post.start") - p})
     use_post = F.col("_to_pre").isNull() | (F.col("_to_post") < F.col("_to_pre"))
     chosen = F.when(F.coalesce(use_post, F.lit(False)), F.struct(F.col("_post").alias("i"), F.col("_to_post").alias("d"))).otherwise(F.struct(F.col("_pre").alias("i"), F.col("_to_pre").alias("d")))
     both = both.withColumn("_chosen", chosen).where(F.col("_chosen.d") <= max_distance)
-    return both.select(*(c for c in points.columns if c != "_is_point"), F.col("_chosen.i.start").alias("start"), F.col("_chosen.i.stop").alias("stop"), F.col("_chosen.d").alias("distance"))
+    return both.select(*(c for c in points.columns if c not in ("_is_point", "_block")), F.col("_chosen.i.start").alias("start"), F.col("_chosen.i.stop").alias("stop"), F.col("_chosen.d").alias("distance"))

@@ -152,7 +152,7 @@ def rename_samples(df: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def reads_at_sites(reads: DataFrame, sites: DataFrame) -> DataFrame:
-    """Reads that cover a site: the read is the interval, the site the point."""
-    keyed = reads.withColumn("_id", F.monotonically_increasing_id())
-    hit = range_join(sites.select(*LOCUS).distinct(), keyed.select("contig", "start", "stop", "_id"), ["contig"]).select("_id").distinct()
-    return keyed.join(hit, "_id", "left_semi").drop("_id")
+    """Reads that cover a site: the read is the interval, the site the point.  Equal intervals cover alike."""
+    where = ["contig", "start", "stop"]
+    hit = range_join(sites.select(*LOCUS).distinct(), reads.select(*where).distinct(), ["contig"]).select(*where).distinct()
+    return reads.join(hit, where, "left_semi")
