@@ -47,8 +47,12 @@ def aggregate_hets(mapped: DataFrame, keys: Sequence[str], order: Sequence[str])
 
 
 def map_to_intervals(sites: DataFrame, intervals: DataFrame, max_distance: int, keys: Sequence[str] = ("contig",), order: Sequence[str] = ("position", "ref_count", "alt_count"), aggregate: bool = False) -> DataFrame:
-    """Sites at the nearest interval: moved into it, or added up per interval."""
-    moved = relocate_to_free_slots(nearest_interval(sites, intervals, keys, max_distance), keys, order)
+    """Sites at the nearest interval: moved into it, or added up per interval.
+
+    Intervals may lack some of the keys (sample), and then hold for all of them.
+    """
+    shared = [k for k in keys if k in intervals.columns]
+    moved = relocate_to_free_slots(nearest_interval(sites, intervals, shared, max_distance), keys, order)
     return aggregate_hets(moved, keys, order) if aggregate else moved
 
 
@@ -60,10 +64,11 @@ def deepest_per_locus(sites: DataFrame, keys: Sequence[str] = ("contig",)) -> Da
 def allelic_counts(pileup: DataFrame, gvcf: DataFrame, intervals: DataFrame | None = None, min_depth: int = 0, select_hets: bool = True, max_distance: int = 0, aggregate: bool = False, keys: Sequence[str] = ("contig",)) -> DataFrame:
     """keys, position, ref_count, alt_count, ref, alt: a pileup's counts at genotyped sites.
 
-    gvcf has the keys, position, ref, alt and, to select heterozygous sites, genotype.
+    gvcf has position, ref, alt, all of the keys or those that it does not hold for altogether, and, to select
+    heterozygous sites, genotype.
     """
     keys = list(keys)
-    sites = min_ref_alt_depth(pileup.join(gvcf, [*keys, "position"]), min_depth)
+    sites = min_ref_alt_depth(pileup.join(gvcf, [*(k for k in keys if k in gvcf.columns), "position"]), min_depth)
     sites = first_of_locus(sites, [*keys, "position"], [F.col(c) for c in ("ref_count", "alt_count", "ref", "alt")])
     if select_hets and "genotype" in gvcf.columns:
         sites = sites.where(is_het(F.col("genotype")))

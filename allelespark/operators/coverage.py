@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +65,39 @@ def standardize(counts: DataFrame, keys: Sequence[str] = ("contig", "start", "st
     return scaled.join(per_interval, list(keys)).withColumn("log2_cr", F.log2(F.greatest(F.col("_s") / F.col("_mi"), F.lit(1e-3)))).select("sample", *keys, "log2_cr")
 
 
+def tangent_normalize(samples: DataFrame, normals: DataFrame, k: int = 20, keys: Sequence[str] = ("contig", "start", "stop"), max_normals: int = 5000) -> DataFrame:
+    """samples (sample, keys, log2_cr) less their projection on the k strongest directions of a cohort of normals.
+
+    With N the intervals-by-normals matrix, its left singular vectors are U = N V / s, where V and s come from the
+    normals' products N'N.  So only dot products of columns are needed: those of normals with each other, of which the
+    driver decomposes a matrix of max_normals rows at most, and those of samples with normals.  The projection is N w,
+    w = V s**-2 V' N'x, again a join and a sum.  An interval that a column lacks counts as 0 there.
+    """
+    keys = list(keys)
+    normal = normals.select(*keys, F.col("sample").alias("_n"), F.col("log2_cr").alias("_v"))
+    names = [r["_n"] for r in normal.select("_n").distinct().orderBy("_n").limit(max_normals + 1).collect()]
+    if len(names) > max_normals:
+        raise ValueError(f"more than {max_normals} normals")
+    if not names:
+        return samples
+    other = normal.select(*keys, F.col("_n").alias("_m"), F.col("_v").alias("_u"))
+    place = {n: i for i, n in enumerate(names)}
+    gram = np.zeros((len(names), len(names)))
+    for r in normal.join(other, keys).where("_n <= _m").groupBy("_n", "_m").agg(F.sum(F.col("_v") * F.col("_u")).alias("p")).collect():
+        gram[place[r["_n"]], place[r["_m"]]] = gram[place[r["_m"]], place[r["_n"]]] = r["p"]
+    square, v = np.linalg.eigh(gram)
+    strong = np.argsort(-square)[:k]
+    strong = strong[square[strong] > 1e-12 * max(square.max(), 1e-300)]
+    inverse = (v[:, strong] / square[strong]) @ v[:, strong].T
+    # w = inverse @ (N'x): the matrix has a row for each pair of normals
+    spark = samples.sparkSession
+    matrix = F.broadcast(spark.createDataFrame([(a, b, float(inverse[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)], "_n string, _m string, _i double"))
+    dots = samples.join(normal, keys).groupBy("sample", "_n").agg(F.sum(F.col("log2_cr") * F.col("_v")).alias("_p"))
+    weights = dots.join(matrix, "_n").groupBy("sample", F.col("_m").alias("_n")).agg(F.sum(F.col("_p") * F.col("_i")).alias("_w"))
+    projected = normal.join(weights, "_n").groupBy("sample", *keys).agg(F.sum(F.col("_v") * F.col("_w")).alias("_part"))
+    return samples.join(projected, ["sample", *keys], "left").withColumn("log2_cr", F.col("log2_cr") - F.coalesce("_part", F.lit(0.0))).drop("_part")
+
+
 def minor_af_from_segments(maf50, log2_cr):
     """The median minor allele fraction; without hets what one lost copy would leave, folded at 0.5, within [0, 0.5]."""
     f = F.coalesce(maf50, 1 / (2 * F.pow(F.lit(2.0), log2_cr)))

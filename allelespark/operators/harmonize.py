@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .intervals import count_in_intervals, disjoin, merge_abutting
@@ -69,25 +69,38 @@ def stack_samples(wide: DataFrame, value: str, samples: Sequence[str], keys: Seq
     return long.withColumn("sample", F.substring("sample", len(value) + 2, 1 << 20)).where(F.col(value).isNotNull())
 
 
-def harmonize(ratios: DataFrame, how: Mapping[str, str], samples: Sequence[str], rule: str = "INTERSECTION", normal: str | None = None, minimum: int = 1, distance: int = 1, tolerance: float = 1e-3, keys: Sequence[str] = ("contig",), order: str = "ord") -> DataFrame:
+def observed(df: DataFrame, name: str, into: dict[str, Observation] | None) -> DataFrame:
+    """df, its rows counted as they pass by: into[name].get["loci"] after an action."""
+    if into is None:
+        return df
+    into[name] = Observation(name)
+    return df.observe(into[name], F.count(F.lit(1)).alias("loci"))
+
+
+def harmonize(ratios: DataFrame, how: Mapping[str, str], samples: Sequence[str], rule: str = "INTERSECTION", normal: str | None = None, minimum: int = 1, distance: int = 1, tolerance: float = 1e-3, keys: Sequence[str] = ("contig",), order: str = "ord", progress: dict[str, Observation] | None = None) -> DataFrame:
     """keys, start, stop, sample, values on common loci.
 
     Split and aggregate; keep loci that all samples have (rule INTERSECTION, else UNION); drop what the normal calls
     (values must hold `call` then); merge abutting loci whose values are alike in all samples; drop short loci.
+    progress is filled with counts of rows after each step: input, harmonized, common, germline (a row a sample and
+    locus), loci, merged, long (a row a locus).
     """
     keys = list(keys)
-    loci = harmonize_loci(ratios, how, keys, order)
+    loci = observed(harmonize_loci(observed(ratios, "input", progress), how, keys, order), "harmonized", progress)
     spark = ratios.sparkSession
     if rule == "INTERSECTION":
         loci = in_all_samples(loci, list(how), spark.createDataFrame([(len(samples),)], "n long"), keys)
+        loci = observed(loci, "common", progress)
     values = [v for v in how if v != "call"]
     if normal is not None:
-        loci = drop_germline(loci, normal, keys=keys)
+        loci = observed(drop_germline(loci, normal, keys=keys), "germline", progress)
     # a locus has one array of numbers, sample by sample, so the plan does not grow with the samples
     per_locus = loci.groupBy(*keys, "start", "stop").agg(F.map_from_entries(F.collect_list(F.struct("sample", F.array(*(F.col(v).cast("double") for v in values))))).alias("_m"))
     nothing = F.array(*(F.lit(None).cast("double") for _ in values))
     cells = F.flatten(F.transform(F.array(*map(F.lit, samples)), lambda s: F.coalesce(F.try_element_at("_m", s), nothing)))
-    merged = min_length(merge_abutting(per_locus.select(*keys, "start", "stop", cells.alias("_cells")), keys, "_cells", distance, tolerance), minimum)
+    rows = observed(per_locus.select(*keys, "start", "stop", cells.alias("_cells")), "loci", progress)
+    merged = observed(merge_abutting(rows, keys, "_cells", distance, tolerance), "merged", progress)
+    merged = observed(min_length(merged, minimum), "long", progress)
     one = lambda i: F.struct(F.element_at(F.array(*map(F.lit, samples)), i + 1).alias("sample"), *(F.element_at("_cells", i * len(values) + (k + 1)).alias(v) for k, v in enumerate(values)))
     long = merged.select(*keys, "start", "stop", F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(samples) - 1)), one)).alias("c")).select(*keys, "start", "stop", "c.*")
     some = F.lit(False)

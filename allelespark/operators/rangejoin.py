@@ -63,8 +63,12 @@ def _cover(df: DataFrame, start: str, stop: str, widths: list[int], name: str) -
     for k in reversed(range(len(widths) - 1)):
         own = F.when(F.col(stop) - F.col(start) <= FAN * widths[k], k).otherwise(own)
     df = df.withColumn(name, own)
-    bins = [F.when(F.col(name) <= k, F.transform(F.sequence(F.floor(F.col(start) / w), F.floor(F.col(stop) / w)), lambda b, k=k: F.struct(F.lit(k).alias("level"), b.alias("bin")))).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>")) for k, w in enumerate(widths)]
-    return df.withColumn("_at", F.explode(F.concat(*bins))).withColumns({"_level": F.col("_at.level"), "_bin": F.col("_at.bin")}).drop("_at")
+
+    def bins(k: int, width: int) -> Column:
+        every = F.sequence(F.floor(F.col(start) / width), F.floor(F.col(stop) / width))
+        return F.when(F.col(name) <= k, F.transform(every, lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin")))).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
+
+    return df.withColumn("_at", F.explode(F.concat(*(bins(k, w) for k, w in enumerate(widths))))).withColumns({"_level": F.col("_at.level"), "_bin": F.col("_at.bin")}).drop("_at")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop", bin_: int = 1024, levels: int = 4) -> DataFrame:

@@ -99,6 +99,16 @@ def af_only(variants: DataFrame, least: float) -> DataFrame:
     return kept.withColumn("af", popaf_to_af(info_number(F.col("info"), "POPAF"))).where(F.col("af") > least).select(*ALLELE, "af")
 
 
+def common_biallelic(variants: DataFrame, least: float) -> DataFrame:
+    """af_only() rows, one for each locus: the first alternate allele where there are several."""
+    return first_of_locus(af_only(variants, least), LOCUS, [F.col("ref"), F.col("alt")])
+
+
+def common_resource(tables: Sequence[tuple[DataFrame, float]]) -> DataFrame:
+    """Common biallelic SNPs of several tables, each with its own minimum frequency; of a locus the first table's stays."""
+    return merge_resources(*(common_biallelic(t, least) for t, least in tables))
+
+
 def split_multiallelic(variants: DataFrame) -> DataFrame:
     """A row per alternate allele, `ad` (ref, alt, alt, ...) cut to the reference and that one."""
     each = variants.select("*", F.posexplode(F.split("alt", ",")).alias("_i", "_alt"))

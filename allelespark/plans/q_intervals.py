@@ -44,9 +44,9 @@ def _(spark, d):
     return intervals.disjoin(CR(spark, d), ["contig"]).groupBy("contig", "start", "stop").agg(F.count("*").alias("n"), F.sum("ord").alias("ord"))
 
 
-@query("j8_containment_join", f"WITH {CUT} SELECT e.contig, e.start, e.stop, ord FROM el e JOIN copy_ratios c ON c.contig = e.contig AND c.start <= e.start AND c.stop > e.start WHERE ord % 10 = 0")
+@query("j8_containment_join", f"WITH {CUT} SELECT e.contig, e.start, e.stop, ord FROM el e JOIN copy_ratios c ON c.contig = e.contig AND c.start <= e.start AND c.stop > e.start")
 def _(spark, d):
-    return intervals.disjoin(CR(spark, d), ["contig"]).where("ord % 10 = 0").select("contig", "start", "stop", "ord")
+    return intervals.disjoin(CR(spark, d), ["contig"]).select("contig", "start", "stop", "ord")
 
 
 @query("a3_harmonize_loci", f"WITH {LOCI} SELECT contig, start, stop, sample, log2_cr, call FROM loci")
@@ -106,18 +106,58 @@ def _(spark, d):
     return intervals.merge_abutting(rows, ["contig"], ["v"], tolerance=0.05)
 
 
-@query("e2_harmonize_copy_ratios")
+def fold_sql(rows: str, key: str, n: int, distance: int = 1, tol: float = 1e-3) -> str:
+    """merge_abutting() row by row in SQL: rows (key, start, stop, v0, v1, ...), ends with fold_out AS (key, start, stop, v0, ...)."""
+    v = range(n)
+    near = " AND ".join([f"abs(n.start - f.run_stop) <= {distance}", *(f"coalesce(abs(f.a{i} - n.v{i}) < {tol}, false)" for i in v)])
+    each = lambda text: ", ".join(text.format(i=i) for i in v)
+    return f"""fold_in AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY start, stop) AS r FROM ({rows})),
+fold AS (
+  SELECT {key}, r, start AS run_start, stop AS run_stop, {each('v{i} AS a{i}')}, NULL::BIGINT AS out_start, NULL::BIGINT AS out_stop, {each('NULL::DOUBLE AS o{i}')} FROM fold_in WHERE r = 1
+  UNION ALL
+  SELECT {key}, r, CASE WHEN m THEN run_start ELSE start END, stop, {each('CASE WHEN m THEN a{i} ELSE v{i} END')}, CASE WHEN m THEN NULL ELSE run_start END, CASE WHEN m THEN NULL WHEN run_stop = start THEN run_stop - 1 ELSE run_stop END, {each('CASE WHEN m THEN NULL ELSE a{i} END')}
+  FROM (SELECT n.*, f.run_start, f.run_stop, {each('f.a{i}')}, {near} AS m FROM fold f JOIN fold_in n ON n.{key} = f.{key} AND n.r = f.r + 1)),
+fold_out AS (SELECT {key}, out_start AS start, out_stop AS stop, {each('o{i} AS v{i}')} FROM fold WHERE out_start IS NOT NULL UNION ALL SELECT {key}, run_start, run_stop, {each('a{i}')} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY r DESC) AS back FROM fold) WHERE back = 1)"""
+
+
+def _cells(value: str) -> str:
+    return ", ".join(f"max({value}) FILTER (sample = {s!r}) AS v{i}" for i, s in enumerate(SAMPLES))
+
+
+_LONG = " UNION ALL ".join(f"SELECT contig, start, stop, {s!r} AS sample, v{i} AS log2_cr FROM fold_out WHERE stop - start + 1 >= 2 AND v{i} IS NOT NULL" for i, s in enumerate(SAMPLES))
+_KEPT = "SELECT contig, start, stop FROM common ANTI JOIN (SELECT contig, start, stop FROM loci WHERE sample = 'S0' AND call IN ('+', '-')) USING (contig, start, stop)"
+
+
+@query("e2_harmonize_copy_ratios", f"WITH RECURSIVE {LOCI}, {COMMON}, {fold_sql(f'SELECT contig, start, stop, {_cells("log2_cr")} FROM loci SEMI JOIN common USING (contig, start, stop) GROUP BY contig, start, stop', 'contig', 4)} {_LONG}")
 def _(spark, d):
     return harmonize.harmonize(CR(spark, d), {"log2_cr": "strongest_signal"}, SAMPLES, minimum=2)
 
 
-@query("e7_filter_segments")
+@query("i2_harmonize_union", f"WITH RECURSIVE {LOCI}, {fold_sql(f'SELECT contig, start, stop, {_cells("last_cr")} FROM loci GROUP BY contig, start, stop', 'contig', 4, tol=0.5)} {_LONG}")
+def _(spark, d):
+    return harmonize.harmonize(CR(spark, d), {"log2_cr": "last"}, SAMPLES, rule="UNION", minimum=2, tolerance=0.5)
+
+
+_COUNTS = "SELECT h.sample, h.contig, h.start, h.stop, log2_cr, (SELECT count(*) FROM copy_ratios c WHERE c.sample = h.sample AND c.contig = h.contig AND c.start BETWEEN h.start AND h.stop) AS n_probes, (SELECT count(*) FROM pileup_runs p WHERE alt_count > 0 AND p.sample = h.sample AND p.contig = h.contig AND p.position BETWEEN h.start AND h.stop) AS n_hets FROM h"
+
+
+@query("e7_filter_segments", f"WITH RECURSIVE {LOCI}, {COMMON}, stays AS ({_KEPT}), {fold_sql(f'SELECT contig, start, stop, {_cells("med")} FROM loci SEMI JOIN stays USING (contig, start, stop) GROUP BY contig, start, stop', 'contig', 4)}, h AS ({_LONG}) {_COUNTS}")
 def _(spark, d):
     probes = CR(spark, d).select("sample", "contig", F.col("start").alias("position"))
     hets = view(spark, d, "pileup_runs").where("alt_count > 0").select("sample", "contig", "position")
     return harmonize.filter_segments(CR(spark, d), probes, hets, {"log2_cr": "median", "call": "first"}, SAMPLES, "S0", 2)
 
 
+_PIECES = """sg AS (SELECT concat(sample, '/', contig) AS k, start, stop, minor_allele_fraction AS v FROM segments), pt AS (SELECT DISTINCT k, unnest([start, stop]) AS l FROM sg), gp AS (SELECT k, l, lead(l) OVER (PARTITION BY k ORDER BY l) AS r FROM pt),
+cv AS (SELECT * FROM gp g WHERE r IS NOT NULL AND EXISTS (SELECT 1 FROM sg c WHERE c.k = g.k AND c.start <= l AND c.stop > l)), nbs AS (SELECT *, lag(l) OVER o AS pl, lag(r) OVER o AS pr, lead(l) OVER o AS nl, lead(r) OVER o AS nr FROM cv WINDOW o AS (PARTITION BY k ORDER BY l)),
+els AS (SELECT k, l AS start, r AS stop FROM nbs WHERE NOT coalesce(r - l <= 1 AND pr = l AND nl = r AND pr - pl > 1 AND nr - nl > 1, false))"""
+
+
+@query("a8_harmonize_segments", f"WITH RECURSIVE {_PIECES}, {fold_sql('SELECT e.k, e.start, e.stop, min(v) AS v0 FROM els e JOIN sg c ON c.k = e.k AND c.start <= e.start AND c.stop > e.start GROUP BY ALL', 'k', 1, tol=0.05)} SELECT split_part(k, '/', 1) AS sample, split_part(k, '/', 2) AS contig, start, stop, v0 AS minor_allele_fraction FROM fold_out")
+def _(spark, d):
+    return harmonize.harmonize_segments(SEGMENTS(spark, d), tolerance=0.05)
+
+
 UNION = """mo AS (SELECT *, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM targets),
 mg AS (SELECT contig, min(start) AS start, max(stop) AS stop FROM (SELECT *, sum(CASE WHEN start <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY contig ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS k FROM mo) GROUP BY contig, k)"""
 
@@ -245,12 +285,27 @@ def _(spark, d):
     return coverage.call_copy_ratio(rows).select("sample", "ord", "call")
 
 
-@query("t20_standardize")
-def _(spark, d):
+STANDARD = """ct AS (SELECT sample, contig, position AS start, position AS stop, sum(ref_count)::DOUBLE AS c FROM pileup_runs GROUP BY ALL), ms AS (SELECT sample, median(c) AS m FROM ct GROUP BY sample HAVING median(c) > 0),
+sc AS (SELECT ct.*, c / m AS s FROM ct JOIN ms USING (sample)), mi AS (SELECT contig, start, stop, median(s) AS m FROM sc GROUP BY ALL HAVING median(s) > 0), sd AS (SELECT sample, contig, start, stop, log2(greatest(s / m, 0.001)) AS log2_cr FROM sc JOIN mi USING (contig, start, stop))"""
+
+
+def standard(spark: SparkSession, d: str) -> DataFrame:
     counts = view(spark, d, "pileup_runs").groupBy("sample", "contig", F.col("position").alias("start"), F.col("position").alias("stop")).agg(F.sum("ref_count").alias("count"))
     return coverage.standardize(counts)
 
 
+@query("t20_standardize", f"WITH {STANDARD} SELECT sample, contig, start, stop, CAST(floor(log2_cr * 1e6 + 0.5) AS BIGINT) AS log2_cr FROM sd")
+def _(spark, d):
+    return standard(spark, d).withColumn("log2_cr", scaled(F.col("log2_cr")))
+
+
+@query("t20_tangent_normalize", f"WITH {STANDARD}, nn AS (SELECT contig, start, stop, log2_cr AS v FROM sd WHERE sample = 'S0'), w AS (SELECT sample, sum(log2_cr * v) / (SELECT sum(v * v) FROM nn) AS w FROM sd JOIN nn USING (contig, start, stop) WHERE sample <> 'S0' GROUP BY sample) SELECT sample, contig, start, stop, CAST(floor((log2_cr - coalesce(w * v, 0)) * 1e5 + 0.5) AS BIGINT) AS log2_cr FROM sd JOIN w USING (sample) LEFT JOIN nn USING (contig, start, stop)")
+def _(spark, d):
+    rows = standard(spark, d)
+    out = coverage.tangent_normalize(rows.where("sample <> 'S0'"), rows.where("sample = 'S0'"))
+    return out.withColumn("log2_cr", scaled(F.col("log2_cr"), 10**5))
+
+
 @query("i15_pileup_at_sites", "WITH pn AS (SELECT contig, position, min(ref) AS ref, min(alt) AS alt, 0.1::DOUBLE AS allele_frequency FROM variants GROUP BY ALL), ob AS (SELECT contig, position, substr('ACGT', (alt_count % 4)::INT + 1, 1) AS base FROM pileup_runs) SELECT p.contig, p.position, allele_frequency, count(*) FILTER (base = ref) AS ref_count, count(*) FILTER (base = alt AND base <> ref) AS alt_count, count(*) FILTER (base <> ref AND base <> alt) AS other_alt_count FROM pn p LEFT JOIN ob USING (contig, position) GROUP BY ALL")
 def _(spark, d):
     from ..operators.pileups import pileup_at_sites
@@ -260,12 +315,12 @@ def _(spark, d):
     return pileup_at_sites(seen, sites)
 
 
-@query("v11_reads_at_sites", "WITH st AS (SELECT DISTINCT event_type AS contig, event_id % 100 * 3 AS position FROM events WHERE event_id % 7 = 0) SELECT r.ord FROM reads r SEMI JOIN st s ON s.contig = r.contig AND s.position BETWEEN r.start AND r.stop")
+@query("v11_reads_at_sites", "WITH st AS (SELECT DISTINCT event_type AS contig, event_id % 100 * 3 AS position FROM events) SELECT r.ord FROM reads r SEMI JOIN st s ON s.contig = r.contig AND s.position BETWEEN r.start AND r.stop")
 def _(spark, d):
     from ..operators.variants import reads_at_sites
 
     events = spark.read.parquet(f"{d}/events.parquet")
-    st = events.where("event_id % 7 = 0").selectExpr("event_type AS contig", "event_id % 100 * 3 AS position")
+    st = events.selectExpr("event_type AS contig", "event_id % 100 * 3 AS position")
     return reads_at_sites(READS(spark, d), st).select("ord")
 
 

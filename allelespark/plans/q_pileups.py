@@ -12,7 +12,6 @@ from ..functions.maths import beta_binomial_logpmf, binomial_logpmf, lgamma, log
 from ..operators import absolute_cn, acs, allelic, genotype, pileups
 from ..operators.contigs import contig_order, ploidy, sex_ploidy_scale
 from ..operators.coverage import minor_af_from_segments, segmentation_penalty
-from ..operators.harmonize import harmonize_segments
 from .views import view
 
 RUNS = partial(view, name="pileup_runs")
@@ -107,11 +106,11 @@ def _(spark, d):
     return merged(spark, d).groupBy("contig", "position").agg(*(F.sum(c).alias(c) for c in pileups.COUNTS), scaled(F.avg("allele_frequency")).alias("allele_frequency"))
 
 
-@query("u10_gather_pileups", "SELECT contig, position, ref_count, alt_count, CASE contig WHEN 'X' THEN 22 ELSE contig::INT - 1 END AS ord FROM pileup_runs WHERE run <= 2")
+@query("u10_gather_pileups", "SELECT contig, position, ref_count, alt_count, CASE contig WHEN 'X' THEN 22 ELSE contig::INT - 1 END AS ord FROM pileup_runs")
 def _(spark, d):
     from ..operators.contigs import genomic_sort
 
-    shards = [RUNS(spark, d).where(F.col("run") == r) for r in (1, 2)]
+    shards = [RUNS(spark, d).where(F.col("run") % 2 == r) for r in (0, 1)]
     return genomic_sort(shards[0].unionByName(shards[1]), "position").select("contig", "position", "ref_count", "alt_count", contig_order(F.col("contig")).alias("ord"))
 
 
@@ -262,13 +261,13 @@ def _(spark, d):
 
 
 # --- allelic counts --------------------------------------------------------------------------------------------
-ONE = f"{MERGED}, s0 AS (SELECT contig, position, ref_count, alt_count FROM merged WHERE sample = 'S0')"
+ONE = f"{MERGED}, s0 AS (SELECT sample, contig, position, ref_count, alt_count FROM merged)"
 GV = "gv AS (SELECT contig, position, min(ref) AS ref, min(alt) AS alt, min(genotype) AS genotype FROM variants GROUP BY contig, position)"
 IV = "iv AS (SELECT contig, start, max(stop) AS stop FROM targets GROUP BY contig, start)"
 
 
 def sites(spark: SparkSession, d: str) -> DataFrame:
-    return merged(spark, d).where("sample = 'S0'").select("contig", "position", "ref_count", "alt_count")
+    return merged(spark, d).select("sample", "contig", "position", "ref_count", "alt_count")
 
 
 def gvcf(spark: SparkSession, d: str) -> DataFrame:
@@ -290,52 +289,54 @@ def _(spark, d):
 
 
 NEAR = f"""{ONE}, {IV},
-pre AS (SELECT s.contig, s.position, i.start, i.stop FROM s0 s ASOF JOIN iv i ON s.contig = i.contig AND s.position >= i.start),
-post AS (SELECT s.contig, s.position, i.start, i.stop FROM s0 s ASOF JOIN iv i ON s.contig = i.contig AND s.position <= i.start),
+pre AS (SELECT s.sample, s.contig, s.position, i.start, i.stop FROM s0 s ASOF JOIN iv i ON s.contig = i.contig AND s.position >= i.start),
+post AS (SELECT s.sample, s.contig, s.position, i.start, i.stop FROM s0 s ASOF JOIN iv i ON s.contig = i.contig AND s.position <= i.start),
 near AS (SELECT *, CASE WHEN dpre IS NULL OR dpost < dpre THEN pstart ELSE start END AS a, CASE WHEN dpre IS NULL OR dpost < dpre THEN pstop ELSE stop END AS b, CASE WHEN dpre IS NULL OR dpost < dpre THEN dpost ELSE dpre END AS distance
-  FROM (SELECT s.*, pre.start, pre.stop, post.start AS pstart, post.stop AS pstop, CASE WHEN pre.stop IS NOT NULL THEN greatest(s.position - pre.stop, 0) END AS dpre, post.start - s.position AS dpost FROM s0 s LEFT JOIN pre USING (contig, position) LEFT JOIN post USING (contig, position)))"""
+  FROM (SELECT s.*, pre.start, pre.stop, post.start AS pstart, post.stop AS pstop, CASE WHEN pre.stop IS NOT NULL THEN greatest(s.position - pre.stop, 0) END AS dpre, post.start - s.position AS dpost FROM s0 s LEFT JOIN pre USING (sample, contig, position) LEFT JOIN post USING (sample, contig, position)))"""
 
 
-@query("j7_nearest_interval", f"WITH {NEAR} SELECT contig, position, a AS start, b AS stop, distance FROM near WHERE distance <= 10")
+@query("j7_nearest_interval", f"WITH {NEAR} SELECT sample, contig, position, a AS start, b AS stop, distance FROM near WHERE distance <= 10")
 def _(spark, d):
     from ..operators.rangejoin import nearest_interval
 
-    return nearest_interval(sites(spark, d), intervals(spark, d), ["contig"], 10).select("contig", "position", "start", "stop", "distance")
+    return nearest_interval(sites(spark, d), intervals(spark, d), ["contig"], 10).select("sample", "contig", "position", "start", "stop", "distance")
 
 
-SLOTS = f"""{NEAR}, ok AS (SELECT contig, position, ref_count, alt_count, a AS start, b AS stop, distance FROM near WHERE distance <= 10),
-outside AS (SELECT *, row_number() OVER (PARTITION BY contig, start, stop ORDER BY position, ref_count, alt_count) AS r FROM ok WHERE distance > 0),
-free AS (SELECT contig, start, stop, p, row_number() OVER (PARTITION BY contig, start, stop ORDER BY p DESC) AS r FROM (SELECT DISTINCT contig, start, stop, unnest(generate_series(start + 1, stop - 1)) AS p FROM iv) f WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.contig = f.contig AND ok.start = f.start AND ok.stop = f.stop AND distance = 0 AND position = p)),
-moved AS (SELECT contig, position, ref_count, alt_count, start, stop FROM ok WHERE distance = 0 UNION ALL SELECT contig, p, ref_count, alt_count, start, stop FROM outside JOIN free USING (contig, start, stop, r))"""
+SLOTS = f"""{NEAR}, ok AS (SELECT sample, contig, position, ref_count, alt_count, a AS start, b AS stop, distance FROM near WHERE distance <= 10),
+outside AS (SELECT *, row_number() OVER (PARTITION BY sample, contig, start, stop ORDER BY position, ref_count, alt_count) AS r FROM ok WHERE distance > 0),
+room AS (SELECT sample, contig, start, stop, unnest(generate_series(start + 1, stop - 1)) AS p FROM (SELECT DISTINCT sample, contig, start, stop FROM outside)),
+free AS (SELECT sample, contig, start, stop, p, row_number() OVER (PARTITION BY sample, contig, start, stop ORDER BY p DESC) AS r FROM room f WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.sample = f.sample AND ok.contig = f.contig AND ok.start = f.start AND ok.stop = f.stop AND distance = 0 AND position = p)),
+moved AS (SELECT sample, contig, position, ref_count, alt_count, start, stop FROM ok WHERE distance = 0 UNION ALL SELECT sample, contig, p, ref_count, alt_count, start, stop FROM outside JOIN free USING (sample, contig, start, stop, r))"""
+KEYS = ("sample", "contig")
 
 
 @query("w6_free_slots", f"WITH {SLOTS} SELECT * FROM moved")
 def _(spark, d):
-    return allelic.map_to_intervals(sites(spark, d), intervals(spark, d), 10).select("contig", "position", "ref_count", "alt_count", "start", "stop")
+    return allelic.map_to_intervals(sites(spark, d), intervals(spark, d), 10, KEYS).select("sample", "contig", "position", "ref_count", "alt_count", "start", "stop")
 
 
-@query("i12_map_to_intervals", f"WITH {SLOTS} SELECT contig, start, stop, count(*) AS n, sum(ref_count)::BIGINT AS ref_count FROM moved GROUP BY ALL")
+@query("i12_map_to_intervals", f"WITH {SLOTS} SELECT sample, contig, start, stop, count(*) AS n, sum(ref_count)::BIGINT AS ref_count FROM moved GROUP BY ALL")
 def _(spark, d):
-    return allelic.map_to_intervals(sites(spark, d), intervals(spark, d), 10).groupBy("contig", "start", "stop").agg(F.count("*").alias("n"), F.sum("ref_count").alias("ref_count"))
+    return allelic.map_to_intervals(sites(spark, d), intervals(spark, d), 10, KEYS).groupBy("sample", "contig", "start", "stop").agg(F.count("*").alias("n"), F.sum("ref_count").alias("ref_count"))
 
 
-@query("a15_aggregate_hets", f"WITH {ONE.replace('s0 AS', 's1 AS')}, {GV}, {IV}, h AS (SELECT s1.*, ref, alt, genotype, i.start, i.stop FROM s1 JOIN gv USING (contig, position) JOIN iv i ON i.contig = s1.contig AND position BETWEEN i.start AND i.stop) SELECT contig, start, stop, sum(CASE WHEN genotype = '1|0' THEN alt_count ELSE ref_count END)::BIGINT AS ref_count, sum(CASE WHEN genotype = '1|0' THEN ref_count ELSE alt_count END)::BIGINT AS alt_count, arg_min(ref, position) AS ref, arg_min(alt, position) AS alt, (start + stop) // 2 AS position FROM h GROUP BY contig, start, stop")
+@query("a15_aggregate_hets", f"WITH {ONE.replace('s0 AS', 's1 AS')}, {GV}, {IV}, h AS (SELECT s1.*, ref, alt, genotype, i.start, i.stop FROM s1 JOIN gv USING (contig, position) JOIN iv i ON i.contig = s1.contig AND position BETWEEN i.start AND i.stop) SELECT sample, contig, start, stop, sum(CASE WHEN genotype = '1|0' THEN alt_count ELSE ref_count END)::BIGINT AS ref_count, sum(CASE WHEN genotype = '1|0' THEN ref_count ELSE alt_count END)::BIGINT AS alt_count, arg_min(ref, position) AS ref, arg_min(alt, position) AS alt, (start + stop) // 2 AS position FROM h GROUP BY sample, contig, start, stop")
 def _(spark, d):
     from ..operators.rangejoin import range_join
 
     hets = range_join(sites(spark, d).join(gvcf(spark, d), ["contig", "position"]), intervals(spark, d), ["contig"], bin_=16)
-    return allelic.aggregate_hets(hets, ["contig"], ["position"])
+    return allelic.aggregate_hets(hets, KEYS, ["position"])
 
 
-@query("w7_deepest_per_locus", f"WITH {GV}, r AS (SELECT p.contig, position, ref_count, alt_count, ref, alt, row_number() OVER (PARTITION BY contig, position ORDER BY ref_count + alt_count DESC, ref_count, alt_count, ref, alt) AS r FROM pileup_runs p JOIN gv USING (contig, position)) SELECT * EXCLUDE (r) FROM r WHERE r = 1")
+@query("w7_deepest_per_locus", f"WITH {GV}, r AS (SELECT p.sample, p.contig, position, ref_count, alt_count, ref, alt, row_number() OVER (PARTITION BY sample, contig, position ORDER BY ref_count + alt_count DESC, ref_count, alt_count, ref, alt) AS r FROM pileup_runs p JOIN gv USING (contig, position)) SELECT * EXCLUDE (r) FROM r WHERE r = 1")
 def _(spark, d):
     rows = RUNS(spark, d).join(gvcf(spark, d), ["contig", "position"])
-    return allelic.deepest_per_locus(rows).select("contig", "position", "ref_count", "alt_count", "ref", "alt")
+    return allelic.deepest_per_locus(rows, KEYS).select("sample", "contig", "position", "ref_count", "alt_count", "ref", "alt")
 
 
-@query("e4_allelic_counts", f"WITH {ONE}, {GV} SELECT contig, position, ref_count, alt_count, ref, alt FROM s0 JOIN gv USING (contig, position) WHERE ref_count + alt_count >= 20 AND regexp_matches(genotype, '0[/|]1|1[/|]0')")
+@query("e4_allelic_counts", f"WITH {ONE}, {GV} SELECT sample, contig, position, ref_count, alt_count, ref, alt FROM s0 JOIN gv USING (contig, position) WHERE ref_count + alt_count >= 20 AND regexp_matches(genotype, '0[/|]1|1[/|]0')")
 def _(spark, d):
-    return allelic.allelic_counts(sites(spark, d), gvcf(spark, d), min_depth=20)
+    return allelic.allelic_counts(sites(spark, d), gvcf(spark, d), min_depth=20, keys=KEYS)
 
 
 # --- segments --------------------------------------------------------------------------------------------------
@@ -470,12 +471,10 @@ def _(spark, d):
     return absolute_cn.solution_status(rows)
 
 
-@query("a8_harmonize_segments", None)
-def _(spark, d):
-    return harmonize_segments(view(spark, d, "segments"))
+PANEL = GL.replace(MERGED, MERGED.replace("merged AS (", "every AS (", 1) + ", merged AS (SELECT * FROM every SEMI JOIN variants USING (contig, position))").replace(SEGS, SEGS.replace("FROM segments", "FROM segments WHERE false")).replace(CONT, CONT.replace("FROM contaminations)", "FROM contaminations WHERE false)"))
 
 
-@query("e11_genotype_snp_panel")
+@query("e11_genotype_snp_panel", f"WITH {PANEL}, {JOINT} SELECT contig, position, {C3}, {BEST} AS genotype, {ALL_LN99} FROM joint WHERE {CONF} AND greatest(gl_ref, gl_het, gl_alt) >= 0.9 * (gl_ref + gl_het + gl_alt)")
 def _(spark, d):
     from .pipelines import genotype_panel
 

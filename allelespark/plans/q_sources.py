@@ -15,7 +15,11 @@ from .views import view
 
 
 def scratch(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
     return f"{folder.rstrip('/')}/text-{uuid.uuid4().hex}"
 
 
@@ -26,11 +30,11 @@ def _(spark, d):
     return spark.read.schema(f"{readers.PILEUP}, sample string").option("sep", "\t").option("header", True).csv(path)
 
 
-@query("s1_read_pileup", f"WITH {MERGED} SELECT contig, position, {C3}, allele_frequency FROM merged WHERE sample = 'S1'")
+@query("s1_read_pileup", f"WITH {MERGED} SELECT sample, contig, position, {C3}, allele_frequency FROM merged")
 def _(spark, d):
     path = scratch(spark)
-    writers.write_table(merged(spark, d).where("sample = 'S1'").drop("sample"), path)
-    return readers.read_table(spark, path, readers.PILEUP)
+    writers.write_table(merged(spark, d).select("contig", "position", *C3.split(", "), "allele_frequency", "sample"), path, by=["sample"])
+    return readers.read_table(spark, path, f"{readers.PILEUP}, sample string")
 
 
 @query("s9_read_copy_ratios", "SELECT contig, start, stop, log2_cr FROM copy_ratios")

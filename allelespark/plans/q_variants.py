@@ -106,9 +106,9 @@ def _(spark, d):
     return V(spark, d).select("ord", number("DP").alias("dp"), number("POPAF").alias("popaf"), number("MBQ", 1).alias("mbq"))
 
 
-@query("a24_panel_of_normals", "SELECT contig, position, ref, alt, count(DISTINCT sample) AS n_samples FROM (SELECT contig, ord % 40 AS position, ref, alt, sample FROM variants) GROUP BY ALL HAVING count(DISTINCT sample) >= 2")
+@query("a24_panel_of_normals", "SELECT contig, position, ref, alt, count(DISTINCT sample) AS n_samples FROM (SELECT contig, ord % 5 AS position, ref, alt, CAST(floor(ord / 7) AS BIGINT) % 4 AS sample FROM variants) GROUP BY ALL HAVING count(DISTINCT sample) >= 2")
 def _(spark, d):
-    return variants.panel_of_normals(V(spark, d).withColumn("position", F.col("ord") % 40))
+    return variants.panel_of_normals(V(spark, d).withColumns({"position": F.col("ord") % 5, "sample": F.floor(F.col("ord") / 7) % 4}))
 
 
 @query("a19_count_variants", f"SELECT count(*) FILTER (g > 30) AS n_selected, count(*) FILTER (NOT coalesce(g > 30, false)) AS n_not_selected FROM (SELECT {_num('GERMQ')} AS g FROM variants)")

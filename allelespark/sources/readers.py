@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,9 +20,14 @@ PARAMETERS = "PARAMETER_NAME string, POSTERIOR_10 double, POSTERIOR_50 double, P
 COPY_RATIOS = "contig string, start long, stop long, log2_cr double"
 INTERVALS = "contig string, start long, stop long"
 VCF = "contig string, position long, id string, ref string, alt string, qual string, filter string, info string, format string"
+GVCF = f"{VCF}, genotype string"
 ALLELIC_COUNTS = "contig string, position long, ref_count long, alt_count long, ref string, alt string"
 
 
+def _list(paths: Paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
 def read_table(spark: SparkSession, paths: Paths, schema: str, comment: str = "#", header: bool = True, with_path: bool = False) -> DataFrame:
     """A tab-separated table; lines that begin with the comment character are passed over, and so is a header line.
 
@@ -75,6 +81,37 @@ def read_vcf(spark: SparkSession, paths: Paths) -> DataFrame:
     return read_table(spark, paths, VCF, header=False)
 
 
+def read_gvcf(spark: SparkSession, paths: Paths) -> DataFrame:
+    """VCF rows with the first sample's genotype; without the columns that the first row lacks, from the last one on."""
+    first = spark.read.text(_list(paths)).where("value <> '' AND NOT startswith(value, '#')").limit(1).collect()
+    rows = read_table(spark, paths, GVCF, header=False)
+    return rows.select(*rows.columns[: len(first[0][0].split("\t"))]) if first else rows
+
+
+def read_segments(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Segments (`.segments`) with the sample named in each file's header, if one is."""
+    rows = read_table(spark, paths, SEGMENTS, with_path=True)
+    return rows.join(header_sample_names(spark, paths), "path", "left").drop("path")
+
+
+def read_maf(spark: SparkSession, paths: Paths, types: Mapping[str, str] | None = None) -> DataFrame:
+    """An annotation table by its own header; positions are numbers, `types` casts others where their text allows."""
+    return read_cast(spark, paths, {"Start_Position": "long", "End_Position": "long"} | dict(types or {}))
+
+
+def read_tolerant(spark: SparkSession, paths: Paths, schema: str, **settings: object) -> DataFrame:
+    """read_table() of the files that are there; each missing one is warned of, and without any the table is empty."""
+    some = []
+    for path in _list(paths):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+        if found:
+            some.append(path)
+        else:
+            warnings.warn(f"no file {path}", stacklevel=2)
+    return read_table(spark, some, schema, **settings) if some else spark.createDataFrame([], schema)
+
+
 def read_vcf_contigs(spark: SparkSession, path: str) -> DataFrame:
     """contig, ord in the header's order; a header is a file's first block, so the order is that of its lines."""
     lines = spark.read.text(path).select(F.regexp_extract("value", r"^##contig=<ID=([^,>]+)", 1).alias("contig"), F.monotonically_increasing_id().alias("ord"))
