@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import coverage, genotype, harmonize, intervals, pileups, variants
+from ..operators import absolute_cn, acs, allelic, coverage, genotype, harmonize, intervals, pileups, variants
 
 
 def filter_variants(calls: DataFrame, rules: Mapping[str, tuple] = variants.HARD_FILTERS, more: Mapping[str, str] | None = None) -> DataFrame:
@@ -42,3 +42,39 @@ def harmonize_cohort(ratios: DataFrame, how: Mapping[str, str], n_samples: DataF
     loci = harmonize.harmonize_loci(ratios, how, ["patient", "contig"], order)
     full = loci.groupBy("patient", "contig", "start", "stop").agg(F.count_distinct("sample").alias("n")).join(n_samples, ["patient", "n"])
     return loci.join(full.drop("n"), ["patient", "contig", "start", "stop"], "left_semi")
+
+
+def cohort_of(*, reads: DataFrame, targets: DataFrame, calls: DataFrame, panel: DataFrame, runs: DataFrame, segments: DataFrame, contaminations: DataFrame, ratios: DataFrame, modeled: DataFrame, absolute: DataFrame, normals: Sequence[str], sex: str = "Female", purity: float = 0.7, ploidy: float = 2.0, min_hets: int = 0, min_probes: int = 2) -> dict[str, DataFrame]:
+    """The whole chain for all patients at once, every table keyed (patient, sample): coverage, variants, pileups,
+    genotypes, allelic_counts, harmonized, acs, absolute.
+
+    Read counts and callable loci come first; called variants are filtered and their rare germline alleles join the
+    panel's pileups; joint genotypes, their heterozygous sites' allelic counts, copy ratios on each patient's common
+    loci, allelic copy ratios and absolute copy numbers follow.  targets and panel hold for all patients; purity, ploidy
+    and sex too, which a cohort that differs gives in several calls.
+    """
+    who = ["patient", "sample"]
+    samples = runs.select(*who).distinct()
+    counts, callable_ = coverage_of(reads, samples.crossJoin(targets.select("contig", "start", "stop").distinct()), [*who, "contig"])
+    filtered = filter_variants(calls)
+    named = F.concat_ws("/", *who)
+    # samples of different patients may share a name, so the chain's samples are patient/sample
+    one = lambda df: df.withColumn("sample", named).drop("patient")
+    split = lambda df: df.withColumn("patient", F.split("sample", "/")[0]).withColumn("sample", F.split("sample", "/")[1])
+    merged = rare_germline_pileups(one(filtered), panel, pileups.merge_pileups(one(runs)))
+    contamination = pileups.join_contaminations(one(contaminations))
+    minor = one(segments).groupBy("sample", "contig", "start", "stop").agg(F.min("minor_allele_fraction").alias("minor_allele_fraction"))
+    likelihoods = genotype.genotype_likelihoods(merged, minor, contamination, sex).withColumn("patient", F.split("sample", "/")[0])
+    first = [f"{r['patient']}/{r['sample']}" for r in samples.where(F.col("sample").isin(*normals)).collect()] if normals else []
+    joint = genotype.confidence_cascade(genotype.joint_genotypes(likelihoods, first, keys=["patient"])).withColumn("genotype", genotype.called_genotype())
+    alleles = panel.groupBy("contig", "position").agg(F.min("ref").alias("ref"), F.min("alt").alias("alt"))
+    sites = joint.select("patient", "contig", "position", "genotype").join(alleles, ["contig", "position"])
+    hets = allelic.allelic_counts(merged.withColumn("patient", F.split("sample", "/")[0]).select("patient", "sample", "contig", "position", "ref_count", "alt_count"), sites, keys=["patient", "sample", "contig"])
+    n_samples = ratios.groupBy("patient").agg(F.count_distinct("sample").alias("n"))
+    harmonized = harmonize_cohort(ratios, {"log2_cr": "strongest_signal"}, n_samples)
+    acs_ = acs.model_segments_to_acs(one(modeled), sex, min_hets, min_probes)
+    numbers = absolute_cn.map_to_absolute(one(absolute), acs_.select(*absolute_cn.KEYS, "length", "tau", "sigma_tau"), purity, ploidy, sex)
+    return {
+        "read_counts": counts, "callable_loci": callable_, "variants": filtered, "pileups": split(merged), "genotypes": joint,
+        "allelic_counts": hets.withColumn("sample", F.split("sample", "/")[1]), "harmonized": harmonized, "acs": split(acs_), "absolute": split(numbers),
+    }

@@ -2,21 +2,27 @@
 
 import math
 import os
+import random
+import time
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from allelespark import catalog
 from allelespark.functions.maths import lgamma
-from allelespark.operators import intervals, pileups, variants
+from allelespark.operators import allelic, coverage, intervals, pileups, variants
 from allelespark.operators.contigs import genomic_sort, ploidy
-from allelespark.operators.rangejoin import nearest_interval, range_join
+from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
+from allelespark.plans.pipelines import cohort_of
+from allelespark.plans.views import view
+from allelespark.sources import readers, writers
 
 catalog.load()
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-CHECKED = ["a1_merge_pileups", "e1_genotype_patient", "a14_genotype_concordance", "i1_disjoin", "w5_merge_abutting", "j7_nearest_interval", "w6_free_slots", "w1_cnloh_label", "t13_map_to_cluster", "i5_subtract", "i8_balanced_shards", "i14_callable_loci", "p12_hard_filter", "p19_tumor_normal_split", "j21_annotate_features"]
+CHECKED = ["a1_merge_pileups", "e1_genotype_patient", "a14_genotype_concordance", "i1_disjoin", "w5_merge_abutting", "j7_nearest_interval", "w6_free_slots", "w1_cnloh_label", "t13_map_to_cluster", "i5_subtract", "i8_balanced_shards", "i14_callable_loci", "p12_hard_filter", "p19_tumor_normal_split", "j21_annotate_features", "e2_harmonize_copy_ratios", "i2_harmonize_union", "e7_filter_segments", "a8_harmonize_segments", "e11_genotype_snp_panel", "t20_tangent_normalize", "s4_read_segments", "s11_read_gvcf_trimmed", "k3_write_genotype_vcf", "k6_sample_correlation", "k8_write_acs", "o1_genomic_order", "v10_common_resource", "a20_loci_progress", "w2_cnloh_triplets"]
 
 
 @pytest.fixture(scope="module")
@@ -97,3 +103,113 @@ def test_contigs(spark):
 def test_trimmed_alleles(spark):
     rows = spark.createDataFrame([(5, "CTT", "CT"), (5, "A", "G"), (7, "CA", "CG"), (9, "AAA", "A")], "position long, ref string, alt string")
     assert [(r.position, r.ref, r.alt) for r in variants.trim_alleles(rows).collect()] == [(5, "CT", "C"), (5, "A", "G"), (8, "A", "G"), (9, "AAA", "A")]
+
+
+def _nearest(position, iv, most):
+    before = max(((a, b) for a, b in iv if a <= position), default=None)
+    after = min(((a, b) for a, b in iv if a >= position), default=None)
+    one = max(position - before[1], 0) if before else None
+    two = after[0] - position if after else None
+    got = (after, two) if one is None or (two is not None and two < one) else (before, one)
+    return (*got[0], got[1]) if got[0] and got[1] <= most else None
+
+
+@pytest.mark.parametrize("block", [7, 64, 1 << 20])
+def test_nearest_across_blocks(spark, block):
+    rng = random.Random(block)
+    iv = [(a, a + rng.randint(0, 30)) for a in (rng.randint(1, 900) for _ in range(40))]
+    points = [rng.randint(1, 1000) for _ in range(200)]
+    got = nearest_interval(spark.createDataFrame([("1", p) for p in points], "contig string, position long"), spark.createDataFrame([("1", a, b) for a, b in iv], "contig string, start long, stop long"), ["contig"], 25, block=block)
+    want = [(p, *r) for p in points if (r := _nearest(p, iv, 25))]
+    assert sorted((r.position, r.start, r.stop, r.distance) for r in got.collect()) == sorted(want)
+
+
+def test_nearest_of_many_points_on_one_contig(spark):
+    points = spark.range(400_000).select(F.lit("1").alias("contig"), (F.col("id") * 600 + 1).alias("position"))
+    iv = spark.range(50_000).select(F.lit("1").alias("contig"), (F.col("id") * 5000 + 1).alias("start"), (F.col("id") * 5000 + 100).alias("stop"))
+    began = time.time()
+    assert nearest_interval(points, iv, ["contig"], 10**6).count() == 400_000
+    assert time.time() - began < 60  # a frame that is read anew for each row takes hours
+
+
+def test_overlaps_of_long_intervals(spark):
+    rng = random.Random(4)
+    make = lambda n: [(a, a + rng.choice([0, 5, 900, 70_000, 5_000_000, 250_000_000])) for a in (rng.randint(1, 10**6) for _ in range(n))]
+    one, two = make(60), make(60)
+    df = lambda rows: spark.createDataFrame([("1", i, a, b) for i, (a, b) in enumerate(rows)], "contig string, id int, start long, stop long")
+    for bin_ in (16, 1024):
+        got = overlap_join(df(one), df(two), ["contig"], bin_=bin_).select("id", "r_id").collect()
+        assert sorted(map(tuple, got)) == sorted((i, j) for i, (a, b) in enumerate(one) for j, (c, d) in enumerate(two) if a <= d and c <= b)
+
+
+def _merged(rows, distance, tolerance):
+    out, run = [], None
+    for a, b, *v in sorted(rows, key=lambda r: r[:2]):
+        if run and abs(a - run[1]) <= distance and all(x is not None and y is not None and abs(x - y) < tolerance for x, y in zip(run[2], v)):
+            run[1] = b
+            continue
+        if run:
+            out.append((run[0], run[1] - (run[1] == a), *run[2]))
+        run = [a, b, v]
+    return out + [(run[0], run[1], *run[2])]
+
+
+@pytest.mark.parametrize("as_array", [False, True])
+def test_merge_abutting_against_a_row_loop(spark, as_array):
+    rng = random.Random(11)
+    rows, at, v = [], 1, 0.0
+    for _ in range(1500):
+        stop = at + rng.randint(1, 9)
+        v = rng.choice([v, v + rng.choice([0.02, -0.03, 0.06]), rng.random()])
+        rows.append((at, stop, v, rng.choice([0.5, 0.52, 0.5, 0.5, None]) if rng.random() < 0.2 else 0.5))
+        at = stop + rng.choice([0, 1, 1, 1, 4])
+    df = spark.createDataFrame([("1", *r) for r in rows], "contig string, start long, stop long, u double, v double").repartition(5)
+    want = sorted(_merged(rows, 1, 0.1))
+    if as_array:
+        got = intervals.merge_abutting(df.select("contig", "start", "stop", F.array("u", "v").alias("w")), ["contig"], "w", tolerance=0.1)
+        assert sorted((r.start, r.stop, *r.w) for r in got.collect()) == want
+    else:
+        got = intervals.merge_abutting(df, ["contig"], ["u", "v"], tolerance=0.1)
+        assert sorted((r.start, r.stop, r.u, r.v) for r in got.collect()) == want
+    assert intervals.merge_abutting(df.where("false"), ["contig"], ["u", "v"]).count() == 0
+
+
+def test_free_slots_of_a_long_interval(spark):
+    rows = [("1", p, 100, 100_000_000, 0) for p in (99_999_999, 99_999_997, 99_999_996, 100, 150)] + [("1", 100_000_000 + i, 100, 100_000_000, i) for i in (1, 2, 3)]
+    rows += [("1", p, 5, 8, 0) for p in (6,)] + [("1", 9 + i, 5, 8, 1 + i) for i in range(3)]
+    df = spark.createDataFrame(rows, "contig string, position long, start long, stop long, distance int")
+    got = allelic.relocate_to_free_slots(df, ["contig"], ["position"])
+    assert sorted((r.position, r.start) for r in got.collect()) == sorted([(p, 100) for p in (99_999_999, 99_999_997, 99_999_996, 100, 150, 99_999_998, 99_999_995, 99_999_994)] + [(6, 5), (7, 5)])
+
+
+def test_tangent_against_least_squares(spark):
+    rng = np.random.default_rng(0)
+    n, x = rng.normal(size=(50, 4)), rng.normal(size=(50, 3))
+    table = lambda m, name: spark.createDataFrame([(f"{name}{j}", "1", i, i, float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1])], "sample string, contig string, start long, stop long, log2_cr double")
+    for k in (4, 2):
+        u = np.linalg.svd(n, full_matrices=False)[0][:, :k]
+        want = x - u @ (u.T @ x)
+        got = {(r.sample, r.start): r.log2_cr for r in coverage.tangent_normalize(table(x, "t"), table(n, "n"), k).collect()}
+        assert all(got[f"t{j}", i] == pytest.approx(want[i, j], abs=1e-9) for i in range(50) for j in range(3))
+
+
+def test_a_cohort_is_its_patients(spark):
+    def run(patients):
+        own = lambda df: df.withColumn("patient", F.when(F.col("sample").isin("S0", "S1"), "P0").otherwise("P1")).where(F.col("patient").isin(*patients))
+        t = {n: own(view(spark, DATA, n)) for n in ("pileup_runs", "segments", "contaminations", "copy_ratios", "modeled_segments", "variants")}
+        reads = own(view(spark, DATA, "reads").withColumn("sample", F.concat(F.lit("S"), (F.col("ord") % 4).cast("string"))))
+        absolute = t["modeled_segments"].select("patient", "sample", "contig", "start", "stop", F.col("cr50").alias("rescaled_total_cn"), F.col("n_hets").cast("double").alias("corrected_total_cn"))
+        out = cohort_of(reads=reads, targets=view(spark, DATA, "targets"), calls=t["variants"], panel=view(spark, DATA, "variants"), runs=t["pileup_runs"], segments=t["segments"], contaminations=t["contaminations"], ratios=t["copy_ratios"], modeled=t["modeled_segments"], absolute=absolute, normals=["S0", "S2"], sex="XY")
+        return {name: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.select(*sorted(df.columns)).collect()), key=str) for name, df in out.items() if name in ("read_counts", "variants", "genotypes", "allelic_counts", "harmonized", "absolute")}
+
+    every, one, two = run(["P0", "P1"]), run(["P0"]), run(["P1"])
+    assert all(every[name] == sorted(one[name] + two[name], key=str) for name in every)
+    assert all(every[name] for name in ("read_counts", "variants", "genotypes", "harmonized", "absolute"))
+
+
+def test_missing_files_and_empty_annotations(spark, tmp_path):
+    with pytest.warns(UserWarning, match="no file"):
+        rows = readers.read_tolerant(spark, f"{tmp_path}/nothing.seg", readers.SEGMENTS)
+    assert rows.count() == 0 and rows.columns == ["contig", "start", "stop", "minor_allele_fraction"]
+    maf = writers.empty_maf(spark)
+    assert maf.count() == 0 and maf.columns[:2] == ["Hugo_Symbol", "Entrez_Gene_Id"] and len(set(maf.columns)) == len(maf.columns)
