@@ -28,7 +28,7 @@ from .common import forget, kept, pick, spread_join, table
 from .words import mix
 
 CHUNK, BLOCK, SAMPLE = 4096, 1024, 4096
-TABLES, HASHES, PROBES = 8, 12, 60
+TABLES, HASHES, PROBES = 8, 12, 80
 #: The step's width, as a multiple of the usual distance to the k-th nearest node.
 WIDTH = 3.0
 
@@ -154,20 +154,21 @@ def _compared(rows: DataFrame, probes: DataFrame, keys: list[str], k: int) -> Da
 def _widths(nodes: DataFrame, n: dict[int, int], k: int) -> dict[int, float]:
     """For each dimension the step: WIDTH times the usual distance to the k-th nearest of n nodes.
 
-    It is the k / n quantile of the distances between 256 and all of the SAMPLE nodes with the smallest hashes; if n is
-    so large that the sample has none so small, its smallest distance.
+    It is the median over 256 nodes of the distance to their m-th nearest of the SAMPLE nodes with the smallest hashes
+    (those 256 among them), where m is k times the sample's share of all nodes, 1 at least; so beyond k * SAMPLE nodes
+    steps are wider than they need be.  The median keeps close copies from standing for all.
     """
     out = {}
     for dim, count in n.items():
-        rows = nodes.where(F.col("dim") == dim).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").collect()
+        rows = nodes.where(F.col("dim") == dim).orderBy(F.xxhash64(F.col("ids")[0]), "node").limit(SAMPLE).select("embedding").collect()
         x = np.array([r[0] for r in rows], np.float64)
         some = x[:256]
         d = np.maximum((some**2).sum(1)[:, None] + (x**2).sum(1) - 2 * some @ x.T, 0)
         d[np.arange(len(some)), np.arange(len(some))] = np.inf
-        d = np.sort(d[np.isfinite(d)])
-        near = np.sqrt(d[min(len(d) - 1, int(len(d) * min(1.0, k / count)))]) if len(d) else 1.0
-        usual = np.sqrt(np.median(d)) if len(d) else 1.0
-        out[dim] = float(WIDTH * max(near, 1e-3 * usual, 1e-12))
+        d = np.sqrt(np.sort(d, axis=1)[:, : max(1, len(x) - 1)])
+        m = min(max(1, -(-k * len(x) // count)), d.shape[1])
+        near, usual = (float(np.median(v[np.isfinite(v)])) if np.isfinite(v).any() else 1.0 for v in (d[:, m - 1], d))
+        out[dim] = WIDTH * max(near, 1e-3 * usual, 1e-12)
     return out
 
 
@@ -187,8 +188,8 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, seed: int = 5) ->
     # at most k + 1 ids of a vector can be answers to one query, whose own id may be among them
     order = F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))
     few = rows.withColumn("r", order).where(F.col("r") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
-    # a vec_id with several vectors is in several nodes, so a node has a number of its own
-    nodes = kept(few.select(F.monotonically_increasing_id().alias("node"), F.size("embedding").alias("dim"), "embedding", "ids"))
+    # a vec_id with several vectors is in several nodes, so a node has a number of its own; numbers rise with the first id
+    nodes = kept(few.orderBy(F.col("ids")[0], "embedding").select(F.monotonically_increasing_id().alias("node"), F.size("embedding").alias("dim"), "embedding", "ids"))
     counts = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     wanted = kept(queries.groupBy("embedding").agg(F.count("*").alias("c")).join(nodes.select("node", "embedding"), "embedding"))
