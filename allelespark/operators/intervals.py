@@ -6,29 +6,28 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK, in_blocks, running
 from .rangejoin import overlap_join, range_join
 
 
-def elementary_intervals(intervals: DataFrame, keys: Sequence[str], drop_slivers: bool = True) -> DataFrame:
+def elementary_intervals(intervals: DataFrame, keys: Sequence[str], drop_slivers: bool = True, block: int = BLOCK) -> DataFrame:
     """keys, start, stop: the covered stretches between neighbouring starts and ends of any interval.
 
     Stretches of length 0 do not arise; with drop_slivers one of length 1 between two longer ones that touch it goes.
     """
     keys = list(keys)
-    order = Window.partitionBy(*keys).orderBy("start")
     ends = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("stop").alias("at"), F.lit(-1).alias("d"))))
     points = intervals.select(*keys, ends.alias("e")).groupBy(*keys, F.col("e.at").alias("start")).agg(F.sum("e.d").alias("_d"))
-    open_ = F.sum("_d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cut = points.select(*keys, "start", F.lead("start").over(order).alias("stop"), open_.alias("_open")).where("stop IS NOT NULL AND _open > 0").drop("_open")
+    cut = running(in_blocks(points, keys, "start", block), keys, ["start"], sums={"_open": "_d"}, leads={"stop": "start"})
+    cut = cut.where("stop IS NOT NULL AND _open > 0").drop("_d", "_open")
     if drop_slivers:
-        length = lambda c: c("stop") - c("start")
-        before, after = (lambda c: F.lag(c).over(order)), (lambda c: F.lead(c).over(order))
-        sliver = (F.col("stop") - F.col("start") <= 1) & (before("stop") == F.col("start")) & (after("start") == F.col("stop")) & (length(before) > 1) & (length(after) > 1)
-        cut = cut.withColumn("_sliver", F.coalesce(sliver, F.lit(False))).where("NOT _sliver").drop("_sliver")
-    return cut
+        cut = running(cut, keys, ["start"], lags={"_start0": "start", "_stop0": "stop"}, leads={"_start2": "start", "_stop2": "stop"})
+        sliver = F.expr("stop - start <= 1 AND _stop0 = start AND _start2 = stop AND _stop0 - _start0 > 1 AND _stop2 - _start2 > 1")
+        cut = cut.where(~F.coalesce(sliver, F.lit(False)))
+    return cut.select(*keys, "start", "stop")
 
 
 def disjoin(intervals: DataFrame, keys: Sequence[str], drop_slivers: bool = True) -> DataFrame:
@@ -133,18 +132,24 @@ def _merged(rows: pa.Table, island: np.ndarray, n: int, n_values: int, tolerance
     yield from pa.table(dict(zip(rows.column_names[: n + 2 + n_values], columns, strict=True))).to_batches()
 
 
-def merge_overlapping(intervals: DataFrame, keys: Sequence[str], gap: int = 0) -> DataFrame:
-    """Unions of overlapping intervals; with gap=0 those that only abut stay apart, with gap=1 they merge too."""
+def merge_overlapping(intervals: DataFrame, keys: Sequence[str], gap: int = 0, block: int = BLOCK) -> DataFrame:
+    """Unions of overlapping intervals; with gap=0 those that only abut stay apart, with gap=1 they merge too.
+
+    Of intervals with one start only the longest counts, so a block holds at most a row for each of its positions.
+    """
     keys = list(keys)
-    order = Window.partitionBy(*keys).orderBy("start", "stop")
-    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = (~F.coalesce(F.col("start") <= reach + gap, F.lit(False))).cast("long")
-    runs = intervals.select(*keys, "start", "stop").withColumn("_new", new)
-    runs = runs.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return runs.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_run")
+    rows = in_blocks(intervals.select(*keys, "start", "stop"), keys, "start", block).groupBy(*keys, "_block", "start").agg(F.max("stop").alias("stop"))
+    runs = running(rows, keys, ["start"], peaks={"_reach": "stop"})
+    return _runs(runs, keys, F.col("start") <= F.col("_reach") + gap).agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_run")
+
 
+def _runs(rows: DataFrame, keys: Sequence[str], goes_on: Column, *by: str) -> GroupedData:
+    """rows of running() grouped by keys and _run: a row for which goes_on is not true begins a run."""
+    rows = rows.withColumn("_new", (~F.coalesce(goes_on, F.lit(False))).cast("long"))
+    return running(rows, keys, ["start"], sums={"_run": "_new"}).groupBy(*keys, "_run", *by)
 
-def subtract(intervals: DataFrame, blacklist: DataFrame, keys: Sequence[str]) -> DataFrame:
+
+def subtract(intervals: DataFrame, blacklist: DataFrame, keys: Sequence[str], block: int = BLOCK) -> DataFrame:
     """What of the intervals' union no blacklisted interval covers; both closed."""
     keys = list(keys)
     events = None
@@ -152,11 +157,12 @@ def subtract(intervals: DataFrame, blacklist: DataFrame, keys: Sequence[str]) ->
         other = "drop" if kind == "keep" else "keep"
         both = df.select(*keys, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias(kind), F.lit(0).alias(other)), F.struct((F.col("stop") + 1).alias("at"), F.lit(-1).alias(kind), F.lit(0).alias(other)))).alias("e")).select(*keys, "e.at", "e.keep", "e.drop")
         events = both if events is None else events.union(both)
-    order = Window.partitionBy(*keys).orderBy("at")
-    depth = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = events.groupBy(*keys, "at").agg(F.sum("keep").alias("keep"), F.sum("drop").alias("drop"))
-    steps = steps.select(*keys, F.col("at").alias("start"), (F.lead("at").over(order) - 1).alias("stop"), ((F.sum("keep").over(depth) > 0) & (F.sum("drop").over(depth) == 0)).alias("_in"))
-    return merge_overlapping(steps.where("_in").drop("_in"), keys, gap=1)
+    steps = events.groupBy(*keys, F.col("at").alias("start")).agg(F.sum("keep").alias("keep"), F.sum("drop").alias("drop"))
+    steps = running(in_blocks(steps, keys, "start", block), keys, ["start"], sums={"_in": "keep", "_out": "drop"}, leads={"_next": "start"})
+    # steps leave no gaps, so those with the same number of steps outside before them are one stretch
+    steps = steps.withColumns({"stop": F.col("_next") - 1, "_outside": F.when(F.expr("_in > 0 AND _out = 0"), 0).otherwise(1)})
+    steps = running(steps.select(*keys, "_block", "start", "stop", "_outside"), keys, ["start"], sums={"_run": "_outside"})
+    return steps.where("_outside = 0").groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_run")
 
 
 def union_minus(intervals: DataFrame, blacklist: DataFrame, keys: Sequence[str], pad_by: int = 0) -> DataFrame:
@@ -212,35 +218,35 @@ def annotate(intervals: DataFrame, track: DataFrame, keys: Sequence[str], score:
     return intervals.join(sums, [*keys, "start", "stop"], "left").na.fill(0.0, [score])
 
 
-def depth_runs(reads: DataFrame, keys: Sequence[str]) -> DataFrame:
+def depth_runs(reads: DataFrame, keys: Sequence[str], block: int = BLOCK) -> DataFrame:
     """keys, start, stop, depth: stretches of constant coverage by closed intervals, without those of depth 0."""
+    return _depths(reads, keys, block).drop("_block")
+
+
+def _depths(reads: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
+    """depth_runs() with _block, still in blocks."""
     keys = list(keys)
-    order = Window.partitionBy(*keys).orderBy("at")
     ends = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct((F.col("stop") + 1).alias("at"), F.lit(-1).alias("d"))))
-    steps = reads.select(*keys, ends.alias("e")).groupBy(*keys, F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d")).where("d != 0")
-    depth = F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return steps.select(*keys, F.col("at").alias("start"), (F.lead("at").over(order) - 1).alias("stop"), depth.alias("depth")).where("depth > 0")
+    steps = reads.select(*keys, ends.alias("e")).groupBy(*keys, F.col("e.at").alias("start")).agg(F.sum("e.d").alias("d")).where("d != 0")
+    steps = running(in_blocks(steps, keys, "start", block), keys, ["start"], sums={"depth": "d"}, leads={"_next": "start"})
+    return steps.where("depth > 0").select(*keys, "_block", "start", (F.col("_next") - 1).alias("stop"), "depth")
 
 
-def covered_regions(reads: DataFrame, keys: Sequence[str], min_depth: int, gap: int = 1) -> DataFrame:
+def covered_regions(reads: DataFrame, keys: Sequence[str], min_depth: int, gap: int = 1, block: int = BLOCK) -> DataFrame:
     """keys, start, stop, depth: regions covered min_depth times or more, merged up to `gap` apart, and their least depth."""
     keys = list(keys)
-    deep = depth_runs(reads, keys).where(F.col("depth") >= min_depth)
-    order = Window.partitionBy(*keys).orderBy("start")
-    new = (~F.coalesce(F.col("start") - F.lag("stop").over(order) <= gap, F.lit(False))).cast("long")
-    runs = deep.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return runs.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("depth").alias("depth")).drop("_run")
+    deep = running(_depths(reads, keys, block).where(F.col("depth") >= min_depth), keys, ["start"], lags={"_end": "stop"})
+    runs = _runs(deep, keys, F.col("start") - F.col("_end") <= gap)
+    return runs.agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("depth").alias("depth")).drop("_run")
 
 
-def callable_loci(reads: DataFrame, keys: Sequence[str], min_depth: int, max_depth: int) -> DataFrame:
+def callable_loci(reads: DataFrame, keys: Sequence[str], min_depth: int, max_depth: int, block: int = BLOCK) -> DataFrame:
     """keys, start, stop, state: covered stretches as LOW_COVERAGE, CALLABLE or EXCESSIVE_COVERAGE."""
     keys = list(keys)
     state = F.when(F.col("depth") < min_depth, "LOW_COVERAGE").when(F.col("depth") > max_depth, "EXCESSIVE_COVERAGE").otherwise("CALLABLE")
-    order = Window.partitionBy(*keys).orderBy("start")
-    runs = depth_runs(reads, keys).withColumn("state", state)
-    same = (F.lag("state").over(order) == F.col("state")) & (F.lag("stop").over(order) + 1 == F.col("start"))
-    runs = runs.withColumn("_new", (~F.coalesce(same, F.lit(False))).cast("long")).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return runs.groupBy(*keys, "_run", "state").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_run")
+    runs = running(_depths(reads, keys, block).withColumn("state", state), keys, ["start"], lags={"_state": "state", "_end": "stop"})
+    same = (F.col("_state") == F.col("state")) & (F.col("_end") + 1 == F.col("start"))
+    return _runs(runs, keys, same, "state").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_run")
 
 
 def count_in_intervals(intervals: DataFrame, points: DataFrame, keys: Sequence[str], position: str = "position", name: str = "count") -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import os
 import random
 import time
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -213,3 +214,29 @@ def test_missing_files_and_empty_annotations(spark, tmp_path):
     assert rows.count() == 0 and rows.columns == ["contig", "start", "stop", "minor_allele_fraction"]
     maf = writers.empty_maf(spark)
     assert maf.count() == 0 and maf.columns[:2] == ["Hugo_Symbol", "Entrez_Gene_Id"] and len(set(maf.columns)) == len(maf.columns)
+
+
+def test_blocks_give_what_loops_over_positions_give(spark):
+    """Blocks far smaller than the intervals: running values are carried over many borders, and null keys stay."""
+    draw = random.Random(11)
+    some = lambda n, longest: [(draw.choice(["1", "2", None]), at, at + draw.randrange(longest)) for at in (draw.randrange(-40, 400) for _ in range(n))]
+    rows, banned = some(90, 60), some(25, 9)
+    df, drop = (spark.createDataFrame(r, "contig string, start long, stop long") for r in (rows, banned))
+    keys = ["contig"]
+    depth = Counter((c, p) for c, a, z in rows for p in range(a, z + 1))
+    out = {(c, p) for c, a, z in banned for p in range(a, z + 1)}
+    spread = lambda got: Counter((r.contig, p) for r in got for p in range(r.start, r.stop + 1))
+
+    runs = intervals.depth_runs(df, keys, block=16).collect()
+    assert {(r.contig, p): r.depth for r in runs for p in range(r.start, r.stop + 1)} == dict(depth)
+    merged = intervals.merge_overlapping(df, keys, gap=1, block=16).collect()
+    assert spread(merged) == Counter(set(depth)) and not any((r.contig, r.start - 1) in depth or (r.contig, r.stop + 1) in depth for r in merged)
+    left = intervals.subtract(df, drop, keys, block=16).collect()
+    stays = set(depth) - out
+    assert spread(left) == Counter(stays) and not any((r.contig, r.start - 1) in stays or (r.contig, r.stop + 1) in stays for r in left)
+    state = lambda n: "LOW_COVERAGE" if n < 3 else "EXCESSIVE_COVERAGE" if n > 5 else "CALLABLE"
+    loci = intervals.callable_loci(df, keys, 3, 5, block=16).collect()
+    assert {(r.contig, p): r.state for r in loci for p in range(r.start, r.stop + 1)} == {k: state(n) for k, n in depth.items()}
+    assert len(loci) == sum((c, p - 1) not in depth or state(depth[c, p - 1]) != state(n) for (c, p), n in depth.items())
+    for one, other in ((intervals.elementary_intervals(df, keys, block=b) for b in (16, 1 << 20)), (intervals.covered_regions(df, keys, 3, 4, block=b) for b in (16, 1 << 20))):
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
