@@ -61,26 +61,37 @@ def _run_ends(values: np.ndarray, island: np.ndarray, tolerance: float) -> np.nd
     return last
 
 
-def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[str] | str, distance: int = 1, tolerance: float = 1e-3) -> DataFrame:
-    """Sequential merge, per group in the order of (start, stop): an interval joins the run before it if it starts
+def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[str] | str, distance: int = 1, tolerance: float = 1e-3, block: int = BLOCK) -> DataFrame:
+    """Sequential merge, per group in the order of (start, stop, values): an interval joins the run before it if it starts
     within `distance` of its end and all values are within `tolerance` of the run's first interval; the run keeps
     those values.  Otherwise, if the run ends where the interval starts, it ends one earlier.  Nulls differ from all.
     `values` are names of columns, or the name of one column of arrays of equal lengths.
 
     A run surely breaks at a gap, and where neighbours differ by 2 * tolerance or more, since both would have to be within
-    tolerance of one value.  A window finds these islands; only inside an island must rows be compared with their
-    run's first one, by NumPy on sorted batches, and islands, not contigs, are dealt over tasks.
+    tolerance of one value.  Windows in blocks of positions find these islands; only inside an island must rows be compared
+    with their run's first one, by NumPy on sorted batches.  Blocks and islands, not contigs, are dealt over tasks.
     """
     keys = list(keys)
     as_array = isinstance(values, str)
     names = [values] if as_array else list(values)
-    order = Window.partitionBy(*keys).orderBy("start", "stop")
+    order = ["start", "stop", "_v"]
     rows = intervals.select(*keys, "start", "stop", *names).withColumn("_v", F.col(values) if as_array else F.array(*names).cast("array<double>") if names else F.array(F.lit(None).cast("double")))
-    rows = rows.withColumns({"_before": F.lag("_v").over(order), "_end": F.lag("stop").over(order), "_next": F.lead("start").over(order)})
-    differ = F.exists(F.zip_with("_v", "_before", lambda a, b: F.coalesce(F.abs(a - b) >= 2 * tolerance, F.lit(True))), lambda x: x)
-    new = ~F.coalesce((F.abs(F.col("start") - F.col("_end")) <= distance) & ~differ, F.lit(False))
-    rows = rows.withColumn("_new", new.cast("long"))
-    rows = rows.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).select(*keys, "start", "stop", *names, "_v", "_next", "_island")
+
+    def breaks(start: str, end: str, value: str, before: str) -> Column:
+        differ = F.exists(F.zip_with(value, before, lambda a, b: F.coalesce(F.abs(a - b) >= 2 * tolerance, F.lit(True))), lambda x: x)
+        return (~F.coalesce((F.abs(F.col(start) - F.col(end)) <= distance) & ~differ, F.lit(False))).cast("long")
+
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    rows = in_blocks(rows, keys, "start", block).withColumns({"_before": F.lag("_v").over(inside), "_end": F.lag("stop").over(inside), "_next": F.lead("start").over(inside)})
+    rows = rows.withColumn("_new", breaks("start", "_end", "_v", "_before"))
+    rows = rows.withColumn("_island", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # each block begins an island of its own so far: one row a block tells whether it goes on with the one before
+    along, place = Window.partitionBy(*keys).orderBy("_block"), F.struct(*order)
+    blocks = rows.groupBy(*keys, "_block").agg(F.max("_island").alias("_n"), F.min("start").alias("_start"), F.min_by("_v", place).alias("_first"), F.max_by("stop", place).alias("_stop"), F.max_by("_v", place).alias("_last"))
+    blocks = blocks.withColumns({"_stop0": F.lag("_stop").over(along), "_last0": F.lag("_last").over(along), "_after": F.lead("_start").over(along)})
+    blocks = blocks.withColumn("_sum", F.sum(F.col("_n") - 1 + breaks("_start", "_stop0", "_first", "_last0")).over(along))
+    rows = rows.join(blocks.select(*keys, "_block", (F.col("_sum") - F.col("_n")).alias("_carry"), "_after"), [*keys, "_block"], "left")
+    rows = rows.withColumns({"_island": F.col("_island") + F.coalesce("_carry", F.lit(0)), "_next": F.coalesce("_next", "_after")}).select(*keys, "start", "stop", *names, "_v", "_next", "_island")
     out_schema = rows.select(*keys, "start", "stop", *names).schema
     n = len(keys)
 
@@ -99,7 +110,7 @@ def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[s
                 yield from _merged(held.slice(0, done), island[:done], n, len(names), tolerance)
                 held = held.slice(done)
 
-    return rows.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", "start", "stop").mapInArrow(fold, out_schema)
+    return rows.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", *order).mapInArrow(fold, out_schema)
 
 
 def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -189,19 +200,21 @@ def shard_count(depth: float, base: int, per_shard: float) -> int:
     return -int(-(base * (depth + 1)) // (per_shard + 1))
 
 
-def balanced_shards(intervals: DataFrame, shards: int, order: Sequence[str]) -> DataFrame:
-    """Intervals cut so that each of `shards` holds nearly the same number of bases, in the given order.
+def balanced_shards(intervals: DataFrame, shards: int, order: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """Intervals cut so that each of `shards` holds nearly the same number of bases, in the given order: contig, then
+    start or another whole number.
 
-    The bases before each interval are sums per leading order column (contig) and running sums inside it, so only
-    the one-row-a-contig table is summed in one task.
+    The bases before each interval are sums per leading order column (contig) and running sums in blocks inside it, so
+    only the one-row-a-contig table is summed in one task.
     """
     first, *rest = order
     size = F.col("stop") - F.col("start") + 1
-    inside = Window.partitionBy(first).orderBy(*rest, "start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    inside = list(dict.fromkeys([*rest, "start", "stop"]))
     contigs = intervals.groupBy(first).agg(F.sum(size).alias("_size"))
     contigs = contigs.select(F.col(first).alias("_first"), F.coalesce(F.sum("_size").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_size").over(Window.partitionBy()).alias("_total"))
-    rows = intervals.withColumn("_in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    rows = rows.join(contigs, rows[first] == contigs["_first"]).withColumn("_at", F.col("_before") + F.col("_in"))
+    rows = running(in_blocks(intervals.withColumn("_size", size), [first], inside[0], block), [first], inside, sums={"_upto": "_size"})
+    rows = rows.withColumn("_in", F.col("_upto") - F.col("_size")).drop("_size", "_upto", "_block")
+    rows = rows.join(contigs, F.col(first) == F.col("_first")).withColumn("_at", F.col("_before") + F.col("_in"))
     border = lambda k: F.ceil(k * F.col("_total") / shards)  # noqa: E731  the first base of shard k
     shard = lambda at: F.floor(at * shards / F.col("_total"))
     rows = rows.withColumn("shard", F.explode(F.sequence(shard(F.col("_at")), shard(F.col("_at") + size - 1))))

@@ -182,9 +182,9 @@ def _(spark, d):
     return out.groupBy("contig").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("bases"))
 
 
-@query("i6_pad", "SELECT contig, greatest(1, start - 25) AS start, least(400, stop + 25) AS stop, score FROM targets")
+@query("i6_pad", "SELECT contig, greatest(1, start - 25) AS start, least(start - start % 500 + 400, stop + 25) AS stop, score FROM targets")
 def _(spark, d):
-    return intervals.pad(TARGETS(spark, d), 25, F.lit(400).cast("long"))
+    return intervals.pad(TARGETS(spark, d), 25, F.col("start") - F.col("start") % 500 + 400)
 
 
 @query("i7_bin", "SELECT contig, s AS start, least(stop, s + 9) AS stop, score FROM (SELECT *, unnest(generate_series(start, stop, 10)) AS s FROM targets)")

@@ -155,8 +155,8 @@ def _merged(rows, distance, tolerance):
     return out + [(run[0], run[1], *run[2])]
 
 
-@pytest.mark.parametrize("as_array", [False, True])
-def test_merge_abutting_against_a_row_loop(spark, as_array):
+@pytest.mark.parametrize(("as_array", "block"), [(False, 1 << 20), (False, 7), (True, 50)])
+def test_merge_abutting_against_a_row_loop(spark, as_array, block):
     rng = random.Random(11)
     rows, at, v = [], 1, 0.0
     for _ in range(1500):
@@ -167,14 +167,33 @@ def test_merge_abutting_against_a_row_loop(spark, as_array):
     df = spark.createDataFrame([("1", *r) for r in rows], "contig string, start long, stop long, u double, v double").repartition(5)
     want = sorted(_merged(rows, 1, 0.1))
     if as_array:
-        got = intervals.merge_abutting(df.select("contig", "start", "stop", F.array("u", "v").alias("w")), ["contig"], "w", tolerance=0.1)
+        got = intervals.merge_abutting(df.select("contig", "start", "stop", F.array("u", "v").alias("w")), ["contig"], "w", tolerance=0.1, block=block)
         assert sorted((r.start, r.stop, *r.w) for r in got.collect()) == want
     else:
-        got = intervals.merge_abutting(df, ["contig"], ["u", "v"], tolerance=0.1)
+        got = intervals.merge_abutting(df, ["contig"], ["u", "v"], tolerance=0.1, block=block)
         assert sorted((r.start, r.stop, r.u, r.v) for r in got.collect()) == want
     assert intervals.merge_abutting(df.where("false"), ["contig"], ["u", "v"]).count() == 0
 
 
+@pytest.mark.parametrize("block", [1 << 20, 9])
+def test_balanced_shards_against_single_bases(spark, block):
+    rng = random.Random(5)
+    rows = [(c, a, a + rng.randint(0, 30)) for c in ("1", "2", "X") for a in (rng.randint(1, 300) for _ in range(12))]
+    bases = [(c, p) for c, a, b in sorted(rows) for p in range(a, b + 1)]
+    want = sorted((k * 7 // len(bases), *base) for k, base in enumerate(bases))
+    df = spark.createDataFrame(rows, "contig string, start long, stop long").repartition(3)
+    got = intervals.balanced_shards(df, 7, ["contig", "start"], block=block).collect()
+    assert sorted((r.shard, r.contig, p) for r in got for p in range(r.start, r.stop + 1)) == want
+
+
+def test_views_have_more_loci_with_more_keys(spark, tmp_path):
+    orders = spark.read.parquet(f"{DATA}/orders.parquet")
+    later = orders.withColumn("o_orderkey", F.col("o_orderkey") + 150_000).select(orders.columns)
+    orders.unionByName(later).write.parquet(f"{tmp_path}/orders.parquet")
+    first, both = (view(spark, d, "copy_ratios").agg(F.max("start"), F.countDistinct("contig", "start")).first() for d in (DATA, str(tmp_path)))
+    assert both[0] == first[0] + 500 and both[1] == 2 * first[1]
+
+
 def test_free_slots_of_a_long_interval(spark):
     rows = [("1", p, 100, 100_000_000, 0) for p in (99_999_999, 99_999_997, 99_999_996, 100, 150)] + [("1", 100_000_000 + i, 100, 100_000_000, i) for i in (1, 2, 3)]
     rows += [("1", p, 5, 8, 0) for p in (6,)] + [("1", 9 + i, 5, 8, 1 + i) for i in range(3)]
