@@ -48,19 +48,24 @@ def schema_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the cluster's checkpoint folder: cuts the lineage and outlives an executor.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder.
 
     Only a local session, where driver and tasks share a disk, may do without spark.checkpoint.dir.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: cuts the lineage and outlives an executor."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.kept_path = path
