@@ -37,8 +37,8 @@ from .words import LOWER, parts
 LIMIT, LIMIT_BYTES = 4096, 16 << 20
 #: Counts that a task holds before it hands them on.
 HELD = 1 << 18
-#: A slice of words held against their lists at once, by candidates.
-SLICE = 1 << 19
+#: So many letters of words are held against their lists at once.
+SLICE = 1 << 13
 
 
 def noisy_counts(docs: DataFrame, min_length: int, every: int) -> DataFrame:
@@ -159,7 +159,7 @@ def _near(rows: pa.Table, starts: np.ndarray, size: int, lo: int, hi: int) -> pa
         forward[~longer, :size] = letters[~longer, :size][:, ::-1]
     queries = np.flatnonzero(~longer)
     a, b = [], []
-    step = max(1, SLICE // (size + 1) // 16)
+    step = max(1, SLICE // (size + 1))
     for at in range(0, len(queries), step):
         q, r = scan(letters, starts, queries[at : at + step], size - hi if backwards else lo)
         # a pair belongs to the window in which the words first differ; this also leaves out pairs that share a key only
