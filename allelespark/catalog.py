@@ -40,4 +40,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load() -> None:
     from .plans import q_intervals, q_pileups, q_sources, q_variants  # noqa: F401, I001
-    from .plans import q_files  # noqa: F401  (its SQL builds on the others')
+    from .plans import q_cohort, q_files  # noqa: F401  (their SQL builds on the others')

@@ -22,7 +22,7 @@ def join_segments(absolute: DataFrame, acs: DataFrame) -> DataFrame:
     return absolute.join(acs, list(KEYS), "full_outer")
 
 
-def rescale(df: DataFrame, purity: float, ploidy: float, sex: str) -> DataFrame:
+def rescale(df: DataFrame, purity: float | Column, ploidy: float | Column, sex: str | Column) -> DataFrame:
     """df (tau, sigma_tau, rescaled_total_cn) with cn and cn_sigma on the scale of rescaled_total_cn.
 
     tau less the normal cells' part, over the tumour's, halved, X and Y by the sex; then shifted so that medians per
@@ -63,7 +63,7 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.groupBy("sample").agg(*(F.corr(a, b).alias(f"corr_{a}") for a, b in pairs))
 
 
-def rescue(df: DataFrame, ploidy: float, sex: str, amplified: float = 7.0) -> DataFrame:
+def rescue(df: DataFrame, ploidy: float | Column, sex: str | Column, amplified: float = 7.0) -> DataFrame:
     """df with absolute columns filled where they are missing, is_rescued, flags, w and segment_mean.
 
     A rescued segment has no allelic split: its first allele has 0 copies, so it counts as lost (loh); hz tells
@@ -76,7 +76,7 @@ def rescue(df: DataFrame, ploidy: float, sex: str, amplified: float = 7.0) -> Da
     rows = rows.withColumns({"total_copy_ratio": F.when(F.col("is_rescued"), ratio).otherwise(F.col("tau") / 2), "rescaled_total_cn": fill("rescaled_total_cn", F.col("cn")), "corrected_total_cn": fill("corrected_total_cn", F.col("corrected_cn"))})
     rows = rows.withColumns({"modal_total_cn": F.rint("corrected_total_cn"), "total_hz": (F.col("rescaled_total_cn") == 0).cast("int"), "total_amp": (F.col("rescaled_total_cn") >= amplified).cast("int"), "cn_a1": F.when(F.col("is_rescued"), 0.0), "cn_a2": F.when(F.col("is_rescued"), F.col("cn"))})
     rows = rows.withColumns({"loh": ((F.col("cn_a1") == 0) | (F.col("cn_a2") == 0)).cast("int"), "hz": ((F.col("cn_a1") == 0) & (F.col("cn_a2") == 0)).cast("int")})
-    mean = F.log2(F.greatest(F.col("rescaled_total_cn"), F.lit(1e-2))) - F.log2(F.lit(float(ploidy)))
+    mean = F.log2(F.greatest(F.col("rescaled_total_cn"), F.lit(1e-2))) - F.log2(F.lit(ploidy).cast("double"))
     return genome_weight(rows).withColumn("segment_mean", sex_ploidy_scale(mean, F.col("contig"), F.lit(sex), log=True))
 
 
@@ -88,6 +88,13 @@ def map_to_absolute(absolute: DataFrame, acs: DataFrame, purity: float, ploidy:
     return rescue(map_to_clusters(rescale(join_segments(absolute, acs), purity, ploidy, sex)), ploidy, sex)
 
 
+def map_cohort_to_absolute(absolute: DataFrame, acs: DataFrame, solutions: DataFrame) -> DataFrame:
+    """map_to_absolute() with each sample's own parameters: solutions has a row (sample, purity, ploidy, sex) each."""
+    rows = join_segments(absolute, acs).join(solutions.select("sample", "purity", "ploidy", "sex"), "sample")
+    own = [F.col(c) for c in ("purity", "ploidy", "sex")]
+    return rescue(map_to_clusters(rescale(rows, *own)), *own[1:]).drop("purity", "ploidy", "sex")
+
+
 def solution_status(solutions: DataFrame) -> DataFrame:
     """sample, status, purity, ploidy by called_solution: -1 failed, 0 forced low purity, else the solution's own."""
     called = F.col("called_solution")

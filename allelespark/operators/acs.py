@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .contigs import copies_in_sex
 
 
-def acs_segments(segments: DataFrame, sex: str, maf90_threshold: float = 0.485) -> DataFrame:
+def acs_segments(segments: DataFrame, sex: str | Column, maf90_threshold: float = 0.485) -> DataFrame:
     """sample, contig, start, stop, n_probes, length, n_hets, tau, f, sigma_tau, mu_minor, sigma_minor, mu_major, sigma_major.
 
     segments: sample, contig, start, stop, n_probes, n_hets, quantiles cr10/50/90 (log2) and maf10/50/90.  tau is the
@@ -70,5 +70,5 @@ def dropped_genome(acs: DataFrame, min_hets: int = 0, min_probes: int = 2) -> Da
     return acs.groupBy("sample").agg(F.count_if(bad).alias("n_dropped"), (F.coalesce(F.sum(F.when(bad, F.col("length"))), F.lit(0)) / F.sum("length")).alias("dropped"))
 
 
-def model_segments_to_acs(segments: DataFrame, sex: str, min_hets: int = 0, min_probes: int = 2, maf90_threshold: float = 0.485) -> DataFrame:
+def model_segments_to_acs(segments: DataFrame, sex: str | Column, min_hets: int = 0, min_probes: int = 2, maf90_threshold: float = 0.485) -> DataFrame:
     return min_markers(label_cnloh(acs_segments(segments, sex, maf90_threshold)), min_hets, min_probes)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .intervals import count_in_intervals
+from .rangejoin import range_join
 
 #: Bits of the alignment flags.
 PAIRED, PROPER, UNMAPPED, FIRST, SECONDARY, FAILED, DUPLICATE = 0x1, 0x2, 0x4, 0x40, 0x100, 0x200, 0x400
@@ -33,6 +34,26 @@ def count_reads(intervals: DataFrame, reads: DataFrame, keys: Sequence[str] = ("
     return count_in_intervals(intervals, reads.select(*keys, F.col("start").alias("position")), keys)
 
 
+def count_reads_of(targets: DataFrame, reads: DataFrame, by: Sequence[str], keys: Sequence[str] = ("contig",)) -> DataFrame:
+    """by, keys, start, stop, count: the reads of each `by` (a sample) that start in each target, where there are any.
+
+    Targets hold for all; equal ones count once.  Reads are counted first, so no row is made for a sample without reads
+    in a target; with_zeros() adds those where a table for export needs them.
+    """
+    at = reads.groupBy(*by, *keys, F.col("start").alias("_position")).agg(F.count("*").alias("_n"))
+    inside = range_join(at, targets.select(*keys, "start", "stop").distinct(), keys, position="_position")
+    return inside.groupBy(*by, *keys, "start", "stop").agg(F.sum("_n").alias("count"))
+
+
+def with_zeros(counts: DataFrame, targets: DataFrame, samples: Sequence[str], keys: Sequence[str] = ("contig",)) -> DataFrame:
+    """keys, start, stop, sample, count for all targets and the named samples: an array a target, then a row a cell."""
+    by = [*keys, "start", "stop"]
+    cells = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("sample", "count"))).alias("_m"))
+    rows = targets.select(*by).distinct().join(cells, by, "left")
+    each = rows.select(*by, "_m", F.explode(F.array(*map(F.lit, samples))).alias("sample"))
+    return each.select(*by, "sample", F.coalesce(F.try_element_at("_m", "sample"), F.lit(0)).alias("count"))
+
+
 def call_copy_ratio(segments: DataFrame, low: float = 0.9, high: float = 1.1, z: float = 2.0, trim: float = 2.0, by: Sequence[str] = ("sample",)) -> DataFrame:
     """segments (log2_cr, length) with call + - 0, by the published neutral-interval rule.
 

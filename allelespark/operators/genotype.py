@@ -70,10 +70,11 @@ def log_likelihoods(rows: DataFrame, outlier_prior: float = 1e-4, overdispersion
     return out.drop(*(x for x in out.columns if x.startswith("_")))
 
 
-def genotype_likelihoods(pileups: DataFrame, segments: DataFrame | None = None, contaminations: DataFrame | None = None, sex: str = "Female", outlier_prior: float = 1e-4, overdispersion: float = 10.0, ref_bias: float = 1.05, min_error: float = 1e-3, max_error: float = 1e-2, per_sample_bias: DataFrame | None = None) -> DataFrame:
+def genotype_likelihoods(pileups: DataFrame, segments: DataFrame | None = None, contaminations: DataFrame | None = None, sex: str | Column = "Female", outlier_prior: float = 1e-4, overdispersion: float = 10.0, ref_bias: float = 1.05, min_error: float = 1e-3, max_error: float = 1e-2, per_sample_bias: DataFrame | None = None) -> DataFrame:
     """pileups (sample, contig, position, counts, allele_frequency) with the four likelihoods of each sample's locus.
 
-    contaminations has a row (sample, contamination) per sample, per_sample_bias a row (sample, ref_bias).
+    contaminations has a row (sample, contamination) per sample, per_sample_bias a row (sample, ref_bias); sex may be a
+    column of pileups, of which other columns stay too.
     """
     rows = with_minor_af(pileups, segments).join(error_rate(pileups, low=min_error, high=max_error), "sample")
     rows = rows.join(contaminations.select("sample", "contamination"), "sample", "left") if contaminations is not None else rows.withColumn("contamination", F.lit(None).cast("double"))
@@ -112,14 +113,16 @@ def genotype_code(genotype: Column) -> Column:
     return F.when(genotype == "0/0", 0).when(genotype.isin("0/1", "1/0"), 1).when(genotype == "1/1", 2)
 
 
-def joint_genotypes(likelihoods: DataFrame, normals: Sequence[str] = (), normal_weight: float = 10.0, keys: Sequence[str] = ()) -> DataFrame:
+def joint_genotypes(likelihoods: DataFrame, normals: Sequence[str] | Column = (), normal_weight: float = 10.0, keys: Sequence[str] = ()) -> DataFrame:
     """keys, contig, position, the four joint likelihoods (summing to 1), summed counts, mean allele frequency.
 
     A genotype's joint log is the weighted mean of the samples' logs over those that have reads at the locus; without
     any it is minus infinity, and then all four are 0.  A sample that gives 0 rules a genotype out.
+    normals are the names of samples, or a condition that their rows fulfil.
     """
     covered = F.col("ref_count") + F.col("alt_count") > 0
-    w = F.when(F.col("sample").isin(*normals), normal_weight).otherwise(1.0) if normals else F.lit(1.0)
+    named = normals if isinstance(normals, Column) else F.col("sample").isin(*normals)
+    w = F.when(named, normal_weight).otherwise(1.0)
     means = [F.when(F.count_if(covered & (F.col(g) == 0)) > 0, minus_infinity()).otherwise(F.sum(F.when(covered & (F.col(g) > 0), w * F.log(g))) / F.sum(F.when(covered, w))).alias(f"_{g}") for g in GENOTYPES]
     loci = likelihoods.groupBy(*keys, "contig", "position").agg(*means, *(F.sum(c).alias(c) for c in COUNTS), F.avg("allele_frequency").alias("allele_frequency"))
     loci = loci.withColumns({f"_{g}": F.coalesce(f"_{g}", minus_infinity()) for g in GENOTYPES})

@@ -36,13 +36,15 @@ def harmonize_loci(ratios: DataFrame, how: Mapping[str, str], keys: Sequence[str
 
 
 def in_all_samples(loci: DataFrame, values: Sequence[str], n_samples: DataFrame, keys: Sequence[str] = ("contig",)) -> DataFrame:
-    """Loci for which every sample has all values; n_samples has one row (or one per leading key) with column n."""
+    """Loci for which every sample has all values; n_samples has one row with column n, or one for each value of some of
+    the keys."""
     by = [*keys, "start", "stop"]
+    of = [k for k in keys if k in n_samples.columns]
     ok = F.lit(True)
     for v in values:
         ok &= F.col(v).isNotNull()
     full = loci.where(ok).groupBy(*by).agg(F.count_distinct("sample").alias("_n"))
-    full = full.join(n_samples, full["_n"] == n_samples["n"]).select(*by)
+    full = full.join(n_samples.select(*of, F.col("n").cast("long").alias("_n")), [*of, "_n"]).select(*by)
     return loci.join(full, by, "left_semi")
 
 
@@ -109,6 +111,32 @@ def harmonize(ratios: DataFrame, how: Mapping[str, str], samples: Sequence[str],
     return long.where(some)
 
 
+def harmonize_groups(ratios: DataFrame, how: Mapping[str, str], members: DataFrame, group: str = "patient", rule: str = "INTERSECTION", germline: bool = False, minimum: int = 1, distance: int = 1, tolerance: float = 1e-3, keys: Sequence[str] = ("contig",), order: str = "ord") -> DataFrame:
+    """group, keys, start, stop, sample, values: harmonize() of every group's samples on the group's own loci, in one job.
+
+    members has a row (group, sample, matched_normal) for each sample; a group's arrays hold its own samples only, sorted
+    by name.  With germline, loci that a group's matched normal calls as gained or lost go (values must hold `call`).
+    """
+    by = [group, *keys]
+    groups = members.groupBy(group).agg(F.sort_array(F.collect_set("sample")).alias("_samples"), F.max("matched_normal").alias("_normal"))
+    loci = harmonize_loci(ratios.join(members.select(group, "sample").distinct(), [group, "sample"]), how, by, order)
+    if rule == "INTERSECTION":
+        loci = in_all_samples(loci, list(how), groups.select(group, F.size("_samples").alias("n")), by)
+    values = [v for v in how if v != "call"]
+    if germline:
+        normals = groups.where("_normal IS NOT NULL").select(group, F.col("_normal").alias("sample"))
+        called = loci.where(F.col("call").isin("+", "-")).join(normals, [group, "sample"]).select(*by, "start", "stop").distinct()
+        loci = loci.join(called, [*by, "start", "stop"], "left_anti")
+    per_locus = loci.groupBy(*by, "start", "stop").agg(F.map_from_entries(F.collect_list(F.struct("sample", F.array(*(F.col(v).cast("double") for v in values))))).alias("_m"))
+    nothing = F.array(*(F.lit(None).cast("double") for _ in values))
+    cells = F.flatten(F.transform("_samples", lambda s: F.coalesce(F.try_element_at("_m", s), nothing)))
+    rows = per_locus.join(groups.select(group, "_samples"), group).select(*by, "start", "stop", cells.alias("_cells"))
+    merged = min_length(merge_abutting(rows, by, "_cells", distance, tolerance), minimum).join(groups.select(group, "_samples"), group)
+    long = merged.select(*by, "start", "stop", "_cells", F.posexplode("_samples").alias("_i", "sample"))
+    long = long.select(*by, "start", "stop", "sample", *(F.element_at("_cells", F.col("_i") * len(values) + (k + 1)).alias(v) for k, v in enumerate(values)))
+    return long.where(F.coalesce(*values).isNotNull())
+
+
 def harmonize_segments(segments: DataFrame, keys: Sequence[str] = ("sample", "contig"), value: str = "minor_allele_fraction", tolerance: float = 1e-3) -> DataFrame:
     """One set of segments per group: split, the smallest value of each piece, alike neighbours merged."""
     pieces = disjoin(segments, keys).groupBy(*keys, "start", "stop").agg(F.min(value).alias(value))

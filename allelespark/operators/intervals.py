@@ -65,7 +65,7 @@ def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[s
     """Sequential merge, per group in the order of (start, stop, values): an interval joins the run before it if it starts
     within `distance` of its end and all values are within `tolerance` of the run's first interval; the run keeps
     those values.  Otherwise, if the run ends where the interval starts, it ends one earlier.  Nulls differ from all.
-    `values` are names of columns, or the name of one column of arrays of equal lengths.
+    `values` are names of columns, or the name of one column of arrays, of equal lengths within a group.
 
     A run surely breaks at a gap, and where neighbours differ by 2 * tolerance or more, since both would have to be within
     tolerance of one value.  Windows in blocks of positions find these islands; only inside an island must rows be compared
@@ -133,7 +133,7 @@ def _numbers(rows: pa.Table, n: int) -> np.ndarray:
 
 def _merged(rows: pa.Table, island: np.ndarray, n: int, n_values: int, tolerance: float) -> Iterator[pa.RecordBatch]:
     v = rows.column("_v").combine_chunks()
-    flat = v.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(v), -1) if len(v) else np.zeros((0, 1))
+    flat = _rectangle(v)
     last = _run_ends(flat, island, tolerance)
     first = np.concatenate([[True], last[:-1]])
     stop, after = rows.column(n + 1).to_numpy().copy(), rows.column("_next").fill_null(np.iinfo(np.int64).min).to_numpy()
@@ -143,6 +143,14 @@ def _merged(rows: pa.Table, island: np.ndarray, n: int, n_values: int, tolerance
     yield from pa.table(dict(zip(rows.column_names[: n + 2 + n_values], columns, strict=True))).to_batches()
 
 
+def _rectangle(lists: pa.Array) -> np.ndarray:
+    """Lists as rows of a matrix, nulls as NaN; lists of other groups may be shorter and end with zeros."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.zeros((len(sizes), max(sizes.max(initial=0), 1)))
+    out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
+    return out
+
+
 def merge_overlapping(intervals: DataFrame, keys: Sequence[str], gap: int = 0, block: int = BLOCK) -> DataFrame:
     """Unions of overlapping intervals; with gap=0 those that only abut stay apart, with gap=1 they merge too.
 

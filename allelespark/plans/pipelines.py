@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import absolute_cn, acs, allelic, coverage, genotype, harmonize, intervals, pileups, variants
+from ..operators import absolute_cn, acs, allelic, cohort, coverage, genotype, harmonize, intervals, pileups, variants
+from ..sources.scratch import kept
+
+#: Between a patient's and a sample's name: no printable character.
+_JOINT = "\x1f"
+_WHO = ("patient", "sample")
 
 
 def filter_variants(calls: DataFrame, rules: Mapping[str, tuple] = variants.HARD_FILTERS, more: Mapping[str, str] | None = None) -> DataFrame:
@@ -44,37 +51,139 @@ def harmonize_cohort(ratios: DataFrame, how: Mapping[str, str], n_samples: DataF
     return loci.join(full.drop("n"), ["patient", "contig", "start", "stop"], "left_semi")
 
 
-def cohort_of(*, reads: DataFrame, targets: DataFrame, calls: DataFrame, panel: DataFrame, runs: DataFrame, segments: DataFrame, contaminations: DataFrame, ratios: DataFrame, modeled: DataFrame, absolute: DataFrame, normals: Sequence[str], sex: str = "Female", purity: float = 0.7, ploidy: float = 2.0, min_hets: int = 0, min_probes: int = 2) -> dict[str, DataFrame]:
-    """The whole chain for all patients at once, every table keyed (patient, sample): coverage, variants, pileups,
-    genotypes, allelic_counts, harmonized, acs, absolute.
+def rare_alleles(calls: DataFrame, panel: DataFrame) -> DataFrame:
+    """contig, position, ref, alt, the first of each locus: the panel's, then those of germline SNPs that it lacks."""
+    rare = calls.where(F.col("germline") & (F.length("ref") == 1) & (F.length("alt") == 1)).select(*variants.ALLELE)
+    return variants.merge_resources(panel.select(*variants.ALLELE), rare)
+
+
+def _one(df: DataFrame) -> DataFrame:
+    """Samples of different patients may share a name, so inside the chain a sample is patient and sample in one."""
+    return df.withColumn("sample", F.concat_ws(_JOINT, "patient", "sample"))
+
+
+def _alone(df: DataFrame) -> DataFrame:
+    return _one(df).drop("patient")
+
 
-    Read counts and callable loci come first; called variants are filtered and their rare germline alleles join the
-    panel's pileups; joint genotypes, their heterozygous sites' allelic counts, copy ratios on each patient's common
-    loci, allelic copy ratios and absolute copy numbers follow.  targets and panel hold for all patients; purity, ploidy
-    and sex too, which a cohort that differs gives in several calls.
+def _split(df: DataFrame) -> DataFrame:
+    return df.withColumns({"patient": F.split("sample", _JOINT)[0], "sample": F.split("sample", _JOINT)[1]})
+
+
+@dataclass(frozen=True)
+class Cohort:
+    """The whole chain for all patients at once, every table keyed (patient, sample); each result is a property.
+
+    members has a row for each sample: patient, sample, input_ord, is_tumor, sex, purity, ploidy.  A patient's first normal is
+    its matched normal; all its normals weigh more in its genotypes.  targets and panel (contig, position, ref, alt) hold
+    for all patients.
+
+    1. Reads are counted in the targets, callable loci found.
+    2. Calls are filtered; pileups of their germline SNPs that the panel lacks join the panel's pileups.
+    3. A patient's samples are genotyped together where the panel or such a SNP is; heterozygous sites give allelic counts.
+    4. Copy ratios come on each patient's common loci; so do modeled segments, without those that the matched normal calls,
+       and each segment's probes and hets are counted anew.
+    5. Segments become allelic copy ratios by the patient's sex, and absolute copy numbers by the sample's purity and ploidy.
+
+    Results are made when they are asked for; what several need goes once through `keep`, by default into a table in the
+    shared folder.
     """
-    who = ["patient", "sample"]
-    samples = runs.select(*who).distinct()
-    counts, callable_ = coverage_of(reads, samples.crossJoin(targets.select("contig", "start", "stop").distinct()), [*who, "contig"])
-    filtered = filter_variants(calls)
-    named = F.concat_ws("/", *who)
-    # samples of different patients may share a name, so the chain's samples are patient/sample
-    one = lambda df: df.withColumn("sample", named).drop("patient")
-    split = lambda df: df.withColumn("patient", F.split("sample", "/")[0]).withColumn("sample", F.split("sample", "/")[1])
-    merged = rare_germline_pileups(one(filtered), panel, pileups.merge_pileups(one(runs)))
-    contamination = pileups.join_contaminations(one(contaminations))
-    minor = one(segments).groupBy("sample", "contig", "start", "stop").agg(F.min("minor_allele_fraction").alias("minor_allele_fraction"))
-    likelihoods = genotype.genotype_likelihoods(merged, minor, contamination, sex).withColumn("patient", F.split("sample", "/")[0])
-    first = [f"{r['patient']}/{r['sample']}" for r in samples.where(F.col("sample").isin(*normals)).collect()] if normals else []
-    joint = genotype.confidence_cascade(genotype.joint_genotypes(likelihoods, first, keys=["patient"])).withColumn("genotype", genotype.called_genotype())
-    alleles = panel.groupBy("contig", "position").agg(F.min("ref").alias("ref"), F.min("alt").alias("alt"))
-    sites = joint.select("patient", "contig", "position", "genotype").join(alleles, ["contig", "position"])
-    hets = allelic.allelic_counts(merged.withColumn("patient", F.split("sample", "/")[0]).select("patient", "sample", "contig", "position", "ref_count", "alt_count"), sites, keys=["patient", "sample", "contig"])
-    n_samples = ratios.groupBy("patient").agg(F.count_distinct("sample").alias("n"))
-    harmonized = harmonize_cohort(ratios, {"log2_cr": "strongest_signal"}, n_samples)
-    acs_ = acs.model_segments_to_acs(one(modeled), sex, min_hets, min_probes)
-    numbers = absolute_cn.map_to_absolute(one(absolute), acs_.select(*absolute_cn.KEYS, "length", "tau", "sigma_tau"), purity, ploidy, sex)
-    return {
-        "read_counts": counts, "callable_loci": callable_, "variants": filtered, "pileups": split(merged), "genotypes": joint,
-        "allelic_counts": hets.withColumn("sample", F.split("sample", "/")[1]), "harmonized": harmonized, "acs": split(acs_), "absolute": split(numbers),
-    }
+
+    members: DataFrame
+    reads: DataFrame
+    targets: DataFrame
+    calls: DataFrame
+    panel: DataFrame
+    runs: DataFrame
+    segments: DataFrame
+    contaminations: DataFrame
+    ratios: DataFrame
+    modeled: DataFrame
+    solutions: DataFrame
+    min_target: int = 1
+    min_segment: int = 100
+    min_hets: int = 0
+    min_probes: int = 2
+    min_depth: int = 10
+    max_depth: int = 1000
+    model: float = 0.9
+    normal_weight: float = 10.0
+    keep: Callable[[DataFrame], DataFrame] = kept
+
+    @cached_property
+    def with_matched_normals(self) -> DataFrame:
+        matched = cohort.matched_normal(self.members.select(*_WHO, "input_ord", "is_tumor"))
+        return self.keep(self.members.join(matched, "patient", "left"))
+
+    @cached_property
+    def good_reads(self) -> DataFrame:
+        return self.keep(coverage.good_reads(self.reads))
+
+    @cached_property
+    def read_counts(self) -> DataFrame:
+        return coverage.count_reads_of(self.targets, self.good_reads, _WHO)
+
+    @cached_property
+    def callable_loci(self) -> DataFrame:
+        return intervals.callable_loci(self.good_reads, [*_WHO, "contig"], self.min_depth, self.max_depth)
+
+    @cached_property
+    def variants(self) -> DataFrame:
+        return self.keep(filter_variants(self.calls))
+
+    @cached_property
+    def alleles(self) -> DataFrame:
+        return self.keep(rare_alleles(self.variants, self.panel).select(*variants.ALLELE))
+
+    @cached_property
+    def _merged(self) -> DataFrame:
+        merged = rare_germline_pileups(_alone(self.variants), self.panel, pileups.merge_pileups(_alone(self.runs)))
+        return self.keep(pileups.subset_loci(merged, self.alleles))
+
+    @cached_property
+    def pileups(self) -> DataFrame:
+        return _split(self._merged)
+
+    @cached_property
+    def genotypes(self) -> DataFrame:
+        minor = _alone(self.segments).groupBy("sample", "contig", "start", "stop").agg(F.min("minor_allele_fraction").alias("minor_allele_fraction"))
+        own = _one(self.members).select("patient", "sample", "sex", (~F.col("is_tumor")).alias("is_normal"))
+        known = self._merged.join(own, "sample")
+        likelihoods = genotype.genotype_likelihoods(known, minor, pileups.join_contaminations(_alone(self.contaminations)), F.col("sex"))
+        joint = genotype.joint_genotypes(likelihoods, F.col("is_normal"), self.normal_weight, ["patient"])
+        return self.keep(genotype.confidence_cascade(joint, self.model).withColumn("genotype", genotype.called_genotype()))
+
+    @cached_property
+    def allelic_counts(self) -> DataFrame:
+        sites = self.genotypes.select("patient", "contig", "position", "genotype").join(self.alleles, ["contig", "position"])
+        counts = self.pileups.select(*_WHO, "contig", "position", "ref_count", "alt_count")
+        return self.keep(allelic.allelic_counts(counts, sites, keys=[*_WHO, "contig"]))
+
+    @cached_property
+    def harmonized(self) -> DataFrame:
+        return harmonize.harmonize_groups(self.ratios, {"log2_cr": "strongest_signal"}, self.with_matched_normals, minimum=self.min_target)
+
+    @cached_property
+    def filtered_segments(self) -> DataFrame:
+        how = dict.fromkeys(("cr10", "cr50", "cr90", "maf10", "maf50", "maf90"), "mean") | {"call": "first"}
+        out = harmonize.harmonize_groups(self.modeled, how, self.with_matched_normals, germline=True, minimum=self.min_segment)
+        probes = self.ratios.select(*_WHO, "contig", F.col("start").alias("position"))
+        out = intervals.count_in_intervals(out, probes, [*_WHO, "contig"], name="n_probes")
+        return self.keep(intervals.count_in_intervals(out, self.allelic_counts, [*_WHO, "contig"], name="n_hets"))
+
+    @cached_property
+    def acs(self) -> DataFrame:
+        rows = _alone(self.filtered_segments).join(_one(self.members).select("sample", "sex"), "sample")
+        return self.keep(_split(acs.model_segments_to_acs(rows, F.col("sex"), self.min_hets, self.min_probes)))
+
+    @cached_property
+    def absolute(self) -> DataFrame:
+        own = _one(self.members).select("sample", "purity", "ploidy", "sex")
+        ratios = _alone(self.acs).select(*absolute_cn.KEYS, "length", "tau", "sigma_tau")
+        return _split(absolute_cn.map_cohort_to_absolute(_alone(self.solutions), ratios, own))
+
+    def results(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in RESULTS}
+
+
+RESULTS = ("read_counts", "callable_loci", "variants", "pileups", "genotypes", "allelic_counts", "harmonized", "filtered_segments", "acs", "absolute")

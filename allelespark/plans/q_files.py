@@ -350,18 +350,3 @@ def _(spark, d):
     progress: dict = {}
     harmonize.harmonize(qi.CR(spark, d), {"log2_cr": "strongest_signal"}, qi.SAMPLES, minimum=2, progress=progress).write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([(step, progress[step].get["loci"]) for step in ("loci", "merged", "long")], "step string, loci long")
-
-
-@query("e10_cohort")
-def _(spark, d):
-    from .pipelines import cohort_of
-
-    patient = lambda df: df.withColumn("patient", F.when(F.col("sample").isin("S0", "S1"), "P0").otherwise("P1"))
-    tables = {n: patient(view(spark, d, n)) for n in ("pileup_runs", "segments", "contaminations", "copy_ratios", "modeled_segments", "variants")}
-    reads = patient(view(spark, d, "reads").withColumn("sample", F.concat(F.lit("S"), (F.col("ord") % 4).cast("string"))))
-    out = cohort_of(reads=reads, targets=view(spark, d, "targets"), calls=tables["variants"], panel=view(spark, d, "variants"), runs=tables["pileup_runs"], segments=tables["segments"], contaminations=tables["contaminations"], ratios=tables["copy_ratios"], modeled=tables["modeled_segments"], absolute=patient(qp._absolute(spark, d)), normals=["S0", "S2"], sex="XY")
-    rows = None
-    for name, df in out.items():
-        one = df.groupBy("patient").agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "patient", "n")
-        rows = one if rows is None else rows.union(one)
-    return rows

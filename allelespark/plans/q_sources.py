@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import query
 from ..sources import readers, writers
+from ..sources.scratch import shared_path
 from .q_pileups import C3, MERGED, merged
 from .views import view
 
 
 def scratch(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-")
-    return f"{folder.rstrip('/')}/text-{uuid.uuid4().hex}"
+    return shared_path(spark, "text")
 
 
 @query("k1_write_pileups", f"WITH {MERGED} SELECT sample, contig, position, {C3}, allele_frequency FROM merged")

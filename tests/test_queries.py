@@ -214,17 +214,44 @@ def test_tangent_against_least_squares(spark):
 
 
 def test_a_cohort_is_its_patients(spark):
+    whole = q_cohort.cohort_in(spark, DATA)
+    tables = ("members", "reads", "calls", "runs", "segments", "contaminations", "ratios", "modeled", "solutions")
+    names = ("read_counts", "variants", "genotypes", "allelic_counts", "filtered_segments", "absolute")
+
     def run(patients):
-        own = lambda df: df.withColumn("patient", F.when(F.col("sample").isin("S0", "S1"), "P0").otherwise("P1")).where(F.col("patient").isin(*patients))
-        t = {n: own(view(spark, DATA, n)) for n in ("pileup_runs", "segments", "contaminations", "copy_ratios", "modeled_segments", "variants")}
-        reads = own(view(spark, DATA, "reads").withColumn("sample", F.concat(F.lit("S"), (F.col("ord") % 4).cast("string"))))
-        absolute = t["modeled_segments"].select("patient", "sample", "contig", "start", "stop", F.col("cr50").alias("rescaled_total_cn"), F.col("n_hets").cast("double").alias("corrected_total_cn"))
-        out = cohort_of(reads=reads, targets=view(spark, DATA, "targets"), calls=t["variants"], panel=view(spark, DATA, "variants"), runs=t["pileup_runs"], segments=t["segments"], contaminations=t["contaminations"], ratios=t["copy_ratios"], modeled=t["modeled_segments"], absolute=absolute, normals=["S0", "S2"], sex="XY")
-        return {name: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.select(*sorted(df.columns)).collect()), key=str) for name, df in out.items() if name in ("read_counts", "variants", "genotypes", "allelic_counts", "harmonized", "absolute")}
+        part = replace(whole, **{t: getattr(whole, t).where(F.col("patient").isin(*patients)) for t in tables})
+        return {n: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in (df := getattr(part, n)).select(*sorted(df.columns)).collect()), key=str) for n in names}
 
     every, one, two = run(["P0", "P1"]), run(["P0"]), run(["P1"])
-    assert all(every[name] == sorted(one[name] + two[name], key=str) for name in every)
-    assert all(every[name] for name in ("read_counts", "variants", "genotypes", "harmonized", "absolute"))
+    assert all(every[name] == sorted(one[name] + two[name], key=str) and one[name] and two[name] for name in names)
+
+
+def test_groups_of_samples_are_harmonized_alone(spark):
+    """Patients of one, two and three samples in one job, against harmonize() for each; a null normal takes nothing away."""
+    draw = random.Random(3)
+    members = [("A", "x", "x"), ("B", "x", "y"), ("B", "y", "y"), ("C", "x", None), ("C", "y", None), ("C", "z", None)]
+    rows = [(p, s, c, a, a + draw.randrange(4, 30), draw.randrange(3) / 4, draw.choice("+00"), i) for i, (p, s, c, a) in enumerate((p, s, c, draw.randrange(200)) for p, s, _ in members for c in "12" for _ in range(25))]
+    df = spark.createDataFrame(rows, "patient string, sample string, contig string, start long, stop long, log2_cr double, call string, ord int")
+    how = {"log2_cr": "max", "call": "first"}
+    got = harmonize.harmonize_groups(df, how, spark.createDataFrame(members, "patient string, sample string, matched_normal string"), germline=True, minimum=3)
+    got = {p: sorted(map(tuple, got.where(F.col("patient") == p).drop("patient").collect())) for p in "ABC"}
+    for p in "ABC":
+        samples = sorted(s for q, s, _ in members if q == p)
+        normal = next(n for q, _, n in members if q == p)
+        assert got[p] == sorted(map(tuple, harmonize.harmonize(df.where(F.col("patient") == p), how, samples, normal=normal, minimum=3).collect())) and got[p]
+
+
+def test_counts_with_zeros_and_numbers_by_group(spark):
+    targets = spark.createDataFrame([("1", 1, 10), ("1", 5, 20), ("2", 1, 5)], "contig string, start long, stop long")
+    reads = spark.createDataFrame([("a", "1", 6), ("a", "1", 6), ("b", "1", 20), ("b", "3", 1)], "sample string, contig string, start long")
+    counts = coverage.count_reads_of(targets.union(targets), reads, ["sample"])
+    assert sorted(map(tuple, counts.collect())) == [("a", "1", 1, 10, 2), ("a", "1", 5, 20, 2), ("b", "1", 5, 20, 1)]
+    full = sorted((r.contig, r.start, r.sample, r["count"]) for r in coverage.with_zeros(counts, targets, ["a", "b", "c"]).collect())
+    assert full == [("1", 1, "a", 2), ("1", 1, "b", 0), ("1", 1, "c", 0), ("1", 5, "a", 2), ("1", 5, "b", 1), ("1", 5, "c", 0), ("2", 1, "a", 0), ("2", 1, "b", 0), ("2", 1, "c", 0)]
+    # a group's number of samples is no other group's
+    loci = spark.createDataFrame([("P", "1", 1, 2, "a", 1.0), ("Q", "1", 1, 2, "a", 1.0), ("Q", "1", 1, 2, "b", 1.0)], "patient string, contig string, start long, stop long, sample string, v double")
+    n = spark.createDataFrame([("P", 2), ("Q", 2), ("R", 1)], "patient string, n int")
+    assert sorted(r.patient for r in harmonize.in_all_samples(loci, ["v"], n, ["patient", "contig"]).collect()) == ["Q", "Q"]
 
 
 def test_missing_files_and_empty_annotations(spark, tmp_path):
