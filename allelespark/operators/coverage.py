@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
 from .intervals import count_in_intervals
+from .medians import group_medians
 from .rangejoin import range_join
 
 #: Bits of the alignment flags.
@@ -80,43 +83,100 @@ def call_copy_ratio(segments: DataFrame, low: float = 0.9, high: float = 1.1, z:
 
 def standardize(counts: DataFrame, keys: Sequence[str] = ("contig", "start", "stop")) -> DataFrame:
     """log2_cr per sample and interval: counts over the sample's median, over the interval's median of those."""
-    per_sample = counts.groupBy("sample").agg(F.median("count").alias("_m")).where("_m > 0")
+    per_sample = group_medians(counts, ["sample"], "count", "_m").where("_m > 0")  # a sample has as many rows as intervals
     scaled = counts.join(per_sample, "sample").withColumn("_s", F.col("count") / F.col("_m"))
     per_interval = scaled.groupBy(*keys).agg(F.median("_s").alias("_mi")).where("_mi > 0")
     return scaled.join(per_interval, list(keys)).withColumn("log2_cr", F.log2(F.greatest(F.col("_s") / F.col("_mi"), F.lit(1e-3)))).select("sample", *keys, "log2_cr")
 
 
-def tangent_normalize(samples: DataFrame, normals: DataFrame, k: int = 20, keys: Sequence[str] = ("contig", "start", "stop"), max_normals: int = 5000) -> DataFrame:
-    """samples (sample, keys, log2_cr) less their projection on the k strongest directions of a cohort of normals.
+def _dense(places: pa.ListArray, values: pa.ListArray, width: int) -> np.ndarray:
+    """Rows with values at places, 0 elsewhere; equal places add up."""
+    out = np.zeros((len(places), width))
+    row = np.repeat(np.arange(len(places)), np.diff(places.offsets.to_numpy()))
+    np.add.at(out, (row, places.flatten().to_numpy()), values.flatten().to_numpy())
+    return out
+
+
+def gram_tiles(rows: DataFrame, width: int, tile: int = 256) -> DataFrame:
+    """i, j, data: the tiles of N'N with i <= j, for the matrix N of rows (places array<int>, values array<double>).
+
+    A task adds up the products of its rows and gives each tile once; a tile's parts, one a task, meet and are added up.
+    """
+    cuts = [(a, min(a + tile, width)) for a in range(0, width, tile)]
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                x = _dense(some.column("places"), some.column("values"), width)
+                total += x.T @ x
+        pairs = [(i, j) for i in range(len(cuts)) for j in range(i, len(cuts))]
+        for i, j in pairs:
+            data = total[slice(*cuts[i]), slice(*cuts[j])].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([data], pa.binary())], names=["i", "j", "data"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.float64) for x in parts.column("data").to_pylist())
+        return pa.table({"i": parts.column("i").slice(0, 1), "j": parts.column("j").slice(0, 1), "data": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "i int, j int, data binary"
+    return rows.select("places", "values").mapInArrow(multiply, schema).groupBy("i", "j").applyInArrow(add, schema)
+
+
+def tangent_directions(normals: DataFrame, k: int, keys: Sequence[str] = ("contig", "start", "stop"), max_normals: int = 5000, tile: int = 256) -> DataFrame | None:
+    """keys, u (array): each interval's part of the k strongest left singular vectors of the intervals-by-normals matrix.
 
-    With N the intervals-by-normals matrix, its left singular vectors are U = N V / s, where V and s come from the
-    normals' products N'N.  So only dot products of columns are needed: those of normals with each other, of which the
-    driver decomposes a matrix of max_normals rows at most, and those of samples with normals.  The projection is N w,
-    w = V s**-2 V' N'x, again a join and a sum.  An interval that a column lacks counts as 0 there.
+    With N that matrix, they are N V / s, where V and s come from N'N, a matrix of the normals' size that the driver
+    decomposes (200 MB for the 5,000 normals that are allowed by default).  Null without normals.
     """
     keys = list(keys)
-    normal = normals.select(*keys, F.col("sample").alias("_n"), F.col("log2_cr").alias("_v"))
-    names = [r["_n"] for r in normal.select("_n").distinct().orderBy("_n").limit(max_normals + 1).collect()]
+    names = [r["sample"] for r in normals.select("sample").distinct().orderBy("sample").limit(max_normals + 1).collect()]
     if len(names) > max_normals:
         raise ValueError(f"more than {max_normals} normals")
     if not names:
-        return samples
-    other = normal.select(*keys, F.col("_n").alias("_m"), F.col("_v").alias("_u"))
-    place = {n: i for i, n in enumerate(names)}
-    gram = np.zeros((len(names), len(names)))
-    for r in normal.join(other, keys).where("_n <= _m").groupBy("_n", "_m").agg(F.sum(F.col("_v") * F.col("_u")).alias("p")).collect():
-        gram[place[r["_n"]], place[r["_m"]]] = gram[place[r["_m"]], place[r["_n"]]] = r["p"]
+        return None
+    places = F.broadcast(normals.sparkSession.createDataFrame(list(zip(names, range(len(names)), strict=True)), "sample string, place int"))  # max_normals rows
+    cells = normals.where("log2_cr IS NOT NULL").join(places, "sample").groupBy(*keys).agg(F.collect_list(F.struct("place", "log2_cr")).alias("c"))
+    rows = kept(cells.select(*keys, F.col("c.place").alias("places"), F.col("c.log2_cr").alias("values")))
+    width = len(names)
+    gram = np.zeros((width, width))
+    for r in gram_tiles(rows, width, tile).toLocalIterator():
+        (a, b), (c, d) = ((x * tile, min(x * tile + tile, width)) for x in (r["i"], r["j"]))
+        gram[a:b, c:d] = np.frombuffer(r["data"], np.float64).reshape(b - a, d - c)
+        gram[c:d, a:b] = gram[a:b, c:d].T
     square, v = np.linalg.eigh(gram)
     strong = np.argsort(-square)[:k]
     strong = strong[square[strong] > 1e-12 * max(square.max(), 1e-300)]
-    inverse = (v[:, strong] / square[strong]) @ v[:, strong].T
-    # w = inverse @ (N'x): the matrix has a row for each pair of normals
-    spark = samples.sparkSession
-    matrix = F.broadcast(spark.createDataFrame([(a, b, float(inverse[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)], "_n string, _m string, _i double"))
-    dots = samples.join(normal, keys).groupBy("sample", "_n").agg(F.sum(F.col("log2_cr") * F.col("_v")).alias("_p"))
-    weights = dots.join(matrix, "_n").groupBy("sample", F.col("_m").alias("_n")).agg(F.sum(F.col("_p") * F.col("_i")).alias("_w"))
-    projected = normal.join(weights, "_n").groupBy("sample", *keys).agg(F.sum(F.col("_v") * F.col("_w")).alias("_part"))
-    return samples.join(projected, ["sample", *keys], "left").withColumn("log2_cr", F.col("log2_cr") - F.coalesce("_part", F.lit(0.0))).drop("_part")
+    turn = v[:, strong] / np.sqrt(square[strong])
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                u = _dense(some.column("places"), some.column("values"), width) @ turn
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in keys), pa.array(list(u), pa.list_(pa.float64()))], names=[*keys, "u"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
+    return kept(rows.mapInArrow(project, f"{schema}, u array<double>"))
+
+
+def tangent_normalize(samples: DataFrame, normals: DataFrame, k: int = 20, keys: Sequence[str] = ("contig", "start", "stop"), max_normals: int = 5000, tile: int = 256) -> DataFrame:
+    """samples (sample, keys, log2_cr) less their projection on the k strongest directions of a cohort of normals.
+
+    Both have a row for a sample and interval.  No pair of columns is ever joined: tangent_directions() gives each interval k
+    numbers, a sample's k dot products with them are sums, and the projection is again k products a row.  An
+    interval that a column lacks counts as 0 there; one that no normal has stays as it is.
+    """
+    keys = list(keys)
+    u = tangent_directions(normals, k, keys, max_normals, tile)
+    if u is None:
+        return samples
+    size = u.agg(F.coalesce(F.max(F.size("u")), F.lit(0))).first()[0]
+    rows = samples.join(u, keys, "left")
+    dots = rows.where("u IS NOT NULL").groupBy("sample").agg(F.array(*(F.coalesce(F.sum(F.col("log2_cr") * F.col("u")[j]), F.lit(0.0)) for j in range(size))).alias("_w"))
+    part = F.aggregate(F.zip_with("u", "_w", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
+    return rows.join(dots, "sample", "left").withColumn("log2_cr", F.col("log2_cr") - F.coalesce(part, F.lit(0.0))).select(*samples.columns)
 
 
 def minor_af_from_segments(maf50, log2_cr):
@@ -131,4 +191,5 @@ def segmentation_penalty(n):
 
 
 def cohort_median(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    return df.withColumn(f"{value}_median", F.median(value).over(Window.partitionBy(*by)))
+    """df with <value>_median, the median of each `by` (of some samples each), added up before it is shuffled."""
+    return df.join(df.groupBy(*by).agg(F.median(value).alias(f"{value}_median")), list(by))

@@ -306,6 +306,17 @@ def _(spark, d):
     return out.withColumn("log2_cr", scaled(F.col("log2_cr"), 10**5))
 
 
+@query("t20_tangent_cohort")
+def _(spark, d):
+    """Four samples against twenty normals; singular vectors have no SQL, a test holds it against NumPy."""
+    key = F.col("l_suppkey")
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select((key % 24).alias("k"), F.concat(F.lit("N"), (key % 24).cast("string")).alias("sample"), F.expr("CAST(l_partkey % 23 AS STRING)").alias("contig"), F.expr("l_orderkey DIV 64 * 64").alias("start"), F.col("l_quantity").alias("q"))
+    counts = rows.groupBy("sample", "contig", "start", (F.col("start") + 63).alias("stop")).agg(F.sum("q").alias("count"))
+    ratios = coverage.standardize(counts)
+    tumours = F.col("sample").isin("N20", "N21", "N22", "N23")
+    return coverage.tangent_normalize(ratios.where(tumours), ratios.where(~tumours), 10)
+
+
 @query("i15_pileup_at_sites", "WITH pn AS (SELECT contig, position, min(ref) AS ref, min(alt) AS alt, 0.1::DOUBLE AS allele_frequency FROM variants GROUP BY ALL), ob AS (SELECT contig, position, substr('ACGT', (alt_count % 4)::INT + 1, 1) AS base FROM pileup_runs) SELECT p.contig, p.position, allele_frequency, count(*) FILTER (base = ref) AS ref_count, count(*) FILTER (base = alt AND base <> ref) AS alt_count, count(*) FILTER (base <> ref AND base <> alt) AS other_alt_count FROM pn p LEFT JOIN ob USING (contig, position) GROUP BY ALL")
 def _(spark, d):
     from ..operators.pileups import pileup_at_sites

@@ -5,6 +5,7 @@ import os
 import random
 import time
 from collections import Counter
+from dataclasses import replace
 
 import duckdb
 import numpy as np
@@ -13,10 +14,10 @@ from pyspark.sql import functions as F
 
 from allelespark import catalog
 from allelespark.functions.maths import lgamma
-from allelespark.operators import allelic, coverage, intervals, pileups, variants
+from allelespark.operators import allelic, coverage, harmonize, intervals, medians, pileups, variants
 from allelespark.operators.contigs import genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
-from allelespark.plans.pipelines import cohort_of
+from allelespark.plans import q_cohort
 from allelespark.plans.views import view
 from allelespark.sources import readers, writers
 
@@ -213,6 +214,35 @@ def test_tangent_against_least_squares(spark):
         assert all(got[f"t{j}", i] == pytest.approx(want[i, j], abs=1e-9) for i in range(50) for j in range(3))
 
 
+def test_tangent_of_a_cohort(spark):
+    """More normals than a tile, columns that lack intervals, an interval that no normal has, against NumPy."""
+    rng = np.random.default_rng(1)
+    n, x = rng.normal(size=(40, 30)) @ rng.normal(size=(30, 30)) ** 3, rng.normal(size=(43, 5))
+    n[rng.random(n.shape) < 0.2] = 0.0
+    x[rng.random(x.shape) < 0.2] = 0.0
+    table = lambda m, name: spark.createDataFrame([(f"{name}{j}", "1", i, i, float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1]) if m[i, j]], "sample string, contig string, start long, stop long, log2_cr double")
+    for k in (30, 7):
+        u = np.linalg.svd(n, full_matrices=False)[0][:, :k]
+        want = x.copy()
+        want[:40] -= u @ (u.T @ x[:40])
+        got = {(r.sample, r.start): r.log2_cr for r in coverage.tangent_normalize(table(x, "t"), table(n, "n"), k, tile=8).collect()}
+        assert len(got) == np.count_nonzero(x)
+        assert all(v == pytest.approx(want[i, int(s[1:])], abs=1e-8) for (s, i), v in got.items())
+    with pytest.raises(ValueError, match="normals"):
+        coverage.tangent_normalize(table(x, "t"), table(n, "n"), max_normals=29)
+
+
+def test_medians_of_large_groups(spark):
+    draw = random.Random(5)
+    groups = {"a": [draw.gauss(0, 1) for _ in range(501)], "b": [draw.choice([1.0, 2.0]) for _ in range(400)], "c": [7.5], "d": [1e-300, 1e300, -1e300, 3.0], "e": [float("-inf"), float("inf"), 2.0, 3.0], "f": [10.0**draw.randrange(-40, 40) for _ in range(300)], "g": [5.0] * 99, None: [1.0, 4.0]}
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("a", None), ("h", None), ("a", float("nan"))]
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.m for r in medians.group_medians(df, ["g"], "v", "m", buckets=64).collect()}
+    assert got == {g: float(np.median(v)) for g, v in groups.items()}
+    assert medians.group_medians(df.limit(0), ["g"], "v", "m").count() == 0
+
+
 def test_a_cohort_is_its_patients(spark):
     whole = q_cohort.cohort_in(spark, DATA)
     tables = ("members", "reads", "calls", "runs", "segments", "contaminations", "ratios", "modeled", "solutions")
@@ -220,7 +250,8 @@ def test_a_cohort_is_its_patients(spark):
 
     def run(patients):
         part = replace(whole, **{t: getattr(whole, t).where(F.col("patient").isin(*patients)) for t in tables})
-        return {n: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in (df := getattr(part, n)).select(*sorted(df.columns)).collect()), key=str) for n in names}
+        rows = lambda df: df.select(*sorted(df.columns)).collect()
+        return {n: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows(getattr(part, n))), key=str) for n in names}
 
     every, one, two = run(["P0", "P1"]), run(["P0"]), run(["P1"])
     assert all(every[name] == sorted(one[name] + two[name], key=str) and one[name] and two[name] for name in names)
