@@ -10,7 +10,7 @@ from ..catalog import query
 from ..functions.maths import scaled
 from ..operators import absolute_cn, acs, allelic, cohort, genotype, harmonize, maf, variants
 from ..operators.contigs import contig_order, ploidy
-from ..sources import readers, writers
+from ..sources import blocks, readers, writers
 from . import q_intervals as qi
 from . import q_pileups as qp
 from .q_sources import scratch
@@ -52,13 +52,13 @@ def _(spark, d):
     return readers.read_contamination(spark, path)
 
 
-@query("s5_read_modeled_segments", "SELECT sample, contig, start, stop, n_probes, n_hets, cr50, coalesce(maf50, -1) AS maf50, call FROM modeled_segments")
+@query("s5_read_modeled_segments", f"SELECT sample, contig, start, stop, n_probes, n_hets, cr50, coalesce(maf50, -1) AS maf50, call, {qp.SCALED.format('greatest(CASE WHEN f > 0.5 THEN 1 - f ELSE f END, 0)')} AS minor_allele_fraction FROM (SELECT *, coalesce(maf50, 1 / (2 * pow(2.0::DOUBLE, cr50))) AS f FROM modeled_segments)")
 def _(spark, d):
     path = scratch(spark)
     columns = ["contig", "start", "stop", "n_probes", "n_hets", "cr10", "cr50", "cr90", "maf10", "maf50", "maf90", "call"]
     text_files(view(spark, d, "modeled_segments"), columns, path, "\t".join(columns), "@RG\tID:1\tSM:%s")
-    rows = readers.read_table(spark, path, readers.MODELED_SEGMENTS, comment="@", with_path=True).join(readers.header_sample_names(spark, path), "path")
-    return rows.select("sample", "contig", "start", "stop", "n_probes", "n_hets", "cr50", F.coalesce("maf50", F.lit(-1.0)).alias("maf50"), "call")
+    rows = readers.read_modeled_segments(spark, path)
+    return rows.select("sample", "contig", "start", "stop", "n_probes", "n_hets", "cr50", F.coalesce("maf50", F.lit(-1.0)).alias("maf50"), "call", scaled(F.col("minor_allele_fraction")).alias("minor_allele_fraction"))
 
 
 @query("s6_read_model_parameters", "SELECT sample, max(contamination) AS bias, max(error) AS noise FROM contaminations GROUP BY sample")
@@ -113,6 +113,26 @@ def _(spark, d):
     return readers.read_gvcf(spark, _vcf_file(spark, d))
 
 
+@query("s11_read_gvcf_widths", "SELECT contig, position, ref, alt, CASE WHEN ord % 3 = 0 THEN genotype ELSE '' END AS genotype FROM variants")
+def _(spark, d):
+    """Files of eight columns and of ten in one call."""
+    rows, paths = view(spark, d, "variants"), [scratch(spark), scratch(spark)]
+    columns = ("contig", "position", F.lit(".").alias("id"), "ref", "alt", F.lit(".").alias("qual"), "filter", "info")
+    rows.where("ord % 3 <> 0").select(*columns).write.option("sep", "\t").csv(paths[0])
+    rows.where("ord % 3 = 0").select(*columns, F.lit("GT").alias("format"), "genotype").write.option("sep", "\t").option("compression", "gzip").csv(paths[1])
+    return readers.read_gvcf(spark, paths).select("contig", "position", "ref", "alt", F.coalesce("genotype", F.lit("")).alias("genotype"))
+
+
+@query("s7_read_vcf_blocks", "SELECT contig, position, '.' AS id, ref, alt, '.' AS qual, filter, info, 'GT' AS format, genotype FROM variants")
+def _(spark, d):
+    """Block-gzipped files, written and read in ranges."""
+    path = scratch(spark)
+    columns = ("contig", "position", F.lit("."), "ref", "alt", F.lit("."), "filter", "info", F.lit("GT"), "genotype")
+    lines = view(spark, d, "variants").select(F.concat_ws("\t", *columns).alias("value"))
+    blocks.write_lines(lines, path)
+    return readers.read_gvcf(spark, f"{path}/*.bgz")
+
+
 @query("s12_read_intervals", "SELECT contig, start, stop FROM segments")
 def _(spark, d):
     path = scratch(spark)
@@ -167,6 +187,24 @@ def _(spark, d):
     return readers.read_gvcf(spark, path).select("contig", "position", "ref", "alt", "format", "genotype")
 
 
+@query("k3_write_joint_vcf", f"WITH {qp.GL}, {qp.JOINT}, {qp.GV}, cells AS (SELECT contig, position, {', '.join(f"max(cell) FILTER (sample = 'S{i}') AS S{i}" for i in range(4))} FROM (SELECT *, concat({qp.BEST}, ':', ref_count, ',', alt_count, ':', ref_count + alt_count + other_alt_count) AS cell FROM gl) GROUP BY contig, position) SELECT contig, position, coalesce(ref, 'N') AS ref, coalesce(alt, 'N') AS alt, {', '.join(f"coalesce(S{i}, './.:.:.') AS S{i}" for i in range(4))} FROM joint JOIN cells USING (contig, position) LEFT JOIN gv USING (contig, position)")
+def _(spark, d):
+    """A column for each sample, block-gzipped and read back."""
+    path, samples = scratch(spark), ["S0", "S1", "S2", "S3"]
+    calls = qp.joint(spark, d).join(qp.gvcf(spark, d).select("contig", "position", "ref", "alt"), ["contig", "position"], "left")
+    writers.write_vcf(calls, path, genotypes=qp.likelihoods(spark, d), samples=samples, fields=("GT", "AD", "DP"), block_gzip=True)
+    rows = readers.read_table(spark, f"{path}/*.bgz", f"{readers.VCF}, {', '.join(f'{s} string' for s in samples)}", header=False)
+    return rows.select("contig", "position", "ref", "alt", *samples)
+
+
+@query("k11_empty_annotation", "SELECT contig AS Chromosome, CAST(position AS VARCHAR) AS Start_Position, '' AS Hugo_Symbol, '' AS Protein_Change, ord FROM variants")
+def _(spark, d):
+    """A sample without annotated variants put together with one that has some: the columns are the empty table's."""
+    some = view(spark, d, "variants").select(F.col("contig").alias("Chromosome"), F.col("position").cast("string").alias("Start_Position"), "ord")
+    both = maf.merge(writers.empty_maf(spark), some)
+    return both.select("Chromosome", "Start_Position", *(F.coalesce(c, F.lit("")).alias(c) for c in ("Hugo_Symbol", "Protein_Change")), "ord")
+
+
 @query("k4_write_allelic_counts", f"WITH {qp.ONE}, {qp.GV} SELECT sample, contig, position, ref_count, alt_count, ref, alt FROM s0 JOIN gv USING (contig, position) WHERE ref_count + alt_count >= 20 AND regexp_matches(genotype, '0[/|]1|1[/|]0')")
 def _(spark, d):
     path = scratch(spark)

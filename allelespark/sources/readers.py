@@ -5,11 +5,13 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vcf import sample_name
 from ..operators.contigs import contig_table
+from ..operators.coverage import minor_af_from_segments
+from . import blocks
 
 Paths = str | Sequence[str]
 PILEUP = "contig string, position long, ref_count long, alt_count long, other_alt_count long, allele_frequency double"
@@ -28,12 +30,39 @@ def _list(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def in_file_order() -> Column:
+    """Sorts a file's rows as its lines stand: by the range that a task read, then by the row's number in the task."""
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+
+
+def numbered(rows: DataFrame, order: str = "ord") -> DataFrame:
+    """rows (few, such as a header's) with in_file_order() in `order` replaced by 0, 1, 2, ..."""
+    return rows.withColumn(order, (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))
+
+
+def _of_blocks(spark: SparkSession, paths: list[str], schema: str, comment: str, header: bool) -> DataFrame:
+    """The rows of .bgz files and _at, which sorts a file's rows."""
+    lines = blocks.read_lines(spark, paths).where((F.col("value") != "") & ~F.startswith("value", F.lit(comment)))
+    lines = lines.select("path", F.struct("start", "line").alias("_at"), "value")
+    if header:
+        first = lines.groupBy(F.col("path").alias("_path")).agg(F.min("_at").alias("_first"))
+        lines = lines.join(first, (F.col("path") == F.col("_path")) & (F.col("_at") == F.col("_first")), "left_anti")
+    row = F.from_csv("value", F.lit(schema), {"sep": "\t", "mode": "PERMISSIVE", "nullValue": "NA", "nanValue": "NaN"})
+    return lines.select(row.alias("r"), "path", "_at").select("r.*", "path", "_at")
+
+
 def read_table(spark: SparkSession, paths: Paths, schema: str, comment: str = "#", header: bool = True, with_path: bool = False) -> DataFrame:
     """A tab-separated table; lines that begin with the comment character are passed over, and so is a header line.
 
     Missing files and empty ones give no rows, rows of other widths are filled or cut, what is no number is null;
-    `.gz` is read as such.  with_path adds the file's path, to tell samples apart.
+    `.gz` is read as such, paths that end with `.bgz` block by block in many tasks.  with_path adds the file's path, to
+    tell samples apart.
     """
+    packed = [p for p in _list(paths) if p.endswith(".bgz")]
+    if packed:
+        rows = _of_blocks(spark, packed, schema, comment, header).drop("_at", *(() if with_path else ("path",)))
+        plain = [p for p in _list(paths) if p not in packed]
+        return rows.unionByName(read_table(spark, plain, schema, comment, header, with_path)) if plain else rows
     reader = spark.read.schema(schema).option("sep", "\t").option("header", header).option("mode", "PERMISSIVE").option("ignoreMissingFiles", True).option("nullValue", "NA").option("nanValue", "NaN").option("enforceSchema", True)
     rows = reader.option("comment", comment).csv([paths] if isinstance(paths, str) else list(paths))
     return rows.withColumn("path", F.col("_metadata.file_path")) if with_path else rows
@@ -46,20 +75,24 @@ def read_pileup(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def header_sample_names(spark: SparkSession, paths: Paths) -> DataFrame:
-    """path, sample from a line #<METADATA>SAMPLE=x or @RG with SM:x."""
-    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("path"), sample_name(F.col("value")).alias("sample"))
-    return lines.where("sample IS NOT NULL").groupBy("path").agg(F.min("sample").alias("sample"))
+    """path, sample from a line #<METADATA>SAMPLE=x or @RG with SM:x; the first of a file's."""
+    lines = spark.read.text(_list(paths)).select(F.col("_metadata.file_path").alias("path"), in_file_order().alias("_at"), sample_name(F.col("value")).alias("sample"))
+    return lines.where("sample IS NOT NULL").groupBy("path").agg(F.min_by("sample", "_at").alias("sample"))
 
 
 def read_contamination(spark: SparkSession, paths: Paths, floor: float = 1e-6) -> DataFrame:
     """The first row of each file, its error not below the floor."""
-    rows = read_table(spark, paths, CONTAMINATION, with_path=True).withColumn("_r", F.monotonically_increasing_id())
-    first = rows.withColumn("_k", F.row_number().over(Window.partitionBy("path").orderBy("_r"))).where("_k = 1")
-    return first.select("sample", "contamination", F.greatest("error", F.lit(floor)).alias("error"))
+    rows = read_table(spark, paths, CONTAMINATION, with_path=True).withColumn("_at", in_file_order())
+    first = rows.groupBy("path").agg(F.min_by(F.struct("sample", "contamination", "error"), "_at").alias("r")).select("r.*")
+    return first.withColumn("error", F.greatest("error", F.lit(floor)))
 
 
 def read_modeled_segments(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_table(spark, paths, MODELED_SEGMENTS, comment="@")
+    """Modeled segments with the sample of each file's header, and minor_allele_fraction: the median, folded at 0.5, or what one
+    lost copy would leave where no heterozygous site tells."""
+    rows = read_table(spark, paths, MODELED_SEGMENTS, comment="@", with_path=True)
+    rows = rows.withColumn("minor_allele_fraction", minor_af_from_segments(F.col("maf50"), F.col("cr50")))
+    return rows.join(header_sample_names(spark, paths), "path", "left").drop("path")
 
 
 def read_model_parameters(spark: SparkSession, paths: Paths, names: Sequence[str]) -> DataFrame:
@@ -82,10 +115,15 @@ def read_vcf(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_gvcf(spark: SparkSession, paths: Paths) -> DataFrame:
-    """VCF rows with the first sample's genotype; without the columns that the first row lacks, from the last one on."""
-    first = spark.read.text(_list(paths)).where("value <> '' AND NOT startswith(value, '#')").limit(1).collect()
+    """VCF rows with the first sample's genotype, of files of any widths: the columns of the widest, null where a file lacks
+    them.  `.gz` and `.bgz` files are read too."""
+    packed, plain = ([p for p in _list(paths) if p.endswith(".bgz") == bgz] for bgz in (True, False))
+    lines = [blocks.read_lines(spark, packed).select("value")] if packed else []
+    lines += [spark.read.text(plain).select("value")] if plain else []
+    width = F.coalesce(F.max(F.size(F.split("value", "\t"))), F.lit(0))
+    widest = max(x.where("value <> '' AND NOT startswith(value, '#')").agg(width).first()[0] for x in lines)
     rows = read_table(spark, paths, GVCF, header=False)
-    return rows.select(*rows.columns[: len(first[0][0].split("\t"))]) if first else rows
+    return rows.select(*rows.columns[: widest or None])
 
 
 def read_segments(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -113,17 +151,17 @@ def read_tolerant(spark: SparkSession, paths: Paths, schema: str, **settings: ob
 
 
 def read_vcf_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """contig, ord in the header's order; a header is a file's first block, so the order is that of its lines."""
-    lines = spark.read.text(path).select(F.regexp_extract("value", r"^##contig=<ID=([^,>]+)", 1).alias("contig"), F.monotonically_increasing_id().alias("ord"))
-    return lines.where("contig <> ''")
+    """contig, ord: 0, 1, 2, ... in the header's order, also if many tasks read it."""
+    lines = spark.read.text(path).select(F.regexp_extract("value", r"^##contig=<ID=([^,>]+)", 1).alias("contig"), in_file_order().alias("ord"))
+    return numbered(lines.where("contig <> ''"))
 
 
 def read_dictionary(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """contig, ord, from @SQ lines; without a file the default contigs."""
+    """contig, length, ord from @SQ lines, in their order; without a file the default contigs and ord."""
     if path is None:
         return contig_table(spark)
-    lines = spark.read.text(path).select(F.regexp_extract("value", r"^@SQ.*\tSN:([^\t]+)", 1).alias("contig"), F.regexp_extract("value", r"\tLN:(\d+)", 1).try_cast("long").alias("length"), F.monotonically_increasing_id().alias("ord"))
-    return lines.where("contig <> ''")
+    lines = spark.read.text(path).select(F.regexp_extract("value", r"^@SQ.*\tSN:([^\t]+)", 1).alias("contig"), F.regexp_extract("value", r"\tLN:(\d+)", 1).try_cast("long").alias("length"), in_file_order().alias("ord"))
+    return numbered(lines.where("contig <> ''"))
 
 
 def read_intervals(spark: SparkSession, paths: Paths, comment: str = "@", header: bool = True, bed: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.maths import phred_ln
@@ -12,6 +12,7 @@ from ..operators.contigs import contig_order
 from ..operators.genotype import GENOTYPES, called_genotype
 from ..operators.maf import with_class
 from ..operators.pileups import COUNTS
+from . import blocks
 
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), sort: Sequence[str] = ("contig", "position"), compression: str = "none", null: str = "") -> None:
@@ -38,23 +39,61 @@ BAM_File Sequencer Tumor_Sample_UUID Matched_Norm_Sample_UUID HGVSc HGVSp HGVSp_
 t_alt_count n_depth n_ref_count n_alt_count Protein_Change UniProt_AApos""".split()
 
 
+def _vcf_head(fields: Sequence[str], contigs: Sequence[str], names: Sequence[str]) -> list[str]:
+    return ["##fileformat=VCFv4.2", '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">', *(FORMAT_LINES[f] for f in fields), *(f"##contig=<ID={c}>" for c in contigs), "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])]
+
+
+def _vcf_fields(fields: Sequence[str]) -> list[Column | str]:
+    """A row's first nine columns."""
+    point = F.lit(".")
+    return ["contig", "position", point, F.coalesce("ref", F.lit("N")), F.coalesce("alt", F.lit("N")), point, point, F.format_string("AF=%.6f", "allele_frequency"), F.lit(":".join(fields))]
+
+
+def _cell_parts() -> dict[str, Column]:
+    pl = phred_ln([F.col(g) for g in GENOTYPES if g != "gl_out"])
+    return {"GT": called_genotype(), "AD": F.concat_ws(",", "ref_count", "alt_count"), "DP": (F.col("ref_count") + F.col("alt_count") + F.col("other_alt_count")).cast("string"), "PL": F.concat_ws(",", *(x.cast("string") for x in pl))}
+
+
 def vcf_lines(calls: DataFrame, contigs: Sequence[str] = (), fields: Sequence[str] = ("GT", "AD", "DP", "PL"), name: str = "SAMPLE") -> DataFrame:
     """ord, value: the lines of a VCF of joint calls (contig, position, ref, alt, counts, allele_frequency, likelihoods).
 
     Header lines come first, variants in genomic order; fields picks the sample's columns, name heads its column
     (joint calls have one, the patient's).
     """
-    head = ["##fileformat=VCFv4.2", '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">', *(FORMAT_LINES[f] for f in fields), *(f"##contig=<ID={c}>" for c in contigs), "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", name])]
+    head = _vcf_head(fields, contigs, [name])
     header = calls.sparkSession.createDataFrame([(-1, "", i, line) for i, line in enumerate(head)], "ord int, contig string, position long, value string")
-    pl = phred_ln([F.col(g) for g in GENOTYPES if g != "gl_out"])
-    parts = {"GT": called_genotype(), "AD": F.concat_ws(",", "ref_count", "alt_count"), "DP": (F.col("ref_count") + F.col("alt_count") + F.col("other_alt_count")).cast("string"), "PL": F.concat_ws(",", *(x.cast("string") for x in pl))}
-    value = F.concat_ws("\t", "contig", "position", F.lit("."), F.coalesce("ref", F.lit("N")), F.coalesce("alt", F.lit("N")), F.lit("."), F.lit("."), F.format_string("AF=%.6f", "allele_frequency"), F.lit(":".join(fields)), F.concat_ws(":", *(parts[f] for f in fields)))
+    parts = _cell_parts()
+    value = F.concat_ws("\t", *_vcf_fields(fields), F.concat_ws(":", *(parts[f] for f in fields)))
     rows = calls.select(contig_order(F.col("contig")).alias("ord"), "contig", "position", value.alias("value"))
     return header.union(rows)
 
 
-def write_vcf(calls: DataFrame, path: str, **settings: object) -> None:
-    vcf_lines(calls, **settings).orderBy("ord", "contig", "position").select("value").write.text(path)
+def joint_vcf_lines(calls: DataFrame, genotypes: DataFrame, samples: Sequence[str], contigs: Sequence[str] = (), fields: Sequence[str] = ("GT", "AD", "DP", "PL")) -> DataFrame:
+    """ord, contig, position, value: the lines of a VCF with a column for each of `samples`, in their order.
+
+    calls has the loci (contig, position, ref, alt, allele_frequency), genotypes a row for a sample and locus (sample,
+    contig, position, counts, likelihoods).  A locus's cells are one map, read out in the order of the columns, so the
+    plan does not grow with the samples; without a row a cell is a point for each field.
+    """
+    head = _vcf_head(fields, contigs, samples)
+    header = calls.sparkSession.createDataFrame([(-1, "", i, line) for i, line in enumerate(head)], "ord int, contig string, position long, value string")
+    parts = _cell_parts()
+    cells = genotypes.groupBy("contig", "position").agg(F.map_from_entries(F.collect_list(F.struct("sample", F.concat_ws(":", *(parts[f] for f in fields))))).alias("_m"))
+    none = F.lit(":".join("./." if f == "GT" else "." for f in fields))
+    row = F.transform(F.split(F.lit("\t".join(samples)), "\t"), lambda s: F.coalesce(F.try_element_at("_m", s), none))
+    rows = calls.join(cells, ["contig", "position"], "left")
+    value = F.concat_ws("\t", *_vcf_fields(fields), F.array_join(row, "\t"))
+    return header.union(rows.select(contig_order(F.col("contig")).alias("ord"), "contig", "position", value.alias("value")))
+
+
+def write_vcf(calls: DataFrame, path: str, genotypes: DataFrame | None = None, block_gzip: bool = False, **settings: object) -> None:
+    """Joint calls with one column, or with genotypes and samples one for each; as text, or block-gzipped with indexes."""
+    lines = vcf_lines(calls, **settings) if genotypes is None else joint_vcf_lines(calls, genotypes, **settings)
+    lines = lines.orderBy("ord", "contig", "position").select("value")
+    if block_gzip:
+        blocks.write_lines(lines, path)
+    else:
+        lines.write.text(path)
 
 
 def write_harmonized(loci: DataFrame, path: str, stacked: bool = False, compression: str = "none") -> None:

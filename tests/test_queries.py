@@ -1,8 +1,10 @@
 """Registered queries against their SQL in DuckDB, and hand-made cases of the operators."""
 
+import gzip
 import math
 import os
 import random
+import struct
 import time
 from collections import Counter
 from dataclasses import replace
@@ -19,7 +21,7 @@ from allelespark.operators.contigs import genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
 from allelespark.plans import q_cohort
 from allelespark.plans.views import view
-from allelespark.sources import readers, writers
+from allelespark.sources import blocks, readers, writers
 
 catalog.load()
 DATA = "/root/testdata/sf0.001"
@@ -293,6 +295,67 @@ def test_missing_files_and_empty_annotations(spark, tmp_path):
     assert maf.count() == 0 and maf.columns[:2] == ["Hugo_Symbol", "Entrez_Gene_Id"] and len(set(maf.columns)) == len(maf.columns)
 
 
+@pytest.mark.parametrize("range_bytes", [700, 70_000, 1 << 30])
+def test_block_gzipped_lines(spark, tmp_path, range_bytes):
+    """Ranges shorter than a block, some blocks long, and whole files; lines longer than blocks and ranges."""
+    draw = random.Random(7)
+    noise = lambda n: "".join(draw.choice("ACGTacgt01 é\t") for _ in range(n))
+    files = {"a": [noise(draw.randrange(60)) for _ in range(9000)], "b": ["", "x" * 300_000, "", noise(150_000), "end"], "c": ["one"], "d": []}
+    want = {}
+    for name, lines in files.items():
+        df = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) if lines else spark.createDataFrame([], "value string")
+        made = blocks.write_lines(df, f"{tmp_path}/{name}").collect()
+        for r in made:
+            raw = open(r.file, "rb").read()
+            assert gzip.decompress(raw).decode() == "".join(f"{x}\n" for x in lines) and len(raw) == r.bytes
+            n, *index = struct.unpack(f"<{(os.path.getsize(r.file + '.gzi')) // 8}Q", open(r.file + ".gzi", "rb").read())
+            assert n == len(index) / 2 == max(r.blocks - 1, 0)
+            assert all(raw[at : at + 4] == blocks.MAGIC and gzip.decompress(raw[at:]).decode() == "".join(f"{x}\n" for x in lines).encode()[plain:].decode(errors="strict") for at, plain in zip(index[:6:2], index[1:6:2], strict=True) if name == "b")
+            want[r.file] = lines
+    with open(tmp_path / "plain.bgz", "wb") as out:  # members that do not tell their size, and no line end at last
+        out.write(gzip.compress(b"p\r\nq\n") + gzip.compress(b"r" * 200_000))
+    want[str(tmp_path / "plain.bgz")] = ["p", "q", "r" * 200_000]
+    rows = blocks.read_lines(spark, sorted(want), range_bytes).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.path, r.start, r.line)):
+        got.setdefault(r.path.removeprefix("file:").replace("//", "/"), []).append(r.value)
+    assert got == {f: x for f, x in want.items() if x}
+    tasks = {r.start for r in rows if "/a/" in r.path}
+    assert len(tasks) > (1 if range_bytes < 1 << 30 else 0)
+
+
+def test_block_gzipped_tables(spark, tmp_path):
+    lines = ["#<METADATA>SAMPLE=s", "contig\tstart\tend\tmaf", *(f"{i % 3}\t{i}\t{i + 5}\tNA" for i in range(500)), "# later", ""]
+    blocks.write_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), f"{tmp_path}/t")
+    with open(tmp_path / "u.seg", "w") as out:
+        out.write("\n".join(lines[:4]) + "\n")
+    rows = readers.read_table(spark, [f"{tmp_path}/t/*.bgz", f"{tmp_path}/u.seg"], readers.SEGMENTS)
+    assert sorted(map(tuple, rows.collect())) == sorted([*((str(i % 3), i, i + 5, None) for i in range(500)), ("0", 0, 5, None), ("1", 1, 6, None)])
+
+
+def test_a_header_over_many_splits_stays_in_order(spark, tmp_path):
+    names = [f"c{(i * 7919) % 3000}" for i in range(3000)]
+    with open(tmp_path / "h.vcf", "w") as out:
+        out.write("".join(f"##contig=<ID={c},length=1>\n" for c in names))
+    with open(tmp_path / "h.dict", "w") as out:
+        out.write("@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{c}\tLN:{i}\n" for i, c in enumerate(names)))
+    for k in (1, 2):
+        with open(tmp_path / f"{k}.contamination", "w") as out:
+            out.write("sample\tcontamination\terror\n" + "".join(f"s{k}\t0.{i}\t0\n" for i in range(k, 3000)))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        assert spark.read.text(f"{tmp_path}/h.vcf").rdd.getNumPartitions() > 5
+        for rows in (readers.read_vcf_contigs(spark, f"{tmp_path}/h.vcf"), readers.read_dictionary(spark, f"{tmp_path}/h.dict")):
+            assert [(r.contig, r.ord) for r in rows.orderBy("ord").collect()] == [(c, i) for i, c in enumerate(names)]
+        first = readers.read_contamination(spark, f"{tmp_path}/*.contamination").collect()
+        assert sorted((r.sample, r.contamination, r.error) for r in first) == [("s1", 0.1, 1e-6), ("s2", 0.2, 1e-6)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_blocks_give_what_loops_over_positions_give(spark):
     """Blocks far smaller than the intervals: running values are carried over many borders, and null keys stay."""
     draw = random.Random(11)
