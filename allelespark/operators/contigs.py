@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+
 _PLAIN = [*map(str, range(1, 23)), "X", "Y"]
 #: Contigs in the order used without a sequence dictionary.
 DEFAULT_CONTIGS = [*_PLAIN, "MT", *(f"chr{c}" for c in _PLAIN), "chrM"]
@@ -23,6 +25,20 @@ def genomic_sort(df: DataFrame, *by: str, contig: str = "contig", contigs: Seque
     return df.orderBy(*before, contig_order(F.col(contig), contigs), contig, *by)
 
 
+def dense_order(ordered: DataFrame, name: str = "place") -> DataFrame:
+    """The rows of a sorted DataFrame with their places 1, 2, 3, ... in its order.
+
+    Its sort deals ranges over partitions; a row's place is its number in its partition after the rows of those before,
+    of which one count each is enough.
+    """
+    inside = (1 << 33) - 1  # the lower bits of monotonically_increasing_id() count a partition's rows
+    rows = kept(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    rows = rows.withColumns({"_part": F.shiftright("_id", 33), "_row": F.col("_id").bitwiseAND(inside)}).drop("_id")
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")  # a row a partition
+    return rows.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_part", "_row", "_before")
+
+
 def _is(contig: Column, name: str) -> Column:
     return contig.isin(name, f"chr{name}")
 

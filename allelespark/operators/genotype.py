@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maths import clip, kendall_tau_b, lgamma, ln, logaddexp, logsumexp, minus_infinity, with_settled
 from .contigs import ploidy
+from .pairs import pair_tables
 from .pileups import COUNTS, error_rate
 from .rangejoin import range_join
 
@@ -135,15 +136,13 @@ def joint_genotypes(likelihoods: DataFrame, normals: Sequence[str] | Column = ()
 def concordance(likelihoods: DataFrame, model: float = 0.9, keys: Sequence[str] = ()) -> DataFrame:
     """keys, sample_a, sample_b, n_loci, tau, z for every pair of samples: Kendall's tau-b of their confident calls.
 
-    Loci count if both samples are called and one has an alternate allele.  Pairs come from a join on the locus, so
-    a locus makes as many rows as its samples have pairs, at once folded into nine counts per pair of samples.
+    Loci count if both samples are called and one has an alternate allele.
     """
     keys = list(keys)
     calls = confident_calls(likelihoods, model).select(*keys, "sample", "contig", "position", genotype_code(called_genotype()).alias("code")).where("code IS NOT NULL")
-    a = calls.withColumnsRenamed({"sample": "sample_a", "code": "a"})
-    b = calls.withColumnsRenamed({"sample": "sample_b", "code": "b"})
-    pairs = a.join(b, [*keys, "contig", "position"]).where((F.col("sample_a") < F.col("sample_b")) & ((F.col("a") > 0) | (F.col("b") > 0)))
-    table = pairs.groupBy(*keys, "sample_a", "sample_b").agg(F.count("*").alias("n_loci"), *(F.count_if((F.col("a") == i) & (F.col("b") == j)).alias(f"c{i}{j}") for i in range(3) for j in range(3)))
+    counts = [f"c{i}{j}" for i in range(3) for j in range(3)]
+    table = pair_tables(calls, keys).withColumn("c00", F.lit(0).cast("long"))
+    table = table.withColumn("n_loci", sum((F.col(c) for c in counts[1:]), F.col("c00"))).where("n_loci > 0")
     out = kendall_tau_b(table, [[f"c{i}{j}" for j in range(3)] for i in range(3)])
     return out.withColumn("tau", clip(F.col("tau"), -1.0, 1.0)).select(*keys, "sample_a", "sample_b", "n_loci", "tau", "z")
 

@@ -9,7 +9,7 @@ from .. import catalog
 from ..catalog import query
 from ..functions.maths import scaled
 from ..operators import absolute_cn, acs, allelic, cohort, genotype, harmonize, maf, variants
-from ..operators.contigs import contig_order, ploidy
+from ..operators.contigs import contig_order, dense_order, genomic_sort, ploidy
 from ..sources import blocks, readers, writers
 from . import q_intervals as qi
 from . import q_pileups as qp
@@ -324,10 +324,13 @@ def _(spark, d):
 
 @query("o1_genomic_order", "SELECT contig, start, stop, row_number() OVER (ORDER BY CASE contig WHEN 'X' THEN 22 ELSE contig::INT - 1 END, start, stop) AS place FROM (SELECT DISTINCT contig, start, stop FROM targets)")
 def _(spark, d):
-    from ..operators.contigs import genomic_sort
+    return dense_order(genomic_sort(view(spark, d, "targets").select("contig", "start", "stop").distinct(), "start", "stop"))
 
-    rows = genomic_sort(view(spark, d, "targets").select("contig", "start", "stop").distinct(), "start", "stop").coalesce(1)
-    return rows.select("contig", "start", "stop", (F.monotonically_increasing_id() + 1).alias("place"))  # the order of the rows themselves
+
+@query("o2_sorted_reads", "SELECT contig, start, ord, row_number() OVER (ORDER BY contig, start, ord) AS place FROM reads")
+def _(spark, d):
+    """Reads in coordinate order, with their places in the sorted table; contigs that no dictionary has come by name."""
+    return dense_order(genomic_sort(view(spark, d, "reads").select("contig", "start", "ord"), "start", "ord"))
 
 
 @query("o4_first_row_per_file", "SELECT sample, ord FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY ord) AS r FROM copy_ratios) WHERE r = 1")

@@ -11,6 +11,7 @@ from ..catalog import query
 from ..functions.maths import beta_binomial_logpmf, binomial_logpmf, lgamma, logaddexp, phred_ln, scaled
 from ..operators import absolute_cn, acs, allelic, genotype, pileups
 from ..operators.contigs import contig_order, ploidy, sex_ploidy_scale
+from ..operators.pairs import pair_tables
 from ..operators.coverage import minor_af_from_segments, segmentation_penalty
 from .views import view
 
@@ -206,9 +207,8 @@ def _(spark, d):
 
 @query("j15_sample_pairs", f"WITH {MERGED} SELECT a.sample AS sample_a, b.sample AS sample_b, count(*) AS n FROM merged a JOIN merged b ON a.contig = b.contig AND a.position = b.position AND a.sample < b.sample GROUP BY ALL")
 def _(spark, d):
-    rows = merged(spark, d).select("sample", "contig", "position")
-    pairs = rows.withColumnRenamed("sample", "sample_a").join(rows.withColumnRenamed("sample", "sample_b"), ["contig", "position"]).where("sample_a < sample_b")
-    return pairs.groupBy("sample_a", "sample_b").agg(F.count("*").alias("n"))
+    rows = merged(spark, d).select("sample", "contig", "position", F.lit(0).alias("code"))
+    return pair_tables(rows, levels=1).withColumnRenamed("c00", "n")
 
 
 @query("j3_point_in_interval", f"WITH {MERGED}, {SEGS} SELECT m.sample, m.contig, m.position, coalesce(minor_af, 0.47) AS minor_af FROM merged m LEFT JOIN segs g ON g.sample = m.sample AND g.contig = m.contig AND m.position BETWEEN g.start AND g.stop")

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from allelespark import catalog
 from allelespark.functions.maths import lgamma
-from allelespark.operators import allelic, coverage, harmonize, intervals, medians, pileups, variants
-from allelespark.operators.contigs import genomic_sort, ploidy
+from allelespark.operators import allelic, coverage, harmonize, intervals, medians, pairs, pileups, variants
+from allelespark.operators.contigs import dense_order, genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
 from allelespark.plans import q_cohort
 from allelespark.plans.views import view
@@ -234,6 +234,26 @@ def test_tangent_of_a_cohort(spark):
         coverage.tangent_normalize(table(x, "t"), table(n, "n"), max_normals=29)
 
 
+@pytest.mark.parametrize("tiles", [1, 64])
+def test_pairs_of_samples_by_products(spark, tiles):
+    """Patients of several numbers of samples, more samples than a tile, loci that some lack, against counting."""
+    draw = random.Random(9)
+    rows = [(p, f"s{s}", c, i, draw.randrange(3)) for p, n in (("A", 7), ("B", 2), ("C", 1), (None, 3)) for s in range(n) for c in "12" for i in range(40) if draw.random() < 0.6]
+    df = spark.createDataFrame(rows, "patient string, sample string, contig string, position int, code int").where("patient IS NOT NULL").repartition(5)
+    got = {(r.patient, r.sample_a, r.sample_b, i, j): r[f"c{i}{j}"] for r in pairs.pair_tables(df, ["patient"], tile=3, tiles=tiles).collect() for i in range(3) for j in range(3) if r[f"c{i}{j}"]}
+    at = {}
+    for p, s, c, i, code in rows:
+        if p:
+            at.setdefault((p, c, i), {})[s] = code
+    assert got == Counter((p, a, b, x[a], x[b]) for (p, _, _), x in at.items() for a in x for b in x if a < b)
+    assert pairs.pair_tables(df.limit(0).drop("patient")).count() == 0
+
+
+def test_dense_order_over_partitions(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), F.lit("x").alias("contig")).repartition(7)
+    assert [(r.v, r.place) for r in dense_order(df.orderBy("v")).orderBy("place").collect()] == [(i, i + 1) for i in range(1000)]
+
+
 def test_medians_of_large_groups(spark):
     draw = random.Random(5)
     groups = {"a": [draw.gauss(0, 1) for _ in range(501)], "b": [draw.choice([1.0, 2.0]) for _ in range(400)], "c": [7.5], "d": [1e-300, 1e300, -1e300, 3.0], "e": [float("-inf"), float("inf"), 2.0, 3.0], "f": [10.0**draw.randrange(-40, 40) for _ in range(300)], "g": [5.0] * 99, None: [1.0, 4.0]}
