@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pick, table
 from .phrases import automaton, matches
-from .words import NOT_ALNUM, parts, words
+from .words import NOT_ALNUM, buffer, parts, words
 
 #: The notice phrases of the contract and their labels.
 NOTICES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -54,26 +56,29 @@ def _operand(identifier: str) -> tuple[set[str], float | None]:
     return ({known[0], identifier.lower()}, known[1]) if known else (set(), None)
 
 
-def postfix(expression: str) -> list[str]:
-    """Shunting-yard: operands and operators in postfix order; as much of the line as reads as an expression.
+def reading(expression: str) -> tuple[list[str], int]:
+    """Shunting-yard: (operands and operators in postfix order, end) of as much of the line as reads as an expression.
 
-    WITH binds tighter than AND, AND tighter than OR; operators associate to the left and may be in any case.
+    Nothing behind the first token that does not read is looked at.  WITH binds tighter than AND, AND tighter than OR; operators associate to the left and may be in any case.
     """
     out: list[str] = []
     held: list[str] = []
-    want_operand = True
-    for token in _TOKEN.findall(expression):
+    want_operand, brackets, end = True, 0, 0
+    for match in _TOKEN.finditer(expression):
+        token = match[0]
         op = token.upper()
         if token == "(":
             if not want_operand:
                 break
             held.append(token)
+            brackets += 1
         elif token == ")":
-            if want_operand or "(" not in held:
+            if want_operand or not brackets:
                 break
             while held[-1] != "(":
                 out.append(held.pop())
             held.pop()
+            brackets -= 1
         elif op in _OPERATORS:
             if want_operand:
                 break
@@ -86,10 +91,15 @@ def postfix(expression: str) -> list[str]:
                 break
             out.append(token)
             want_operand = False
+        end = match.end()
     while want_operand and held:  # an operator without its right side goes, with the brackets open after it
         want_operand = held.pop() == "("
     out += [x for x in reversed(held) if x != "("]
-    return out
+    return out, end
+
+
+def postfix(expression: str) -> list[str]:
+    return reading(expression)[0]
 
 
 def evaluate(expression: str) -> tuple[set[str], float] | None:
@@ -98,8 +108,12 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
     Words that are no identifiers name nothing, and the other side of their operator stands alone; None if the
     expression has no identifier.
     """
+    return _value(postfix(expression))
+
+
+def _value(tokens: list[str]) -> tuple[set[str], float] | None:
     stack: list[tuple[set[str], float | None]] = []
-    for token in postfix(expression):
+    for token in tokens:
         if token in _OPERATORS:
             (b, y), (a, x) = stack.pop(), stack.pop()
             known = [v for v in (x, y) if v is not None]
@@ -110,6 +124,18 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
     return stack[-1] if stack and stack[-1][0] else None
 
 
+def _in_characters(raw: bytes, places: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """places with offsets in characters instead of bytes, all counted in one pass over the text."""
+    if not places:
+        return places
+    begins = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
+    count, last, n = {}, 0, 0
+    for at in sorted({x for p in places for x in p[2:]}):
+        n += int(np.count_nonzero(begins[last:at]))
+        count[at], last = n, at
+    return [(label, word, count[low], count[high]) for label, word, low, high in places]
+
+
 def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, identifiers: Mapping[str, str] = IDENTIFIERS, tag: str = TAG) -> DataFrame:
     """A row per row of docs (doc_id, text): see RESULT.
 
@@ -118,6 +144,9 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, identif
     text.  labels adds to base_labels what expressions after the name and what phrases that stand for an identifier do (see family()).  score says how freely the
     licences found allow reuse: the least over expressions and phrases, 0 if nothing is found.
 
+    An expression goes on to the end of its line, or to the next tag, as far as it reads as one.  Work and memory grow with a
+    text's length, however many tags and phrases a line has.
+
     Null and empty texts have no words and no labels (empty strings); overlapping phrases each count; an
     expression that does not parse adds as much as parses; repeated rows give a row each; an empty table gives no
     rows; other columns are ignored.
@@ -133,27 +162,34 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, identif
             hits: dict[int, list] = defaultdict(list)
             for text, a, b, phrase in matches(found, raw):
                 hits[text].append((a, b, phrase))
-            texts, out = batch.column(1), []
+            data, out = buffer(batch.column(1))[0], []
             for i in range(batch.num_rows):
                 n, at = int(w.first[i + 1] - w.first[i]), int(w.first[i])
                 base, more, free, expressions, places = set(), set(), [], [], []
-                for a, b, phrase in hits.get(i, ()):
-                    low, high = int(w.start[at + a] - w.offsets[i]), int(w.end[at + b - 1] - w.offsets[i])
+                own = hits.get(i, ())
+                tags = [int(w.start[at + a] - w.offsets[i]) for a, _, phrase in own if phrase == len(phrases) - 1]
+                text = data[w.offsets[i] : w.offsets[i + 1]].tobytes() if tags else b""
+                for a, b, phrase in own:
                     if phrase < len(labels):
                         base.add(labels[phrase])
                         free.append(family(labels[phrase])[1])
-                        places.append((labels[phrase], a, len(raw[i][:low].decode()), len(raw[i][:high].decode())))
+                        places.append((labels[phrase], a, int(w.start[at + a] - w.offsets[i]), int(w.end[at + b - 1] - w.offsets[i])))
+                    elif phrase < len(labels) + len(named):
+                        value = evaluate(named[phrase - len(labels)])
+                        more |= value[0]
+                        free.append(value[1])
                     else:
-                        if phrase < len(labels) + len(named):
-                            value = evaluate(named[phrase - len(labels)])
-                            more |= value[0]
-                            free.append(value[1])
-                            continue
-                        rest = texts[i].as_py().encode()[high:].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(" \t:=")
-                        if value := evaluate(rest):
+                        high = int(w.end[at + b - 1] - w.offsets[i])
+                        k = bisect.bisect_left(tags, high)
+                        stop = tags[k] if k < len(tags) else len(text)
+                        line = text.find(b"\n", high, stop)
+                        rest = text[high : stop if line < 0 else line].decode("utf-8", "replace").lstrip(" \t:=")
+                        tokens, end = reading(rest)
+                        if value := _value(tokens):
                             more |= value[0]
                             free.append(value[1])
-                            expressions.append(rest.strip())
+                            expressions.append(rest[:end])
+                places = _in_characters(raw[i], places)
                 starts = [p[1] for p in places]
                 out.append((n, len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), min(free, default=0.0), expressions, [dict(zip(("label", "first_word", "first_char", "end_char"), p, strict=True)) for p in places]))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int32()), ("first_char", pa.int32()), ("end_char", pa.int32())]))]

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -539,6 +540,18 @@ def test_expressions_against_their_trees():
     assert licenses.evaluate("see the readme") is None and licenses.family("mit-see-readme") is None and licenses.family("LicenseRef-") is None
 
 
+def test_license_scan_of_long_lines(spark):
+    """Megabytes on one line: many tags, one long expression, brackets, identifiers that hold the tag, many notices."""
+    texts = ["SPDX-License-Identifier: MIT " * 70_000, "é SPDX-License-Identifier: " + "MIT OR " * 300_000 + "GPL-2.0", "SPDX-License-Identifier: " + "(" * 1_000_000 + "MIT" + ")" * 1_000_000, "spdx.license.identifier OR " * 80_000 + "MIT", "é mit license " * 150_000]
+    began = time.time()
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert time.time() - began < 120
+    assert [r.labels for r in rows] == ["mit", "gpl,gpl-2.0,mit", "mit", "", "mit"]
+    assert len(rows[0].expressions) == 70_000 and set(rows[0].expressions) == {"MIT"}
+    assert len(rows[1].expressions) == 1 and len(rows[1].expressions[0]) == 7 * 300_000 + 7
+    assert rows[4].n_base == 150_000 and tuple(rows[4].notices[-1])[1:] == (3 * 149_999 + 1, 14 * 149_999 + 2, 14 * 149_999 + 13)
+
+
 def test_license_scan_against_brute_force(spark):
     rng = random.Random(3)
     bits = ["GNU General Public License", "apache  license", "CC-BY", "cc by", "MIT\nLicense", "mit", "license", "word", "é", "gnu general", "SPDX-License-Identifier: see the readme\n", "SPDX-License-Identifier: MIT OR (\n", "SPDX-License-Identifier: BSD-3-Clause\n"]
