@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources.scratch import kept
 
 from .blocks import BLOCK, in_blocks, running
 from .rangejoin import overlap_join, range_join
@@ -37,6 +42,10 @@ def disjoin(intervals: DataFrame, keys: Sequence[str], drop_slivers: bool = True
     return range_join(pieces, named, keys, position="_at", start="_start", stop="_stop", closed=False).drop("_at", "_start", "_stop")
 
 
+#: An island of more rows is cut into parts of about an eighth of that.
+LONG = 1 << 21
+
+
 def _run_ends(values: np.ndarray, island: np.ndarray, tolerance: float) -> np.ndarray:
     """The last rows of runs: within an island (a slice of equal numbers) a run goes on while all values are within
     tolerance of its first row's."""
@@ -61,7 +70,7 @@ def _run_ends(values: np.ndarray, island: np.ndarray, tolerance: float) -> np.nd
     return last
 
 
-def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[str] | str, distance: int = 1, tolerance: float = 1e-3, block: int = BLOCK) -> DataFrame:
+def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[str] | str, distance: int = 1, tolerance: float = 1e-3, block: int = BLOCK, long: int = LONG) -> DataFrame:
     """Sequential merge, per group in the order of (start, stop, values): an interval joins the run before it if it starts
     within `distance` of its end and all values are within `tolerance` of the run's first interval; the run keeps
     those values.  Otherwise, if the run ends where the interval starts, it ends one earlier.  Nulls differ from all.
@@ -69,7 +78,9 @@ def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[s
 
     A run surely breaks at a gap, and where neighbours differ by 2 * tolerance or more, since both would have to be within
     tolerance of one value.  Windows in blocks of positions find these islands; only inside an island must rows be compared
-    with their run's first one, by NumPy on sorted batches.  Blocks and islands, not contigs, are dealt over tasks.
+    with their run's first one, by NumPy on sorted batches.  Blocks and islands, not contigs, are dealt over tasks; an
+    island of more than `long` rows is cut and many tasks' work, see _long_islands().  Cutting needs sizes, so the
+    rows are kept as a table first.
     """
     keys = list(keys)
     as_array = isinstance(values, str)
@@ -110,7 +121,145 @@ def merge_abutting(intervals: DataFrame, keys: Sequence[str], values: Sequence[s
                 yield from _merged(held.slice(0, done), island[:done], n, len(names), tolerance)
                 held = held.slice(done)
 
-    return rows.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", *order).mapInArrow(fold, out_schema)
+    def folded(some: DataFrame) -> DataFrame:
+        return some.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", *order).mapInArrow(fold, out_schema)
+
+    counted = Observation()
+    rows = kept(rows.observe(counted, F.count(F.lit(1)).alias("n")))
+    if counted.get["n"] <= long:
+        return folded(rows)
+    by = [*keys, "_island"]
+    large = kept(rows.groupBy(*by).agg(F.count("*").alias("_c")).where(F.col("_c") > long))
+    total = large.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
+    if not total:
+        return folded(rows)
+    named = F.broadcast(large.select(*(F.col(c).alias(f"_of{i}") for i, c in enumerate(by)), "_c"))  # one row for more than `long` of rows
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_of{i}")) for i, c in enumerate(by)))
+    rows = rows.join(named, same, "left").drop(*(f"_of{i}" for i in range(len(by))))
+    cut = _long_islands(rows.where("_c IS NOT NULL").drop("_c"), by, order, len(names), tolerance, -(-8 * total // long), out_schema)
+    return folded(rows.where("_c IS NULL").drop("_c")).union(cut)
+
+
+def _long_islands(rows: DataFrame, by: Sequence[str], order: Sequence[str], n_values: int, tolerance: float, parts: int, schema: StructType) -> DataFrame:
+    """merge_abutting() of islands that are cut into range partitions.
+
+    A segment is what a partition has of an island.  What it makes of its rows depends on the values of the run that comes
+    in from the segment before: rows join that run up to the first that is too far from it, and there a run begins whatever came
+    in before.  At first every segment is taken as if a run began with it; then the values that leave each segment are
+    handed on in turn (a few numbers a segment, on the driver), over segments whose smallest and largest values keep
+    them inside, and segments that get other values than they were tried with are tried again, all at once.  Runs soon begin at
+    the same rows wherever one starts, so that two or three rounds do; a segment is tried once for each value it
+    really gets, and each round settles one more segment at least.
+    """
+    n = len(by) - 1
+    cut = kept(rows.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order).withColumn("_part", F.spark_partition_id()))
+    dealt = lambda: cut.repartition(parts, "_part").sortWithinPartitions("_part", *by, *order)
+
+    def first_far(v: np.ndarray, entry: Sequence[float] | None) -> int:
+        if entry is None:
+            return 0
+        far = ~(np.abs(v - np.array(entry)) < tolerance).all(1)
+        return int(far.argmax()) if far.any() else len(v)
+
+    def tried(asked: dict[tuple[int, int], list[tuple[float, ...] | None]]) -> list[dict]:
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, k, some in _segments(batches, n):
+                v, stop, after = _rectangle(some.column("_v").combine_chunks()), some.column(n + 1), some.column("_next")
+                for entry in asked.get((part, k), ()):
+                    at = first_far(v, entry)
+                    out = entry
+                    if at < len(v):
+                        last = _run_ends(v[at:], np.zeros(len(v) - at, np.int64), tolerance)
+                        heads = np.flatnonzero(np.append(True, last[:-1])) + at
+                        out = v[heads[-1]].tolist()
+                    row = {"part": part, "k": k, "entry": entry, "at": at, "rows": len(v), "low": v.min(0), "high": v.max(0), "out": out, "stop": stop[at - 1].as_py() if at else None, "next": after[at - 1].as_py() if at else None, "last_stop": stop[-1].as_py(), "last_next": after[-1].as_py()}
+                    columns = [pa.array([x], pa.list_(pa.float64()) if name in ("entry", "low", "high", "out") else pa.int64()) for name, x in row.items()]
+                    yield pa.RecordBatch.from_arrays([*columns, *(some.column(c).slice(0, 1).combine_chunks() for c in range(n)), some.column("_island").slice(0, 1).combine_chunks()], names=[*row, *(f"key{i}" for i in range(n + 1))])
+
+        numbers = "part long, k long, entry array<double>, at long, rows long, low array<double>, high array<double>, out array<double>, stop long, next long, last_stop long, last_next long"
+        keys_ = ", ".join(f"key{i} {cut.schema[c].dataType.simpleString()}" for i, c in enumerate(by))
+        return [r.asDict() for r in dealt().mapInArrow(measure, f"{numbers}, {keys_}").collect()]
+
+    key_of = lambda r: [r[f"key{i}"] for i in range(n + 1)]
+    none_of: tuple[float, ...] | None = None
+    found = tried(_Every([none_of]))
+    segments = sorted(((r["part"], r["k"]) for r in found))
+    fresh = {(r["part"], r["k"]): r for r in found}
+    known = {(s, none_of): fresh[s] for s in segments}
+    while True:
+        asked: dict[tuple[int, int], list] = {}
+        true: dict[tuple[int, int], dict] = {}
+        previous = None
+        for s in segments:
+            r, entry = fresh[s], none_of
+            if previous is not None and key_of(previous) == key_of(r):
+                entry = tuple(previous["out"])
+                entry = none_of if any(map(math.isnan, entry)) else entry  # nothing joins a run with a null
+            if (s, entry) in known:
+                r = known[s, entry]
+            elif all(h - e < tolerance and e - low < tolerance for e, low, h in zip(entry, r["low"], r["high"], strict=True)):
+                r = r | {"entry": list(entry), "at": r["rows"], "out": list(entry), "stop": r["last_stop"], "next": r["last_next"]}
+            else:
+                asked.setdefault(s, []).append(entry)
+            true[s] = previous = r | {"given": entry}
+        if not asked:
+            break
+        for r in tried(asked):
+            known[(r["part"], r["k"]), tuple(r["entry"])] = r
+    # where the last run of each segment really ends
+    ends: dict[tuple[int, int], tuple[int, int | None]] = {}
+    owner = None
+    for s in segments:
+        r = true[s]
+        if r["given"] is not None and r["at"]:
+            ends[owner] = (r["stop"], r["next"])
+        if r["at"] < r["rows"]:
+            owner = s
+    starts = {s: true[s]["at"] for s in segments}
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, k, some in _segments(batches, n):
+            some = some.slice(starts[part, k])
+            if not some.num_rows:
+                continue
+            if (part, k) in ends:
+                for name, x in zip((some.column_names[n + 1], "_next"), ends[part, k], strict=True):
+                    i = some.schema.get_field_index(name)
+                    some = some.set_column(i, some.schema.field(i), pa.chunked_array([some.column(i).slice(0, some.num_rows - 1).combine_chunks(), pa.array([x], some.schema.field(i).type)]))
+            yield from _merged(some, np.zeros(some.num_rows, np.int64), n, n_values, tolerance)
+
+    return dealt().mapInArrow(emit, schema)
+
+
+class _Every(dict):
+    """The same for every segment."""
+
+    def __init__(self, value: list) -> None:
+        super().__init__()
+        self.value = value
+
+    def get(self, key: object, default: object = None) -> list:
+        return self.value
+
+
+def _segments(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[int, int, pa.Table]]:
+    """(part, k, rows): the k-th island of each partition, whole."""
+    held: pa.Table | None = None
+    part, k = None, 0
+    for batch in _ending(batches):
+        if batch is not None:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if held is None or not held.num_rows:
+            continue
+        number = _numbers(held, n, "_part")
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), held.num_rows]
+        whole = cuts if batch is None else cuts[:-1]  # the last one may go on
+        for a, b in zip(whole, whole[1:], strict=False):
+            some = held.slice(a, b - a)
+            own = some.column("_part")[0].as_py()
+            part, k = own, k + 1 if own == part else 0
+            yield part, k, some
+        held = held.slice(whole[-1])
 
 
 def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -121,10 +270,10 @@ def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
     yield None
 
 
-def _numbers(rows: pa.Table, n: int) -> np.ndarray:
-    """A rising number for each island: rows with the same n keys and the same _island."""
+def _numbers(rows: pa.Table, n: int, *more: str) -> np.ndarray:
+    """A rising number for each island: rows with the same n keys and the same _island (and the same of `more`)."""
     change = np.zeros(rows.num_rows, np.int64)
-    for column in (*(rows.column(i) for i in range(n)), rows.column("_island")):
+    for column in (*(rows.column(i) for i in range(n)), rows.column("_island"), *map(rows.column, more)):
         code = column.combine_chunks().dictionary_encode()
         code = code.indices.fill_null(-1).to_numpy() if isinstance(code, pa.Array) else code.combine_chunks().indices.fill_null(-1).to_numpy()
         change[1:] |= code[1:] != code[:-1]

@@ -234,6 +234,25 @@ def test_tangent_of_a_cohort(spark):
         coverage.tangent_normalize(table(x, "t"), table(n, "n"), max_normals=29)
 
 
+def test_long_islands_are_cut(spark):
+    """Unbroken islands in parts of a few rows each: constant, noisy, drifting and jumping values, gaps, nulls, null keys."""
+    draw = random.Random(13)
+    rows = []
+    for key, step in (("constant", lambda v: 1.0), ("noise", lambda v: draw.uniform(0, 0.09)), ("noise over", lambda v: draw.uniform(0, 0.14)), ("drift", lambda v: v + draw.uniform(-0.02, 0.05)), ("walk", lambda v: v + draw.uniform(-0.08, 0.08)), ("steps", lambda v: v + draw.choice([0, 0, 0, 0, 0.1, -0.1])), (None, lambda v: draw.uniform(0, 0.12))):
+        v = 0.0
+        for i in range(600):
+            v = step(v)
+            rows.append((key, "1", 10 * i, 10 * i + draw.choice([9, 10, 10]), v, None if key == "walk" and i % 97 == 5 else v / 2))
+    df = spark.createDataFrame(rows, "sample string, contig string, start long, stop long, u double, v double").repartition(3)
+    short = sorted(map(str, intervals.merge_abutting(df, ["sample", "contig"], ["u", "v"], tolerance=0.1).collect()))
+    cut = intervals.merge_abutting(df, ["sample", "contig"], ["u", "v"], tolerance=0.1, long=250)
+    assert sorted(map(str, cut.collect())) == short
+    as_array = df.select("sample", "contig", "start", "stop", F.array("u", "v").alias("w"))
+    got = intervals.merge_abutting(as_array, ["sample", "contig"], "w", tolerance=0.1, long=500).select("sample", "contig", "start", "stop", F.col("w")[0].alias("u"), F.col("w")[1].alias("v"))
+    assert sorted(map(str, got.collect())) == short
+    assert 0 < len(short) < len(rows)
+
+
 @pytest.mark.parametrize("tiles", [1, 64])
 def test_pairs_of_samples_by_products(spark, tiles):
     """Patients of several numbers of samples, more samples than a tile, loci that some lack, against counting."""
