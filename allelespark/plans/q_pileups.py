@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import query
-from ..functions.maths import beta_binomial_logpmf, binomial_logpmf, lgamma, logaddexp, phred_ln, scaled
+from ..functions.maths import beta_binomial_logpmf, binomial_logpmf, kendall_tau_b, lgamma, logaddexp, phred_ln, scaled
 from ..operators import absolute_cn, acs, allelic, genotype, pileups
 from ..operators.contigs import contig_order, ploidy, sex_ploidy_scale
 from ..operators.pairs import pair_tables
@@ -166,6 +166,16 @@ def _(spark, d):
     return ln99(likelihoods(spark, d).select("sample", "contig", "position", *genotype.GENOTYPES))
 
 
+@query("t5_reference_bias", f"WITH {GL.replace('* 1.05)', "* (1 + 0.02 * right(sample, 1)::INT))")} SELECT sample, contig, position, {ALL_LN99} FROM gl")
+def _(spark, d):
+    """Likelihoods with a reference bias of each sample's own: 1, 1.02, 1.04, 1.06."""
+    runs = merged(spark, d)
+    bias = runs.select("sample").distinct().withColumn("ref_bias", 1 + 0.02 * F.substring("sample", -1, 1).cast("int"))
+    segments = view(spark, d, "segments").groupBy("sample", "contig", "start", "stop").agg(F.min("minor_allele_fraction").alias("minor_allele_fraction"))
+    out = genotype.genotype_likelihoods(runs, segments, pileups.join_contaminations(view(spark, d, "contaminations")), sex="XY", per_sample_bias=bias)
+    return ln99(out.select("sample", "contig", "position", *genotype.GENOTYPES))
+
+
 @query("p6_confident_calls", f"WITH {GL} SELECT sample, contig, position, {BEST} AS genotype FROM gl WHERE {CONF}")
 def _(spark, d):
     return genotype.confident_calls(likelihoods(spark, d)).select("sample", "contig", "position", genotype.called_genotype().alias("genotype"))
@@ -205,6 +215,17 @@ def _(spark, d):
     return genotype.concordance(likelihoods(spark, d)).select("sample_a", "sample_b", "n_loci", scaled(F.col("tau")).alias("tau"))
 
 
+@query("t6_kendall_tau", f"""WITH cells AS (SELECT l_suppkey % 7 AS k, l_linenumber % 3 AS a, CAST(l_quantity AS BIGINT) % 3 AS b, count(*)::DOUBLE AS n FROM lineitem GROUP BY ALL),
+pairs AS (SELECT k, sum(CASE WHEN x.a < y.a AND x.b < y.b THEN x.n * y.n WHEN x.a < y.a AND x.b > y.b THEN -x.n * y.n ELSE 0 END) AS s FROM cells x JOIN cells y USING (k) GROUP BY k), t AS (SELECT k, sum(n) AS n FROM cells GROUP BY k),
+ta AS (SELECT k, sum(m * (m - 1) / 2) AS t FROM (SELECT k, a, sum(n) AS m FROM cells GROUP BY ALL) GROUP BY k), tb AS (SELECT k, sum(m * (m - 1) / 2) AS t FROM (SELECT k, b, sum(n) AS m FROM cells GROUP BY ALL) GROUP BY k)
+SELECT k, {SCALED.format('s / sqrt((n * (n - 1) / 2 - ta.t) * (n * (n - 1) / 2 - tb.t))')} AS tau FROM pairs JOIN t USING (k) JOIN ta USING (k) JOIN tb USING (k)""")
+def _(spark, d):
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select((F.col("l_suppkey") % 7).alias("k"), (F.col("l_linenumber") % 3).alias("a"), (F.col("l_quantity").cast("long") % 3).alias("b"))
+    names = [[f"c{i}{j}" for j in range(3)] for i in range(3)]
+    table = rows.groupBy("k").agg(*(F.count_if((F.col("a") == i) & (F.col("b") == j)).alias(names[i][j]) for i in range(3) for j in range(3)))
+    return kendall_tau_b(table, names).select("k", scaled(F.col("tau")).alias("tau"))
+
+
 @query("j15_sample_pairs", f"WITH {MERGED} SELECT a.sample AS sample_a, b.sample AS sample_b, count(*) AS n FROM merged a JOIN merged b ON a.contig = b.contig AND a.position = b.position AND a.sample < b.sample GROUP BY ALL")
 def _(spark, d):
     rows = merged(spark, d).select("sample", "contig", "position", F.lit(0).alias("code"))
@@ -368,6 +389,11 @@ def _(spark, d):
     return acs.dropped_genome(_acs(spark, d), 4, 2).withColumn("dropped", scaled(F.col("dropped")))
 
 
+@query("p16_segments_with_markers", f"WITH {ACS} SELECT sample, contig, start, stop, n_probes, n_hets FROM acs WHERE n_hets >= 4 AND n_probes >= 2")
+def _(spark, d):
+    return acs.min_markers(_acs(spark, d), 4, 2).select("sample", "contig", "start", "stop", "n_probes", "n_hets")
+
+
 @query("e5_model_segments_to_acs", f"WITH {ACS}, {LABEL} SELECT sample, contig, start, stop, seg_label_cnloh FROM lab WHERE n_hets >= 4 AND n_probes >= 2")
 def _(spark, d):
     return acs.model_segments_to_acs(view(spark, d, "modeled_segments"), "XY", 4, 2).select("sample", "contig", "start", "stop", "seg_label_cnloh")

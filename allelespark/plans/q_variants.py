@@ -65,6 +65,14 @@ def _(spark, d):
     return maf.with_class(rows).groupBy("maf_class").agg(F.count("*").alias("n"))
 
 
+@query("p15_variant_classes", "SELECT p_partkey, CASE WHEN p_partkey % 4 < 2 THEN 'snv' ELSE 'indel' END AS maf_class FROM part WHERE p_partkey % 5 <> 4")
+def _(spark, d):
+    """Each row's class; types of neither go."""
+    kinds = F.element_at(F.array(*map(F.lit, ("SNP", "ONP", "INS", "DEL"))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    rows = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.when(F.col("p_partkey") % 5 == 4, "OTHER").otherwise(kinds).alias("variant_type"))
+    return maf.with_class(rows).select("p_partkey", "maf_class")
+
+
 @query("p17_pass_only", "SELECT contig, position, ref, alt FROM variants WHERE filter = 'PASS'")
 def _(spark, d):
     return V(spark, d).where("filter = 'PASS'").select(*variants.ALLELE)
@@ -162,6 +170,12 @@ def _(spark, d):
     return variants.rename_samples(V(spark, d).select("sample"), names).groupBy("sample").agg(F.count("*").alias("n"))
 
 
+@query("v8_renamed_rows", "SELECT ord, CASE sample WHEN 'S0' THEN 'normal' WHEN 'S1' THEN 'tumor' ELSE sample END AS sample FROM variants")
+def _(spark, d):
+    names = spark.createDataFrame([("S0", "normal"), ("S1", "tumor")], "bam_name string, sample_name string")
+    return variants.rename_samples(V(spark, d).select("ord", "sample"), names).select("ord", "sample")
+
+
 @query("j21_annotate_features", "SELECT contig, position, ref, alt, coalesce(start, -1) AS feature_start FROM (SELECT v.contig, v.position, v.ref, v.alt, t.start, row_number() OVER (PARTITION BY v.contig, v.position, v.ref, v.alt ORDER BY t.score DESC NULLS LAST, t.start NULLS LAST) AS r FROM variants v LEFT JOIN targets t ON t.contig = v.contig AND v.position BETWEEN t.start AND t.stop) WHERE r = 1")
 def _(spark, d):
     out = variants.annotate_features(V(spark, d).select(*variants.ALLELE), TARGETS(spark, d), [F.col("score").desc_nulls_last(), F.col("feature_start").asc_nulls_last()])
