@@ -10,7 +10,6 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import pick, table
 from .phrases import automaton, matches
