@@ -51,10 +51,13 @@ def harmonize_cohort(ratios: DataFrame, how: Mapping[str, str], n_samples: DataF
     return loci.join(full.drop("n"), ["patient", "contig", "start", "stop"], "left_semi")
 
 
-def rare_alleles(calls: DataFrame, panel: DataFrame) -> DataFrame:
-    """contig, position, ref, alt, the first of each locus: the panel's, then those of germline SNPs that it lacks."""
-    rare = calls.where(F.col("germline") & (F.length("ref") == 1) & (F.length("alt") == 1)).select(*variants.ALLELE)
-    return variants.merge_resources(panel.select(*variants.ALLELE), rare)
+def with_alleles(sites: DataFrame, panel: DataFrame, rare: DataFrame) -> DataFrame:
+    """sites (patient, contig, position) with ref and alt: the panel's, else those of a rare germline SNP of the same patient;
+    sites of neither go.  panel and rare have a row for a locus."""
+    named = lambda df, prefix: df.withColumnsRenamed({"ref": f"_{prefix}_ref", "alt": f"_{prefix}_alt"})
+    rows = sites.join(named(panel, "panel"), ["contig", "position"], "left").join(named(rare, "rare"), ["patient", "contig", "position"], "left")
+    rows = rows.withColumns({c: F.coalesce(f"_panel_{c}", f"_rare_{c}") for c in ("ref", "alt")})
+    return rows.where("ref IS NOT NULL").select(*sites.columns, "ref", "alt")
 
 
 def _one(df: DataFrame) -> DataFrame:
@@ -79,8 +82,8 @@ class Cohort:
     for all patients.
 
     1. Reads are counted in the targets, callable loci found.
-    2. Calls are filtered; pileups of their germline SNPs that the panel lacks join the panel's pileups.
-    3. A patient's samples are genotyped together where the panel or such a SNP is; heterozygous sites give allelic counts.
+    2. Calls are filtered; pileups of a patient's germline SNPs that the panel lacks join its panel pileups.
+    3. A patient's samples are genotyped together where the panel or such a SNP of its own is; heterozygous sites give allelic counts.
     4. Copy ratios come on each patient's common loci; so do modeled segments, without those that the matched normal calls,
        and each segment's probes and hets are counted anew.
     5. Segments become allelic copy ratios by the patient's sex, and absolute copy numbers by the sample's purity and ploidy.
@@ -132,13 +135,21 @@ class Cohort:
         return self.keep(filter_variants(self.calls))
 
     @cached_property
-    def alleles(self) -> DataFrame:
-        return self.keep(rare_alleles(self.variants, self.panel).select(*variants.ALLELE))
+    def panel_alleles(self) -> DataFrame:
+        return pileups.first_of_locus(self.panel.select(*variants.ALLELE), variants.LOCUS, [F.col("ref"), F.col("alt")])
+
+    @cached_property
+    def rare_alleles(self) -> DataFrame:
+        """Each patient's germline SNPs that the panel lacks, one a locus."""
+        rows = self.variants.where(F.col("germline") & (F.length("ref") == 1) & (F.length("alt") == 1)).select("patient", *variants.ALLELE)
+        rows = rows.join(self.panel.select(*variants.LOCUS).distinct(), list(variants.LOCUS), "left_anti")
+        return self.keep(pileups.first_of_locus(rows, ["patient", *variants.LOCUS], [F.col("ref"), F.col("alt")]))
 
     @cached_property
     def _merged(self) -> DataFrame:
         merged = rare_germline_pileups(_alone(self.variants), self.panel, pileups.merge_pileups(_alone(self.runs)))
-        return self.keep(pileups.subset_loci(merged, self.alleles))
+        merged = merged.withColumn("patient", F.split("sample", _JOINT)[0])
+        return self.keep(with_alleles(merged, self.panel_alleles, self.rare_alleles).drop("patient", "ref", "alt"))
 
     @cached_property
     def pileups(self) -> DataFrame:
@@ -155,7 +166,7 @@ class Cohort:
 
     @cached_property
     def allelic_counts(self) -> DataFrame:
-        sites = self.genotypes.select("patient", "contig", "position", "genotype").join(self.alleles, ["contig", "position"])
+        sites = with_alleles(self.genotypes.select("patient", "contig", "position", "genotype"), self.panel_alleles, self.rare_alleles)
         counts = self.pileups.select(*_WHO, "contig", "position", "ref_count", "alt_count")
         return self.keep(allelic.allelic_counts(counts, sites, keys=[*_WHO, "contig"]))
 

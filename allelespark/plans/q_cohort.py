@@ -63,10 +63,11 @@ _VARIANTS = f"{_CALLS} SELECT patient, sample, ord, filter, len(list_filter({qv.
 _C3 = qp.C3.split(", ")
 _SUMS = ", ".join(f"sum({c})::BIGINT AS {c}" for c in _C3)
 _ALLELES = f"""{_CALLS}, gx AS (SELECT * FROM calls WHERE {_GERMLINE}), pan AS (SELECT DISTINCT contig, start AS position, 'A' AS ref, 'C' AS alt FROM targets),
-alle AS (SELECT contig, position, ref, alt FROM (SELECT *, row_number() OVER (PARTITION BY contig, position ORDER BY k, ref, alt) AS r FROM (SELECT 0 AS k, * FROM pan UNION ALL SELECT 1, contig, position, ref, alt FROM gx)) WHERE r = 1)"""
+rar AS (SELECT patient, contig, position, ref, alt FROM (SELECT *, row_number() OVER (PARTITION BY patient, contig, position ORDER BY ref, alt) AS r FROM gx ANTI JOIN pan USING (contig, position)) WHERE r = 1),
+alle AS (SELECT p.patient, pan.* FROM pan, (VALUES ('P0'), ('P1')) AS p(patient) UNION ALL SELECT patient, contig, position, ref, alt FROM rar)"""
 _MERGED = f"""{_ALLELES}, {qp.MERGED.replace("merged AS", "merged0 AS", 1)},
 rare AS (SELECT sample, contig, position, {qv._R} AS ref_count, {qv._A} AS alt_count, greatest(dp - {qv._R} - {qv._A}, 0) AS other_alt_count, coalesce(pow(10::DOUBLE, -{qv._num('POPAF')}), 7e-8) AS allele_frequency FROM gx ANTI JOIN pan USING (contig, position)),
-merged AS (SELECT sample, contig, position, {_SUMS}, max(allele_frequency) AS allele_frequency FROM (SELECT *, row_number() OVER (PARTITION BY k, sample, contig, position ORDER BY {qp.C3}) AS r FROM (SELECT 1 AS k, * FROM merged0 UNION ALL SELECT 2, * FROM rare)) SEMI JOIN alle USING (contig, position) WHERE r = 1 GROUP BY sample, contig, position)"""
+merged AS (SELECT sample, contig, position, {_SUMS}, max(allele_frequency) AS allele_frequency FROM (SELECT *, row_number() OVER (PARTITION BY k, sample, contig, position ORDER BY {qp.C3}) AS r, {_PATIENT} AS patient FROM (SELECT 1 AS k, * FROM merged0 UNION ALL SELECT 2, * FROM rare)) SEMI JOIN alle USING (patient, contig, position) WHERE r = 1 GROUP BY sample, contig, position)"""
 _PILEUPS = f"{_MERGED} SELECT {_PATIENT} AS patient, sample, contig, position, {qp.C3}, CAST(floor(allele_frequency * 1e9 + 0.5) AS BIGINT) AS allele_frequency FROM merged"
 
 _MALE_X = "contig = 'X' AND sample IN ('S0', 'S1')"
@@ -75,7 +76,7 @@ _JOINT = qp.JOINT.replace("SELECT contig, position, sum", "SELECT patient, conti
 _GENOTYPED = f"{_GL}, {_JOINT}, gt AS (SELECT *, {qp.BEST} AS genotype FROM joint WHERE {qp.CONF} AND greatest(gl_ref, gl_het, gl_alt) >= 0.9 * (gl_ref + gl_het + gl_alt))"
 _GENOTYPES = f"{_GENOTYPED} SELECT patient, contig, position, {qp.C3}, genotype, {qp.ALL_LN99} FROM gt"
 
-_HETS = f"{_GENOTYPED}, hets AS (SELECT m.patient, m.sample, contig, position, m.ref_count, m.alt_count, ref, alt FROM (SELECT *, {_PATIENT} AS patient FROM merged) m JOIN gt USING (patient, contig, position) JOIN alle USING (contig, position) WHERE genotype = '0/1')"
+_HETS = f"{_GENOTYPED}, hets AS (SELECT m.patient, m.sample, contig, position, m.ref_count, m.alt_count, ref, alt FROM (SELECT *, {_PATIENT} AS patient FROM merged) m JOIN gt USING (patient, contig, position) JOIN alle USING (patient, contig, position) WHERE genotype = '0/1')"
 _ALLELIC = f"{_HETS} SELECT patient, sample, contig, position, ref_count, alt_count, ref, alt FROM hets"
 
 # a patient's contig is a contig of its own
