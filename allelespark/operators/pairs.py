@@ -34,10 +34,11 @@ def pair_tables(calls: DataFrame, keys: Sequence[str] = (), levels: int = 3, til
     each pass over the loci.
     """
     keys = list(keys)
+    calls = kept(calls.select(*keys, "sample", "contig", "position", F.col("code").cast("int").alias("code")))  # dear to make, read twice
     own = Window.partitionBy(*keys).orderBy("sample")  # a row a sample
     samples = kept(calls.select(*keys, "sample").distinct().withColumn("_place", F.row_number().over(own) - 1))
     most = samples.agg(F.coalesce(F.max("_place"), F.lit(-1)) + 1).first()[0]
-    rows = calls.join(samples, [*keys, "sample"]).groupBy(*keys, "contig", "position").agg(F.collect_list(F.struct("_place", F.col("code").cast("int").alias("code"))).alias("c"))
+    rows = calls.join(samples, [*keys, "sample"]).groupBy(*keys, "contig", "position").agg(F.collect_list(F.struct("_place", "code")).alias("c"))
     rows = rows.where(F.size("c") > 1).select(*keys, F.col("c._place").alias("places"), F.col("c.code").alias("codes"))
     rows = kept(rows.sortWithinPartitions(*keys) if keys else rows)
     cuts = [slice(a, a + tile) for a in range(0, most, tile)]
