@@ -6,7 +6,8 @@ pair of the rank-k numbers at its place and k lines on, pairs again ranked by a
 have their rank to themselves are settled and leave; a suffix whose second half is settled or beyond the text's end is
 settled too, so doubling ends after log2 of the longest repeat's lines.  Suffixes of one rank at level k are an interval
 of the suffix array whose longest common prefix has k lines or more.  The smallest place of an interval stays; the
-others are later copies of those k lines, and runs of lines that later copies cover are the maximal repeated runs.
+others are later copies of those k lines.  The longest k of each place, joined up along the document, gives the maximal
+runs of lines that later copies cover.
 
 Ranks are dealt to distinct pairs, not to suffixes, so a very common pair is one row of the sort; suffixes meet their
 pair's rank in a join that spreads common pairs over salts.
@@ -69,10 +70,11 @@ def _ranked(suffixes: DataFrame, *by: str) -> DataFrame | None:
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> DataFrame:
-    """last, doc, text, place, lines: runs of lines that are later copies, for docs as in line_table().
+    """last, doc, text, place, lines: the longest runs of lines that later copies cover, for docs as in line_table().
 
-    A run counts from min_lines consecutive lines of a document on, or as one line of min_words words or more; blank
-    lines are passed over.  Each suffix gives a row at each level of the doubling at which it is a later copy.
+    A copy counts from min_lines consecutive lines of a document on, or as one line of min_words words or more; blank
+    lines are passed over.  Of the levels at which a place is a later copy the longest stands for it, and copies that
+    overlap or touch are one run, so runs of a document are apart and fewer than its lines.
     """
     later = F.struct(*_PLACE) > F.col("first")
     active = _ranked(line_table(docs), "one", "two")
@@ -80,16 +82,20 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> Da
     while active is not None:
         of = active.where(later) if level >= min_lines else active.where(later & (F.col("n") >= min_words)) if level == 1 else None
         if of is not None:
-            found.append(kept(of.select(*_PLACE, F.lit(level).alias("lines"))))
+            found.append(of.select(*_PLACE, F.lit(level).alias("lines")))
         ahead = min(level, min_lines - level) if level < min_lines else level
         step = Window.partitionBy("last", "doc", "text").orderBy("place").rangeBetween(ahead, ahead)
         pairs = active.withColumn("next", F.first("rank").over(step)).where("next IS NOT NULL").drop("first")
-        longer = _ranked(pairs, "rank", "next")
-        forget(active)
-        active, level = longer, level + ahead
+        active, level = _ranked(pairs, "rank", "next"), level + ahead
     if not found:
         return docs.sparkSession.createDataFrame([], "last boolean, doc long, text long, place long, lines int")
-    return reduce(DataFrame.union, found)
+    # one shuffle by document serves all that follows
+    longest = reduce(DataFrame.union, found).repartition("last", "doc").groupBy(*_PLACE).agg(F.max("lines").alias("lines"))
+    along = Window.partitionBy("last", "doc", "text").orderBy("place")
+    reach = F.max(F.col("place") + F.col("lines")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    runs = longest.withColumn("new", (F.col("place") > F.coalesce(reach, F.lit(-1))).cast("int")).withColumn("run", F.sum("new").over(along))
+    merged = runs.groupBy("last", "doc", "text", "run").agg(F.min("place").alias("place"), F.max(F.col("place") + F.col("lines")).alias("end"))
+    return merged.select(*_PLACE, (F.col("end") - F.col("place")).cast("int").alias("lines"))
 
 
 def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int = 8) -> DataFrame:
