@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pick, set_aside, table
-from .trie import VOCABULARY, encoded_counts, forward, pretokens, vocabulary
+from .trie import VOCABULARY, PreTokens, encoded_counts, forward, pretokens, vocabulary
 from .words import buffer, parts
 
 UNKNOWN = "und"
@@ -43,27 +43,44 @@ def log_probabilities(counts: DataFrame, size: int, smoothing: float = 0.1) -> t
     return langs, np.log(made / made.sum(0)) if langs else made
 
 
+def usual(logp: np.ndarray, path: str = VOCABULARY) -> np.ndarray:
+    """For each language the mean log-probability of a byte of text that its model writes."""
+    _, encoder = vocabulary(path)
+    of_bytes = [1 if encoder.is_byte(i) or encoder.is_unknown(i) else len(encoder.id_to_piece(i).replace("\u2581", " ").encode()) for i in range(len(logp))]
+    p = np.exp(logp)
+    return (p * logp).sum(0) / (np.array(of_bytes) @ p)
+
+
+def with_digits(tokens: PreTokens) -> np.ndarray:
+    """Whether each distinct pre-token has an ASCII digit."""
+    digits = np.concatenate([[0], np.cumsum((tokens.data >= 48) & (tokens.data <= 57))])
+    return digits[tokens.start + tokens.length] > digits[tokens.start]
+
+
 def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothing: float = 0.1) -> DataFrame:
-    """All columns of docs (doc_id, text, lang, ...) and lang_pred, score for each row.
+    """All columns of docs (doc_id, text, lang, ...) and lang_pred, score, fit for each row.
 
     The models learn from text and lang of the rows where `training` holds and lang is not null; a prediction sees
     the text only.  A word's probability in a language is the sum over all its segmentations into pieces; a text's
-    is the product over its words.  lang_pred is the likeliest language and score its share among the languages.
-
-    A text that is null or has no letter gives "und" and score 0, and so does every text if there is nothing to
-    learn from.  Ties go to the smaller name; rows that repeat give a row each; an empty table gives no rows; words
-    of any length are scored whole.  Columns named lang_pred or score are replaced.
+    is the product over its words.  lang_pred is the likeliest language and score its share among the languages.  fit is how much likelier a byte of
+    the text's words without digits is in that language than a byte that its model writes (a mean of log-probabilities
+    less usual()): near 0 for texts like those learned from, well below for other languages and for junk, whatever the
+    score; null if all words have digits.
+
+    A text that is null or has no letter gives "und", score 0 and a null fit, and so does every text if there is nothing
+    to learn from.  Ties go to the smaller name; rows that repeat give a row each; an empty table gives no rows; words
+    of any length are scored whole.  Columns named lang_pred, score or fit are replaced.
     """
     known, _ = vocabulary(path)
-    docs, back = set_aside(docs, "doc_id", "text", "lang", "lang_pred", "score")
+    docs, back = set_aside(docs, "doc_id", "text", "lang", "lang_pred", "score", "fit")
     learn = pick(docs.where(training), lang="string", text="string")
     langs, logp = log_probabilities(piece_counts(learn, path), known.size, smoothing)
-    docs = docs.drop("lang_pred", "score")
-    model = docs.sparkSession.sparkContext.broadcast((langs, logp))
+    docs = docs.drop("lang_pred", "score", "fit")
+    model = docs.sparkSession.sparkContext.broadcast((langs, logp, usual(logp, path) if langs else None))
     column = docs.columns.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, logp = model.value
+        langs, logp, mean = model.value
         for batch in parts(batches):
             texts = batch.column(column)
             n = batch.num_rows
@@ -72,7 +89,7 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
             some = letters[offsets[1:]] > letters[offsets[:-1]]
             for i in np.flatnonzero(~some & (np.diff(offsets) > 0)).tolist():
                 some[i] = any(map(str.isalpha, texts[i].as_py()))
-            names, score = np.full(n, UNKNOWN, object), np.zeros(n)
+            names, score, fit = np.full(n, UNKNOWN, object), np.zeros(n), np.full(n, np.nan)
             if langs:
                 tokens = pretokens(texts)
                 value = np.zeros((len(tokens.index) + 1, len(langs)))
@@ -83,10 +100,16 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
                 pick_ = share.argmax(1)
                 names[some] = np.array(langs, object)[pick_[some]]
                 score[some] = share[np.arange(n), pick_][some]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
+                plain = np.where(with_digits(tokens), 0, 1)[tokens.index]
+                value[1:] = np.cumsum(np.diff(value, axis=0) * plain[:, None], axis=0)
+                size = np.concatenate([[0], np.cumsum(tokens.length[tokens.index] * plain)])
+                likely, size = ((x[tokens.first[1:]] - x[tokens.first[:-1]]) for x in (value, size))
+                some &= size > 0
+                fit[some] = likely[np.arange(n), pick_][some] / size[some] - mean[pick_[some]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(fit, from_pandas=True)], names=[*batch.schema.names, "lang_pred", "score", "fit"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return back(docs.mapInArrow(predict, f"{schema}, lang_pred string, score double"))
+    return back(docs.mapInArrow(predict, f"{schema}, lang_pred string, score double, fit double"))
 
 
 def held_out() -> Column:

@@ -285,11 +285,30 @@ def test_language_held_out(spark):
 
 
 def test_language_of_odd_texts(spark):
-    got = {r.doc_id: r for r in language.identify(documents(spark), ~language.held_out()).toDF("doc_id", *"abcdef", "lang_pred", "score").collect() if r.doc_id is not None}
+    got = {r.doc_id: r for r in language.identify(documents(spark), ~language.held_out()).toDF("doc_id", *"abcdef", "lang_pred", "score", "fit").collect() if r.doc_id is not None}
     assert got[0].lang_pred == got[1].lang_pred == got[2].lang_pred == "und"
     assert {r.lang_pred for r in got.values()} <= {"de", "fr", "und"}
     none = language.identify(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string"), ~language.held_out())
-    assert none.first().lang_pred == "und"
+    assert none.first().lang_pred == "und" and none.first().fit is None
+
+
+def test_fit_tells_junk_from_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(2)
+    junk = [" ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(n)) for n in (5, 50, 5000)] + ["αβγδ εζηθ ικλμ " * 9, "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/") for _ in range(3000))]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate([*junk, "x1 y2", "5 a1"])], docs.schema)
+    got = {r.doc_id: r for r in language.identify(docs.union(more), ~language.held_out() & (F.col("doc_id") < 10**9)).drop("text").collect()}
+    assert all(got[10**9 + i].fit < -3 and got[10**9 + i].lang_pred != "und" for i in range(len(junk)))
+    assert got[10**9 + 5].fit is got[10**9 + 6].fit is None and got[10**9 + 6].lang_pred != "und"  # every word has a digit
+    assert min(r.fit for i, r in got.items() if i < 10**9 and r.fit is not None) > -3
+
+
+def test_fit_is_the_mean_log_probability():
+    """A word's score over its bytes, less that of the model's own bytes, for a vocabulary of a few pieces."""
+    logp = np.log(np.full((language.vocabulary()[0].size, 1), 1 / language.vocabulary()[0].size))
+    encoder = language.vocabulary()[1]
+    sizes = [1 if encoder.is_byte(i) or encoder.is_unknown(i) else len(encoder.id_to_piece(i).replace("\u2581", " ").encode()) for i in range(len(logp))]
+    assert language.usual(logp)[0] == pytest.approx(-len(logp) * math.log(len(logp)) / sum(sizes))
 
 
 def test_licenses(spark):
@@ -452,8 +471,9 @@ def test_doubling_follows_the_longest_repeat(spark):
     run = "\n".join(f"line {i}" for i in range(37))
     docs = spark.createDataFrame([(False, 1, f"{run}\nx"), (False, 2, f"y\n{run}\nz")], "last boolean, doc long, text string")
     rows = lines.repeated_runs(docs).collect()
-    assert max(r.lines for r in rows) == 32 and {r.doc for r in rows} == {2}
-    assert {r.place + k for r in rows for k in range(r.lines)} == set(range(1, 38))
+    assert [(r.doc, r.place, r.lines) for r in rows] == [(2, 1, 37)]
+    equal = spark.createDataFrame([(False, 1, "same\n" * 1000), (False, 2, "other\nlines\n" * 300)], "last boolean, doc long, text string")
+    assert sorted((r.doc, r.place, r.lines) for r in lines.repeated_runs(equal).collect()) == [(1, 1, 999), (2, 2, 598)]
 
 
 CLASHES = ["_doc", "_id", "_text", "_place", "_lines", "_bad", "_kept", "_r", "key", "bad", "last", "doc", "runs", "c0", "node", "size", "score", "TEXT", "Doc_Id", "source", "lang"]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from allelespark.llm import trie
+from allelespark.llm import language, trie
 from tests.llm.test_operators import CLASHES, _deleted, _plain, alnum, words
 
 D = "/root/testdata/sf0.001"
@@ -17,7 +17,7 @@ STAGES = dict(corpus_pipeline.STAGES)
 
 
 def _readable(rows):
-    """doc_ids whose likeliest language has more than half, word by word over all segmentations."""
+    """doc_ids whose likeliest language has more than half and fits, word by word over all segmentations."""
     known, encoder = trie.vocabulary()
     ids = {s: i for i in range(encoder.get_piece_size()) if not (encoder.is_byte(i) or encoder.is_control(i) or encoder.is_unknown(i)) and (s := encoder.id_to_piece(i).replace("\u2581", " ").encode())}
     learn = [(r.lang, r.text) for r in rows if r.lang is not None and zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 3 != 1]
@@ -38,7 +38,10 @@ def _readable(rows):
     for r in rows:
         if r.text and any(map(str.isalpha, r.text)) and logp:
             totals = [math.fsum(score(w, lang) for w in words(r.text)) for lang in sorted(logp)]
-            if 1 / sum(math.exp(min(t - max(totals), 0)) for t in totals) > 0.5:
+            best = sorted(logp)[totals.index(max(totals))]
+            plain = [w for w in words(r.text) if not re.search("[0-9]", w)]
+            fit = sum(score(w, best) for w in plain) / sum(len(w.encode()) + 1 for w in plain) - language.usual(logp[best][:, None])[0] if plain else 0
+            if 1 / sum(math.exp(min(t - max(totals), 0)) for t in totals) > 0.5 and fit >= corpus_pipeline.LEAST_FIT:
                 out.add(r.doc_id)
     return out
 
@@ -101,6 +104,15 @@ def test_run_against_brute_force(spark, windows):
     assert sum({source[r.doc_id]: r.target for r in got}.values()) == pytest.approx(sum(totals.values()))
 
 
+def test_language_stage_drops_junk_only(spark):
+    docs = spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    junk = ["αβγδ εζηθ ικλμ " * 9, "qzxvk wjqxz kvqzj xzqwv " * 30, "zqXvKjWq+/xZ" * 200]
+    clean = ['Of the and token = "40d78a45c418324758e099eb7cb89bc0f5fa9f62" 4734663219866878', "The thing and the other " * 500]
+    more = spark.createDataFrame([(10**9 + 3 * i, t, None, None, None) for i, t in enumerate(junk + clean)], docs.schema)
+    out = {r.doc_id for r in STAGES["language_id"](spark, docs.union(more), D).collect()}
+    assert out == {r.doc_id for r in docs.collect()} | {10**9 + 3 * i for i in range(len(junk), len(junk + clean))}
+
+
 def test_stages_keep_columns_and_odd_rows(spark, windows):
     base = spark.read.parquet(f"{D}/documents.parquet").limit(40)
     some = base.collect()
