@@ -12,16 +12,23 @@ from allelespark.llm.lines import remove_repeated_lines
 from allelespark.llm.mixing import mix
 from allelespark.llm.near_duplicates import near_duplicates
 
+#: A byte of a text's words may be less likely than a byte of its language's texts by this (natural logarithm).
+LEAST_FIT = -3.0
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no language that is likelier than all others together, go.
+    """Documents without letters, of no language that is likelier than all others together, or unlike any language, go.
+
+    Unlike any language are texts whose fit (see identify()) is below LEAST_FIT: a byte of their words is that much
+    less likely in their likeliest language than a byte that its model writes.  Words with digits do not count, so
+    numbers, keys and addresses in a short text do not make it junk.
 
     Null and empty texts have no letters and go; long texts are judged whole; a document without lang is judged but not
     learned from; rows that repeat share their verdict; if no row has a lang, all go; an empty table gives no rows.
     Other columns, whatever their names, are handed on.
     """
     judged = identify(docs, ~held_out())
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0.5)).select(*docs.columns)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0.5) & (F.coalesce("fit", F.lit(0.0)) >= LEAST_FIT)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
