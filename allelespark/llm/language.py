@@ -93,16 +93,17 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
             if langs:
                 tokens = pretokens(texts)
                 value = np.zeros((len(tokens.index) + 1, len(langs)))
-                np.cumsum(forward(tokens, vocabulary(path)[0], logp)[0][tokens.index], axis=0, out=value[1:])
+                scores = forward(tokens, vocabulary(path)[0], logp)[0]
+                np.cumsum(scores[tokens.index], axis=0, out=value[1:])
                 total = value[tokens.first[1:]] - value[tokens.first[:-1]]
                 share = np.exp(total - total.max(1, keepdims=True))
                 share /= share.sum(1, keepdims=True)
                 pick_ = share.argmax(1)
                 names[some] = np.array(langs, object)[pick_[some]]
                 score[some] = share[np.arange(n), pick_][some]
-                plain = np.where(with_digits(tokens), 0, 1)[tokens.index]
-                value[1:] = np.cumsum(np.diff(value, axis=0) * plain[:, None], axis=0)
-                size = np.concatenate([[0], np.cumsum(tokens.length[tokens.index] * plain)])
+                plain = ~with_digits(tokens)
+                np.cumsum((scores * plain[:, None])[tokens.index], axis=0, out=value[1:])
+                size = np.concatenate([[0], np.cumsum((tokens.length * plain)[tokens.index])])
                 likely, size = ((x[tokens.first[1:]] - x[tokens.first[:-1]]) for x in (value, size))
                 some &= size > 0
                 fit[some] = likely[np.arange(n), pick_][some] / size[some] - mean[pick_[some]]
