@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import pick, set_aside, table
 from .trie import VOCABULARY, PreTokens, encoded_counts, forward, pretokens, vocabulary
-from .words import buffer, parts
+from .words import buffer, parts, tidy
 
 UNKNOWN = "und"
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
@@ -20,6 +20,7 @@ _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 def piece_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """(lang, piece, count): the pieces of the tokenizer's encoding of docs (lang, text); texts without lang are left out."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             langs = batch.column(0).dictionary_encode()
@@ -79,6 +80,7 @@ def identify(docs: DataFrame, training: Column, path: str = VOCABULARY, smoothin
     model = docs.sparkSession.sparkContext.broadcast((langs, logp, usual(logp, path) if langs else None))
     column = docs.columns.index("text")
 
+    @tidy
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, logp, mean = model.value
         for batch in parts(batches):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import forget, kept, pick, positional, schema_of, spread_join, table
-from .words import NEWLINE, Words, parts, signed, words
+from .words import NEWLINE, Words, parts, signed, tidy, words
 
 _PLACE = ("last", "doc", "text", "place")
 
@@ -45,6 +45,7 @@ def line_table(docs: DataFrame) -> DataFrame:
     docs has last (whether doc_id is null), doc (doc_id, or a hash of the text), text.
     """
 
+    @tidy
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             lines, n, (one, two), whole = _lines(batch.column(2))
@@ -119,6 +120,7 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = 2, min_words: int =
     keyed = docs.select(*docs.columns, *key)
     rows = keyed.join(gone, (F.col("last") == F.col("last_")) & (F.col("doc") == F.col("doc_")), "left").select(*docs.columns, "runs")
 
+    @tidy
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, f"c{at}"):
             texts, runs = batch.column(at), batch.column(len(names))

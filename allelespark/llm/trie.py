@@ -19,6 +19,7 @@ from .words import _BYTE, mix, powers, ranged, words
 
 LIMIT = 64
 _BLOCK = 1 << 16
+_TOGETHER = 1 << 13
 MARK = b" "
 #: Where the environment has public tokenizers' vocabularies.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -217,10 +218,13 @@ def encoded_counts(tokens: PreTokens, weights: np.ndarray, path: str) -> np.ndar
     """(pieces, models): how often each piece stands in the tokenizer's own encoding; weights is (distinct, models)."""
     known, encoder = vocabulary(path)
     out = np.zeros((known.size, weights.shape[1]))
-    ids = encoder.encode([s.decode("utf-8", "replace").lstrip(" ") for s in tokens.strings()])
-    sizes = np.array([len(x) for x in ids], np.int64)
-    flat = np.fromiter((x for row in ids for x in row), np.int64, int(sizes.sum()))
-    of = np.repeat(np.arange(len(ids)), sizes)
-    for m in range(weights.shape[1]):
-        out[:, m] = np.bincount(flat, weights[of, m], known.size)
+    strings = tokens.strings()
+    for low in range(0, len(strings), _TOGETHER):
+        # one thread: others would each keep an arena of the worker's memory
+        ids = encoder.encode([s.decode("utf-8", "replace").lstrip(" ") for s in strings[low : low + _TOGETHER]], num_threads=1)
+        sizes = np.array([len(x) for x in ids], np.int64)
+        flat = np.fromiter((x for row in ids for x in row), np.int64, int(sizes.sum()))
+        of = np.repeat(np.arange(low, low + len(ids)), sizes)
+        for m in range(weights.shape[1]):
+            out[:, m] += np.bincount(flat, weights[of, m], known.size)
     return out
