@@ -26,7 +26,11 @@ import xxhash
 # workers live on between stages: the system's allocator gives freed memory back
 pa.set_memory_pool(pa.system_memory_pool())
 
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+
+def trim() -> None:
+    """Give the memory that the allocator holds but nobody uses back to the system."""
+    if release := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
+        release(0)
 
 
 def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -38,8 +42,7 @@ def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
     @functools.wraps(task)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from task(batches)
-        if _trim:
-            _trim(0)
+        trim()
 
     return run
 
