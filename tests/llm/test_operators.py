@@ -679,3 +679,28 @@ def test_components_of_hubs(spark, monkeypatch, together):
     got = components.components(spark.createDataFrame(edges, "a long, b long").repartition(9))
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
     assert sorted(map(tuple, got.collect())) == sorted((i, find(i)) for i in root)
+
+
+def test_encoded_counts_in_slices():
+    tokens = trie.pretokens(pa.array([" ".join(f"wörd{i}x{i % 7}" for i in range(20_000)), None, "", "wörd1x1"]))
+    weights = np.stack([np.arange(len(tokens.start)) % 3, np.ones(len(tokens.start))], 1).astype(float)
+    expected = np.zeros((trie.vocabulary()[0].size, 2))
+    for word, w in zip(tokens.strings(), weights, strict=True):
+        for piece in trie.vocabulary()[1].encode(word.decode().lstrip(" ")):
+            expected[piece] += w
+    assert len(tokens.start) > 2 * trie._TOGETHER
+    assert (trie.encoded_counts(tokens, weights, trie.VOCABULARY) == expected).all()
+
+
+def test_tidy_tasks_pass_all_batches_on(spark):
+    from allelespark.llm.words import tidy
+
+    @tidy
+    def twice(batches):
+        for batch in batches:
+            yield batch
+            yield batch
+
+    rows = spark.range(10).repartition(3).mapInArrow(twice, "id long")
+    assert sorted(r["id"] for r in rows.collect()) == sorted([*range(10)] * 2)
+    assert spark.range(0).mapInArrow(twice, "id long").count() == 0
