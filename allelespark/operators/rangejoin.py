@@ -57,36 +57,40 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], pos
     return out if how in ("left_semi", "left_anti") else out.drop("_p", *(f"_{k}" for k in keys))
 
 
-def _cover(df: DataFrame, start: str, stop: str, widths: list[int], name: str) -> DataFrame:
-    """df with its level, and _level and _bin: the bins it touches on its own level and on each wider one."""
+def _cover(df: DataFrame, start: str, stop: str, widths: list[int], own_roles: Sequence[int], wide_role: int) -> DataFrame:
+    """df with _level, _bin and _role: the bins it touches on its own level, for each of own_roles, and on each wider one,
+    as wide_role."""
     own = F.lit(len(widths) - 1)
     for k in reversed(range(len(widths) - 1)):
         own = F.when(F.col(stop) - F.col(start) <= FAN * widths[k], k).otherwise(own)
-    df = df.withColumn(name, own)
+    df = df.withColumn("_own", own)
 
     def bins(k: int, width: int) -> Column:
         every = F.sequence(F.floor(F.col(start) / width), F.floor(F.col(stop) / width))
-        return F.when(F.col(name) <= k, F.transform(every, lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin")))).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
+        at = lambda role: F.transform(every, lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin"), F.lit(role).alias("role")))
+        none = F.array().cast("array<struct<level:int,bin:bigint,role:int>>")
+        return F.when(F.col("_own") == k, F.concat(*map(at, own_roles))).when(F.col("_own") < k, at(wide_role)).otherwise(none)
 
-    return df.withColumn("_at", F.explode(F.concat(*(bins(k, w) for k, w in enumerate(widths))))).withColumns({"_level": F.col("_at.level"), "_bin": F.col("_at.bin")}).drop("_at")
+    return df.withColumn("_at", F.explode(F.concat(*(bins(k, w) for k, w in enumerate(widths))))).withColumns({"_level": F.col("_at.level"), "_bin": F.col("_at.bin"), "_role": F.col("_at.role")}).drop("_at", "_own")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop", bin_: int = 1024, levels: int = 4) -> DataFrame:
     """Pairs of overlapping closed intervals; right's columns but the keys get the prefix "r_".
 
     Both sides are put in bins of the first level that fits their length and of all wider ones, so an interval has a
-    bounded number of rows whatever its length.  A pair meets on the wider of its levels, and counts in the first bin
-    that it shares there.
+    bounded number of rows whatever its length.  A pair meets on the wider of its levels only: the join is also on a role,
+    0 for a left interval on its own level, 1 for a left one on a wider level, which meets right ones on their own.  So short
+    intervals never meet in wide bins.  A pair counts in the first bin that it shares.
     """
     keys = list(keys)
     widths = _widths(bin_, levels)
     right = right.select(*keys, *(F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys))
     left, right = left.where(F.col(start) <= F.col(stop)), right.where(F.col(f"r_{start}") <= F.col(f"r_{stop}"))
-    pairs = _cover(left, start, stop, widths, "_own").join(_cover(right, f"r_{start}", f"r_{stop}", widths, "_other"), [*keys, "_level", "_bin"])
+    pairs = _cover(left, start, stop, widths, (0,), 1).join(_cover(right, f"r_{start}", f"r_{stop}", widths, (0, 1), 0), [*keys, "_level", "_bin", "_role"])
     width = F.element_at(F.array(*(F.lit(w).cast("long") for w in widths)), F.col("_level") + 1)
     first = F.floor(F.greatest(F.col(start), F.col(f"r_{start}")) / width)
     overlap = (F.col(start) <= F.col(f"r_{stop}")) & (F.col(f"r_{start}") <= F.col(stop))
-    return pairs.where(overlap & (F.col("_level") == F.greatest("_own", "_other")) & (F.col("_bin") == first)).drop("_level", "_bin", "_own", "_other")
+    return pairs.where(overlap & (F.col("_bin") == first)).drop("_level", "_bin", "_role")
 
 
 def nearest_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], max_distance: int, position: str = "position", block: int = 1 << 20) -> DataFrame:

@@ -207,8 +207,10 @@ def _(spark, d):
 
 @query("j_overlap_join", "SELECT t.contig, t.start, t.stop, s.start AS r_start, s.stop AS r_stop, count(*) AS n FROM targets t JOIN segments s ON s.contig = t.contig AND t.start <= s.stop AND s.start <= t.stop GROUP BY ALL")
 def _(spark, d):
-    pairs = overlap_join(TARGETS(spark, d), SEGMENTS(spark, d).select("contig", "start", "stop"), ["contig"], bin_=64)
-    return pairs.groupBy("contig", "start", "stop", "r_start", "r_stop").agg(F.count("*").alias("n"))
+    # equal intervals meet once, with how often they occur
+    targets, segments = (view(spark, d, name).groupBy("contig", "start", "stop").agg(F.count("*").alias("n")) for name in ("targets", "segments"))
+    pairs = overlap_join(targets, segments, ["contig"], bin_=64)
+    return pairs.withColumn("n", F.col("n") * F.col("r_n")).drop("r_n")
 
 
 GOOD = "good AS (SELECT * FROM reads WHERE (flags & 1796) = 0 AND stop >= start AND mapq >= 1 AND mapq <> 255)"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from allelespark import catalog
 from allelespark.functions.maths import lgamma
-from allelespark.operators import allelic, coverage, harmonize, intervals, medians, pairs, pileups, variants
+from allelespark.operators import allelic, coverage, harmonize, intervals, medians, pairs, pileups, rangejoin, variants
 from allelespark.operators.contigs import dense_order, genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
 from allelespark.plans import q_cohort
@@ -419,3 +419,14 @@ def test_blocks_give_what_loops_over_positions_give(spark):
     assert len(loci) == sum((c, p - 1) not in depth or state(depth[c, p - 1]) != state(n) for (c, p), n in depth.items())
     for one, other in ((intervals.elementary_intervals(df, keys, block=b) for b in (16, 1 << 20)), (intervals.covered_regions(df, keys, 3, 4, block=b) for b in (16, 1 << 20))):
         assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_short_intervals_do_not_meet_in_wide_bins(spark):
+    n = 500
+    left = spark.range(n).selectExpr("'1' AS contig", "id * 1000 AS start", "id * 1000 + 5 AS stop")
+    right = spark.range(n).selectExpr("'1' AS contig", "id * 1000 + 5 AS r_start", "id * 1000 + 7 AS r_stop").union(spark.createDataFrame([("1", 0, 10_000_000)], "contig string, r_start long, r_stop long"))
+    widths = [64 * rangejoin.FAN**k for k in range(4)]
+    one = rangejoin._cover(left, "start", "stop", widths, (0,), 1)
+    two = rangejoin._cover(right, "r_start", "r_stop", widths, (0, 1), 0)
+    assert one.join(two, ["contig", "_level", "_bin", "_role"]).count() <= 4 * n  # over 500,000 without roles
+    assert overlap_join(left, right.withColumnsRenamed({"r_start": "start", "r_stop": "stop"}), ["contig"], bin_=64).count() == 2 * n
