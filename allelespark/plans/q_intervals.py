@@ -158,7 +158,7 @@ def _(spark, d):
     return harmonize.harmonize_segments(SEGMENTS(spark, d), tolerance=0.05)
 
 
-UNION = """mo AS (SELECT *, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM targets),
+UNION = """mo AS (SELECT *, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (SELECT DISTINCT contig, start, stop FROM targets)),
 mg AS (SELECT contig, min(start) AS start, max(stop) AS stop FROM (SELECT *, sum(CASE WHEN start <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY contig ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS k FROM mo) GROUP BY contig, k)"""
 
 

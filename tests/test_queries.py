@@ -430,3 +430,12 @@ def test_short_intervals_do_not_meet_in_wide_bins(spark):
     two = rangejoin._cover(right, "r_start", "r_stop", widths, (0, 1), 0)
     assert one.join(two, ["contig", "_level", "_bin", "_role"]).count() <= 4 * n  # over 500,000 without roles
     assert overlap_join(left, right.withColumnsRenamed({"r_start": "start", "r_stop": "stop"}), ["contig"], bin_=64).count() == 2 * n
+
+
+def test_sql_of_merged_overlaps_leaves_no_ties(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i AS p_partkey, (hash(i) % 50)::INT + 1 AS p_size FROM range(240000) AS t(i)) TO '{tmp_path}/part.parquet'")
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+    df = intervals.merge_overlapping(view(spark, str(tmp_path), "targets"), ["contig"])
+    want = sorted(map(tuple, df.select("contig", "start", "stop").collect()))
+    assert all(sorted(con.execute(f"SELECT contig, start, stop FROM ({catalog.SQL['i4_merge_overlapping']})").fetchall()) == want for _ in range(3))
