@@ -28,7 +28,13 @@ def _bins(df: DataFrame, start: Column, stop: Column, widths: list[int]) -> Data
     return df.withColumn("_level", level).withColumn("_bin", F.explode(F.sequence(F.floor(start / width), F.floor(F.greatest(start, stop) / width))))
 
 
-def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], position: str = "position", start: str = "start", stop: str = "stop", how: str = "inner", closed: bool = True, pad: int = 0, bin_: int = 1024, levels: int = 4) -> DataFrame:
+def _dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """df dealt over all shuffle partitions.  Bins are small next to the pairs they give, and adaptive execution, which
+    sees the bins' bytes only, would else leave the pairs of millions of rows to one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], position: str = "position", start: str = "start", stop: str = "stop", how: str = "inner", closed: bool = True, pad: int = 0, bin_: int = 16, levels: int = 4) -> DataFrame:
     """points with the intervals that hold their position: start <= position <= stop (< stop if not closed).
 
     An inner join looks up every point's bins at once.  For the other kinds ("left", "left_semi", "left_anti") the
@@ -38,15 +44,16 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], pos
     keys = list(keys)
     widths = _widths(bin_, levels)
     low, high = F.col(start) - pad, F.col(stop) + pad
-    held = _bins(intervals.where(low <= high), low, high, widths)
+    on_bin = [*keys, "_level", "_bin"]
+    held = _dealt(_bins(intervals.where(low <= high), low, high, widths), on_bin)
     look = F.explode(F.array(*(F.struct(F.lit(k).alias("_level"), F.floor(F.col("_p") / w).alias("_bin")) for k, w in enumerate(widths))))
     if how == "inner":
         asked = points.withColumn("_p", F.col(position)).withColumn("_look", look).select(*points.columns, "_p", "_look.*")
         inside = (F.col("_p") >= low) & ((F.col("_p") <= high) if closed else (F.col("_p") < high))
-        return asked.join(held, [*keys, "_level", "_bin"]).where(inside).drop("_level", "_bin", "_p")
+        return _dealt(asked, on_bin).join(held, on_bin).where(inside).drop("_level", "_bin", "_p")
     asked = points.select(*keys, F.col(position).alias("_p")).distinct().withColumn("_look", look).select(*keys, "_p", "_look.*")
     inside = (F.col("_p") >= low) & ((F.col("_p") <= high) if closed else (F.col("_p") < high))
-    match = asked.join(held, [*keys, "_level", "_bin"]).where(inside).drop("_level", "_bin")
+    match = _dealt(asked, on_bin).join(held, on_bin).where(inside).drop("_level", "_bin")
     if how in ("left_semi", "left_anti"):
         match = match.select(*keys, "_p").distinct()
     match = match.select(*(F.col(k).alias(f"_{k}") for k in keys), *(c for c in match.columns if c not in keys))
@@ -86,7 +93,8 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start:
     widths = _widths(bin_, levels)
     right = right.select(*keys, *(F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys))
     left, right = left.where(F.col(start) <= F.col(stop)), right.where(F.col(f"r_{start}") <= F.col(f"r_{stop}"))
-    pairs = _cover(left, start, stop, widths, (0,), 1).join(_cover(right, f"r_{start}", f"r_{stop}", widths, (0, 1), 0), [*keys, "_level", "_bin", "_role"])
+    on = [*keys, "_level", "_bin", "_role"]
+    pairs = _dealt(_cover(left, start, stop, widths, (0,), 1), on).join(_dealt(_cover(right, f"r_{start}", f"r_{stop}", widths, (0, 1), 0), on), on)
     width = F.element_at(F.array(*(F.lit(w).cast("long") for w in widths)), F.col("_level") + 1)
     first = F.floor(F.greatest(F.col(start), F.col(f"r_{start}")) / width)
     overlap = (F.col(start) <= F.col(f"r_{stop}")) & (F.col(f"r_{start}") <= F.col(stop))

@@ -448,3 +448,10 @@ def test_large_log_gammas_round_as_in_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
     got = catalog.QUERIES["t2_lgamma"](spark, str(tmp_path)).select("y", "n").collect()
     assert sorted(map(tuple, got)) == sorted(con.execute(f"SELECT y, n FROM ({catalog.SQL['t2_lgamma']})").fetchall())
+
+
+def test_bins_are_dealt_over_all_partitions(spark):
+    ratios = spark.range(200).selectExpr("'1' AS contig", "id * 3 AS start", "id * 3 + 40 AS stop", "id AS ord")
+    pairs = intervals.disjoin(ratios, ["contig"])
+    tasks = pairs.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))  # adaptive execution made one of them
