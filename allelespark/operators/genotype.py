@@ -8,11 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.maths import clip, kendall_tau_b, lgamma, ln, logaddexp, logsumexp, minus_infinity, with_settled
+from ..functions.maths import clip, kendall_tau_b, lgammas, ln, logaddexp, logsumexp, minus_infinity, with_settled
 from .contigs import ploidy
 from .pairs import pair_tables
 from .pileups import COUNTS, error_rate
 from .rangejoin import range_join
+from ..sources.scratch import kept
 
 #: The likelihood columns and the genotypes they stand for, in the order in which ties are won.
 GENOTYPES = {"gl_ref": "0/0", "gl_het": "0/1", "gl_alt": "1/1", "gl_out": "./."}
@@ -35,7 +36,8 @@ def log_likelihoods(rows: DataFrame, outlier_prior: float = 1e-4, overdispersion
     fraction on either haplotype, outliers uniform; contamination brings in the population's allele frequency, and
     priors are Hardy-Weinberg's.  Without copies only an outlier can be; with one copy no heterozygote.
 
-    Every step's results are columns, so that expressions name columns only and stay small in generated code.
+    Every step's results are columns, so that expressions name columns only and stay small in generated code.  The log-gammas
+    are one array (lgammas() says why).
     """
     c, e, q, m, bias = (F.col(x) for x in ("contamination", "error", "allele_frequency", "minor_af", "bias"))
 
@@ -52,8 +54,8 @@ def log_likelihoods(rows: DataFrame, outlier_prior: float = 1e-4, overdispersion
         a, b = F.col(x), overdispersion - F.col(x)
         terms |= {f"{x}k": k + a, f"{x}r": r + b, f"{x}a": a, f"{x}b": b}
     rows = rows.withColumns(terms)
-    rows = rows.withColumns({f"_g{t}": lgamma(F.col(t)) for t in terms})
-    g = lambda t: F.col(f"_g{t}")
+    rows = rows.withColumn("_g", lgammas(F.array(*terms)))
+    g = lambda t: F.col("_g")[list(terms).index(t)]
     total = math.lgamma(overdispersion)
     rows = rows.withColumn("_choose", g("_n1") - g("_k1") - g("_r1")).withColumn("_keep", F.log(1 - F.col("_o")))
     het = {f"_het{x}": F.col("_keep") + F.col("_lp") + F.col("_lq") + F.col("_choose") + g(f"{x}k") + g(f"{x}r") - g("_ns") - g(f"{x}a") - g(f"{x}b") + total for x in ("_ab", "_ba")}
@@ -75,9 +77,10 @@ def genotype_likelihoods(pileups: DataFrame, segments: DataFrame | None = None,
     """pileups (sample, contig, position, counts, allele_frequency) with the four likelihoods of each sample's locus.
 
     contaminations has a row (sample, contamination) per sample, per_sample_bias a row (sample, ref_bias); sex may be a
-    column of pileups, of which other columns stay too.
+    column of pileups, of which other columns stay too.  pileups are read three times, so they go into a table first.
     """
-    rows = with_minor_af(pileups, segments).join(error_rate(pileups, low=min_error, high=max_error), "sample")
+    pileups = kept(pileups)
+    rows = with_minor_af(pileups, segments).join(F.broadcast(error_rate(pileups, low=min_error, high=max_error)), "sample")  # a row a sample
     rows = rows.join(contaminations.select("sample", "contamination"), "sample", "left") if contaminations is not None else rows.withColumn("contamination", F.lit(None).cast("double"))
     rows = rows.withColumn("bias", F.lit(ref_bias))
     if per_sample_bias is not None:

@@ -29,15 +29,22 @@ def select_pileups(pileup: DataFrame, min_af: float = 0.01, max_af: float = 0.2,
 
 
 def first_of_locus(pileup: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each `by` in the given order; not dropDuplicates, which keeps any."""
-    return pileup.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_r = 1").drop("_r")
+    """The first row of each `by` in the given order; not dropDuplicates, which keeps any.
+
+    Rows are sorted by a hash of `by` first: most comparisons end with that number, where names of few samples would tie.
+    """
+    own = Window.partitionBy(F.xxhash64(*by), *by).orderBy(*order)
+    return pileup.withColumn("_r", F.row_number().over(own)).where("_r = 1").drop("_r")
 
 
 def merge_pileups(runs: DataFrame, order: Sequence[str] = COUNTS, min_depth: int = 0, keys: Sequence[str] = ("sample",)) -> DataFrame:
-    """Runs of a sample added up per locus: counts summed, the largest allele frequency; a run counts a locus once."""
-    keys = list(keys)
-    once = first_of_locus(runs, [*keys, "run", "contig", "position"], [F.col(c) for c in order])
-    merged = once.groupBy(*keys, "contig", "position").agg(*(F.sum(c).alias(c) for c in COUNTS), F.max("allele_frequency").alias("allele_frequency"))
+    """Runs of a sample added up per locus: counts summed, the largest allele frequency; a run counts a locus once.
+
+    Rows are dealt by locus, which serves the choice within runs and the sums: one shuffle, one sort.
+    """
+    locus = [*keys, "contig", "position"]
+    once = first_of_locus(runs.repartition(*locus), [*locus, "run"], [F.col(c) for c in order])
+    merged = once.groupBy(*locus).agg(*(F.sum(c).alias(c) for c in COUNTS), F.max("allele_frequency").alias("allele_frequency"))
     return min_read_depth(merged, min_depth)
 
 

@@ -15,11 +15,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from allelespark import catalog
-from allelespark.functions.maths import lgamma
-from allelespark.operators import allelic, coverage, harmonize, intervals, medians, pairs, pileups, rangejoin, variants
+from allelespark.functions.maths import lgamma, lgammas
+from allelespark.operators import allelic, coverage, genotype, harmonize, intervals, medians, pairs, pileups, rangejoin, variants
 from allelespark.operators.contigs import dense_order, genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
-from allelespark.plans import q_cohort
+from allelespark.plans import q_cohort, q_pileups
 from allelespark.plans.views import view
 from allelespark.sources import blocks, readers, writers
 
@@ -455,3 +455,24 @@ def test_bins_are_dealt_over_all_partitions(spark):
     pairs = intervals.disjoin(ratios, ["contig"])
     tasks = pairs.select(F.spark_partition_id().alias("t")).distinct().count()
     assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))  # adaptive execution made one of them
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merging_runs_takes_one_shuffle_and_sorts_by_a_hash(spark):
+    optimized, executed = _plan(pileups.merge_pileups(view(spark, DATA, "pileup_runs")))
+    assert executed.count("Exchange ") == 1 and "xxhash64" in optimized
+
+
+def test_lgammas(spark):
+    xs = [0.001, 0.5, 1.0, 2.0, 3.7, 40.0, 740.0, 1e5]
+    rows = spark.createDataFrame([(xs,), ([0.0, None, -1.0, 2.0],), ([],)], "xs array<double>").select(lgammas(F.col("xs")).alias("y")).collect()
+    assert rows[0].y == pytest.approx([math.lgamma(x) for x in xs], rel=1e-12, abs=1e-11)
+    assert rows[1].y[:3] == [None] * 3 and rows[1].y[3] == pytest.approx(0, abs=1e-11) and rows[2].y == []
+
+
+def test_likelihoods_read_their_pileups_from_a_table(spark):
+    optimized, _ = _plan(q_pileups.likelihoods(spark, DATA))
+    assert "row_number" not in optimized  # runs were merged anew for the loci, for their segments and for the error rates
