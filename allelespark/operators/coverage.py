@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
@@ -82,11 +82,16 @@ def call_copy_ratio(segments: DataFrame, low: float = 0.9, high: float = 1.1, z:
 
 
 def standardize(counts: DataFrame, keys: Sequence[str] = ("contig", "start", "stop")) -> DataFrame:
-    """log2_cr per sample and interval: counts over the sample's median, over the interval's median of those."""
+    """log2_cr per sample and interval: counts over the sample's median, over the interval's median of those.
+
+    counts are read by every pass of the samples' medians, so they go into a table first; an interval's rows (one a sample)
+    are sorted together once, by a hash first, and get their median there.
+    """
+    counts = kept(counts)
     per_sample = group_medians(counts, ["sample"], "count", "_m").where("_m > 0")  # a sample has as many rows as intervals
-    scaled = counts.join(per_sample, "sample").withColumn("_s", F.col("count") / F.col("_m"))
-    per_interval = scaled.groupBy(*keys).agg(F.median("_s").alias("_mi")).where("_mi > 0")
-    return scaled.join(per_interval, list(keys)).withColumn("log2_cr", F.log2(F.greatest(F.col("_s") / F.col("_mi"), F.lit(1e-3)))).select("sample", *keys, "log2_cr")
+    scaled = counts.join(F.broadcast(per_sample), "sample").withColumn("_s", F.col("count") / F.col("_m"))  # a row a sample
+    rows = scaled.withColumn("_mi", F.median("_s").over(Window.partitionBy(F.xxhash64(*keys), *keys))).where("_mi > 0")
+    return rows.withColumn("log2_cr", F.log2(F.greatest(F.col("_s") / F.col("_mi"), F.lit(1e-3)))).select("sample", *keys, "log2_cr")
 
 
 def _dense(places: pa.ListArray, values: pa.ListArray, width: int) -> np.ndarray:
@@ -173,7 +178,7 @@ def tangent_normalize(samples: DataFrame, normals: DataFrame, k: int = 20, keys:
     if u is None:
         return samples
     size = u.agg(F.coalesce(F.max(F.size("u")), F.lit(0))).first()[0]
-    rows = samples.join(u, keys, "left")
+    rows = kept(samples.join(u, keys, "left"))
     dots = rows.where("u IS NOT NULL").groupBy("sample").agg(F.array(*(F.coalesce(F.sum(F.col("log2_cr") * F.col("u")[j]), F.lit(0.0)) for j in range(size))).alias("_w"))
     part = F.aggregate(F.zip_with("u", "_w", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
     return rows.join(dots, "sample", "left").withColumn("log2_cr", F.col("log2_cr") - F.coalesce(part, F.lit(0.0))).select(*samples.columns)

@@ -11,6 +11,7 @@ from ..catalog import query
 from ..functions.maths import scaled
 from ..operators import coverage, harmonize, intervals
 from ..operators.rangejoin import overlap_join, range_join
+from ..sources.scratch import kept
 from .views import view
 
 CR, TARGETS, READS, SEGMENTS = (partial(view, name=n) for n in ("copy_ratios", "targets", "reads", "segments"))
@@ -303,7 +304,7 @@ def _(spark, d):
 
 @query("t20_tangent_normalize", f"WITH {STANDARD}, nn AS (SELECT contig, start, stop, log2_cr AS v FROM sd WHERE sample = 'S0'), w AS (SELECT sample, sum(log2_cr * v) / (SELECT sum(v * v) FROM nn) AS w FROM sd JOIN nn USING (contig, start, stop) WHERE sample <> 'S0' GROUP BY sample) SELECT sample, contig, start, stop, CAST(floor((log2_cr - coalesce(w * v, 0)) * 1e5 + 0.5) AS BIGINT) AS log2_cr FROM sd JOIN w USING (sample) LEFT JOIN nn USING (contig, start, stop)")
 def _(spark, d):
-    rows = standard(spark, d)
+    rows = kept(standard(spark, d))
     out = coverage.tangent_normalize(rows.where("sample <> 'S0'"), rows.where("sample = 'S0'"))
     return out.withColumn("log2_cr", scaled(F.col("log2_cr"), 10**5))
 
@@ -314,7 +315,7 @@ def _(spark, d):
     key = F.col("l_suppkey")
     rows = spark.read.parquet(f"{d}/lineitem.parquet").select((key % 24).alias("k"), F.concat(F.lit("N"), (key % 24).cast("string")).alias("sample"), F.expr("CAST(l_partkey % 23 AS STRING)").alias("contig"), F.expr("l_orderkey DIV 64 * 64").alias("start"), F.col("l_quantity").alias("q"))
     counts = rows.groupBy("sample", "contig", "start", (F.col("start") + 63).alias("stop")).agg(F.sum("q").alias("count"))
-    ratios = coverage.standardize(counts)
+    ratios = kept(coverage.standardize(counts))  # read by normals and samples
     tumours = F.col("sample").isin("N20", "N21", "N22", "N23")
     return coverage.tangent_normalize(ratios.where(tumours), ratios.where(~tumours), 10)
 

@@ -476,3 +476,21 @@ def test_lgammas(spark):
 def test_likelihoods_read_their_pileups_from_a_table(spark):
     optimized, _ = _plan(q_pileups.likelihoods(spark, DATA))
     assert "row_number" not in optimized  # runs were merged anew for the loci, for their segments and for the error rates
+
+
+def test_standardizing_makes_its_counts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(f"S{s}", "1", i, i, float(1 + (i * 7 + s * 3) % 11)) for s in range(3) for i in range(50)]
+    counts = spark.createDataFrame(rows, "sample string, contig string, start long, stop long, count double")
+    got = {(r.sample, r.start): r.log2_cr for r in coverage.standardize(counts.mapInArrow(watched, counts.schema)).collect()}
+    assert seen.value == 150
+    c = np.array([x[4] for x in rows]).reshape(3, 50)
+    c /= np.median(c, axis=1, keepdims=True)
+    want = np.log2(np.maximum(c / np.median(c, axis=0), 1e-3))
+    assert all(got[(f"S{s}", i)] == pytest.approx(want[s, i]) for s in range(3) for i in range(50))
