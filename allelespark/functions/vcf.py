@@ -16,7 +16,12 @@ def info_map(info: Column) -> Column:
 
 def info_number(info: Column, key: str, index: int | None = None) -> Column:
     """A number of INFO, or the index-th of a list; null if missing or no number."""
-    text = F.try_element_at(info_map(info), F.lit(key))
+    return number_of(info_map(info), key, index)
+
+
+def number_of(fields: Column, key: str, index: int | None = None) -> Column:
+    """info_number() of info_map()'s result."""
+    text = F.try_element_at(fields, F.lit(key))
     if index is not None:
         text = F.try_element_at(F.split(text, ","), F.lit(index + 1))
     return text.try_cast("double")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vcf import common_prefix, depths, filter_tags, info_number, popaf_to_af, total_alt_count
+from ..functions.vcf import common_prefix, depths, filter_tags, info_map, info_number, number_of, popaf_to_af, total_alt_count
 from .pileups import first_of_locus
 from .rangejoin import range_join
 
@@ -41,10 +41,12 @@ def hard_filter(variants: DataFrame, rules: Mapping[str, tuple[str, int | None,
 
     A rule flags a number below its limit, never a missing one.  `more` has names and SQL conditions on columns.
     """
-    failed = [F.when(info_number(F.col("info"), key, i) < limit, name) for name, (key, i, limit) in rules.items()]
+    failed = [F.when(number_of(F.col("_info"), key, i) < limit, name) for name, (key, i, limit) in rules.items()]
     failed += [F.when(F.expr(condition), name) for name, condition in (more or {}).items()]
     every = F.array_union(F.filter(filter_tags(F.col("filter")), lambda t: ~t.isin("PASS", ".", "")), F.filter(F.array(*failed), lambda x: x.isNotNull()))
-    return variants.withColumn("filter", F.when(F.size(every) == 0, "PASS").otherwise(F.array_join(every, ";")))
+    # each step a column: INFO is taken apart once a row, not once a rule and use
+    rows = variants.withColumn("_info", info_map(F.col("info"))).withColumn("_every", every)
+    return rows.withColumn("filter", F.when(F.size("_every") == 0, "PASS").otherwise(F.array_join("_every", ";"))).drop("_info", "_every")
 
 
 def select_variants(variants: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None, kind: str | None = None, condition: str | None = None, pad: int = 0) -> DataFrame:

@@ -19,7 +19,8 @@ _WHO = ("patient", "sample")
 
 def filter_variants(calls: DataFrame, rules: Mapping[str, tuple] = variants.HARD_FILTERS, more: Mapping[str, str] | None = None) -> DataFrame:
     """calls with hard filters applied and `somatic` and `germline`: which product a row belongs to."""
-    out = variants.hard_filter(calls, rules, more)
+    # filters cost far more than reading: a few MB of calls must not be one task
+    out = variants.hard_filter(calls.repartition(*variants.LOCUS), rules, more)
     return out.withColumns({"somatic": variants.somatic(F.col("filter")), "germline": variants.germline(F.col("filter"))})
 
 

@@ -19,7 +19,7 @@ from allelespark.functions.maths import lgamma, lgammas
 from allelespark.operators import allelic, coverage, genotype, harmonize, intervals, medians, pairs, pileups, rangejoin, variants
 from allelespark.operators.contigs import dense_order, genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
-from allelespark.plans import q_cohort, q_pileups
+from allelespark.plans import pipelines, q_cohort, q_pileups
 from allelespark.plans.views import view
 from allelespark.sources import blocks, readers, writers
 
@@ -494,3 +494,8 @@ def test_standardizing_makes_its_counts_once(spark):
     c /= np.median(c, axis=1, keepdims=True)
     want = np.log2(np.maximum(c / np.median(c, axis=0), 1e-3))
     assert all(got[(f"S{s}", i)] == pytest.approx(want[s, i]) for s in range(3) for i in range(50))
+
+
+def test_filters_take_info_apart_once(spark):
+    optimized, executed = _plan(pipelines.filter_variants(view(spark, DATA, "variants")))
+    assert optimized.count("str_to_map") == 1 and "Exchange hashpartitioning(contig" in executed
