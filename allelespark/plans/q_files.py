@@ -11,6 +11,7 @@ from ..functions.maths import scaled
 from ..operators import absolute_cn, acs, allelic, cohort, genotype, harmonize, maf, variants
 from ..operators.contigs import contig_order, dense_order, genomic_sort, ploidy
 from ..sources import blocks, readers, writers
+from ..sources.scratch import kept
 from . import q_intervals as qi
 from . import q_pileups as qp
 from .q_sources import scratch
@@ -191,8 +192,9 @@ def _(spark, d):
 def _(spark, d):
     """A column for each sample, block-gzipped and read back."""
     path, samples = scratch(spark), ["S0", "S1", "S2", "S3"]
-    calls = qp.joint(spark, d).join(qp.gvcf(spark, d).select("contig", "position", "ref", "alt"), ["contig", "position"], "left")
-    writers.write_vcf(calls, path, genotypes=qp.likelihoods(spark, d), samples=samples, fields=("GT", "AD", "DP"), block_gzip=True)
+    each = kept(qp.likelihoods(spark, d))  # read for the joint calls and for the samples' columns
+    calls = genotype.joint_genotypes(each, normals=["S0"]).join(qp.gvcf(spark, d).select("contig", "position", "ref", "alt"), ["contig", "position"], "left")
+    writers.write_vcf(calls, path, genotypes=each, samples=samples, fields=("GT", "AD", "DP"), block_gzip=True)
     rows = readers.read_table(spark, f"{path}/*.bgz", f"{readers.VCF}, {', '.join(f'{s} string' for s in samples)}", header=False)
     return rows.select("contig", "position", "ref", "alt", *samples)
 

@@ -478,6 +478,12 @@ def test_likelihoods_read_their_pileups_from_a_table(spark):
     assert "row_number" not in optimized  # runs were merged anew for the loci, for their segments and for the error rates
 
 
+def test_joint_vcf_makes_likelihoods_once(spark, monkeypatch):
+    calls, real = [], genotype.genotype_likelihoods
+    monkeypatch.setattr(genotype, "genotype_likelihoods", lambda *a, **k: calls.append(1) or real(*a, **k))
+    assert catalog.QUERIES["k3_write_joint_vcf"](spark, DATA).count() > 0 and len(calls) == 1
+
+
 def test_standardizing_makes_its_counts_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
