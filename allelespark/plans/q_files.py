@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import catalog
@@ -18,15 +18,21 @@ from .q_sources import scratch
 from .views import view
 
 
-def text_files(rows: DataFrame, columns: list[str], path: str, head: str | None = None, comment: str | None = None) -> None:
-    """A folder for each sample with lines of tab-separated columns, in the order of these, after a comment and a header."""
+def text_files(rows: DataFrame, columns: list[str], path: str, head: str | None = None, comment: str | None = None, parts: Column | None = None) -> None:
+    """A folder for each sample with lines of tab-separated columns, in the order of these, after a comment and a header.
+
+    By default a sample is one file, so one task.  `parts` deals it over a folder (part=...) for each value, all with the comment
+    and the header.
+    """
     line = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in columns))
-    lines = rows.select("sample", F.lit(2).alias("k"), F.struct(*columns).alias("o"), line.alias("value"))
+    rows, own = (rows, ["file"]) if parts is None else (rows.withColumn("part", parts), ["file", "part"])
+    rows = rows.withColumn("file", F.col("sample"))
+    lines = rows.select(*own, F.lit(2).alias("k"), F.struct(*columns).alias("o"), line.alias("value"))
     for k, text in ((1, head), (0, comment)):
         if text is not None:
-            first = rows.select("sample").distinct().select("sample", F.lit(k).alias("k"), F.lit(None).cast(lines.schema["o"].dataType).alias("o"), F.regexp_replace(F.lit(text), "%s", F.col("sample")).alias("value"))
+            first = rows.select(*own).distinct().select(*own, F.lit(k).alias("k"), F.lit(None).cast(lines.schema["o"].dataType).alias("o"), F.regexp_replace(F.lit(text), "%s", F.col("file")).alias("value"))
             lines = lines.union(first)
-    lines.repartition("sample").sortWithinPartitions("sample", "k", "o").select(F.col("sample").alias("file"), "value").write.partitionBy("file").text(path)
+    lines.repartition(*own).sortWithinPartitions(*own, "k", "o").select(*own, "value").write.partitionBy(*own).text(path)
 
 
 NAMED = "#<METADATA>SAMPLE=%s"
@@ -57,7 +63,7 @@ def _(spark, d):
 def _(spark, d):
     path = scratch(spark)
     columns = ["contig", "start", "stop", "n_probes", "n_hets", "cr10", "cr50", "cr90", "maf10", "maf50", "maf90", "call"]
-    text_files(view(spark, d, "modeled_segments"), columns, path, "\t".join(columns), "@RG\tID:1\tSM:%s")
+    text_files(view(spark, d, "modeled_segments"), columns, path, "\t".join(columns), "@RG\tID:1\tSM:%s", F.col("contig"))
     rows = readers.read_modeled_segments(spark, path)
     return rows.select("sample", "contig", "start", "stop", "n_probes", "n_hets", "cr50", F.coalesce("maf50", F.lit(-1.0)).alias("maf50"), "call", scaled(F.col("minor_allele_fraction")).alias("minor_allele_fraction"))
 

@@ -19,7 +19,7 @@ from allelespark.functions.maths import lgamma, lgammas
 from allelespark.operators import allelic, coverage, genotype, harmonize, intervals, medians, pairs, pileups, rangejoin, variants
 from allelespark.operators.contigs import dense_order, genomic_sort, ploidy
 from allelespark.operators.rangejoin import nearest_interval, overlap_join, range_join
-from allelespark.plans import pipelines, q_cohort, q_pileups
+from allelespark.plans import pipelines, q_cohort, q_files, q_pileups
 from allelespark.plans.views import view
 from allelespark.sources import blocks, readers, writers
 
@@ -505,3 +505,13 @@ def test_standardizing_makes_its_counts_once(spark):
 def test_filters_take_info_apart_once(spark):
     optimized, executed = _plan(pipelines.filter_variants(view(spark, DATA, "variants")))
     assert optimized.count("str_to_map") == 1 and "Exchange hashpartitioning(contig" in executed
+
+
+def test_a_sample_is_written_by_several_tasks(spark, tmp_path):
+    rows = view(spark, DATA, "modeled_segments")
+    columns = ["contig", "start", "stop", "n_probes", "n_hets", "cr10", "cr50", "cr90", "maf10", "maf50", "maf90", "call"]
+    q_files.text_files(rows, columns, f"{tmp_path}/a", "\t".join(columns), "@RG\tID:1\tSM:%s", F.col("contig"))
+    files = list((tmp_path / "a" / "file=S0").glob("*/part-*"))
+    assert len(files) > 1 and all(f.read_text().startswith("@RG\tID:1\tSM:S0\ncontig\tstart") for f in files)
+    back = readers.read_modeled_segments(spark, f"{tmp_path}/a")
+    assert sorted((r.sample, r.start) for r in back.collect()) == sorted((r.sample, r.start) for r in rows.collect())
