@@ -16,9 +16,10 @@ from . import blocks
 
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), sort: Sequence[str] = ("contig", "position"), compression: str = "none", null: str = "") -> None:
-    """df as text with a header, in genomic order inside each file; `by` columns become folders."""
+    """df as text with a header, in genomic order inside each file; `by` columns become folders, and each of their contigs
+    goes to one of a folder's files, so that a sample is several tasks."""
     order = [*by, *([contig_order(F.col("contig"))] if "contig" in sort else []), *sort]
-    dealt = df.repartition(*by) if by else df
+    dealt = df.repartition(*by, *(c for c in sort if c == "contig")) if by else df
     writer = dealt.sortWithinPartitions(*order).write.option("sep", "\t").option("header", True).option("compression", compression).option("nullValue", null)
     (writer.partitionBy(*by) if by else writer).csv(path)
 

@@ -515,3 +515,9 @@ def test_a_sample_is_written_by_several_tasks(spark, tmp_path):
     assert len(files) > 1 and all(f.read_text().startswith("@RG\tID:1\tSM:S0\ncontig\tstart") for f in files)
     back = readers.read_modeled_segments(spark, f"{tmp_path}/a")
     assert sorted((r.sample, r.start) for r in back.collect()) == sorted((r.sample, r.start) for r in rows.collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_table(rows.select("sample", "contig", "start"), f"{tmp_path}/b", ["sample"], ["contig", "start"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "b" / "sample=S0").glob("part-*"))) > 1
