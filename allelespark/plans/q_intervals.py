@@ -314,6 +314,7 @@ def _(spark, d):
     """Four samples against twenty normals; singular vectors have no SQL, a test holds it against NumPy."""
     key = F.col("l_suppkey")
     rows = spark.read.parquet(f"{d}/lineitem.parquet").select((key % 24).alias("k"), F.concat(F.lit("N"), (key % 24).cast("string")).alias("sample"), F.expr("CAST(l_partkey % 23 AS STRING)").alias("contig"), F.expr("l_orderkey DIV 64 * 64").alias("start"), F.col("l_quantity").alias("q"))
+    rows = rows.repartition("sample", "contig", "start")  # nearly all rows are bins of their own: adding up before the shuffle only fills memory
     counts = rows.groupBy("sample", "contig", "start", (F.col("start") + 63).alias("stop")).agg(F.sum("q").alias("count"))
     ratios = kept(coverage.standardize(counts))  # read by normals and samples
     tumours = F.col("sample").isin("N20", "N21", "N22", "N23")
